@@ -49,7 +49,8 @@ _HASH = f"""sha256(CASE WHEN url <> '' THEN lower({strip('url')})
 CLEANED = f"""{views('raw_items')},
 cleaned AS (SELECT *, fetch_method = 'telegram_api' AND ({_AD}) AS is_ad, {clean("coalesce(raw_text, '')")} AS clean FROM raw_items)"""
 HASHED = f"""{CLEANED},
-hashed AS (SELECT *, {_HASH} AS content_hash, CASE WHEN is_ad THEN 'ad' WHEN length(clean) < 150 THEN 'short' END AS early FROM cleaned)"""
+hashed AS (SELECT *, {_HASH} AS content_hash, CASE WHEN is_ad THEN 'ad' WHEN length(clean) < 150 THEN 'short' END AS early FROM cleaned),
+screened AS (SELECT * REPLACE (CASE WHEN early IS NULL THEN content_hash END AS content_hash) FROM hashed)"""
 
 
 def outcome(name: str, rows: str, stored: str | None = None, order: str = "arrival", screened: bool = True) -> str:
@@ -73,7 +74,7 @@ def outcome(name: str, rows: str, stored: str | None = None, order: str = "arriv
   FROM {name}_all)"""
 
 
-BATCH = f"{HASHED},\n{outcome('ingested', 'hashed')}"
+BATCH = f"{HASHED},\n{outcome('ingested', 'screened')}"
 _OUTCOME = "arrival, source_id, external_content_id, content_hash, inserted, is_duplicate, outcome, reason"
 
 # --- text and scalars ---
@@ -146,14 +147,13 @@ ORACLES["normalized_items"] = f"""{HASHED} SELECT arrival, source_id, external_c
 
 # --- dedup and ingestion ---
 
-ORACLES["dedup_batch"] = f"""{CLEANED},
-hashed AS (SELECT * REPLACE (CASE WHEN is_ad THEN NULL ELSE clean END AS clean) FROM cleaned), prints AS (SELECT *, {_HASH} AS content_hash FROM hashed),
-{outcome('ingested', 'prints', screened=False)} SELECT arrival, inserted, is_duplicate, outcome FROM ingested"""
+ORACLES["dedup_batch"] = f"""{HASHED},
+{outcome('ingested', 'hashed', screened=False)} SELECT arrival, inserted, is_duplicate, outcome FROM ingested"""
 ORACLES["ingest_batch"] = f"{BATCH} SELECT {_OUTCOME} FROM ingested"
 ORACLES["ingest_stream"] = ORACLES["ingest_batch"]
 _CUT = "(SELECT count(*) * 6 // 10 FROM documents)"
-ORACLES["ingest_incremental"] = f"""{HASHED}, early_part AS (SELECT * FROM hashed WHERE arrival < {_CUT}),
-late_part AS (SELECT * FROM hashed WHERE arrival >= {_CUT}), {outcome('first_run', 'early_part')},
+ORACLES["ingest_incremental"] = f"""{HASHED}, early_part AS (SELECT * FROM screened WHERE arrival < {_CUT}),
+late_part AS (SELECT * FROM screened WHERE arrival >= {_CUT}), {outcome('first_run', 'early_part')},
 stored AS (SELECT source_id, external_content_id, content_hash FROM first_run WHERE inserted), {outcome('ingested', 'late_part', 'stored')}
 SELECT {_OUTCOME} FROM ingested"""
 ORACLES["content_items"] = f"""{BATCH} SELECT source_id, external_content_id, {_TYPE} AS content_type, source_content_type, title,
@@ -267,9 +267,9 @@ ORACLES["ingest_wave1"] = f"""{_OWNED}, raw_wave AS (
   SELECT canonical_key, arrival AS pos, new_source_id AS source_id, external_content_id, new_method AS fetch_method, title, raw_text, url,
     row_number() OVER (ORDER BY tier, wave, source_name, canonical_key, arrival) AS arrival FROM owned WHERE wave = 1),
 cleaned AS (SELECT *, fetch_method = 'telegram_api' AND ({_AD}) AS is_ad, {clean("coalesce(raw_text, '')")} AS clean FROM raw_wave),
-hashed AS (SELECT *, sha256(CASE WHEN url <> '' THEN lower({strip('url')}) WHEN title <> '' THEN source_id || '::' || lower({strip('title')})
-  ELSE source_id || '::' || CASE WHEN is_ad THEN '' ELSE substr(clean, 1, 300) END END) AS content_hash, CASE WHEN is_ad THEN 'ad' WHEN length(clean) < 150 THEN 'short' END AS early FROM cleaned),
-{outcome('ingested', 'hashed')} SELECT canonical_key, pos, content_hash, inserted, is_duplicate, outcome, reason FROM ingested"""
+hashed AS (SELECT *, {_HASH} AS content_hash, CASE WHEN is_ad THEN 'ad' WHEN length(clean) < 150 THEN 'short' END AS early FROM cleaned),
+screened AS (SELECT * REPLACE (CASE WHEN early IS NULL THEN content_hash END AS content_hash) FROM hashed),
+{outcome('ingested', 'screened')} SELECT canonical_key, pos, content_hash, inserted, is_duplicate, outcome, reason FROM ingested"""
 
 # --- connectors ---
 

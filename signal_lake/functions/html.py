@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-from signal_lake.functions.space import or_null, strip_space
+from signal_lake.functions.space import let, or_null, strip_space
 
 # Elements whose text is no text of the page.
 _OPAQUE = "script|style|template|rt|rp"
@@ -38,23 +38,32 @@ def decode_entities(text: Column) -> Column:
     """Replace named and numeric character references; leave what is no reference as it stands."""
 
     def decode_piece(piece: Column) -> Column:
-        reference = F.regexp_extract(piece, r"^(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;)", 0)
+        pattern = r"^(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;)"
+        return let(F.regexp_extract(piece, pattern, 0), lambda reference: replaced(piece, reference))
+
+    def replaced(piece: Column, reference: Column) -> Column:
         body = F.rtrim(reference, F.lit(";"))
-        digits = F.substring(body, 2, 8)
-        char = (
+        rest = F.substr(piece, F.length(reference) + 1)
+        return let(
+            meaning(body),
+            lambda char: F.when(char.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(char, rest)),
+        )
+
+    def meaning(body: Column) -> Column:
+        decimal = F.substring(body, 2, 8).try_cast("bigint")
+        hexadecimal = F.conv(F.substring(body, 3, 6), 16, 10).try_cast("bigint")
+        return (
             F.when(body == "", None)
-            .when(body.rlike("^#[0-9]"), _char(digits.try_cast("bigint")))
-            .when(body.startswith("#"), _char(F.conv(F.substring(body, 3, 6), 16, 10).try_cast("bigint")))
+            .when(body.rlike("^#[0-9]"), _char(decimal))
+            .when(body.startswith("#"), _char(hexadecimal))
             .otherwise(F.try_element_at(_named_entities(), body))
         )
-        rest = F.substr(piece, F.length(reference) + 1)
-        return F.when(char.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(char, rest))
 
-    pieces = F.split(text, "&")
-    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode_piece)
-    return F.when(
-        F.contains(text, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
-    ).otherwise(text)
+    def decoded(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode_piece)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+
+    return F.when(F.contains(text, F.lit("&")), let(F.split(text, "&"), decoded)).otherwise(text)
 
 
 def _gapped(html: Column) -> Column:
@@ -101,21 +110,24 @@ def element_html(html: Column, selector: str) -> Column:
     pieces are counted up to the one that closes the element. NULL where there is no such element.
     """
     opening = _opening_tag(selector)
-    tag = F.lower(F.regexp_extract(html, opening, 1))
-    after = F.get(F.split(html, opening, 2), F.lit(1))
-    pieces = F.split(after, F.concat(F.lit("(?i)(?=</?"), tag, F.lit("(?![a-z0-9-]))")))
-    closes = F.concat(F.lit("</"), tag)
-    opens = F.concat(F.lit("<"), tag)
-
-    def step(state: Column, piece: Column) -> Column:
-        head = F.lower(F.substr(piece, F.lit(1), F.length(tag) + 2))
-        depth = state["depth"] + F.when(head == closes, -1).when(head.startswith(opens), 1).otherwise(0)
-        walked = F.struct(depth.alias("depth"), (state["taken"] + (depth > 0).cast("int")).alias("taken"))
-        return F.when(state["depth"] == 0, state).otherwise(walked)
-
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-    taken = F.aggregate(pieces, start, step, lambda state: state["taken"])
-    return F.when(tag != "", F.array_join(F.slice(pieces, F.lit(1), taken), ""))
+
+    def inner(tag: Column) -> Column:
+        after = F.get(F.split(html, opening, 2), F.lit(1))
+        pieces = F.split(after, F.concat(F.lit("(?i)(?=</?"), tag, F.lit("(?![a-z0-9-]))")))
+        return let(pieces, lambda cut: F.array_join(F.slice(cut, F.lit(1), taken(cut, tag)), ""))
+
+    def taken(cut: Column, tag: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            head = F.lower(F.substr(piece, F.lit(1), F.length(tag) + 2))
+            turn = F.when(head == F.concat(F.lit("</"), tag), -1).when(head.startswith(F.concat(F.lit("<"), tag)), 1)
+            depth = state["depth"] + F.coalesce(turn, F.lit(0))
+            walked = F.struct(depth.alias("depth"), (state["taken"] + (depth > 0).cast("int")).alias("taken"))
+            return F.when(state["depth"] == 0, state).otherwise(walked)
+
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
+        return F.aggregate(cut, start, step, lambda state: state["taken"])
+
+    return let(F.lower(F.regexp_extract(html, opening, 1)), lambda tag: F.when(tag != "", inner(tag)))
 
 
 def element_text(html: Column, selector: str) -> Column:

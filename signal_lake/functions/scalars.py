@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from signal_lake.functions.space import is_blank, or_null, strip_space
+from signal_lake.functions.space import is_blank, let, or_null, strip_space
 
 # Item type of each connector's records.
 CONTENT_TYPES = {
@@ -70,86 +70,74 @@ def content_hash(source_id: Column, url: Column, title: Column, clean: Column) -
     return F.sha2(key, 256)
 
 
+_CLOCK = r"([T\s][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?(?:\s*[AaPp][Mm])?)"
+_ZONE = r"\s*(?![AaPp][Mm]\z)([+-][0-9]{2}:?[0-9]{2}|[A-Za-z]{1,5})\z"
+# Date forms, told by the start of the text, each with the place of year, month and day.
+_DATE_FORMS = {
+    r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?![0-9])": (1, 2, 3),
+    r"^([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9:])": (1, 2, 3),
+    r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})(?![0-9])": (3, 1, 2),
+    r"^([0-9]{1,2})(?:st|nd|rd|th)?[\s-]+([A-Za-z]{3,9})\.?,?[\s-]+([0-9]{4})(?![0-9])": (3, 2, 1),
+    r"^([A-Za-z]{3,9})\.?\s+([0-9]{1,2})(?:st|nd|rd|th)?,?\s+([0-9]{4})(?![0-9])": (3, 1, 2),
+}
+_TIME = r"^(?:T|[\s,]+)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,6})[0-9]*)?)?\s*([AaPp][Mm])?\z"
+_PACKED_TIME = r"^T([0-9]{2})([0-9]{2})([0-9]{2})?\z"
+
+
+def _month(text: Column) -> Column:
+    """Number of a month given as a number or a name."""
+    place = F.position(F.lower(F.substring(text, 1, 3)), F.lit(_MONTHS)) - 1
+    named = F.when((place >= 0) & (place % 3 == 0), (place / 3).cast("int") + 1)
+    return F.when(text.rlike("^[0-9]+$"), text.cast("int")).otherwise(named)
+
+
+def _iso_day(local: Column) -> Column:
+    """``yyyy-mm-dd`` of the date the text starts with; month first, unless only the other reading is a date."""
+    day = F.when(F.lit(False), F.lit(None).cast("string"))
+    for form, (y, m, d) in _DATE_FORMS.items():
+        year, month, date = (F.regexp_extract(local, form, place) for place in (y, m, d))
+        number = _month(month)
+        flip = (number > 12) & (F.lit((y, m, d) == (3, 1, 2)))
+        text = F.format_string(
+            "%s-%02d-%02d", year,
+            F.when(flip, date.try_cast("int")).otherwise(number), F.when(flip, number).otherwise(date.try_cast("int")),
+        )
+        day = day.when(local.rlike(form), F.when(number.isNotNull(), text))
+    return day
+
+
+def _iso_time(rest: Column) -> Column:
+    """``hh:mm:ss.ffffff`` of what follows the date; NULL if that is no time."""
+
+    def part(pattern: str, group: int) -> Column:
+        return F.coalesce(or_null(F.regexp_extract(rest, pattern, group)), F.lit("0"))
+
+    half = F.lower(F.regexp_extract(rest, _TIME, 5))
+    hour = part(_TIME, 1).cast("int")
+    hour = F.when(half == "", hour).when(half == "pm", hour % 12 + 12).otherwise(hour % 12)
+    clock = F.concat(
+        F.format_string("%02d:", hour), part(_TIME, 2), F.lit(":"), F.lpad(part(_TIME, 3), 2, "0"), F.lit("."), part(_TIME, 4)
+    )
+    packed = F.concat_ws(":", part(_PACKED_TIME, 1), part(_PACKED_TIME, 2), F.lpad(part(_PACKED_TIME, 3), 2, "0"))
+    return F.when(rest == "", F.lit("00:00:00")).when(rest.rlike(_TIME), clock).when(rest.rlike(_PACKED_TIME), packed)
+
+
 def parse_datetime(text: Column) -> Column:
     """Timestamp of a date in ISO, mail, US or month-name form; without a zone it is UTC.
 
     The parts are put together into one ISO string with its offset, so the result does not depend on
-    the session's time zone. A partial date is NULL.
+    the session's time zone. A zone name reads as UTC, a partial date is NULL.
     """
-    bare = F.regexp_replace(strip_space(text), r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
-    zone = r"\s*(?![AaPp][Mm]\z)([+-][0-9]{2}:?[0-9]{2}|[A-Za-z]{1,5})\z"
-    clock = r"([T\s][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?(?:\s*[AaPp][Mm])?)"
-    suffix = F.regexp_extract(bare, clock + zone, 2)
-    offset = F.when(
-        suffix.rlike("^[+-]"), F.concat(F.substring(suffix, 1, 3), F.lit(":"), F.right(suffix, F.lit(2)))
-    ).otherwise(F.lit("Z"))
-    local = F.regexp_replace(bare, clock + zone, "$1")
-
-    iso = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?![0-9])"
-    compact = r"^([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9:])"
-    numeric = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})(?![0-9])"
-    day_first = r"^([0-9]{1,2})(?:st|nd|rd|th)?[\s-]+([A-Za-z]{3,9})\.?,?[\s-]+([0-9]{4})(?![0-9])"
-    name_first = r"^([A-Za-z]{3,9})\.?\s+([0-9]{1,2})(?:st|nd|rd|th)?,?\s+([0-9]{4})(?![0-9])"
 
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(local, pattern, group)
-
-    def number(pattern: str, group: int) -> Column:
-        return part(pattern, group).try_cast("int")
-
-    def month(pattern: str, group: int) -> Column:
-        place = F.position(F.lower(F.substring(part(pattern, group), 1, 3)), F.lit(_MONTHS)) - 1
-        return F.when((place >= 0) & (place % 3 == 0), (place / 3).cast("int") + 1)
-
-    def date(year: Column, month_no: Column, day: Column) -> Column:
-        return F.format_string("%04d-%02d-%02d", year, month_no, day)
-
-    # Month first, unless only the other reading is a date.
-    swap = number(numeric, 1) > 12
-    day = (
-        F.when(local.rlike(iso), date(number(iso, 1), number(iso, 2), number(iso, 3)))
-        .when(local.rlike(compact), date(number(compact, 1), number(compact, 2), number(compact, 3)))
-        .when(
-            local.rlike(numeric),
-            date(
-                number(numeric, 3),
-                F.when(swap, number(numeric, 2)).otherwise(number(numeric, 1)),
-                F.when(swap, number(numeric, 1)).otherwise(number(numeric, 2)),
-            ),
-        )
-        .when(
-            local.rlike(day_first) & month(day_first, 2).isNotNull(),
-            date(number(day_first, 3), month(day_first, 2), number(day_first, 1)),
-        )
-        .when(
-            local.rlike(name_first) & month(name_first, 1).isNotNull(),
-            date(number(name_first, 3), month(name_first, 1), number(name_first, 2)),
-        )
-    )
-    rest = local
-    for pattern in (iso, compact, numeric, day_first, name_first):
-        rest = F.regexp_replace(rest, pattern, "")
-    time = r"^(?:T|[\s,]+)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,6})[0-9]*)?)?\s*([AaPp][Mm])?\z"
-    packed = r"^T([0-9]{2})([0-9]{2})([0-9]{2})?\z"
+    def with_zone(bare: Column) -> Column:
+        zone = F.regexp_extract(bare, _CLOCK + _ZONE, 2)
+        numeric = F.concat(F.substring(zone, 1, 3), F.lit(":"), F.right(zone, F.lit(2)))
+        offset = F.when(zone.rlike("^[+-]"), numeric).otherwise(F.lit("Z"))
+        local = F.regexp_replace(bare, _CLOCK + _ZONE, "$1")
+        return let(local, lambda moment: F.concat(_iso_day(moment), F.lit("T"), after_date(moment), offset))
 
-    def clock_part(pattern: str, group: int) -> Column:
-        return F.coalesce(or_null(F.regexp_extract(rest, pattern, group)), F.lit("0"))
+    def after_date(local: Column) -> Column:
+        return let(F.regexp_replace(local, "|".join(_DATE_FORMS), ""), _iso_time)
 
-    half = F.lower(F.regexp_extract(rest, time, 5))
-    hour = clock_part(time, 1).cast("int")
-    hour = F.when(half == "", hour).when(half == "pm", hour % 12 + 12).otherwise(hour % 12)
-    moment = (
-        F.when(rest == "", F.lit("00:00:00"))
-        .when(
-            rest.rlike(time),
-            F.concat(
-                F.format_string("%02d:", hour), clock_part(time, 2), F.lit(":"), F.lpad(clock_part(time, 3), 2, "0"),
-                F.lit("."), clock_part(time, 4),
-            ),
-        )
-        .when(
-            rest.rlike(packed),
-            F.concat_ws(":", clock_part(packed, 1), clock_part(packed, 2), F.lpad(clock_part(packed, 3), 2, "0")),
-        )
-    )
-    return F.when(day.isNotNull() & moment.isNotNull(), F.concat(day, F.lit("T"), moment, offset)).try_cast("timestamp")
+    bare = F.regexp_replace(strip_space(text), r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
+    return let(bare, with_zone).try_cast("timestamp")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 _SPACE = r"[\s\x1c-\x1f]"
@@ -20,3 +22,8 @@ def is_blank(text: Column) -> Column:
 def or_null(text: Column) -> Column:
     """Empty text as NULL."""
     return F.nullif(text, F.lit(""))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from signal_lake.functions import html as H, registry_fields as R, scalars as S, text as X
-from signal_lake.functions.space import or_null
 from signal_lake.operators import language as L, tables as T
-from signal_lake.operators.skew import first_n, keep_first
+from signal_lake.operators.dedup import mark_duplicates
+from signal_lake.operators.skew import first_n
 from signal_lake.plans import ingest as I, registry as G, run as P
 from signal_lake.plans.views import load
 from signal_lake.session import shared_dir, stage
@@ -167,9 +167,8 @@ def normalized_items(spark, sf_dir):
 @query
 def dedup_batch(spark, sf_dir):
     """Duplicate marks when nothing is screened out first."""
-    items = _raw(spark, sf_dir)
-    prints = stage(I.fingerprints(items), "fingerprints").withColumn("reason", F.lit(None).cast("string"))
-    return I.outcomes_of(prints).select("arrival", "inserted", "is_duplicate", "outcome")
+    items = I.normalized_items(_raw(spark, sf_dir)).select("arrival", "source_id", "external_content_id", "content_hash")
+    return mark_duplicates(stage(items, "fingerprints")).select("arrival", "inserted", "is_duplicate", "outcome")
 
 
 @query
@@ -585,5 +584,3 @@ def first_n_per_source(spark, sf_dir):
     kept = first_n(items, ["source_id"], [F.col("arrival")], limit, 7)
     return kept.select("source_id", "arrival")
 
-
-__all__ = ["QUERIES", "keep_first", "or_null"]

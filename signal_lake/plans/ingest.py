@@ -29,7 +29,7 @@ def fingerprints(items: DataFrame, order: str = "arrival") -> DataFrame:
     """The narrow rows dedup works on: order, key, ``content_hash``, and the ``reason`` of an early skip.
 
     The advert check reads the raw text and spares those rows the cleaning. The text is cleaned once;
-    length and fingerprint share the result.
+    length and fingerprint share the result. Skipped rows get no fingerprint.
     """
     advert = (F.col("fetch_method") == "telegram_api") & S.is_advert(F.col("raw_text"))
     cleaned = items.select(
@@ -42,7 +42,7 @@ def fingerprints(items: DataFrame, order: str = "arrival") -> DataFrame:
         .when(S.is_short(F.col("_clean")), "short")
     )
     prints = S.content_hash(F.col("source_id"), F.col("url"), F.col("title"), F.col("_clean"))
-    return cleaned.select(order, *KEY, prints.alias("content_hash"), reason.alias("reason"))
+    return cleaned.select(order, *KEY, F.when(reason.isNull(), prints).alias("content_hash"), reason.alias("reason"))
 
 
 def outcomes_of(

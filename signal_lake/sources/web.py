@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from signal_lake.functions.html import (
-    element_exists, element_text, head_title, meta_title, page_text, visible_markup,
+    element_exists, element_html, element_text, head_title, meta_title, page_text, visible_markup,
 )
 from signal_lake.functions.space import or_null
 from signal_lake.operators.skew import with_previous
@@ -23,11 +23,11 @@ def page_title(markup: Column, selector: str | None = None) -> Column:
 
 def page_content(markup: Column, selector: str | None = None) -> Column:
     """The selected element's text, else that of the first container there is, else that of the page."""
-    container = F.when(element_exists(markup, CONTAINERS[0]), element_text(markup, CONTAINERS[0]))
+    container = F.when(element_exists(markup, CONTAINERS[0]), element_html(markup, CONTAINERS[0]))
     for name in CONTAINERS[1:]:
-        container = container.when(element_exists(markup, name), element_text(markup, name))
+        container = container.when(element_exists(markup, name), element_html(markup, name))
     chosen = [or_null(element_text(markup, selector))] if selector else []
-    return F.coalesce(*chosen, or_null(container), page_text(markup))
+    return F.coalesce(*chosen, or_null(page_text(container)), page_text(markup))
 
 
 def web_items(pages: DataFrame, keep: list[str], content_selector: str | None = None,
