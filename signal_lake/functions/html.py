@@ -25,7 +25,8 @@ _NAMED = {name: chr(name2codepoint[name]) for name in [*_COMMON, *sorted(set(nam
 
 
 def _named_entities() -> Column:
-    return F.create_map(*[F.lit(part) for pair in _NAMED.items() for part in pair])
+    pairs = "\n".join(f"{name}\t{char}" for name, char in _NAMED.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
 
 
 def _char(code: Column) -> Column:
@@ -72,7 +73,7 @@ def _gapped(html: Column) -> Column:
 
 def strip_html(text: Column) -> Column:
     """Text nodes joined by a line break; text without ``<`` is left alone, entities included."""
-    nodes = F.regexp_replace(F.regexp_replace(_gapped(text), f"^{_GAP}+|{_GAP}+\\z", ""), f"{_GAP}+", "\n")
+    nodes = F.regexp_replace(F.btrim(_gapped(text), F.lit(_GAP)), f"{_GAP}+", "\n")
     return F.when(F.contains(text, F.lit("<")), nodes).otherwise(text)
 
 

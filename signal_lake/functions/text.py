@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from signal_lake.functions.html import strip_html
-from signal_lake.functions.space import or_null, strip_space
+from signal_lake.functions.space import let, or_null, strip_space
 
 # A line holding one of these is boilerplate and goes as a whole. Matching is a search
 # on the trimmed line, without regard to case.
@@ -25,23 +25,82 @@ BOILERPLATE_PATTERNS = [
     r"powered\s+by\s+\w+",
     r"click\s+here\s+to\s+read\s+more",
 ]
+# Text no match of any pattern can do without: all parts of at least one entry, in lower case. Plain
+# substring checks spare nearly every line the pattern search.
+BOILERPLATE_HINTS = [
+    ("the post",),
+    ("appeared first on",),
+    ("continue reading",),
+    ("→",),
+    ("›",),
+    ("»",),
+    ("↗",),
+    ("read ", "article"),
+    ("read ", "post"),
+    ("read ", "story"),
+    ("..",),
+    ("subscribe", "newsletter"),
+    ("sign", "free"),
+    ("unsubscribe", "time"),
+    ("this", "browser"),
+    ("powered", "by"),
+    ("click", "more"),
+]
 
 # (?iU): case and character classes by Unicode.
 _BOILERPLATE = "(?iU)" + "|".join(f"(?:{p})" for p in BOILERPLATE_PATTERNS)
-_LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-_BLANKS = r"[ \t\u00a0]+"
+_OTHER_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+# Any run of blanks but a single space.
+_BLANKS = r"[\t\u00a0][ \t\u00a0]*+| [ \t\u00a0]++"
+
+
+def _holds(text: Column, *parts: str) -> Column:
+    """Whether any of the parts is in ``text``: a byte search, far cheaper than a pattern."""
+    found = F.contains(text, F.lit(parts[0]))
+    for part in parts[1:]:
+        found = found | F.contains(text, F.lit(part))
+    return found
 
 
 def split_lines(text: Column) -> Column:
-    return F.split(text, _LINE_BREAK)
+    """Lines by every Unicode line break."""
+    rare = F.regexp_replace(text, rf"\r\n|[{_OTHER_BREAKS}]", "\n")
+    return F.split(F.when(_holds(text, *_OTHER_BREAKS), rare).otherwise(text), "\n")
+
+
+def _hinted(text: Column) -> Column:
+    """Whether ``text`` may hold boilerplate at all."""
+
+    def any_hint(folded: Column) -> Column:
+        found = F.lit(False)
+        for parts in BOILERPLATE_HINTS:
+            present = _holds(folded, parts[0])
+            for part in parts[1:]:
+                present = present & _holds(folded, part)
+            found = found | present
+        return found
+
+    # Upper case first: letters such as the long s fold to ASCII only that way.
+    return let(F.lower(F.upper(text)), any_hint)
+
+
+def _squeeze(text: Column) -> Column:
+    """One space for each run of blanks."""
+    return F.when(_holds(text, "  ", "\t", "\u00a0"), F.regexp_replace(text, _BLANKS, " ")).otherwise(text)
+
+
+def _close_up(text: Column) -> Column:
+    """At most one empty line in a row."""
+    return F.when(_holds(text, "\n\n\n"), F.regexp_replace(text, "\n{3,}", "\n\n")).otherwise(text)
 
 
 def is_boilerplate(line: Column) -> Column:
-    return strip_space(line).rlike(_BOILERPLATE)
+    return _hinted(line) & strip_space(line).rlike(_BOILERPLATE)
 
 
 def _kept_lines(text: Column) -> Column:
-    return F.filter(split_lines(text), lambda line: ~is_boilerplate(line))
+    lines = split_lines(text)
+    return F.when(_hinted(text), F.filter(lines, lambda line: ~is_boilerplate(line))).otherwise(lines)
 
 
 def drop_boilerplate(text: Column) -> Column:
@@ -54,9 +113,12 @@ def clean_text(raw: Column) -> Column:
 
     Runs of blanks become one blank, lines are trimmed, at most one empty line stays in a row.
     """
-    lines = _kept_lines(strip_html(F.coalesce(raw, F.lit(""))))
-    trimmed = F.transform(lines, lambda line: strip_space(F.regexp_replace(line, _BLANKS, " ")))
-    return strip_space(F.regexp_replace(F.array_join(trimmed, "\n"), "\n{3,}", "\n\n"))
+
+    def tidy(text: Column) -> Column:
+        trimmed = F.array_join(F.transform(_kept_lines(text), strip_space), "\n")
+        return strip_space(let(let(trimmed, _squeeze), _close_up))
+
+    return let(strip_html(F.coalesce(raw, F.lit(""))), tidy)
 
 
 def video_id(url: Column) -> Column:

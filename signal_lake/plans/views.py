@@ -6,7 +6,11 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ["documents", "pages", "conversations", "events", "customer", "part"]
+from signal_lake.session import spread
+
+TABLES = ["documents", "pages", "conversations", "events", "customer"]
+# Few bytes on disk, much work per row.
+TEXT_TABLES = ["documents", "pages"]
 
 VIEWS = {
     "raw_items": """
@@ -79,7 +83,8 @@ def view_sql(name: str) -> str:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a view over one."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table) if name in TEXT_TABLES else table
     used = [t for t in TABLES if re.search(rf"FROM {t}\b", VIEWS[name])]
     text = re.sub(r"FROM (\w+)", r"FROM {\1}", view_sql(name))
     return spark.sql(text, **{t: load(spark, sf_dir, t) for t in used})

@@ -9,6 +9,7 @@ from signal_lake.functions.html import (
 )
 from signal_lake.functions.space import or_null
 from signal_lake.operators.skew import with_previous
+from signal_lake.session import stage
 from signal_lake.sources.common import payload, to_raw_items
 
 # Containers tried in this order; the first that exists is used.
@@ -49,13 +50,13 @@ def web_items(pages: DataFrame, keep: list[str], content_selector: str | None =
 def page_changes(snapshots: DataFrame, block: Column) -> DataFrame:
     """State of each snapshot (url, snap, html) against the one before: new, changed or same.
 
-    Only fingerprints of the page text are shuffled; ``block`` groups snapshots in time so that a
-    page visited very often is not one task's work.
+    Page texts are computed once and leave a narrow staged table of fingerprints, and only those are
+    shuffled; ``block`` groups snapshots in time so that a page visited very often is not one task's work.
     """
     prints = snapshots.select(
         "url", "snap", F.sha2(page_content(visible_markup(F.col("html"))), 256).alias("fingerprint")
     )
-    walked = with_previous(prints, ["url"], "snap", "fingerprint", "previous", block)
+    walked = with_previous(stage(prints, "page_prints"), ["url"], "snap", "fingerprint", "previous", block)
     state = (
         F.when(F.col("previous").isNull(), "new")
         .when(F.col("previous") == F.col("fingerprint"), "same")
