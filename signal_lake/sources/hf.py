@@ -33,8 +33,9 @@ def wall_clock(text: Column) -> Column:
     """Timestamp of an ISO text read as UTC: an offset is discarded, the wall clock stays."""
     iso = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2}(?:[.,][0-9]+)?)?)?)?\z"
     local = F.regexp_replace(text, r"(?:Z+|[+-][0-9]{2}:?[0-9]{2})\z", "")
-    whole = F.when(local.rlike(r"[T ][0-9]{2}\z"), F.concat(local, F.lit(":00"))).otherwise(local)
-    moment = F.when(whole.rlike(r"^.{10}\z"), F.concat(whole, F.lit("T00:00:00"))).otherwise(whole)
+    time = F.substring(local, 12, 15)
+    missing = F.when(F.length(local) == 10, "00:00:00").when(F.length(local) == 13, ":00:00").when(F.length(local) == 16, ":00")
+    moment = F.concat(F.substring(local, 1, 10), F.lit("T"), time, F.coalesce(missing, F.lit("")))
     return F.when(local.rlike(iso), F.concat(moment, F.lit("Z")).try_cast("timestamp"))
 
 
