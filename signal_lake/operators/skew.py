@@ -26,21 +26,26 @@ def with_group_min(
 ) -> DataFrame:
     """Add the least ``order`` among the ``counted`` rows of each group, and whether ``stored`` has its key.
 
-    Groups are cut by a salt drawn from ``order``: the minimum is taken per (key, salt) with map-side
-    combine, then over the at most ``salts`` partial rows of a key, and goes back to the rows by
-    (key, salt). No task meets more than a ``salts``-th part of a group. Rows with a NULL key belong
-    to no group; they get a salt of their own and spread over all tasks.
+    The minimum is one aggregate per key, combined before the shuffle; next to it a bit mask tells the
+    salts (drawn from ``order``) a key's rows have. The result is repeated for just those salts and goes
+    back to the rows by (key, salt), so no task meets more than a ``salts``-th part of a group. Rows with
+    a NULL key belong to no group; they get a salt of their own and spread over all tasks.
     """
+    if not 1 <= salts <= 64:
+        raise ValueError("salts must be 1 to 64, the bits of the mask")
     keys = list(keys)
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     salted = rows.withColumn("_salt", F.when(keyed, _salt(F.col(order), salts)).otherwise(F.xxhash64(order)))
     value = F.col(order) if counted is None else F.when(counted, F.col(order))
-    partial = salted.where(keyed).groupBy(*keys, "_salt").agg(F.min(value).alias("_least"))
-    groups = partial.withColumn(name, F.min("_least").over(Window.partitionBy(*keys))).drop("_least")
+    mask = F.bit_or(F.expr("shiftleft(1L, CAST(_salt AS INT))"))
+    groups = salted.where(keyed).groupBy(*keys).agg(F.min(value).alias(name), mask.alias("_salts"))
     if stored is not None:
         known = stored.select(*keys).distinct().withColumn(stored_name, F.lit(True))
         groups = groups.join(known, keys, "left")
-    joined = salted.join(groups, [*keys, "_salt"], "left").drop("_salt")
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    used = F.filter(every, lambda i: F.getbit(F.col("_salts"), i) == 1)
+    fanned = groups.withColumn("_salt", F.explode(used)).drop("_salts")
+    joined = salted.join(fanned, [*keys, "_salt"], "left").drop("_salt")
     if stored is not None:
         joined = joined.withColumn(stored_name, F.coalesce(stored_name, F.lit(False)))
     return joined

@@ -49,7 +49,7 @@ def outcomes_of(
     prints: DataFrame, stored: DataFrame | None = None, order: str = "arrival", salts: int = SALTS
 ) -> DataFrame:
     """Outcome of every row of ``fingerprints``; skipped rows register neither key nor fingerprint."""
-    fine = prints.where(F.col("reason").isNull()).select(order, *KEY, "content_hash")
+    fine = prints.where(F.col("reason").isNull() & F.col("content_hash").isNotNull()).select(order, *KEY, "content_hash")
     marked = mark_duplicates(fine, order, stored, salts)
     broken = F.col("reason") == "no_source"
     turned_away = prints.where(F.col("reason").isNotNull()).select(

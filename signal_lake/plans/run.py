@@ -23,7 +23,7 @@ def write_sources(rows: DataFrame, root: str, version: int) -> None:
 
 def read_items(spark: SparkSession, root: str) -> DataFrame:
     """Stored items; the split by ``is_duplicate`` is a partition column, so a read of originals skips the copies."""
-    return spark.read.schema(CONTENT_ITEMS).parquet(f"{root}/content_items")
+    return spark.read.schema(CONTENT_ITEMS).parquet(f"{root}/content_items").select(*CONTENT_ITEMS.names)
 
 
 def append_items(rows: DataFrame, root: str) -> None:

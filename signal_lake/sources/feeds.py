@@ -82,7 +82,9 @@ def feed_entries(feeds: DataFrame, keep: list[str], xml: str = "xml") -> tuple[D
     parsed = feeds.select(*keep, xml, entries.alias("_entries"))
     whole = F.col(xml).rlike(r"</(?:[\w.-]+:)?(?:rss|feed|RDF)>\s*\z")
     failed = parsed.where((F.coalesce(F.size("_entries"), F.lit(0)) <= 0) & ~F.coalesce(whole, F.lit(False)))
-    opened = parsed.select(*keep, F.posexplode("_entries").alias("pos", "_entry")).select(*keep, "pos", "_entry.*")
+    # The outer form keeps Spark from parsing the feed a second time for a filter on empty lists.
+    opened = parsed.select(*keep, F.posexplode_outer("_entries").alias("pos", "_entry"))
+    opened = opened.where(F.col("pos").isNotNull()).select(*keep, "pos", "_entry.*")
     return opened, failed.select(*keep, F.lit("feed parse error").alias("message"))
 
 

@@ -1,0 +1,61 @@
+"""Every query against its SQL counterpart, and the shape of the main plans."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+from __spark_entry__ import oracle_sql, queries
+from signal_lake.plans import ingest as I
+from signal_lake.plans.views import load
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def duck(small_sf):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small_sf}/{table}.parquet'")
+    return connection
+
+
+def test_every_query_has_a_counterpart():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, duck, small_sf, name):
+    frame = queries()[name](spark, small_sf)
+    result = duck.execute(oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(frame.columns) == sorted(columns)
+    names = sorted(columns)
+    got = Counter(tuple(row[c] for c in names) for row in frame.collect())
+    places = [columns.index(c) for c in names]
+    want = Counter(tuple(row[p] for p in places) for row in result.fetchall())
+    assert got == want
+    assert want
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingest_stays_in_the_jvm_and_moves_narrow_rows(spark, small_sf):
+    items = load(spark, small_sf, "raw_items")
+    assert "Python" not in plan_of(I.fingerprints(items))
+    plan = plan_of(I.ingest(items))
+    assert "Python" not in plan and "raw_text" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_cleaning_is_computed_once(spark, small_sf):
+    text = I.fingerprints(load(spark, small_sf, "raw_items"))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("THE POST") == 2  # once for the text, once for its lines
+
+
+def test_scans_read_only_what_is_asked(spark, small_sf):
+    plan = plan_of(queries()["cascade_delete"](spark, small_sf))
+    assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
