@@ -136,7 +136,7 @@ scores AS (SELECT key, lang, sum(n * weight) AS score FROM asked_grams JOIN weig
 best AS (SELECT key, arg_max(lang, (score, lang)) AS detected FROM scores GROUP BY key)"""
 
 
-ORACLES["language_detect"] = f"""WITH labelled AS (SELECT lang, text FROM documents WHERE doc_id % 2 = 0),
+ORACLES["language_detect"] = f"""WITH labelled AS (SELECT lang, text FROM documents),
 asked AS (SELECT doc_id AS key, text FROM documents), {profile_ctes('labelled')}
 SELECT doc_id, lang, detected FROM documents LEFT JOIN best ON key = doc_id"""
 ORACLES["language_fill"] = f"""{CLEANED}, labelled AS (SELECT source_language AS lang, raw_text AS text FROM raw_items WHERE source_language IS NOT NULL AND raw_text IS NOT NULL),
@@ -260,7 +260,8 @@ FROM documents LEFT JOIN last ON id = doc_id"""
 ORACLES["cascade_delete"] = """SELECT doc_id AS arrival, source AS source_id FROM documents WHERE CAST(substr(source, 4) AS INT) % 2 = 1"""
 
 _OWNED = f"""{SEED}, owned AS (SELECT sha256(s.canonical_key) AS new_source_id, s.canonical_key, s.canonical_name, s.source_name, s.tier, s.wave, s.handle,
-  s.language AS new_language, s.fetch_method AS new_method, raw.* FROM ({view_sql('raw_items')}) raw JOIN seed s ON s.row_no = raw.arrival % 500 + 1)"""
+  s.language AS new_language, s.fetch_method AS new_method, raw.* FROM ({view_sql('raw_items')}) raw
+  JOIN fields f ON f.row_no = raw.arrival % 500 + 1 JOIN seed s ON s.canonical_key = f.canonical_key)"""
 ORACLES["items_enriched"] = f"""{_OWNED} SELECT arrival AS pos, new_source_id AS source_id, canonical_name, new_language AS source_language,
   new_method AS fetch_method, handle FROM owned"""
 ORACLES["ingest_wave1"] = f"""{_OWNED}, raw_wave AS (
@@ -308,9 +309,11 @@ SELECT channel_id, msg_id, CAST(msg_id AS VARCHAR) AS external_content_id, 'tg_m
 ORACLES["channel_cursor"] = f"{views('messages')} SELECT channel_id, max(msg_id) AS min_id FROM messages GROUP BY channel_id"
 ORACLES["transcripts"] = """SELECT CAST(conv_id AS VARCHAR) AS video_id, count(*) AS segment_count, string_agg(text, ' ' ORDER BY turn) AS raw_text,
   'https://www.youtube.com/watch?v=' || conv_id AS url, 'Channel' AS author_name FROM conversations GROUP BY conv_id"""
-ORACLES["transcript_pick"] = """WITH candidates AS (SELECT user_id AS video_id, CASE event_id % 5 WHEN 0 THEN 'ru' WHEN 1 THEN 'en' WHEN 2 THEN 'de' ELSE 'fr' END AS lang,
+ORACLES["transcript_pick"] = """WITH candidates AS (SELECT user_id AS video_id,
+  CASE WHEN user_id % 4 = 0 THEN CASE event_id % 2 WHEN 0 THEN 'de' ELSE 'fr' END
+    ELSE CASE event_id % 5 WHEN 0 THEN 'ru' WHEN 1 THEN 'en' WHEN 2 THEN 'de' ELSE 'fr' END END AS lang,
   event_type <> 'view' OR user_id % 3 = 0 AS is_generated FROM events),
-usable AS (SELECT DISTINCT * FROM candidates WHERE (video_id % 4 > 0 OR lang NOT IN ('ru', 'en')) AND (lang IN ('ru', 'en') OR NOT is_generated))
+usable AS (SELECT DISTINCT * FROM candidates WHERE lang IN ('ru', 'en') OR NOT is_generated)
 SELECT video_id, lang, is_generated FROM usable QUALIFY row_number() OVER (PARTITION BY video_id
   ORDER BY CASE lang WHEN 'ru' THEN 1 WHEN 'en' THEN 2 ELSE 3 END, is_generated, lang) = 1"""
 _BODY = f"regexp_replace(html, '{_HIDDEN}', '', 'g')"

@@ -64,7 +64,7 @@ def decode_entities(text: Column) -> Column:
         tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode_piece)
         return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
 
-    return F.when(F.contains(text, F.lit("&")), let(F.split(text, "&"), decoded)).otherwise(text)
+    return F.when(text.contains("&"), let(F.split(text, "&"), decoded)).otherwise(text)
 
 
 def _gapped(html: Column) -> Column:
@@ -74,7 +74,7 @@ def _gapped(html: Column) -> Column:
 def strip_html(text: Column) -> Column:
     """Text nodes joined by a line break; text without ``<`` is left alone, entities included."""
     nodes = F.regexp_replace(F.btrim(_gapped(text), F.lit(_GAP)), f"{_GAP}+", "\n")
-    return F.when(F.contains(text, F.lit("<")), nodes).otherwise(text)
+    return F.when(text.contains("<"), nodes).otherwise(text)
 
 
 def page_text(html: Column) -> Column:

@@ -67,7 +67,7 @@ def canonical_key(name: Column) -> Column:
 def url_and_handle(text: Column, platform: Column) -> Column:
     """Struct (url, handle) told from the shape of a mixed address field; the first case that fits counts."""
     v = strip_space(F.coalesce(text, F.lit("")))
-    dot, slash, space = F.contains(v, F.lit(".")), F.contains(v, F.lit("/")), F.contains(v, F.lit(" "))
+    dot, slash, space = v.contains("."), v.contains("/"), v.contains(" ")
     secure = F.concat(F.lit("https://"), v)
     search = F.lower(v).startswith("li search:") | F.lower(v).startswith("linkedin search:")
     forum = F.upper(platform) == "FORUM"
@@ -107,7 +107,7 @@ def platforms(primary: Column, secondary: Column) -> Column:
 def fetch_method(platform: Column, url_or_handle: Column) -> Column:
     p = F.upper(strip_space(F.coalesce(platform, F.lit(""))))
     u = F.lower(F.coalesce(url_or_handle, F.lit("")))
-    news_site = F.contains(u, F.lit("ycombinator")) | u.isin("launches", "news")
+    news_site = u.contains("ycombinator") | u.isin("launches", "news")
     forum = p.isin("FORUM", "COMM")
     return F.when(forum & news_site, F.lit("hn_api")).otherwise(
         F.coalesce(lookup(p, PLATFORM_METHODS), F.lit("web_scraper"))
@@ -120,7 +120,7 @@ def wave(method: Column) -> Column:
 
 def language(region: Column) -> Column:
     r = F.lower(F.coalesce(region, F.lit("")))
-    mixed = r.startswith("en+ru") | F.contains(r, F.lit("mixed"))
+    mixed = r.startswith("en+ru") | r.contains("mixed")
     return F.when(mixed, "mixed").when(r.startswith("en"), "en").when(r.startswith("ru"), "ru")
 
 

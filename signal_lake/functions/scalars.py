@@ -44,7 +44,7 @@ def is_advert(raw_text: Column) -> Column:
     text = F.coalesce(raw_text, F.lit(""))
     marked = F.lit(False)
     for marker in AD_MARKERS:
-        marked = marked | F.contains(text, F.lit(marker))
+        marked = marked | text.contains(marker)
     return marked
 
 

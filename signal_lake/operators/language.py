@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# The model keeps this many trigrams per language; with the number of ISO 639-1 languages (under 200)
-# it bounds the profile that scoring broadcasts at 200 * PROFILE_GRAMS rows.
+from signal_lake.session import stage
+
+# The model keeps this many trigrams for each of at most MAX_LANGUAGES languages (ISO 639-1 has fewer),
+# which bounds the table that scoring broadcasts.
 PROFILE_GRAMS = 500
+MAX_LANGUAGES = 200
 MIN_LENGTH = 20
 # Counts are scaled to this total per language before smoothing, so that all languages weigh alike.
 _SCALE = 1_000_000
@@ -18,7 +21,7 @@ def trigrams(text: Column) -> Column:
 
 
 def train_profile(labelled: DataFrame, text: str, lang: str, grams: int = PROFILE_GRAMS) -> DataFrame:
-    """Rows (gram, lang, weight): the most frequent trigrams of each language.
+    """Rows (gram, lang, weight): the most frequent trigrams of each language, as a small staged table.
 
     The weight is a rounded thousandfold log of the add-one smoothed count: sums of whole numbers
     do not depend on the order of rows.
@@ -34,17 +37,25 @@ def train_profile(labelled: DataFrame, text: str, lang: str, grams: int = PROFIL
         "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     ).where(F.col("place") <= grams)
     weight = F.round(1000 * F.log(1 + F.lit(_SCALE) * F.col("n") / F.col("total"))).cast("bigint")
-    return ranked.join(totals, "lang").select("gram", "lang", weight.alias("weight"))
+    return stage(ranked.join(totals, "lang").select("gram", "lang", weight.alias("weight")), "language_profile")
 
 
 def detect(rows: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
     """Rows (key, detected); texts under 20 characters or without a known trigram are left out.
 
-    Trigrams meet the broadcast profile inside the scan stage and are summed there, so the shuffle
-    carries one row per text and language, whatever the length of the text. ``profile`` must come
-    from ``train_profile``, which bounds its size.
+    Trigrams meet the broadcast profile, one row per trigram with a weight per language, inside the scan
+    stage and are summed there, so the shuffle carries one row per text and task, whatever the length of
+    the text. ``profile`` must come from ``train_profile``, which bounds its size.
     """
+    langs = sorted(row.lang for row in profile.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if not langs:
+        return rows.select(key, F.lit(None).cast("string").alias("detected")).limit(0)
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"the profile has more than {MAX_LANGUAGES} languages")
+    names = {lang: f"_w{i}" for i, lang in enumerate(langs)}
+    weights = [F.sum(F.when(F.col("lang") == lang, F.col("weight")).otherwise(0)).alias(name) for lang, name in names.items()]
+    table = profile.groupBy("gram").agg(*weights)
     grams = rows.where(F.length(text) >= MIN_LENGTH).select(key, F.explode(trigrams(F.col(text))).alias("gram"))
-    scores = grams.join(F.broadcast(profile), "gram").groupBy(key, "lang").agg(F.sum("weight").alias("score"))
-    best = F.max_by("lang", F.struct("score", "lang"))
-    return scores.groupBy(key).agg(best.alias("detected"))
+    scores = grams.join(F.broadcast(table), "gram").groupBy(key).agg(*[F.sum(name).alias(name) for name in names.values()])
+    ranked = F.array(*[F.struct(F.col(name).alias("score"), F.lit(lang).alias("lang")) for lang, name in names.items()])
+    return scores.select(key, F.array_max(ranked)["lang"].alias("detected"))

@@ -138,9 +138,9 @@ def video_ids(spark, sf_dir):
 
 @query
 def language_detect(spark, sf_dir):
-    """Detected language of each text, by a model trained on the labelled other half."""
+    """Detected language of each text, by a model trained on the labels of all."""
     docs = load(spark, sf_dir, "documents")
-    profile = L.train_profile(docs.where(F.col("doc_id") % 2 == 0), "text", "lang")
+    profile = L.train_profile(docs, "text", "lang")
     found = L.detect(docs.select("doc_id", "text"), "doc_id", "text", profile)
     return docs.select("doc_id", "lang").join(found, "doc_id", "left")
 
@@ -243,11 +243,14 @@ def _results_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.run_results(I.ingest(_raw(spark, sf_dir)), errors)
 
 
-def _registry_items(spark: SparkSession, sf_dir: str, sources: DataFrame) -> DataFrame:
-    """Documents as items of registry sources: document n belongs to the source of list row n % 500 + 1."""
-    ids = sources.select("row_no", "id")
+def _registry_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as items of registry sources: document n belongs to the source named by list row n % 500 + 1."""
+    keys = load(spark, sf_dir, "registry_raw").select(
+        "row_no", T.source_id(R.canonical_key(F.trim("source_name"))).alias("named_id")
+    )
     docs = _raw(spark, sf_dir).drop("fetch_method", "source_language").withColumn("row_no", F.col("arrival") % 500 + 1)
-    return docs.join(ids, "row_no").withColumn("source_id", F.col("id")).drop("id", "row_no").withColumnRenamed("arrival", "pos")
+    owned = docs.join(keys, "row_no").withColumn("source_id", F.col("named_id")).drop("named_id", "row_no")
+    return owned.withColumnRenamed("arrival", "pos")
 
 
 def _numbered_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +261,7 @@ def _numbered_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def items_enriched(spark, sf_dir):
     """Items with the columns that flow from their source."""
     sources = _numbered_sources(spark, sf_dir)
-    items = _registry_items(spark, sf_dir, sources)
+    items = _registry_items(spark, sf_dir)
     joined = I.with_source(
         items, sources, "pos", canonical_name="canonical_name", source_language="language", fetch_method="fetch_method",
         handle="handle",
@@ -270,7 +273,7 @@ def items_enriched(spark, sf_dir):
 def ingest_wave1(spark, sf_dir):
     """A run over the active sources of wave 1, in the order of the run."""
     sources = _numbered_sources(spark, sf_dir)
-    items = P.ordered_items(_registry_items(spark, sf_dir, sources), P.select_sources(sources, wave=1))
+    items = P.ordered_items(_registry_items(spark, sf_dir), P.select_sources(sources, wave=1))
     outcomes = I.ingest(items)
     return outcomes.select(
         F.col("arrival.canonical_key").alias("canonical_key"), F.col("arrival.pos").alias("pos"),
@@ -557,9 +560,10 @@ def transcript_pick(spark, sf_dir):
     """The transcript chosen of each video; the candidates are the events of a user."""
     candidates = load(spark, sf_dir, "events").selectExpr(
         "user_id AS video_id",
-        "CASE event_id % 5 WHEN 0 THEN 'ru' WHEN 1 THEN 'en' WHEN 2 THEN 'de' ELSE 'fr' END AS lang",
+        """CASE WHEN user_id % 4 = 0 THEN CASE event_id % 2 WHEN 0 THEN 'de' ELSE 'fr' END
+           ELSE CASE event_id % 5 WHEN 0 THEN 'ru' WHEN 1 THEN 'en' WHEN 2 THEN 'de' ELSE 'fr' END END AS lang""",
         "event_type <> 'view' OR user_id % 3 = 0 AS is_generated",
-    ).where("video_id % 4 > 0 OR lang NOT IN ('ru', 'en')")
+    )
     return transcript.pick_transcript(candidates, ["video_id"])
 
 

@@ -31,7 +31,7 @@ def pick_items(ranking: DataFrame, items: DataFrame, limit: int = DEFAULT_LIMIT,
     alive = ~F.coalesce("deleted", F.lit(False)) & ~F.coalesce("dead", F.lit(False))
     kept = placed.where(alive & (F.coalesce("score", F.lit(0)) >= min_score))
     start = TITLE_STARTS.get(feed)
-    return kept.where(F.startswith(F.coalesce("title", F.lit("")), F.lit(start))) if start else kept
+    return kept.where(F.coalesce("title", F.lit("")).startswith(start)) if start else kept
 
 
 def hn_items(items: DataFrame, keep: list[str]) -> DataFrame:

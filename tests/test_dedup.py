@@ -65,6 +65,13 @@ def test_first_n_and_keep_first(spark):
     assert sorted(map(tuple, keep_first(frame, ["k"], "i").collect())) == [("a", 0), ("b", 0)]
 
 
+def test_first_n_with_a_large_bound(spark):
+    frame = spark.range(6000).withColumn("k", F.when(F.col("id") < 5000, "hot").otherwise("cold"))
+    kept = first_n(frame, ["k"], [F.col("id").desc()], 1500, 1500)
+    got = {r.k: (r.n, r.low) for r in kept.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low")).collect()}
+    assert got == {"hot": (1500, 3500), "cold": (1000, 5000)}
+
+
 def test_first_n_cuts_before_the_shuffle(spark):
     frame = spark.range(1000).withColumn("k", F.when(F.col("id") < 900, "hot").otherwise("cold"))
     plan = first_n(frame, ["k"], [F.col("id")], 5, 5)._jdf.queryExecution().executedPlan().toString()

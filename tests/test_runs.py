@@ -132,6 +132,14 @@ def test_language_is_filled_in(spark):
     assert got == {i: "mixed" if i % 3 == 2 else "en" if i % 2 else "de" for i in range(12)} | {99: None}
 
 
+def test_language_of_unseen_texts(spark, small_sf):
+    docs = load(spark, small_sf, "documents").where(F.length("text") >= 100)
+    profile = L.train_profile(docs.where(F.col("doc_id") % 2 == 0), "text", "lang")
+    unseen = docs.where(F.col("doc_id") % 2 == 1)
+    found = unseen.join(L.detect(unseen, "doc_id", "text", profile), "doc_id", "left")
+    assert found.where(F.col("lang") == F.col("detected")).count() >= 0.98 * unseen.count()
+
+
 def test_upsert_keeps_state(spark):
     old = make_sources(spark, [("a", "rss", "en", 1, "u", None), ("b", "rss", "en", 1, "u", None)])
     old = old.withColumn("error_count", F.lit(4)).withColumn("is_active", F.lit(False))
