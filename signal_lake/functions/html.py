@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
@@ -88,29 +87,38 @@ def visible_markup(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
-def _opening_tag(selector: str) -> str:
-    """Pattern of the opening tag for ``tag``, ``.class`` or ``#id``; group 1 is the tag name."""
-    name = re.escape(selector.lstrip(".#"))
-    if selector.startswith("."):
-        attribute = rf"(?i:class)\s*=\s*(?:\"(?:[^\"]*\s)?{name}(?:\s[^\"]*)?\"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"
-    elif selector.startswith("#"):
-        attribute = rf"(?i:id)\s*=\s*(?:\"{name}\"|'{name}'|{name}(?=[\s>]))"
-    else:
-        return rf"(?s)<((?i:{name}))(?![A-Za-z0-9-])[^>]*>"
-    return rf"(?s)<([A-Za-z][A-Za-z0-9-]*)(?:\s[^>]*?)?\s{attribute}[^>]*>"
+def _opening_tag(selector: Column) -> Column:
+    """Pattern of the opening tag for ``tag``, ``.class`` or ``#id``; a constant folds to one pattern."""
+    name = F.regexp_replace(F.ltrim(selector, F.lit(".#")), r"([^A-Za-z0-9_])", r"\\$1")
 
+    def filled(template: str) -> Column:
+        return F.concat(*[part for text in template.split("NAME") for part in (F.lit(text), name)][:-1])
 
-def element_exists(html: Column, selector: str) -> Column:
-    return html.rlike(_opening_tag(selector))
+    start, end = r"(?s)<[A-Za-z][A-Za-z0-9-]*(?:\s[^>]*?)?\s", r"[^>]*>"
+    by_class = r"(?i:class)\s*=\s*(?:\"(?:[^\"]*\s)?NAME(?:\s[^\"]*)?\"|'(?:[^']*\s)?NAME(?:\s[^']*)?'|NAME(?=[\s>]))"
+    by_id = r"(?i:id)\s*=\s*(?:\"NAME\"|'NAME'|NAME(?=[\s>]))"
+    return (
+        F.when(selector.startswith("."), filled(start + by_class + end))
+        .when(selector.startswith("#"), filled(start + by_id + end))
+        .otherwise(filled(r"(?s)<(?i:NAME)(?![A-Za-z0-9-])[^>]*>"))
+    )
 
 
-def element_html(html: Column, selector: str) -> Column:
+def _selector(selector: Column | str) -> Column:
+    return F.lit(selector) if isinstance(selector, str) else selector
+
+
+def element_exists(html: Column, selector: Column | str) -> Column:
+    return F.regexp_like(html, _opening_tag(_selector(selector)))
+
+
+def element_html(html: Column, selector: Column | str) -> Column:
     """Inner markup of the first element the selector meets, nested elements of its name included.
 
     The markup after the opening tag is cut before each opening or closing tag of the same name; the
     pieces are counted up to the one that closes the element. NULL where there is no such element.
     """
-    opening = _opening_tag(selector)
+    opening = _opening_tag(_selector(selector))
 
     def inner(tag: Column) -> Column:
         after = F.get(F.split(html, opening, 2), F.lit(1))
@@ -128,10 +136,11 @@ def element_html(html: Column, selector: str) -> Column:
         start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
         return F.aggregate(cut, start, step, lambda state: state["taken"])
 
-    return let(F.lower(F.regexp_extract(html, opening, 1)), lambda tag: F.when(tag != "", inner(tag)))
+    name = F.lower(F.regexp_extract(F.regexp_substr(html, opening), "^<([A-Za-z][A-Za-z0-9-]*)", 1))
+    return let(name, lambda tag: F.when(tag != "", inner(tag)))
 
 
-def element_text(html: Column, selector: str) -> Column:
+def element_text(html: Column, selector: Column | str) -> Column:
     return page_text(element_html(html, selector))
 
 

@@ -27,7 +27,8 @@ def registry_fields(rows: DataFrame, order: str = "row_no") -> DataFrame:
     named = rows.select("*", *lacking).where(~is_blank(strip_space(F.col("source_name"))))
     name, platform = strip_space(F.col("source_name")), strip_space(F.col("primary_platform"))
     address = strip_space(F.col("url_or_handle"))
-    method = R.fetch_method(platform, address)
+    named = named.select("*", R.url_and_handle(address, platform).alias("_address"), R.fetch_method(platform, address).alias("_method"))
+    method = F.col("_method")
     tier = lenient_int(F.col("tier"))
     columns: dict[str, Column] = {
         "source_name": name,
@@ -38,8 +39,8 @@ def registry_fields(rows: DataFrame, order: str = "row_no") -> DataFrame:
         "language": R.language(strip_space(F.col("region"))),
         "primary_platform": R.or_default(F.col("primary_platform")),
         "platforms": R.platforms(platform, F.col("secondary_platforms")),
-        "url": R.url_and_handle(address, platform)["url"],
-        "handle": R.url_and_handle(address, platform)["handle"],
+        "url": F.col("_address.url"),
+        "handle": F.col("_address.handle"),
         "themes": R.themes(F.col("themes")),
         "signal_type": R.or_default(F.col("signal_type")),
         **{score: lenient_int(F.col(score)).try_cast("smallint") for score in SCORE_COLUMNS},

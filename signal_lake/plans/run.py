@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from signal_lake.operators import tables
 from signal_lake.plans import ingest as I
+from signal_lake.plans.limits import pick_landed
 from signal_lake.plans.registry import active_sources, processing_order
 from signal_lake.schemas import CONTENT_ITEMS, SOURCES
 from signal_lake.session import stage
@@ -67,6 +68,7 @@ def run_ingestion(
 ) -> DataFrame:
     """Ingest landed records (method -> table with source_id, pos and the connector's fields).
 
+    Each source's limits and selectors are applied to its records first.
     Returns the counters per source. Unless it is a dry run, inserted items are appended under
     ``root`` and the sources with their new state are written as ``version``. A source that cannot be fetched
     gives an error row and no items.
@@ -74,8 +76,8 @@ def run_ingestion(
     chosen = select_sources(sources, method, wave, key)
     errors = stage(source_errors(chosen), "source_errors")
     fit = chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti")
-    items = ordered_items(route(landed, ["source_id", "pos"]), fit)
-    items = items.drop("pos")
+    picked = {name: pick_landed(name, records, fit) for name, records in landed.items()}
+    items = ordered_items(route(picked, ["source_id", "pos"]), fit).drop("pos")
     stored = None
     if _exists(spark, f"{root}/content_items"):
         stored = read_items(spark, root).select("source_id", "external_content_id", "content_hash")

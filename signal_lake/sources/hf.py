@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from signal_lake.functions.space import or_null
+from signal_lake.operators.skew import first_n
 from signal_lake.sources.common import payload, to_raw_items
 
 DEFAULT_LIMIT = 20
@@ -39,6 +40,12 @@ def wall_clock(text: Column) -> Column:
     return F.when(local.rlike(iso), F.concat(moment, F.lit("Z")).try_cast("timestamp"))
 
 
+def pick_models(landed: DataFrame, keys: list[str], sort: str = "likes", limit: int = DEFAULT_LIMIT, json: str = "json") -> DataFrame:
+    """The first ``limit`` models of each listing by a number the record holds, greatest first; ties by ``pos``."""
+    value = F.get_json_object(json, f"$.{sort}").try_cast("double")
+    return first_n(landed, keys, [value.desc_nulls_last(), F.col("pos")], limit, limit)
+
+
 def paper_items(landed: DataFrame, keep: list[str], json: str = "json") -> DataFrame:
     entries = landed.withColumn("_e", F.from_json(json, PAPER)).where(F.col("_e").isNotNull())
     paper = F.col("_e.paper")

@@ -20,6 +20,14 @@ def feed_list(feed: Column) -> Column:
     return F.coalesce(lookup(feed, FEED_LISTS), feed)
 
 
+def wanted(feed: Column, min_score: Column) -> Column:
+    """Whether an item is alive, scored high enough and of the kind its feed asks for."""
+    alive = ~F.coalesce("deleted", F.lit(False)) & ~F.coalesce("dead", F.lit(False))
+    start = lookup(feed, TITLE_STARTS)
+    of_kind = start.isNull() | F.coalesce("title", F.lit("")).startswith(start)
+    return alive & (F.coalesce("score", F.lit(0)) >= min_score) & of_kind
+
+
 def pick_items(ranking: DataFrame, items: DataFrame, limit: int = DEFAULT_LIMIT, feed: str = "topstories",
                min_score: int = 0) -> DataFrame:
     """Items of the first ``limit`` places; the filters come after the cut.
@@ -28,10 +36,7 @@ def pick_items(ranking: DataFrame, items: DataFrame, limit: int = DEFAULT_LIMIT,
     cut is pushed into the scan of the ranking, so the join meets ``limit`` ids.
     """
     placed = ranking.where(F.col("feed_rank") <= limit).join(items, "id")
-    alive = ~F.coalesce("deleted", F.lit(False)) & ~F.coalesce("dead", F.lit(False))
-    kept = placed.where(alive & (F.coalesce("score", F.lit(0)) >= min_score))
-    start = TITLE_STARTS.get(feed)
-    return kept.where(F.coalesce("title", F.lit("")).startswith(start)) if start else kept
+    return placed.where(wanted(F.lit(feed), F.lit(min_score)))
 
 
 def hn_items(items: DataFrame, keep: list[str]) -> DataFrame:

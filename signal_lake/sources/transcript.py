@@ -63,8 +63,9 @@ def transcript_items(videos: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def source_videos(video_ids: Column, url: Column) -> Column:
-    """Ids a source names itself, else the one in its address, else an empty array."""
+def source_videos(video_ids: Column, url: Column, max_videos: Column | int = DEFAULT_LIMIT) -> Column:
+    """The first ids a source names itself, else the one in its address, else an empty array."""
     found = video_id(url)
     own = F.when(found.isNotNull(), F.array(found)).otherwise(F.array().cast("array<string>"))
-    return F.when(F.coalesce(F.size(video_ids), F.lit(0)) > 0, video_ids).otherwise(own)
+    ids = F.when(F.coalesce(F.size(video_ids), F.lit(0)) > 0, video_ids).otherwise(own)
+    return F.slice(ids, F.lit(1), max_videos if isinstance(max_videos, Column) else F.lit(max_videos))

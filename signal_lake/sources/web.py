@@ -16,24 +16,32 @@ from signal_lake.sources.common import payload, to_raw_items
 CONTAINERS = ["article", "main", ".content", ".post-content", "#content"]
 
 
-def page_title(markup: Column, selector: str | None = None) -> Column:
+Selector = Column | str | None
+
+
+def _chosen(markup: Column, selector: Selector) -> list[Column]:
+    return [] if selector is None else [or_null(element_text(markup, selector))]
+
+
+def page_title(markup: Column, selector: Selector = None) -> Column:
     """The selected element's text, else the shared title, else the title of the head."""
-    chosen = [or_null(element_text(markup, selector))] if selector else []
-    return F.coalesce(*chosen, meta_title(markup), head_title(markup))
+    return F.coalesce(*_chosen(markup, selector), meta_title(markup), head_title(markup))
 
 
-def page_content(markup: Column, selector: str | None = None) -> Column:
+def page_content(markup: Column, selector: Selector = None) -> Column:
     """The selected element's text, else that of the first container there is, else that of the page."""
     container = F.when(element_exists(markup, CONTAINERS[0]), element_html(markup, CONTAINERS[0]))
     for name in CONTAINERS[1:]:
         container = container.when(element_exists(markup, name), element_html(markup, name))
-    chosen = [or_null(element_text(markup, selector))] if selector else []
-    return F.coalesce(*chosen, or_null(page_text(container)), page_text(markup))
+    return F.coalesce(*_chosen(markup, selector), or_null(page_text(container)), page_text(markup))
 
 
-def web_items(pages: DataFrame, keep: list[str], content_selector: str | None = None,
-              title_selector: str | None = None) -> DataFrame:
-    """``pages``: url, html. Selectors are ``tag``, ``.class`` or ``#id``."""
+def web_items(pages: DataFrame, keep: list[str], content_selector: Selector = None, title_selector: Selector = None) -> DataFrame:
+    """``pages``: url, html. Selectors are ``tag``, ``.class`` or ``#id``; columns of these names hold one per row."""
+    if content_selector is None and "content_selector" in pages.columns:
+        content_selector = F.col("content_selector")
+    if title_selector is None and "title_selector" in pages.columns:
+        title_selector = F.col("title_selector")
     shown = pages.withColumn("_markup", visible_markup(F.col("html")))
     return to_raw_items(
         shown,

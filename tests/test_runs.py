@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from signal_lake.operators import language as L, tables as T
 from signal_lake.plans import ingest as I, registry as G, run as P
+from signal_lake.plans.limits import pick_landed
 from signal_lake.plans.views import load
 from signal_lake.schemas import CONTENT_ITEMS, SOURCE_SEED, SOURCES
+from signal_lake.sources.router import route
 from signal_lake.streaming import ingest_stream as ST
 
 
@@ -121,6 +123,29 @@ def test_run_against_a_store(spark, tmp_path):
     assert {r.canonical_key: r.saved for r in only.collect()} == {"late": 1}
 
 
+def test_sources_set_their_limits(spark):
+    sources = make_sources(spark, [("a", "telegram_api", "en", 1, None, "@a"), ("b", "telegram_api", "en", 1, None, "@b"), ("h", "hn_api", "en", 1, None, None), ("w", "web_scraper", "en", 1, None, None)])
+    config = F.create_map(F.lit("a"), F.lit('{"limit": 2, "min_id": 3}'), F.lit("b"), F.lit("{}"), F.lit("h"), F.lit('{"feed": "askhn", "limit": 3, "min_score": 2}'), F.lit("w"), F.lit('{"content_selector": ".x.y", "title_selector": "h1"}'))
+    sources = sources.withColumn("fetch_config", F.try_element_at(config, F.col("canonical_key")))
+    ids = {r.canonical_key: r.id for r in sources.collect()}
+    messages = spark.createDataFrame(
+        [(ids["a"], i, i, "" if i == 7 else f"m{i}") for i in range(1, 8)] + [(ids["b"], i, i, "t") for i in range(1, 61)] + [("other", 1, 1, "t")],
+        "source_id string, pos int, msg_id bigint, text string",
+    )
+    kept = pick_landed("telegram_api", messages, sources)
+    assert kept.columns == messages.columns
+    assert sorted(r.msg_id for r in kept.where(F.col("source_id") == ids["a"]).collect()) == [6]
+    assert kept.where(F.col("source_id") == ids["b"]).agg(F.min("msg_id"), F.count("*")).first() == (11, 50)
+    stories = spark.createDataFrame(
+        [(ids["h"], i, title, score) for i, (title, score) in enumerate([("Ask HN: a", 5), ("Ask HN: b", 1), ("Show HN: c", 9), ("Ask HN: late", 9)])],
+        "source_id string, pos int, title string, score int",
+    ).selectExpr("*", "false AS deleted", "CAST(NULL AS BOOLEAN) AS dead")
+    assert [r.title for r in pick_landed("hn_api", stories, sources).collect()] == ["Ask HN: a"]
+    pages = spark.createDataFrame([(ids["w"], 0, "u", "<title>t</title><h1>Head</h1><p class='x.y'>chosen</p><main>m</main>")], "source_id string, pos int, url string, html string")
+    items = route({"web_scraper": pick_landed("web_scraper", pages, sources)}, ["source_id", "pos"]).collect()
+    assert [(r.title, r.raw_text) for r in items] == [("Head", "chosen")]
+
+
 def test_language_is_filled_in(spark):
     words = {"en": "the cat and the dog are in the house with another animal ", "de": "der hund und die katze sind in dem haus mit einem tier "}
     items = spark.createDataFrame(

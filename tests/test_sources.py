@@ -111,6 +111,13 @@ def test_hf(spark):
     assert (rows[1].raw_text, rows[1].url) == ("", "https://huggingface.co/n")
 
 
+def test_models_in_the_order_asked_for(spark):
+    rows = [("s", i, json.dumps({"id": f"m{i}", "likes": i % 3, "downloads": -i})) for i in range(6)]
+    landed = spark.createDataFrame(rows, "source_id string, pos int, json string")
+    assert sorted(r.pos for r in hf.pick_models(landed, ["source_id"], limit=3).collect()) == [1, 2, 5]
+    assert sorted(r.pos for r in hf.pick_models(landed, ["source_id"], sort="downloads", limit=2).collect()) == [0, 1]
+
+
 def test_channel(spark):
     rows = [("c", i, "" if i == 9 else f"m{i}") for i in range(1, 11)] + [("d", 1, "x")]
     messages = spark.createDataFrame(rows, "channel_id string, msg_id bigint, text string")
@@ -132,6 +139,7 @@ def test_transcripts(spark):
     assert videos["v"].text == " ".join(f"w{i}" for i in range(2500)) and videos["v"].segment_count == 2500
     frame = spark.createDataFrame([(["a"], "https://youtu.be/abcDEF_-123"), ([], "https://youtu.be/abcDEF_-123"), (None, "x"), (None, None)], "v array<string>, u string")
     assert [r[0] for r in frame.select(transcript.source_videos(F.col("v"), F.col("u"))).collect()] == [["a"], ["abcDEF_-123"], [], []]
+    assert frame.select(transcript.source_videos(F.array(*map(F.lit, "abc")), F.col("u"), 2)).first()[0] == ["a", "b"]
 
 
 def test_web_cascades(spark):
