@@ -67,11 +67,14 @@ def test_clean_text_agrees_with_the_line_rules(run_one, parts, glue):
     assert run_one(X.clean_text, values) == [expected_clean(v) for v in values]
 
 
-def test_hints_cover_the_patterns():
+def test_hints_cover_the_patterns(run_one):
     examples = [line for line in LINES if any(re.search(p, line.strip(), re.I) for p in X.BOILERPLATE_PATTERNS)]
-    for line in examples:
-        folded = line.upper()
-        assert any(all(part in folded for part in parts) for parts in X.BOILERPLATE_HINTS), line
+    assert run_one(X._hinted, examples) == [True] * len(examples)
+
+
+def test_untidy_white_space_is_found(run_one):
+    values = [f"a{s}{t}b" for s in SPACES for t in ["", " ", "\n"]] + ["a\n\nb", "a\n\n\nb", " a", "a "]
+    assert run_one(X.clean_text, values) == [expected_clean(v) for v in values]
 
 
 def test_strip_html(run_one):
