@@ -12,18 +12,37 @@ from pyspark.sql import DataFrame, functions as F
 from signal_lake.operators.skew import SALTS, with_group_min
 
 KEY = ["source_id", "external_content_id"]
-OUTCOME_COLUMNS = ["outcome", "reason", "inserted", "is_duplicate"]
+# A batch of up to this many rows is sent to the store instead of the other way round. A row is a hash of
+# 64 characters, or a source id and an external id, at most an address of some kilobytes.
+SMALL_BATCH = 100_000
+
+
+def touched_rows(items: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(stored keys, stored hashes) a staged batch can meet at all.
+
+    For a small batch, whose rows are counted first, the store is filtered where it is read, against a
+    broadcast of the batch's own keys and hashes. A larger batch leaves the store as it is, and
+    ``mark_duplicates`` shuffles the distinct stored keys.
+    """
+    keys, hashes = stored.select(*KEY), stored.select("content_hash")
+    if items.count() > SMALL_BATCH:
+        return keys, hashes
+    return (
+        keys.join(F.broadcast(items.select(*KEY).distinct()), KEY, "left_semi"),
+        hashes.join(F.broadcast(items.select("content_hash").distinct()), "content_hash", "left_semi"),
+    )
 
 
 def mark_duplicates(
-    items: DataFrame, order: str = "arrival", stored: DataFrame | None = None, salts: int = SALTS
+    items: DataFrame, order: str = "arrival", stored: tuple[DataFrame, DataFrame] | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Add ``outcome`` (saved, duplicate, skipped), ``reason``, ``inserted`` and ``is_duplicate``.
 
     ``items`` needs ``order`` (unique), the two key columns and ``content_hash``, and should be a
-    narrow, staged table, for it is read more than once; ``stored`` needs the key columns and ``content_hash``.
+    narrow, staged table, for it is read more than once; ``stored`` holds the stored keys and the stored hashes.
     """
-    keyed = with_group_min(items, KEY, order, "_first_key", stored=stored, stored_name="_key_stored", salts=salts)
+    stored_keys, stored_hashes = stored or (None, None)
+    keyed = with_group_min(items, KEY, order, "_first_key", stored=stored_keys, stored_name="_key_stored", salts=salts)
     free = F.lit(True) if stored is None else ~F.col("_key_stored")
     keyed = keyed.withColumn(
         "inserted", F.col("external_content_id").isNull() | ((F.col("_first_key") == F.col(order)) & free)
@@ -31,7 +50,7 @@ def mark_duplicates(
 
     hashed = with_group_min(
         keyed, ["content_hash"], order, "_first_hash", counted=F.col("inserted"),
-        stored=stored, stored_name="_hash_stored", salts=salts,
+        stored=stored_hashes, stored_name="_hash_stored", salts=salts,
     )
     known = F.lit(False) if stored is None else F.col("_hash_stored")
     earlier = F.coalesce(F.col("_first_hash") < F.col(order), F.lit(False))

@@ -8,7 +8,7 @@ from signal_lake.functions import scalars as S
 from signal_lake.functions.space import is_blank, or_null
 from signal_lake.functions.text import clean_text
 from signal_lake.operators import language as L
-from signal_lake.operators.dedup import KEY, mark_duplicates
+from signal_lake.operators.dedup import KEY, mark_duplicates, touched_rows
 from signal_lake.operators.skew import SALTS, lookup_join
 from signal_lake.schemas import CONTENT_ITEMS, ENGAGEMENT_COLUMNS
 from signal_lake.session import stage
@@ -48,9 +48,12 @@ def fingerprints(items: DataFrame, order: str = "arrival") -> DataFrame:
 def outcomes_of(
     prints: DataFrame, stored: DataFrame | None = None, order: str = "arrival", salts: int = SALTS
 ) -> DataFrame:
-    """Outcome of every row of ``fingerprints``; skipped rows register neither key nor fingerprint."""
+    """Outcome of every row of staged ``fingerprints``; skipped rows register neither key nor fingerprint.
+
+    ``stored`` holds the key columns and ``content_hash`` of the stored rows.
+    """
     fine = prints.where(F.col("reason").isNull() & F.col("content_hash").isNotNull()).select(order, *KEY, "content_hash")
-    marked = mark_duplicates(fine, order, stored, salts)
+    marked = mark_duplicates(fine, order, None if stored is None else touched_rows(fine, stored), salts)
     broken = F.col("reason") == "no_source"
     turned_away = prints.where(F.col("reason").isNotNull()).select(
         order, *KEY, "content_hash",
