@@ -7,7 +7,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from oracles import ORACLES
+from signal_lake.plans.catalog import QUERIES
 from signal_lake.plans import ingest as I
 from signal_lake.plans.views import load
 
@@ -23,13 +24,13 @@ def duck(small_sf):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, small_sf, name):
-    frame = queries()[name](spark, small_sf)
-    result = duck.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, small_sf)
+    result = duck.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(frame.columns) == sorted(columns)
     names = sorted(columns)
@@ -57,5 +58,5 @@ def test_cleaning_is_computed_once(spark, small_sf):
 
 
 def test_scans_read_only_what_is_asked(spark, small_sf):
-    plan = plan_of(queries()["cascade_delete"](spark, small_sf))
+    plan = plan_of(QUERIES["cascade_delete"](spark, small_sf))
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
