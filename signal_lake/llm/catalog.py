@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import sentencepiece_codec
+from signal_lake.llm import language_id, sentencepiece_codec
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, by a model of the documents that aren't held out."""
+    return language_id.identify(load(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
