@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import language_id, sentencepiece_codec
+from signal_lake.llm import language_id, packing, sentencepiece_codec
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(load(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return packing.pack(load(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
