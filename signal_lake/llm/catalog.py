@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import language_id, packing, sentencepiece_codec
+from signal_lake.llm import language_id, minhash_dedup, packing, sentencepiece_codec
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,31 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     encoded = sentencepiece_codec.encode_documents(load(spark, sf_dir, "documents"), "doc_id", "text")
     return sentencepiece_codec.digests(encoded).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return minhash_dedup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_minhash_dedup"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+    FROM worded
+), sizes AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM shingled),
+flat AS (SELECT doc_id, unnest(shingles) AS shingle FROM shingled),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes k ON k.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(m.n) + any_value(k.n) - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM sizes UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.y) AS component_id, s.doc_id = min(r.y) AS kept
+FROM sizes s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
+"""
