@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import language_id, minhash_dedup, packing, sentencepiece_codec, sharding
+from signal_lake.llm import language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures, fertility measures and verdict of every document."""
+    return quality_rules.judge(load(spark, sf_dir, "documents"))
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; documents of equal text are linked."""
