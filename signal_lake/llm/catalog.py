@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding
+from signal_lake.llm import language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,22 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(encoded).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives it was written to."""
+    return warc.round_trip(load(spark, sf_dir, "pages"))
+
+
+ORACLES["op8_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT page_id, html, strlen(html) AS n, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+    CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM r
+"""
+
+
 @query
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
