@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding, warc
+from signal_lake.llm import html_extraction, language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,9 @@ links AS (
 SELECT s.doc_id, s.n AS n_shingles, min(r.y) AS component_id, s.doc_id = min(r.y) AS kept
 FROM sizes s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
 """
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract_pages(load(spark, sf_dir, "pages"))
