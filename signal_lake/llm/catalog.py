@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import html_extraction, language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, sharding, warc
+from signal_lake.llm import html_extraction, language_id, minhash_dedup, nearest_neighbours, packing, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found of every fiftieth vector."""
+    return nearest_neighbours.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, fertility measures and verdict of every document."""
