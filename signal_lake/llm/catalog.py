@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import html_extraction, language_id, minhash_dedup, nearest_neighbours, packing, quality_rules, sentencepiece_codec, sharding, warc
+from signal_lake.llm import chat_format, html_extraction, language_id, minhash_dedup, nearest_neighbours, packing, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,38 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the formatted conversations say when they are read back, and one that holds control strings."""
+    said = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    return chat_format.read_back(chat_format.format_turns(turns)).withColumnRenamed("conv", "conv_id")
+
+
+ORACLES["op1_chat_format"] = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), e AS (
+    SELECT *, row_number() OVER w AS n, lag(role, 1, '') OVER w AS before,
+        2 * len(text) - len(replace(text, '\', '')) - 9 * ((len(text) - len(replace(text, '### System:', ''))) // 11)
+        - 7 * ((len(text) - len(replace(text, '### User:', ''))) // 9) - 12 * ((len(text) - len(replace(text, '### Assistant:', ''))) // 14)
+        - 7 * ((len(text) - len(replace(text, '### Role:', ''))) // 9) - 7 * ((len(text) - len(replace(text, '### Text:', ''))) // 9)
+        - 5 * ((len(text) - len(replace(text, '</turn>', ''))) // 7)
+        + CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15 ELSE 10 + len(role) + 11 END + 8 AS chars
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+    CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars,
+    bool_and(CASE role WHEN 'system' THEN n = 1 WHEN 'user' THEN before IN ('', 'system', 'assistant') WHEN 'assistant' THEN before = 'user' ELSE false END)
+        AND max_by(role, n) = 'assistant' AS valid
+FROM e GROUP BY conv_id
+"""
+
+
 @query
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest found of every fiftieth vector."""
