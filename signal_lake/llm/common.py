@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from signal_lake.session import stage
 
@@ -30,7 +31,16 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def map_batches(rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def as_column(column: Column | str) -> Column:
+    return F.col(f"`{column}`") if isinstance(column, str) else column
+
+
+def schema_of(rows: DataFrame, kept: Sequence[str], fields: str) -> StructType:
+    """The fields of ``rows`` named by ``kept``, then those of the DDL ``fields``."""
+    return StructType([*(StructField(name, rows.schema[name].dataType) for name in kept), *StructType.fromDDL(fields).fields])
+
+
+def map_batches(rows: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """``function`` over every Arrow batch of ``rows``; empty batches are passed over."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from signal_lake.llm.common import map_batches, prepare
+from signal_lake.llm.common import as_column, map_batches, prepare, schema_of
 
 BITS = 16
 ALPHA = 0.5
@@ -51,11 +51,11 @@ def features(text: str, bits: int = BITS, block: int = 1 << 20) -> Iterator[np.n
             yield (mixed >> shift).astype(np.int64)
 
 
-def train(labelled: DataFrame, text_column: str, label_column: str, bits: int = BITS, alpha: float = ALPHA) -> tuple[list[str], np.ndarray]:
+def train(labelled: DataFrame, text_column: Column | str, label_column: Column | str, bits: int = BITS, alpha: float = ALPHA) -> tuple[list[str], np.ndarray]:
     """Languages in order and their log probabilities, one row each."""
     prepare(labelled.sparkSession)
     size = 1 << bits
-    rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).cast("string").alias("label"))
+    rows = labelled.select(as_column(text_column).alias("text"), as_column(label_column).cast("string").alias("label"))
     rows = rows.where("text IS NOT NULL AND label IS NOT NULL")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +86,8 @@ def train(labelled: DataFrame, text_column: str, label_column: str, bits: int =
     return [r["label"] for r in rows_], matrix
 
 
-def predict(docs: DataFrame, text_column: str, languages: list[str], matrix: np.ndarray, bits: int = BITS) -> DataFrame:
-    """``docs`` with lang_pred and score, the probability of that language by the model."""
+def predict(docs: DataFrame, text_column: Column | str, languages: list[str], matrix: np.ndarray, bits: int = BITS) -> DataFrame:
+    """``docs`` with lang_pred and score, the probability of that language by the model; columns of these names are replaced."""
     spark = docs.sparkSession
     prepare(spark)
     model = spark.sparkContext.broadcast((languages, matrix))
@@ -110,17 +110,16 @@ def predict(docs: DataFrame, text_column: str, languages: list[str], matrix: np.
         return pa.record_batch([*kept, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_column}`").alias("_scored"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return map_batches(rows, score, f"{schema}, lang_pred string, score double")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], as_column(text_column).alias("_scored"))
+    return map_batches(rows, score, schema_of(rows, kept, "lang_pred string, score double"))
 
 
-def held_out(id_column: str) -> Column:
+def held_out(id_column: Column | str) -> Column:
     """Rows that the model may not learn from: one part in three, by a hash of the id."""
-    return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 3 == 1, F.lit(False))
+    return F.coalesce(F.crc32(as_column(id_column).cast("string")) % 3 == 1, F.lit(False))
 
 
-def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang") -> DataFrame:
+def identify(docs: DataFrame, id_column: Column | str = "doc_id", text_column: Column | str = "text", label_column: Column | str = "lang") -> DataFrame:
     """``docs`` with held_out, lang_pred and score, by a model of the rows that are not held out."""
     marked = docs.withColumn("held_out", held_out(id_column))
     languages, matrix = train(marked.where(~F.col("held_out")), text_column, label_column)

@@ -27,9 +27,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from signal_lake.llm.common import components, map_batches, prepare, words_of
+from signal_lake.llm.common import as_column, components, map_batches, prepare, schema_of, words_of
 from signal_lake.session import stage
 
 WORDS = 5
@@ -183,12 +183,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * inter >= PERCENT * (total - inter)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row of ``docs``."""
+def near_duplicates(docs: DataFrame, id_column: Column | str = "doc_id", text_column: Column | str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row of ``docs``; the id may be of any type that has an order."""
     prepare(docs.sparkSession)
-    kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    prints = stage(map_batches(rows, _prints, f"id {kind}, n_shingles bigint, content binary, bands array<bigint>"), "prints")
+    rows = docs.select(as_column(id_column).alias("id"), as_column(text_column).alias("text"))
+    prints = stage(map_batches(rows, _prints, schema_of(rows, ["id"], "n_shingles bigint, content binary, bands array<bigint>")), "prints")
 
     found = prints.where("n_shingles > 0").groupBy("content").agg(
         F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
@@ -227,7 +226,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     named = labelled.join(least, "component").select("content", "component_id")
     result = prints.select("id", "n_shingles", "content").join(named, "content", "left")
     alone = F.col("n_shingles") == 0
-    return result.select(
-        F.col("id").alias(id_column), "n_shingles",
-        F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col(id_column) == F.col("component_id"), F.col("component_id").isNull()))
+    result = result.withColumn("component_id", F.when(alone, F.col("id")).otherwise(F.col("component_id")))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
+    return result.select(F.col("id").alias(id_column if isinstance(id_column, str) else "id"), "n_shingles", "component_id", kept.alias("kept"))

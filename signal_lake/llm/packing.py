@@ -21,9 +21,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from signal_lake.llm.common import blocks_for, map_batches, prepare, with_rank
+from signal_lake.llm.common import as_column, blocks_for, map_batches, prepare, schema_of, with_rank
 from signal_lake.session import stage
 
 SIZE = 1024
@@ -81,7 +81,7 @@ def tokens(path: str) -> Tokens:
     return Tokens(path)
 
 
-def cut(docs: DataFrame, id_column: str, text_column: str, tokenizer: str | None, size: int, keep_ids: bool) -> DataFrame:
+def cut(docs: DataFrame, id_column: Column | str, text_column: Column | str, tokenizer: str | None, size: int, keep_ids: bool) -> DataFrame:
     """A row per piece: (id, start, length, ids_crc32, doc_tokens), and its ids if asked for."""
     path = tokenizer or default_tokenizer()
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids]
@@ -100,9 +100,9 @@ def cut(docs: DataFrame, id_column: str, text_column: str, tokenizer: str | None
         lists = [pa.array(ids, pa.list_(pa.int32()))] * keep_ids
         return pa.record_batch([batch.column(0).take(pa.array(owner)), *numbers, *lists], names)
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * keep_ids
-    return map_batches(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), pieces, schema)
+    rows = docs.select(as_column(id_column).alias("id"), as_column(text_column).alias("text"))
+    fields = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * keep_ids
+    return map_batches(rows, pieces, schema_of(rows, ["id"], fields))
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:

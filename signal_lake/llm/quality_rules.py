@@ -20,9 +20,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from signal_lake.llm.common import map_batches, prepare, words_of
+from signal_lake.llm.common import as_column, map_batches, prepare, schema_of, words_of
 
 MIN_WORDS, REPEATED_PERCENT = 50, 50
 BLANKS = " \t\n\x0b\x0c\r"
@@ -144,7 +144,7 @@ _SCHEMA = (
 )
 
 
-def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str | None = "lang",
+def judge(docs: DataFrame, id_column: str = "doc_id", text_column: Column | str = "text", language_column: Column | str | None = "lang",
           piece_model: str | None = None, byte_ranks: str | None = None, bands: dict[tuple[str, str], Band] = BANDS) -> DataFrame:
     """A row per document: its id, the base measures, the fertility measures, the verdict and the rule that broke it."""
     prepare(docs.sparkSession)
@@ -189,7 +189,6 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         return pa.record_batch([batch.column(0), *columns], ["id", *(f.split()[0] for f in _SCHEMA.split(", "))])
 
-    language = F.col(language_column).cast("string") if language_column else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), language.alias("language"))
-    kind = docs.schema[id_column].dataType.simpleString()
-    return map_batches(rows, measure, f"id {kind}, {_SCHEMA}").withColumnRenamed("id", id_column)
+    language = F.lit(None) if language_column is None else as_column(language_column)
+    rows = docs.select(F.col(id_column).alias("id"), as_column(text_column).alias("text"), language.cast("string").alias("language"))
+    return map_batches(rows, measure, schema_of(rows, ["id"], _SCHEMA)).withColumnRenamed("id", id_column)

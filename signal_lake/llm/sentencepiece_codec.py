@@ -22,9 +22,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
-from signal_lake.llm.common import map_batches, prepare
+from signal_lake.llm.common import as_column, map_batches, prepare, schema_of
 
 MARK = "▁"
 #: Chunks of more characters use the heap; the side-by-side agenda is quadratic in the length.
@@ -277,7 +277,7 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode_documents(docs: DataFrame, id_column: str, text_column: str, model: str | None = None, check_rows: int = 1) -> DataFrame:
+def encode_documents(docs: DataFrame, id_column: Column | str, text_column: Column | str, model: str | None = None, check_rows: int = 1) -> DataFrame:
     """(id, ids, decoded): ids of each text with begin and end, and the text they decode to.
 
     ``check_rows`` texts of every Arrow batch are also encoded and decoded by the library; a difference ends the job.
@@ -298,9 +298,8 @@ def encode_documents(docs: DataFrame, id_column: str, text_column: str, model: s
                 raise ValueError(f"ids or text differ from the library's for row {batch.column(0)[i]}")
         return pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return map_batches(rows, encode, f"id {kind}, ids array<int>, decoded string")
+    rows = docs.select(as_column(id_column).alias("id"), as_column(text_column).alias("text"))
+    return map_batches(rows, encode, schema_of(rows, ["id"], "ids array<int>, decoded string"))
 
 
 def digests(encoded: DataFrame) -> DataFrame:
@@ -315,5 +314,4 @@ def digests(encoded: DataFrame) -> DataFrame:
         texts = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in batch.column(2).to_pylist()]
         return pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids), pa.array(texts)], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kind = encoded.schema["id"].dataType.simpleString()
-    return map_batches(encoded, digest, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_batches(encoded, digest, schema_of(encoded, ["id"], "n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
