@@ -47,7 +47,7 @@ INLINE = {
 }
 BLOCK = {
     "address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4",
-    "h5", "h6", "hgroup", "hr", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
+    "h5", "h6", "header", "hgroup", "hr", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 MARKS = {"article", "main"}
 # Elements, roles and parts of class names that say what is no article.
@@ -64,12 +64,16 @@ OWN = {"header", "footer", "teaser"}
 KNOWN = INLINE | BLOCK | VOID | REFUSED
 
 
+#: Tags of prose; what they cost where no labelled page has them.
+PROSE = ("p", "br", "h1", "h2", "h3", "h4", "h5", "h6", "b", "i", "em", "strong", "blockquote", "header")
+
+
 @dataclass
 class Weights:
     """Scores of a word by the block it stands in, and costs of a tag by its name."""
 
     words: dict[str, float] = field(default_factory=dict)
-    tags: dict[str, float] = field(default_factory=dict)
+    tags: dict[str, float] = field(default_factory=lambda: dict.fromkeys(PROSE, 0.1))
     word: float = 1.0
     tag: float = 1.0
     refused: float = 3.0

@@ -124,7 +124,12 @@ def _by_dimension(table: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarra
 
 
 def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Cosine of each row with the query, each computed alike wherever the row stands."""
+    """Cosine of each row with the query, each computed alike wherever the row stands.
+
+    Powers of two bring the greatest component near 1 first, which changes no digit but keeps squares in range.
+    """
+    query = np.ldexp(query, -np.frexp(np.abs(query).max())[1])
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
     dots = (rows * query).sum(axis=1)
     return dots / (np.sqrt((query * query).sum()) * np.sqrt((rows * rows).sum(axis=1)))
 

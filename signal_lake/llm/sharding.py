@@ -5,7 +5,8 @@ round a join tells every link's members how many of them each shard holds, and e
 wishes from shard to shard are counted (at most ``shards`` squared numbers, the only thing the driver sees) and cut to
 quotas, so that no shard ends above its capacity; moves are ranked within their pair of shards, and those within the
 quota happen. Members that have no link fill the shards up at the end, so that all have the same number of rows, give or take one
-(law ``rows``). A link larger than a shard is first cut into parts that fill one each.
+(law ``rows``). A link larger than a shard is first
+cut into parts that fill one each.
 
 Results for odd input: a NULL text counts as an empty one (size 1, checksum 0). NULL links count as none. Rows with an equal id
 are rows of their own. An empty table gives an empty result. Columns other than those named are not read.
@@ -91,15 +92,32 @@ def _parts(links: DataFrame, capacity: int, blocks: int) -> DataFrame:
     return links.join(large, "link", "left_anti").select("row", "link").union(cut)
 
 
+def _first_labels(links: DataFrame, capacity: np.ndarray) -> DataFrame:
+    """(row, link, shard): links of over half a shard, fewer than twice the shards, have one each; others start where a hash says."""
+    shards, half = len(capacity), int(capacity.max()) / 2
+    sizes = links.groupBy("link").agg(F.count("*").alias("n")).where(F.col("n") > half)
+    large = sizes.orderBy(F.desc("n"), "link").limit(4 * shards).collect()
+    room, places = capacity.copy(), []
+    for r in large:
+        shard = int(np.argmax(room))
+        room[shard] -= r["n"]
+        places.append((r["link"], shard))
+    open_ = [s for s in range(shards) if room[s] >= half] or list(range(shards))
+    hashed = F.array(*map(F.lit, open_))[F.pmod(F.xxhash64("row", F.lit(shards)), F.lit(len(open_))).cast("int")]
+    if not places:
+        return links.select("row", "link", hashed.alias("shard"))
+    table = links.sparkSession.createDataFrame(places, "link bigint, large int")
+    return links.join(F.broadcast(table), "link", "left").select("row", "link", F.coalesce("large", hashed).alias("shard"))
+
+
 def shard_rows(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """(row, shard, slot) of all ``rows`` (row), linked by ``links`` (row, link); sizes differ by one at most."""
     spark = rows.sparkSession
     total = rows.count()
     capacity = np.array([total // shards + (s < total % shards) for s in range(shards)])
     blocks = blocks_for(total)
-    start = F.pmod(F.xxhash64("row", F.lit(shards)), F.lit(shards)).cast("int")
     links = _parts(links.where("link IS NOT NULL"), max(1, int(capacity.min())), blocks)
-    linked = stage(links.select("row", "link", start.alias("shard")), "members")
+    linked = stage(_first_labels(links, capacity), "members")
     placed = propagate(linked, capacity, rounds).select("row", "shard").distinct()
     placed = stage(with_rank(placed, ["shard"], "row", "rank", blocks), "placed")
 
