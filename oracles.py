@@ -150,7 +150,11 @@ ORACLES["normalized_items"] = f"""{HASHED} SELECT arrival, source_id, external_c
 ORACLES["dedup_batch"] = f"""{HASHED},
 {outcome('ingested', 'hashed', screened=False)} SELECT arrival, inserted, is_duplicate, outcome FROM ingested"""
 ORACLES["ingest_batch"] = f"{BATCH} SELECT {_OUTCOME} FROM ingested"
-ORACLES["ingest_stream"] = ORACLES["ingest_batch"]
+_LATE = "(SELECT count(*) * 4 // 10 FROM documents)"
+ORACLES["ingest_stream"] = f"""{HASHED}, early_part AS (SELECT * FROM screened WHERE arrival >= {_LATE}),
+late_part AS (SELECT * FROM screened WHERE arrival < {_LATE}), {outcome('first_run', 'early_part')},
+stored AS (SELECT source_id, external_content_id, content_hash FROM first_run WHERE inserted), {outcome('ingested', 'late_part', 'stored')}
+SELECT {_OUTCOME} FROM first_run UNION ALL SELECT {_OUTCOME} FROM ingested"""
 _CUT = "(SELECT count(*) * 6 // 10 FROM documents)"
 ORACLES["ingest_incremental"] = f"""{HASHED}, early_part AS (SELECT * FROM screened WHERE arrival < {_CUT}),
 late_part AS (SELECT * FROM screened WHERE arrival >= {_CUT}), {outcome('first_run', 'early_part')},

@@ -8,22 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from signal_lake.operators.dedup import KEY
 from signal_lake.plans.ingest import fingerprints, outcomes_of
-from signal_lake.session import stage
 
 
 def land_fingerprints(
     spark: SparkSession, landing: str, schema: T.StructType, root: str,
     to_items: Callable[[DataFrame], DataFrame] = lambda rows: rows, files_per_batch: int = 1000,
-    glob: str = "*.parquet",
 ) -> None:
     """Stream the files not seen yet through cleaning into ``root/fingerprints``, each exactly once.
 
-    ``to_items`` turns landed rows into items with ``arrival``; the stream ends when the folder is drained.
+    ``landing`` is a folder of files, or one file. ``to_items`` turns landed rows into items with ``arrival``; the stream ends when all is
+    drained.
     """
     landed = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", glob)
         .parquet(landing)
     )
     query = (
@@ -37,27 +35,34 @@ def land_fingerprints(
     query.awaitTermination()
 
 
-def dedup_landed(spark: SparkSession, root: str, arrival_type: str = "bigint") -> DataFrame:
-    """Mark the streamed rows that have no outcome yet and append their outcomes.
+def dedup_landed(spark: SparkSession, root: str) -> DataFrame:
+    """Mark every streamed row that has no outcome yet and write the outcomes of this drain.
 
-    Later files must carry later ``arrival`` values, as a landing folder filled in order does; then
-    the result is that of one batch over everything.
+    A drain takes the fingerprint files no earlier drain took, whatever ``arrival`` their rows have, so no row is passed
+    over. Rows of one drain are marked in the order of ``arrival``, and against all rows that earlier drains stored: a row that
+    comes late counts as later than those. The list of files taken is written last; a drain that breaks off before
+    is done again under the same number.
     """
     prints = spark.read.parquet(f"{root}/fingerprints")
-    path = f"{root}/outcomes"
-    known = _read_or_none(spark, path)
-    stored = None
-    if known is not None:
-        mark = known.agg(F.max("arrival")).first()[0]
-        prints = prints.where(F.col("arrival") > F.lit(mark).cast(arrival_type))
-        stored = known.where("inserted").select(*KEY, "content_hash")
-    fresh = stage(outcomes_of(prints, stored), "stream_outcomes")
-    fresh.write.mode("append").parquet(path)
-    return fresh
+    done = _read_or_none(spark, f"{root}/drained")
+    # One name per fingerprint file, as the driver lists them for any read of the folder.
+    taken = set() if done is None else {row.file for row in done.select("file").collect()}
+    fresh = [file for file in prints.inputFiles() if file not in taken]
+    number = 0 if done is None else done.agg(F.max("drain")).first()[0] + 1
+    rows = spark.read.schema(prints.schema).parquet(*fresh) if fresh else prints.limit(0)
+    stored = None if done is None else all_outcomes(spark, root).where("inserted").select(*KEY, "content_hash")
+    marked = outcomes_of(rows, stored)
+    path = f"{root}/outcomes/drain={number}"
+    marked.write.mode("overwrite").parquet(path)
+    names = spark.createDataFrame([(file,) for file in fresh], "file string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{root}/drained/drain={number}")
+    return spark.read.schema(marked.schema).parquet(path)
 
 
 def all_outcomes(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/outcomes")
+    """Outcomes of all complete drains."""
+    complete = spark.read.parquet(f"{root}/drained").select("drain").distinct()
+    return spark.read.parquet(f"{root}/outcomes").join(complete, "drain", "left_semi").drop("drain")
 
 
 def distinct_within(items: DataFrame, time: str, delay: str) -> DataFrame:
