@@ -125,20 +125,19 @@ def profile_ctes(labelled: str) -> str:
     """Trigram weights of ``labelled`` (lang, text), and of ``asked`` (key, text) the best language."""
 
     def grams(cols: str, rows: str) -> str:
-        return f"""SELECT {cols}, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
+        return f"""SELECT {cols}, unnest(list_transform(range(1, len(c) - 1), lambda i: (unicode(c[i]) * 7919 + unicode(c[i + 1]) * 127 + unicode(c[i + 2])) % 65536)) AS gram
     FROM (SELECT {cols}, string_split(lower(text), '') AS c FROM {rows} WHERE text <> '')"""
 
     return f"""counts AS (SELECT lang, gram, count(*) AS n FROM ({grams('lang', labelled)}) GROUP BY lang, gram),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS place, sum(n) OVER (PARTITION BY lang) AS total FROM counts),
-weights AS (SELECT gram, lang, CAST(round(1000 * ln(1 + 1000000 * n / total)) AS BIGINT) AS weight FROM ranked WHERE place <= 500),
+weights AS (SELECT gram, lang, CAST(round(1000 * ln(1 + 1000000 * n / sum(n) OVER (PARTITION BY lang))) AS BIGINT) AS weight FROM counts),
 asked_grams AS (SELECT key, gram, count(*) AS n FROM ({grams('key', '(SELECT * FROM asked WHERE length(text) >= 20)')}) GROUP BY key, gram),
 scores AS (SELECT key, lang, sum(n * weight) AS score FROM asked_grams JOIN weights USING (gram) GROUP BY key, lang),
 best AS (SELECT key, arg_max(lang, (score, lang)) AS detected FROM scores GROUP BY key)"""
 
 
-ORACLES["language_detect"] = f"""WITH labelled AS (SELECT lang, text FROM documents),
+ORACLES["language_detect"] = f"""WITH labelled AS (SELECT lang, text FROM documents WHERE doc_id % 2 = 0),
 asked AS (SELECT doc_id AS key, text FROM documents), {profile_ctes('labelled')}
-SELECT doc_id, lang, detected FROM documents LEFT JOIN best ON key = doc_id"""
+SELECT doc_id, lang, doc_id % 2 = 1 AS held_out, detected FROM documents LEFT JOIN best ON key = doc_id"""
 ORACLES["language_fill"] = f"""{CLEANED}, labelled AS (SELECT source_language AS lang, raw_text AS text FROM raw_items WHERE source_language IS NOT NULL AND raw_text IS NOT NULL),
 asked AS (SELECT arrival AS key, clean AS text FROM cleaned WHERE source_language IS NULL), {profile_ctes('labelled')}
 SELECT arrival, source_language, coalesce(source_language, detected) AS language FROM cleaned LEFT JOIN best ON key = arrival"""
@@ -258,14 +257,14 @@ ORACLES["upsert_sources"] = f"""{SEED} SELECT sha256(canonical_key) AS id, canon
   CASE WHEN row_no <= 2 * {_THIRD} THEN {_T0} ELSE {_T1} END AS created_at, CASE WHEN row_no > {_THIRD} THEN {_T1} ELSE {_T0} END AS updated_at FROM seed"""
 ORACLES["source_state"] = f"""{ERRORS} SELECT canonical_key, CASE WHEN message IS NULL THEN 0 ELSE 1 END AS error_count, message AS last_error_msg,
   CASE WHEN message IS NOT NULL THEN {_T1} END AS last_error_at, CASE WHEN message IS NULL THEN {_T1} END AS last_checked_at, {_T1} AS updated_at FROM errors"""
-ORACLES["status_update"] = """WITH last AS (SELECT event_id % 400 AS id, max(event_id) AS seq FROM events GROUP BY 1)
+ORACLES["status_update"] = """WITH last AS (SELECT event_id % (SELECT count(*) FROM documents) AS id, max(event_id) AS seq FROM events GROUP BY 1)
 SELECT doc_id AS id, CASE WHEN seq IS NULL THEN 'deduplicated' WHEN seq % 3 = 0 THEN 'candidate' ELSE 'selected' END AS status
 FROM documents LEFT JOIN last ON id = doc_id"""
 ORACLES["cascade_delete"] = """SELECT doc_id AS arrival, source AS source_id FROM documents WHERE CAST(substr(source, 4) AS INT) % 2 = 1"""
 
-_OWNED = f"""{SEED}, owned AS (SELECT sha256(s.canonical_key) AS new_source_id, s.canonical_key, s.canonical_name, s.source_name, s.tier, s.wave, s.handle,
+_OWNED = f"""{SEED}, owned AS (SELECT sha256(f.canonical_key) AS new_source_id, s.canonical_key, s.canonical_name, s.source_name, s.tier, s.wave, s.handle,
   s.language AS new_language, s.fetch_method AS new_method, raw.* FROM ({view_sql('raw_items')}) raw
-  JOIN fields f ON f.row_no = raw.arrival % 500 + 1 JOIN seed s ON s.canonical_key = f.canonical_key)"""
+  JOIN fields f ON f.row_no = raw.arrival % (SELECT count(*) FROM customer) LEFT JOIN seed s ON s.canonical_key = f.canonical_key)"""
 ORACLES["items_enriched"] = f"""{_OWNED} SELECT arrival AS pos, new_source_id AS source_id, canonical_name, new_language AS source_language,
   new_method AS fetch_method, handle FROM owned"""
 ORACLES["ingest_wave1"] = f"""{_OWNED}, raw_wave AS (

@@ -12,24 +12,18 @@ from pyspark.sql import DataFrame, functions as F
 from signal_lake.operators.skew import SALTS, with_group_min
 
 KEY = ["source_id", "external_content_id"]
-# A batch of up to this many rows is sent to the store instead of the other way round. A row is a hash of
-# 64 characters, or a source id and an external id, at most an address of some kilobytes.
-SMALL_BATCH = 100_000
 
 
 def touched_rows(items: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stored keys, stored hashes) a staged batch can meet at all.
 
-    For a small batch, whose rows are counted first, the store is filtered where it is read, against a
-    broadcast of the batch's own keys and hashes. A larger batch leaves the store as it is, and
-    ``mark_duplicates`` shuffles the distinct stored keys.
+    The store is filtered by the keys and hashes of the batch, one way for every size: Spark measures the staged
+    batch, sends it to the store's tasks if that is cheap, and else joins both by shuffle, with a Bloom
+    filter of the batch on the store's side where its settings call for one.
     """
-    keys, hashes = stored.select(*KEY), stored.select("content_hash")
-    if items.count() > SMALL_BATCH:
-        return keys, hashes
     return (
-        keys.join(F.broadcast(items.select(*KEY).distinct()), KEY, "left_semi"),
-        hashes.join(F.broadcast(items.select("content_hash").distinct()), "content_hash", "left_semi"),
+        stored.select(*KEY).join(items.select(*KEY).distinct(), KEY, "left_semi"),
+        stored.select("content_hash").join(items.select("content_hash").distinct(), "content_hash", "left_semi"),
     )
 
 

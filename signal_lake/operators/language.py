@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from signal_lake.session import stage
 
-# The model keeps this many trigrams for each of at most MAX_LANGUAGES languages (ISO 639-1 has fewer),
-# which bounds the table that scoring broadcasts.
-PROFILE_GRAMS = 500
+# Trigrams are counted in this many places, all of them: the model has at most so many rows a language.
+PLACES = 1 << 16
+# With at most this many languages (ISO 639-1 has fewer) the table that scoring broadcasts is under 110 MB; with four, 3 MB.
 MAX_LANGUAGES = 200
 MIN_LENGTH = 20
 # Counts are scaled to this total per language before smoothing, so that all languages weigh alike.
@@ -20,32 +20,36 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("(?s)(?=(...))"), 1)
 
 
-def train_profile(labelled: DataFrame, text: str, lang: str, grams: int = PROFILE_GRAMS) -> DataFrame:
-    """Rows (gram, lang, weight): the most frequent trigrams of each language, as a small staged table.
+def _place(gram: Column) -> Column:
+    """Number of a trigram's place, from its code points."""
+    points = [F.ascii(F.substring(gram, k, 1)).cast("bigint") for k in (1, 2, 3)]
+    return (points[0] * 7919 + points[1] * 127 + points[2]) % PLACES
+
+
+def _places(rows: DataFrame, text: str, *columns: Column) -> DataFrame:
+    """``columns`` and ``place`` of every trigram of ``text``."""
+    return rows.select(*columns, F.explode(trigrams(F.col(text))).alias("gram")).select("*", _place(F.col("gram")).alias("place")).drop("gram")
+
+
+def train_profile(labelled: DataFrame, text: str, lang: str) -> DataFrame:
+    """Rows (place, lang, weight): the weight of every place that a language's trigrams fall into, as a small staged table.
 
     The weight is a rounded thousandfold log of the add-one smoothed count: sums of whole numbers
     do not depend on the order of rows.
     """
-    counts = (
-        labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
-        .groupBy("lang", "gram")
-        .agg(F.count("*").alias("n"))
-    )
+    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    counts = _places(known, text, F.col(lang).alias("lang")).groupBy("lang", "place").agg(F.count("*").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    ranked = counts.withColumn(
-        "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    ).where(F.col("place") <= grams)
     weight = F.round(1000 * F.log(1 + F.lit(_SCALE) * F.col("n") / F.col("total"))).cast("bigint")
-    return stage(ranked.join(totals, "lang").select("gram", "lang", weight.alias("weight")), "language_profile")
+    return stage(counts.join(totals, "lang").select("place", "lang", weight.alias("weight")), "language_profile")
 
 
 def detect(rows: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
     """Rows (key, detected); texts under 20 characters or without a known trigram are left out.
 
-    Trigrams meet the broadcast profile, one row per trigram with a weight per language, inside the scan
+    Trigrams meet the broadcast profile, one row per place with a weight per language, inside the scan
     stage and are summed there, so the shuffle carries one row per text and task, whatever the length of
-    the text. ``profile`` must come from ``train_profile``, which bounds its size.
+    the text. ``profile`` must come from ``train_profile``, which bounds its size by ``PLACES``.
     """
     langs = sorted(row.lang for row in profile.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if not langs:
@@ -54,8 +58,8 @@ def detect(rows: DataFrame, key: str, text: str, profile: DataFrame) -> DataFram
         raise ValueError(f"the profile has more than {MAX_LANGUAGES} languages")
     names = {lang: f"_w{i}" for i, lang in enumerate(langs)}
     weights = [F.sum(F.when(F.col("lang") == lang, F.col("weight")).otherwise(0)).alias(name) for lang, name in names.items()]
-    table = profile.groupBy("gram").agg(*weights)
-    grams = rows.where(F.length(text) >= MIN_LENGTH).select(key, F.explode(trigrams(F.col(text))).alias("gram"))
-    scores = grams.join(F.broadcast(table), "gram").groupBy(key).agg(*[F.sum(name).alias(name) for name in names.values()])
+    table = profile.groupBy("place").agg(*weights)
+    places = _places(rows.where(F.length(text) >= MIN_LENGTH), text, F.col(key))
+    scores = places.join(F.broadcast(table), "place").groupBy(key).agg(*[F.sum(name).alias(name) for name in names.values()])
     ranked = F.array(*[F.struct(F.col(name).alias("score"), F.lit(lang).alias("lang")) for lang, name in names.items()])
     return scores.select(key, F.array_max(ranked)["lang"].alias("detected"))

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SALTS = 64
-# Spark's default of spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT = 1000
 
 
 def _salt(order: Column, salts: int) -> Column:
@@ -78,15 +76,13 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 def first_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: Column | int, bound: int) -> DataFrame:
     """The first ``limit`` rows of each group; ``bound`` is at least the greatest limit of any group.
 
-    The constant bound lets Spark cut each group before the shuffle, so a hot group sends at most
-    ``bound`` rows per task. Spark does so up to a bound of ``GROUP_LIMIT``; beyond it the groups are first
-    cut within salts of their own.
+    Groups are first cut within salts of their own, so that a hot group is ranked by ``SALTS`` tasks; what is left of a
+    group is at most ``SALTS`` times the bound. Up to Spark's threshold for it, each cut also happens before its shuffle.
     """
-    if bound > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(SALTS))
-        salted = rows.withColumn("_salt", salt)
-        inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        rows = salted.withColumn("_place", F.row_number().over(inside)).where(F.col("_place") <= bound).drop("_salt", "_place")
+    salt = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(SALTS))
+    inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    placed = rows.withColumn("_salt", salt).withColumn("_place", F.row_number().over(inside))
+    rows = placed.where(F.col("_place") <= bound).drop("_salt", "_place")
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.where(F.col("_rank") <= F.lit(bound))
     if isinstance(limit, Column):

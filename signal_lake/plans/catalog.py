@@ -138,11 +138,12 @@ def video_ids(spark, sf_dir):
 
 @query
 def language_detect(spark, sf_dir):
-    """Detected language of each text, by a model trained on the labels of all."""
+    """Detected language of each text, by a model trained on the even documents; the odd ones are held out."""
     docs = load(spark, sf_dir, "documents")
-    profile = L.train_profile(docs, "text", "lang")
+    held_out = F.col("doc_id") % 2 == 1
+    profile = L.train_profile(docs.where(~held_out), "text", "lang")
     found = L.detect(docs.select("doc_id", "text"), "doc_id", "text", profile)
-    return docs.select("doc_id", "lang").join(found, "doc_id", "left")
+    return docs.select("doc_id", "lang", held_out.alias("held_out")).join(found, "doc_id", "left")
 
 
 @query
@@ -248,11 +249,13 @@ def _results_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registry_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as items of registry sources: document n belongs to the source named by list row n % 500 + 1."""
-    keys = load(spark, sf_dir, "registry_raw").select(
+    """Documents as items of registry sources: document n belongs to the source of list row n modulo the number of rows."""
+    listed = load(spark, sf_dir, "registry_raw")
+    rows = listed.count()
+    keys = listed.select(
         "row_no", T.source_id(R.canonical_key(F.trim("source_name"))).alias("named_id")
     )
-    docs = _raw(spark, sf_dir).drop("fetch_method", "source_language").withColumn("row_no", F.col("arrival") % 500 + 1)
+    docs = _raw(spark, sf_dir).drop("fetch_method", "source_language").withColumn("row_no", F.col("arrival") % rows)
     owned = docs.join(keys, "row_no").withColumn("source_id", F.col("named_id")).drop("named_id", "row_no")
     return owned.withColumnRenamed("arrival", "pos")
 
@@ -263,12 +266,12 @@ def _numbered_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def items_enriched(spark, sf_dir):
-    """Items with the columns that flow from their source."""
+    """All items with the columns that flow from their source; NULL for those whose list row names none."""
     sources = _numbered_sources(spark, sf_dir)
     items = _registry_items(spark, sf_dir)
     joined = I.with_source(
         items, sources, "pos", canonical_name="canonical_name", source_language="language", fetch_method="fetch_method",
-        handle="handle",
+        handle="handle", how="left",
     )
     return joined.select("pos", "source_id", "canonical_name", "source_language", "fetch_method", "handle")
 
@@ -415,7 +418,7 @@ def status_update(spark, sf_dir):
     """Statuses after two rounds of changes, the later one counting."""
     items = _raw(spark, sf_dir).select(F.col("arrival").alias("id"), F.lit("deduplicated").alias("status"))
     changes = load(spark, sf_dir, "events").select(
-        (F.col("event_id") % 400).alias("id"),
+        (F.col("event_id") % load(spark, sf_dir, "documents").count()).alias("id"),
         F.when(F.col("event_id") % 3 == 0, "candidate").otherwise("selected").alias("status"),
         F.col("event_id").alias("seq"),
     )

@@ -14,10 +14,10 @@ from signal_lake.schemas import CONTENT_ITEMS, ENGAGEMENT_COLUMNS
 from signal_lake.session import stage
 
 
-def with_source(items: DataFrame, sources: DataFrame, spread: str, **columns: str) -> DataFrame:
+def with_source(items: DataFrame, sources: DataFrame, spread: str, how: str = "inner", **columns: str) -> DataFrame:
     """Add source columns (new name=source column) to items by ``source_id``, the source's ``id``."""
     table = sources.select(F.col("id").alias("source_id"), *[F.col(old).alias(new) for new, old in columns.items()])
-    return lookup_join(items, table, "source_id", spread, "inner")
+    return lookup_join(items, table, "source_id", spread, how)
 
 
 def with_clean_text(items: DataFrame) -> DataFrame:

@@ -6,8 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signal_lake.session import spread
-
 TABLES = ["documents", "pages", "conversations", "events", "customer"]
 # Few bytes on disk, much work per row.
 TEXT_TABLES = ["documents", "pages"]
@@ -84,7 +82,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a view over one."""
     if name not in VIEWS:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table) if name in TEXT_TABLES else table
+        # A table that is one file is read by one task; dealing out one file is bounded by its size.
+        single = name in TEXT_TABLES and len(table.inputFiles()) == 1
+        return table.repartition(spark.sparkContext.defaultParallelism) if single else table
     used = [t for t in TABLES if re.search(rf"FROM {t}\b", VIEWS[name])]
     text = re.sub(r"FROM (\w+)", r"FROM {\1}", view_sql(name))
     return spark.sql(text, **{t: load(spark, sf_dir, t) for t in used})

@@ -56,11 +56,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(table: DataFrame) -> DataFrame:
-    """Use every core on a table read in fewer splits than there are cores.
-
-    Only small inputs are redistributed; a read of many splits stays without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
