@@ -195,13 +195,17 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def train_dictionary(pages: DataFrame, payload: Column) -> bytes:
-    """A dictionary from the pages of the least hashes; b'' if they are too few to train on."""
-    sample = pages.select(F.substring(payload, 1, SAMPLE_BYTES).alias("part"), F.xxhash64(payload).alias("place")).orderBy("place", "part").limit(SAMPLE)
-    parts = [r["part"].encode("utf-8", "surrogatepass") for r in sample.collect() if r["part"]]
-    if len(parts) < 16 or sum(map(len, parts)) < 4 * DICTIONARY // 2:
+    """A dictionary from about ``SAMPLE`` pages, chosen by a hash; b'' if they are too few to train on."""
+    total = pages.count()
+    share = min(1.0, SAMPLE / max(1, total))
+    chosen = F.pmod(F.xxhash64(payload), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    sample = pages.where(chosen).select(F.substring(payload, 1, SAMPLE_BYTES).alias("part")).limit(4 * SAMPLE)
+    parts = sorted({r["part"].encode("utf-8", "surrogatepass") for r in sample.collect() if r["part"]})
+    size = sum(map(len, parts))
+    if len(parts) < 16 or size < 8 << 10:
         return b""
     try:
-        return zstandard.train_dictionary(min(DICTIONARY, sum(map(len, parts)) // 8), parts).as_bytes()
+        return zstandard.train_dictionary(min(DICTIONARY, size // 8), parts).as_bytes()
     except zstandard.ZstdError:
         return b""
 
@@ -217,7 +221,10 @@ def write_archives(
     rows = pages.select(F.col(id_column).alias("page"), F.coalesce(F.col(url_column), F.lit("")).alias("url"), text.alias("payload"))
     rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= least, F.unhex(F.sha2("payload", 256))))
     # The number tells equal rows apart; it is written, so that it is the same wherever it is read.
-    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
+    path = f"{shared_dir(spark)}/stage/pages-{uuid.uuid4().hex}"
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows.write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
     numbered = rows.withColumn("order", F.struct(F.col("page").isNull().alias("unnumbered"), "page", "row", "url"))
     first = with_group_min(numbered, ["digest"], "order", "first")
     first = first.select("page", "url", "payload", F.col("first.page").alias("to"), F.col("first.url").alias("to_url"), (F.col("row") != F.col("first.row")).alias("again"))
