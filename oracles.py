@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from signal_lake.functions.html import _NAMED
-from signal_lake.functions.scalars import AD_MARKERS
-from signal_lake.functions.text import BOILERPLATE_PATTERNS
 from signal_lake.plans.views import view_sql
 
 ORACLES: dict[str, str] = {}
 
+# Fixed values, written out here so that a wrong entry of the library shows.
+BOILERPLATE_PATTERNS = [
+    r"the post .+ appeared first on .+", r"^the post$", r"^appeared first on$", r"^appeared first on\b", r"continue reading", r"^[→›»↗]+$",
+    r"read (the )?(full |more |rest of the )?(article|post|story)", r"^[\[(\s]*\.{2,}[\])\s]*$", r"subscribe\s+to\s+our\s+newsletter", r"sign\s+up\s+for\s+free",
+    r"unsubscribe\s+at\s+any\s+time", r"view\s+this\s+(email|newsletter)\s+in\s+your\s+browser", r"powered\s+by\s+\w+", r"click\s+here\s+to\s+read\s+more",
+]
+AD_MARKERS = ["erid:", "Реклама.", "ИНН ", "промокод", "utm_source=telegram"]
+_NAMED = {"quot": '"', "apos": "''", "middot": "·", "copy": "©", "lt": "<", "gt": ">", "amp": "&"}
+
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 _BOILERPLATE = "(?i)" + "|".join(
@@ -93,7 +99,7 @@ _MARKUP = _HIDDEN + r"|<[a-z/!?][^>]*>"
 
 def decoded(x: str) -> str:
     """The references the pages hold; the ampersand last."""
-    for name in ("quot", "middot", "copy", "lt", "gt", "amp"):
+    for name in ("quot", "apos", "middot", "copy", "lt", "gt", "amp"):
         x = f"replace({x}, '&{name};', '{_NAMED[name]}')"
     return x
 
@@ -103,14 +109,13 @@ def nodes(x: str) -> str:
     return f"array_to_string(list_filter(list_transform({parts}, lambda n: {strip('n')}), lambda n: n <> ''), chr(10))"
 
 
-_GAPPED = f"regexp_replace(regexp_replace(html, '(?:{_MARKUP})+', chr(1), 'g'), '^\\x01+|\\x01+$', '', 'g')"
-ORACLES["html_text"] = f"SELECT page_id, replace({decoded(_GAPPED)}, chr(1), chr(10)) AS page_text FROM pages"
+_GAPPED = f"regexp_replace(regexp_replace(replace(html, chr(1), ''), '(?:{_MARKUP})+', chr(1), 'g'), '^\\x01+|\\x01+$', '', 'g')"
+ORACLES["html_text"] = f"{views('pages_marked')} SELECT page_id, replace({decoded(_GAPPED)}, chr(1), chr(10)) AS page_text FROM pages_marked"
 ORACLES["ad_filter"] = f"{CLEANED} SELECT arrival, is_ad FROM cleaned"
 ORACLES["min_length"] = f"{CLEANED} SELECT arrival, length(clean) AS n_chars, length(clean) < 150 AS is_short FROM cleaned"
-_DATE = """CASE WHEN published_at = '2024-01-05T10:00:00Z' THEN epoch(TIMESTAMP '2024-01-05 10:00:00')
-  WHEN published_at LIKE '%T%+03:00' THEN epoch(CAST(replace(substr(published_at, 1, 19), 'T', ' ') AS TIMESTAMP)) - 3 * 3600
-  WHEN published_at LIKE 'Fri, %' THEN epoch(strptime(substr(published_at, 6, 20), '%d %b %Y %H:%M:%S')) - 3 * 3600
-  WHEN published_at LIKE '____-__-__' THEN epoch(CAST(published_at AS TIMESTAMP)) END"""
+_DATE = """CASE WHEN published_at IN ('2024-01-05T10:00:00Z', '2024-01-05 10:00:00+00', '05 Jan 24 10:00:00 GMT', '2024-01-05 10') THEN epoch(TIMESTAMP '2024-01-05 10:00:00')
+  WHEN published_at IN ('2024-01-05T10:00:00+03:00', '2024-01-05T10:00:00+03', 'Fri, 05 Jan 2024 10:00:00 +0300', 'Fri, 05 Jan 24 10:00:00 +0300') THEN epoch(TIMESTAMP '2024-01-05 07:00:00')
+  WHEN published_at IN ('2024-01-05', '01/05/24') THEN epoch(TIMESTAMP '2024-01-05') END"""
 ORACLES["parse_dates"] = f"{views('landed_manual')} SELECT rec, published_at, CAST({_DATE} AS BIGINT) AS epoch FROM landed_manual"
 ORACLES["content_hash"] = f"{HASHED} SELECT arrival, content_hash FROM hashed"
 _TYPE = """CASE source_content_type WHEN 'rss_item' THEN 'article' WHEN 'web_page' THEN 'article' WHEN 'manual' THEN 'article'
@@ -178,7 +183,8 @@ def listed(x: str, separator: str) -> str:
     return f"list_filter(list_transform(string_split_regex({x}, '{separator}'), lambda p: {strip('p')}), lambda p: p <> '')"
 
 
-_KEY = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(source_name)), '[^a-z0-9_\s-]', '', 'g'), '[\s_]+', '-', 'g'), '^-+|-+$', '', 'g'), '-+', '-', 'g')"""
+_LATIN = "replace(replace(replace(replace(replace(lower(trim(source_name)), 'ö', 'o'), 'ß', 'ss'), '×', 'x'), 'é', 'e'), '™', 'tm')"
+_KEY = rf"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({_LATIN}, '[^a-z0-9_\s-]', '', 'g'), '[\s_]+', '-', 'g'), '^-+|-+$', '', 'g'), '-+', '-', 'g')"""
 _URL = """CASE WHEN u = '' OR u LIKE '@%' THEN NULL WHEN u LIKE 't.me/%' THEN 'https://' || u
   WHEN lower(u) LIKE 'li search:%' OR lower(u) LIKE 'linkedin search:%' THEN NULL WHEN u LIKE 'http://%' OR u LIKE 'https://%' THEN u
   WHEN u LIKE '%.%' AND u NOT LIKE '% %' AND u NOT LIKE '%/%' THEN 'https://' || u
@@ -324,7 +330,7 @@ _INNER = "coalesce(" + ", ".join(
     f"nullif(regexp_extract({_BODY}, '(?s){start}(.*?){end}', 1), '')"
     for start, end in (("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"))
 ) + f", {_BODY})"
-_OG = f"""nullif(regexp_extract({_BODY}, '<meta property="og:title" content="([^"]*)">', 1), '')"""
+_OG = f"""nullif(regexp_extract({_BODY}, '<meta name="a > b" property="og:title" content="([^"]*)">', 1), '')"""
 _HEAD = f"""nullif({strip(f"regexp_extract({_BODY}, '(?s)<title>(.*?)</title>', 1)")}, '')"""
 ORACLES["web_items"] = f"""{views('pages_aug')} SELECT page_id, url AS external_content_id, {decoded(f'coalesce({_OG}, {_HEAD})')} AS title,
   {nodes(_INNER)} AS raw_text, url FROM pages_aug"""

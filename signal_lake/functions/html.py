@@ -13,6 +13,9 @@ _OPAQUE = "script|style|template|rt|rp"
 _COMMENT = r"<!--.*?(?:-->|\z)"
 _OPAQUE_BLOCK = rf"<({_OPAQUE})(?![a-z0-9-])[^>]*+>.*?(?:</\1\s*+>|\z)"
 _TAG = r"<[a-z/!?](?:[^>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*+[^>\"']*+>"
+# Attributes of a tag up to some point, and up to its end; a quoted value may hold a ``>``.
+_SOME = r"(?:[^>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*?[^>\"']*?"
+_REST = r"(?:[^>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*+[^>\"']*+"
 _LOOSE_TAG = r"<[a-z/!?][^>]*+(?:>|\z)"
 _MARKUP = f"(?is){_COMMENT}|{_OPAQUE_BLOCK}|{_TAG}|{_LOOSE_TAG}"
 _HIDDEN = f"(?is){_COMMENT}|{_OPAQUE_BLOCK}"
@@ -20,7 +23,7 @@ _HIDDEN = f"(?is){_COMMENT}|{_OPAQUE_BLOCK}"
 _GAP = "\x01"
 
 _COMMON = ["amp", "lt", "gt", "quot", "nbsp"]
-_NAMED = {name: chr(name2codepoint[name]) for name in [*_COMMON, *sorted(set(name2codepoint) - set(_COMMON))]}
+_NAMED = {name: chr(name2codepoint[name]) for name in [*_COMMON, *sorted(set(name2codepoint) - set(_COMMON))]} | {"apos": "'"}
 
 
 def _named_entities() -> Column:
@@ -67,7 +70,7 @@ def decode_entities(text: Column) -> Column:
 
 
 def _gapped(html: Column) -> Column:
-    return decode_entities(F.regexp_replace(html, _MARKUP, _GAP))
+    return decode_entities(F.regexp_replace(F.translate(html, _GAP, ""), _MARKUP, _GAP))
 
 
 def strip_html(text: Column) -> Column:
@@ -94,13 +97,13 @@ def _opening_tag(selector: Column) -> Column:
     def filled(template: str) -> Column:
         return F.concat(*[part for text in template.split("NAME") for part in (F.lit(text), name)][:-1])
 
-    start, end = r"(?s)<[A-Za-z][A-Za-z0-9-]*(?:\s[^>]*?)?\s", r"[^>]*>"
+    start, end = rf"(?s)<[A-Za-z][A-Za-z0-9-]*(?=\s){_SOME}\s", f"{_REST}>"
     by_class = r"(?i:class)\s*=\s*(?:\"(?:[^\"]*\s)?NAME(?:\s[^\"]*)?\"|'(?:[^']*\s)?NAME(?:\s[^']*)?'|NAME(?=[\s>]))"
     by_id = r"(?i:id)\s*=\s*(?:\"NAME\"|'NAME'|NAME(?=[\s>]))"
     return (
         F.when(selector.startswith("."), filled(start + by_class + end))
         .when(selector.startswith("#"), filled(start + by_id + end))
-        .otherwise(filled(r"(?s)<(?i:NAME)(?![A-Za-z0-9-])[^>]*>"))
+        .otherwise(filled(rf"(?s)<(?i:NAME)(?![A-Za-z0-9-]){_REST}>"))
     )
 
 
@@ -146,7 +149,8 @@ def element_text(html: Column, selector: Column | str) -> Column:
 
 def meta_title(html: Column) -> Column:
     """Content of the first ``og:title`` tag, NULL if there is none or it is empty."""
-    tag = F.regexp_extract(html, r"(?is)<meta\b[^>]*?\bproperty\s*=\s*[\"']?og:title[\"'\s/>][^>]*>?", 0)
+    wanted = rf"(?is)<meta\b(?={_SOME}\bproperty\s*=\s*[\"']?og:title[\"'\s/>]){_REST}>?"
+    tag = F.regexp_extract(html, wanted, 0)
     double = F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*\"([^\"]*)\"", 1)
     single = F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*'([^']*)'", 1)
     return decode_entities(F.coalesce(F.nullif(double, F.lit("")), F.nullif(single, F.lit(""))))

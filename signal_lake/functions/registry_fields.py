@@ -17,6 +17,7 @@ LETTERS = {
     "я": "ia", "є": "ie", "і": "i", "ї": "yi", "ґ": "g", "ў": "u",
     "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ı": "i", "ħ": "h",
     "–": "-", "—": "--", "№": "no", " ": " ",
+    "×": "x", "™": "tm", "€": "eur", "©": "c", "®": "r", "°": "deg", "µ": "u", "¹": "1", "²": "2", "³": "3",
 }
 # Platform bases, methods by platform, waves by method, spellings of a frequency.
 FORUM_BASE = "https://news.ycombinator.com/"

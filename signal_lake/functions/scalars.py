@@ -71,7 +71,7 @@ def content_hash(source_id: Column, url: Column, title: Column, clean: Column) -
 
 
 _CLOCK = r"([T\s][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?(?:\s*[AaPp][Mm])?)"
-_ZONE = r"\s*(?![AaPp][Mm]\z)([+-][0-9]{2}:?[0-9]{2}|[A-Za-z]{1,5})\z"
+_ZONE = r"\s*(?![AaPp][Mm]\z)([+-][0-9]{2}(?::?[0-9]{2})?|[A-Za-z]{1,5})\z"
 # Date forms, told by the start of the text, each with the place of year, month and day.
 _DATE_FORMS = {
     r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?![0-9])": (1, 2, 3),
@@ -79,8 +79,11 @@ _DATE_FORMS = {
     r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})(?![0-9])": (3, 1, 2),
     r"^([0-9]{1,2})(?:st|nd|rd|th)?[\s-]+([A-Za-z]{3,9})\.?,?[\s-]+([0-9]{4})(?![0-9])": (3, 2, 1),
     r"^([A-Za-z]{3,9})\.?\s+([0-9]{1,2})(?:st|nd|rd|th)?,?\s+([0-9]{4})(?![0-9])": (3, 1, 2),
+    r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{2})(?![0-9])": (3, 1, 2),
+    r"^([0-9]{1,2})(?:st|nd|rd|th)?[\s-]+([A-Za-z]{3,9})\.?,?[\s-]+([0-9]{2})(?![0-9:])": (3, 2, 1),
 }
 _TIME = r"^(?:T|[\s,]+)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,6})[0-9]*)?)?\s*([AaPp][Mm])?\z"
+_HOUR = r"^(?:T|[\s,]+)([0-9]{1,2})\z"
 _PACKED_TIME = r"^T([0-9]{2})([0-9]{2})([0-9]{2})?\z"
 
 
@@ -91,6 +94,14 @@ def _month(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]+$"), text.cast("int")).otherwise(named)
 
 
+def _whole_year(year: Column) -> Column:
+    """A year of two digits is the one nearest to now, of those more than 50 years ahead or behind none."""
+    now = F.year(F.current_date())
+    near = F.floor(now / 100) * 100 + year.try_cast("int")
+    near = F.when(near >= now + 50, near - 100).when(near < now - 50, near + 100).otherwise(near)
+    return F.when(F.length(year) == 2, near.cast("string")).otherwise(year)
+
+
 def _iso_day(local: Column) -> Column:
     """``yyyy-mm-dd`` of the date the text starts with; month first, unless only the other reading is a date."""
     day = F.when(F.lit(False), F.lit(None).cast("string"))
@@ -99,7 +110,7 @@ def _iso_day(local: Column) -> Column:
         number = _month(month)
         flip = (number > 12) & (F.lit((y, m, d) == (3, 1, 2)))
         text = F.format_string(
-            "%s-%02d-%02d", year,
+            "%s-%02d-%02d", _whole_year(year),
             F.when(flip, date.try_cast("int")).otherwise(number), F.when(flip, number).otherwise(date.try_cast("int")),
         )
         day = day.when(local.rlike(form), F.when(number.isNotNull(), text))
@@ -119,7 +130,11 @@ def _iso_time(rest: Column) -> Column:
         F.format_string("%02d:", hour), part(_TIME, 2), F.lit(":"), F.lpad(part(_TIME, 3), 2, "0"), F.lit("."), part(_TIME, 4)
     )
     packed = F.concat_ws(":", part(_PACKED_TIME, 1), part(_PACKED_TIME, 2), F.lpad(part(_PACKED_TIME, 3), 2, "0"))
-    return F.when(rest == "", F.lit("00:00:00")).when(rest.rlike(_TIME), clock).when(rest.rlike(_PACKED_TIME), packed)
+    hour_only = F.concat(F.lpad(F.regexp_extract(rest, _HOUR, 1), 2, "0"), F.lit(":00:00"))
+    return (
+        F.when(rest == "", F.lit("00:00:00")).when(rest.rlike(_TIME), clock)
+        .when(rest.rlike(_HOUR), hour_only).when(rest.rlike(_PACKED_TIME), packed)
+    )
 
 
 def parse_datetime(text: Column) -> Column:
@@ -131,7 +146,8 @@ def parse_datetime(text: Column) -> Column:
 
     def with_zone(bare: Column) -> Column:
         zone = F.regexp_extract(bare, _CLOCK + _ZONE, 2)
-        numeric = F.concat(F.substring(zone, 1, 3), F.lit(":"), F.right(zone, F.lit(2)))
+        minutes = F.when(F.length(zone) == 3, "00").otherwise(F.right(zone, F.lit(2)))
+        numeric = F.concat(F.substring(zone, 1, 3), F.lit(":"), minutes)
         offset = F.when(zone.rlike("^[+-]"), numeric).otherwise(F.lit("Z"))
         local = F.regexp_replace(bare, _CLOCK + _ZONE, "$1")
         return let(local, lambda moment: F.concat(_iso_day(moment), F.lit("T"), after_date(moment), offset))

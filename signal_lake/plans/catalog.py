@@ -81,7 +81,7 @@ def boilerplate(spark, sf_dir):
 @query
 def html_text(spark, sf_dir):
     """Text of every page, all markup stripped."""
-    return load(spark, sf_dir, "pages").select("page_id", H.strip_html(F.col("html")).alias("page_text"))
+    return load(spark, sf_dir, "pages_marked").select("page_id", H.strip_html(F.col("html")).alias("page_text"))
 
 
 @query

@@ -31,7 +31,7 @@ FROM documents
 """,
     "registry_raw": """
 SELECT c_custkey AS row_no,
- CASE WHEN c_custkey % 25 = 0 THEN '  ' WHEN c_custkey % 20 = 7 THEN 'Customer__' || CAST(c_custkey - 1 AS STRING) || '!' ELSE 'Customer ' || CAST(c_custkey AS STRING) END AS source_name,
+ CASE WHEN c_custkey % 25 = 0 THEN '  ' WHEN c_custkey % 20 = 7 THEN 'Customer__' || CAST(c_custkey - 1 AS STRING) || '!' WHEN c_custkey % 20 = 9 THEN 'Größe ×' || CAST(c_custkey AS STRING) || ' Éclair™' ELSE 'Customer ' || CAST(c_custkey AS STRING) END AS source_name,
  CASE c_custkey % 3 WHEN 0 THEN 'person' WHEN 1 THEN 'media' ELSE '' END AS type,
  CASE c_custkey % 13 WHEN 0 THEN 'TG' WHEN 1 THEN 'X' WHEN 2 THEN 'LI' WHEN 3 THEN 'WEB' WHEN 4 THEN 'FORUM' WHEN 5 THEN 'COMM' WHEN 6 THEN 'TOOL' WHEN 7 THEN 'NEWS' WHEN 8 THEN 'DB/FEED' WHEN 9 THEN 'POD' WHEN 10 THEN 'SS' WHEN 11 THEN 'SB' ELSE 'TG/WEB' END AS primary_platform,
  CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'WEB' WHEN 2 THEN 'SS, LI' ELSE 'LI; POD,TG;;LI' END AS secondary_platforms,
@@ -54,6 +54,9 @@ SELECT event_id AS id, row_number() OVER (ORDER BY value DESC, event_id) AS feed
 """,
     "messages": """
 SELECT conv_id AS channel_id, turn AS msg_id, CASE WHEN turn % 7 = 6 THEN '' ELSE text END AS text, role FROM conversations
+""",
+    "pages_marked": """
+SELECT page_id, replace(html, '</h1>', ' it&apos;s' || chr(1) || ' so</h1>') AS html FROM pages
 """,
     "page_snapshots": """
 SELECT page_id, 1 AS snap, url, html FROM pages UNION ALL SELECT page_id, 2 AS snap, url, CASE WHEN page_id % 4 = 0 THEN replace(html, '</article>', '<p>edited</p></article>') ELSE html END AS html FROM pages
@@ -61,11 +64,12 @@ SELECT page_id, 1 AS snap, url, html FROM pages UNION ALL SELECT page_id, 2 AS s
     "landed_manual": """
 SELECT doc_id AS rec, CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE CAST(doc_id AS STRING) END AS external_content_id, 'r' || CAST(doc_id AS STRING) AS id, CASE WHEN doc_id % 3 = 0 THEN text END AS raw_text, CASE WHEN doc_id % 3 = 1 THEN text END AS content, text,
  CASE doc_id % 9 WHEN 0 THEN '12' WHEN 1 THEN ' 7 ' WHEN 2 THEN '1.5' WHEN 3 THEN '' WHEN 4 THEN 'x' WHEN 5 THEN NULL WHEN 6 THEN '-3' ELSE '0' END AS engagement_like_count,
- CASE doc_id % 6 WHEN 0 THEN '2024-01-05T10:00:00Z' WHEN 1 THEN '2024-01-05T10:00:00+03:00' WHEN 2 THEN 'Fri, 05 Jan 2024 10:00:00 +0300' WHEN 3 THEN '2024-01-05' WHEN 4 THEN 'garbage' END AS published_at FROM documents
+ CASE doc_id % 12 WHEN 0 THEN '2024-01-05T10:00:00Z' WHEN 1 THEN '2024-01-05T10:00:00+03:00' WHEN 2 THEN 'Fri, 05 Jan 2024 10:00:00 +0300' WHEN 3 THEN '2024-01-05' WHEN 4 THEN 'garbage'
+  WHEN 6 THEN 'Fri, 05 Jan 24 10:00:00 +0300' WHEN 7 THEN '2024-01-05T10:00:00+03' WHEN 8 THEN '2024-01-05 10:00:00+00' WHEN 9 THEN '05 Jan 24 10:00:00 GMT' WHEN 10 THEN '01/05/24' WHEN 11 THEN '2024-01-05 10' END AS published_at FROM documents
 """,
     "pages_aug": """
 SELECT page_id, url, CASE page_id % 5
-  WHEN 0 THEN replace(html, '<title>', '<meta property="og:title" content="OG ' || CAST(page_id AS STRING) || '"><title>')
+  WHEN 0 THEN replace(html, '<title>', '<meta name="a > b" property="og:title" content="OG > it&apos;s ' || CAST(page_id AS STRING) || '"><title>')
   WHEN 1 THEN replace(replace(html, '<article>', '<main>'), '</article>', '</main>')
   WHEN 2 THEN replace(replace(html, '<article>', '<div class="content">'), '</article>', '</div>')
   WHEN 3 THEN replace(replace(html, '<article>', '<section>'), '</article>', '</section>')

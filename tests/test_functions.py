@@ -99,7 +99,7 @@ def test_many_adjacent_tags_do_not_overflow(run_one):
 
 
 def test_named_entities_match_the_standard_table(run_one):
-    names = ["copy", "middot", "quot", "euro", "Omega", "nbsp", "hellip", "frac12"]
+    names = ["copy", "middot", "quot", "euro", "Omega", "nbsp", "hellip", "frac12", "apos"]
     values = [f"<i>{'&' + n + ';'}</i>" for n in names]
     assert run_one(H.strip_html, values) == [html.unescape(f"&{n};") for n in names]
 
@@ -117,8 +117,19 @@ def test_titles(run_one):
     pages = [
         "<head><meta content='OG &amp; co' property='og:title'><title>T</title>", "<title lang=x> T &lt; \n</title>",
         '<meta property="og:title" content=""><title>U</title>', "<p>none</p>",
+        '<meta name="a > b" property="og:title" content="A > B"><title>U</title>', "<meta content='A > B' property='og:title'>",
     ]
-    assert run_one(lambda c: F.coalesce(H.meta_title(c), H.head_title(c)), pages) == ["OG & co", "T <", "U", None]
+    assert run_one(lambda c: F.coalesce(H.meta_title(c), H.head_title(c)), pages) == ["OG & co", "T <", "U", None, "A > B", "A > B"]
+
+
+def test_a_quoted_bracket_does_not_end_a_tag(run_one):
+    page = '<div title="a > b" class="content" data-x=\'c > d\'>in</div><p title="x > y">p</p>'
+    assert run_one(lambda c: H.element_text(c, ".content"), [page]) == ["in"]
+    assert run_one(lambda c: H.element_text(c, "p"), [page]) == ["p"]
+
+
+def test_control_characters_in_the_text_are_no_gaps(run_one):
+    assert run_one(H.strip_html, ["<b>a\x01b</b>c"]) == ["ab\nc"]
 
 
 DATES = [
@@ -126,6 +137,7 @@ DATES = [
     "Fri, 05 Jan 2024 10:00:00 +0300", "05 Jan 2024 10:00:00 GMT", "Fri, 5 January 2024 10:00:00 EST", "Friday, 05 Jan 2024 07:08",
     "01/02/2024", "13/02/2024", "1/2/2024 15:04:05", "Jan 5, 2024", "January 5, 2024 3:04 PM", "5 Mar 2024 12:00 AM", "20240105",
     "20240105T101112", "2024/01/05 10:00:00", "01.02.2024", "2024-01-05T10:00:00 UTC", "Jan 5, 2024 12:30 pm",
+    "2024-01-05T10:00:00+03", "2024-01-05 10:00:00+00", "Fri, 05 Jan 24 10:00:00 +0300", "05 Jan 24 10:00:00 GMT", "05 Jan 99", "01/02/24", "2024-01-05 10",
 ]
 
 
