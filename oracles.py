@@ -289,9 +289,13 @@ ORACLES["manual_items"] = f"""{views('landed_manual')} SELECT rec, coalesce(null
 _SHA = r"sha256(regexp_replace(text, '\s+', '', 'g'))"
 _FEED_TIME = "CAST(epoch(TIMESTAMP '2024-01-05 07:00:00') AS BIGINT)"
 ORACLES["feed_items"] = f"""SELECT doc_id, CAST(0 AS BIGINT) AS pos, 'g' || doc_id AS external_content_id, 'T ' || doc_id AS title, 'https://ex.org/' || doc_id AS url,
-  source AS author_name, {_FEED_TIME} AS published_at, {_SHA} AS text_sha FROM documents WHERE doc_id % 2 = 0
-UNION ALL SELECT doc_id, 1, 'https://ex.org/u' || doc_id, 'U', 'https://ex.org/u' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 2 = 0
-UNION ALL SELECT doc_id, 0, 'a' || doc_id, 'A ' || doc_id, 'https://ex.org/a' || doc_id, source, {_FEED_TIME} + 3 * 3600, {_SHA} FROM documents WHERE doc_id % 2 = 1"""
+  source AS author_name, {_FEED_TIME} AS published_at, {_SHA} AS text_sha FROM documents WHERE doc_id % 8 = 0
+UNION ALL SELECT doc_id, 1, 'https://ex.org/u' || doc_id, 'U', 'https://ex.org/u' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 8 = 0
+UNION ALL SELECT doc_id, 0, 'a' || doc_id, 'A ' || doc_id, 'https://ex.org/a' || doc_id, source, {_FEED_TIME} + 3 * 3600, {_SHA} FROM documents WHERE doc_id % 8 = 1
+UNION ALL SELECT doc_id, 0, 'r' || doc_id, 'R' || chr(160) || doc_id, 'https://ex.org/r' || doc_id, NULL, {_FEED_TIME} - 7 * 3600, {_SHA} FROM documents WHERE doc_id % 8 = 2
+UNION ALL SELECT doc_id, 0, 'x' || doc_id, 'X ' || doc_id, 'https://ex.org/x' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 8 = 3
+UNION ALL SELECT doc_id, 0, 'https://ex.org/p' || doc_id, 'P ' || doc_id, 'https://ex.org/p' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 8 = 4"""
+ORACLES["feed_errors"] = "SELECT doc_id, 'feed parse error' AS message FROM documents WHERE doc_id % 8 IN (5, 7)"
 
 
 def hn(limit: int, extra: str) -> str:

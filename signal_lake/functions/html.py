@@ -69,6 +69,23 @@ def decode_entities(text: Column) -> Column:
     return F.when(text.contains("&"), let(F.split(text, "&"), decoded)).otherwise(text)
 
 
+def expand_named(xml: Column) -> Column:
+    """Named references that XML doesn't know, as their characters; its own five and what is no name stay."""
+
+    def expanded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        char = F.when(~name.isin("", "amp", "lt", "gt", "quot", "apos"), F.try_element_at(_named_entities(), name))
+        rest = F.substr(piece, F.length(name) + 2)
+        return F.when(char.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(char, rest))
+
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), expanded)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+
+    foreign = xml.rlike("&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z]")
+    return F.when(foreign, let(F.split(xml, "&"), joined)).otherwise(xml)
+
+
 def _gapped(html: Column) -> Column:
     return decode_entities(F.regexp_replace(F.translate(html, _GAP, ""), _MARKUP, _GAP))
 

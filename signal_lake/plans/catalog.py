@@ -447,7 +447,7 @@ def manual_items(spark, sf_dir):
 
 
 def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landed feed per document: RSS with two entries or Atom with one, by the parity of the document."""
+    """A landed feed per document, of eight kinds in turn: RSS, Atom, RSS 1.0, Atom with markup, an address as id, broken, empty, and no feed."""
 
     def xml(column: str) -> str:
         return f"replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -459,7 +459,15 @@ def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     atom = f"""concat('<feed xmlns="http://www.w3.org/2005/Atom"><title>c</title><entry><title>A ', doc_id, '</title>',
       '<link rel="alternate" href="https://ex.org/a', doc_id, '"/><summary>', {xml('text')}, '</summary><id>a', doc_id, '</id>',
       '<updated>2024-01-05T10:00:00Z</updated><author><name>', source, '</name></author></entry></feed>')"""
-    return load(spark, sf_dir, "documents").selectExpr("doc_id", f"CASE WHEN doc_id % 2 = 0 THEN {rss} ELSE {atom} END AS xml")
+    rdf = f"""concat('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>c</title></channel>',
+      '<item rdf:about="r', doc_id, '"><title>R&nbsp;', doc_id, '</title><link>https://ex.org/r', doc_id, '</link><description>', {xml('text')}, '</description><dc:date>2024-01-05</dc:date></item></rdf:RDF>')"""
+    xhtml = f"""concat('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml">X ', doc_id, '</div></title>',
+      '<link href="https://ex.org/x', doc_id, '"/><content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml">', {xml('text')}, '</div></content><id>x', doc_id, '</id></entry></feed>')"""
+    permalink = f"""concat('<rss><channel><item><title>P ', doc_id, '</title><guid isPermaLink="true">https://ex.org/p', doc_id, '</guid><description>', {xml('text')}, '</description></item></channel></rss>')"""
+    broken = f"""concat('<rss><channel><item><title>B ', doc_id, '</item>', {xml('text')}, '</channel></rss>')"""
+    kinds = {0: rss, 1: atom, 2: rdf, 3: xhtml, 4: permalink, 5: broken, 6: "'<rss><channel><title>none</title></channel></rss>'", 7: f"concat('<html>', {xml('text')}, '</html>')"}
+    chosen = " ".join(f"WHEN {kind} THEN {text}" for kind, text in kinds.items())
+    return load(spark, sf_dir, "documents").selectExpr("doc_id", f"CASE doc_id % 8 {chosen} END AS xml")
 
 
 @query
@@ -470,6 +478,12 @@ def feed_items(spark, sf_dir):
     return _shown(shown, "doc_id", "pos", "external_content_id", "title", "url", "author_name", "published_at", "text_sha")
 
 
+@query
+def feed_errors(spark, sf_dir):
+    """Feeds that are an error: those that don't parse, and pages that are no feed; an empty feed is none."""
+    return feeds.feed_entries(_feeds(spark, sf_dir), ["doc_id"])[1]
+
+
 def _hn(spark: SparkSession, sf_dir: str, **choice) -> DataFrame:
     items = load(spark, sf_dir, "hn_items").select(
         "*", F.lit(None).cast("string").alias("text"), F.col("author").alias("by"),

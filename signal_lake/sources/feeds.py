@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from signal_lake.functions.html import expand_named
 from signal_lake.functions.scalars import parse_datetime
-from signal_lake.functions.space import or_null
+from signal_lake.functions.space import or_null, strip_space
 from signal_lake.sources.common import payload, to_raw_items
 
 DEFAULT_LIMIT = 50
 
 _S = T.StringType()
-_TEXT = T.StructType([T.StructField("_VALUE", _S), T.StructField("_type", _S)])
+# Markup in an Atom text is a ``div`` of its own, kept as it is written.
+_TEXT = T.StructType([T.StructField("_VALUE", _S), T.StructField("_type", _S), T.StructField("div", _S), T.StructField("xhtml:div", _S)])
 _GUID = T.StructType([T.StructField("_VALUE", _S), T.StructField("_isPermaLink", _S)])
 _LINK = T.StructType([T.StructField("_VALUE", _S), T.StructField("_href", _S), T.StructField("_rel", _S)])
 _CATEGORY = T.StructType([T.StructField("_VALUE", _S), T.StructField("_term", _S)])
@@ -20,7 +22,7 @@ RSS_ITEM = T.StructType([
     T.StructField("title", _S), T.StructField("link", _S), T.StructField("description", _S),
     T.StructField("content:encoded", _S), T.StructField("guid", _GUID), T.StructField("pubDate", _S),
     T.StructField("dc:date", _S), T.StructField("author", _S), T.StructField("dc:creator", _S),
-    T.StructField("category", T.ArrayType(_CATEGORY)),
+    T.StructField("category", T.ArrayType(_CATEGORY)), T.StructField("_rdf:about", _S),
 ])
 ATOM_ENTRY = T.StructType([
     T.StructField("title", _TEXT), T.StructField("link", T.ArrayType(_LINK)), T.StructField("summary", _TEXT),
@@ -28,8 +30,13 @@ ATOM_ENTRY = T.StructType([
     T.StructField("updated", _S), T.StructField("author", T.ArrayType(T.StructType([T.StructField("name", _S)]))),
     T.StructField("category", T.ArrayType(_CATEGORY)),
 ])
-RSS = T.StructType([T.StructField("channel", T.StructType([T.StructField("item", T.ArrayType(RSS_ITEM))]))])
-ATOM = T.StructType([T.StructField("entry", T.ArrayType(ATOM_ENTRY))])
+_BROKEN = T.StructField("_broken", _S)
+# Items stand in the channel, or next to it in RSS 1.0.
+RSS = T.StructType([
+    T.StructField("channel", T.StructType([T.StructField("item", T.ArrayType(RSS_ITEM))])),
+    T.StructField("item", T.ArrayType(RSS_ITEM)), _BROKEN,
+])
+ATOM = T.StructType([T.StructField("entry", T.ArrayType(ATOM_ENTRY)), _BROKEN])
 
 # The common shape of an entry of either kind.
 _ENTRY_FIELDS = ["title", "link", "summary", "content", "entry_id", "published", "author", "tags"]
@@ -44,13 +51,20 @@ def _pick(values: Column, fits) -> Column:
     return F.get(F.filter(values, fits), F.lit(0))
 
 
+def _words(text: Column) -> Column:
+    """An Atom text: plain or escaped, or the markup of its ``div``."""
+    return F.coalesce(or_null(strip_space(text["_VALUE"])), text["div"], text["xhtml:div"], text["_VALUE"])
+
+
 def _rss_entry(item: Column) -> Column:
+    guid = item["guid"]
+    permalink = F.when(F.lower(guid["_isPermaLink"]) == "true", guid["_VALUE"])
     return F.struct(
         item["title"].alias("title"),
-        item["link"].alias("link"),
+        F.coalesce(or_null(item["link"]), permalink).alias("link"),
         item["description"].alias("summary"),
         item["content:encoded"].alias("content"),
-        item["guid"]["_VALUE"].alias("entry_id"),
+        F.coalesce(or_null(guid["_VALUE"]), item["_rdf:about"]).alias("entry_id"),
         F.coalesce(or_null(item["pubDate"]), or_null(item["dc:date"])).alias("published"),
         F.coalesce(or_null(item["dc:creator"]), or_null(item["author"])).alias("author"),
         F.transform(F.coalesce(item["category"], F.array()), lambda c: c["_VALUE"]).alias("tags"),
@@ -61,10 +75,10 @@ def _atom_entry(entry: Column) -> Column:
     main = _pick(entry["link"], lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
     html = _pick(entry["content"], lambda content: content["_type"].isin("html", "text/html"))
     return F.struct(
-        entry["title"]["_VALUE"].alias("title"),
+        _words(entry["title"]).alias("title"),
         main["_href"].alias("link"),
-        entry["summary"]["_VALUE"].alias("summary"),
-        F.coalesce(html, F.get(entry["content"], F.lit(0)))["_VALUE"].alias("content"),
+        _words(entry["summary"]).alias("summary"),
+        _words(F.coalesce(html, F.get(entry["content"], F.lit(0)))).alias("content"),
         entry["id"].alias("entry_id"),
         F.coalesce(or_null(entry["published"]), or_null(entry["updated"])).alias("published"),
         F.get(entry["author"], F.lit(0))["name"].alias("author"),
@@ -73,15 +87,18 @@ def _atom_entry(entry: Column) -> Column:
 
 
 def feed_entries(feeds: DataFrame, keep: list[str], xml: str = "xml") -> tuple[DataFrame, DataFrame]:
-    """(entries in feed order with ``pos``, feeds with an error): no root of either kind and no entry."""
+    """(entries in feed order with ``pos``, feeds with an error): those that yield no entry and don't parse, or are no feed."""
     is_atom = F.col(xml).rlike(r"<(?:[\w.-]+:)?feed[\s>]") & ~F.col(xml).rlike(r"<(?:rss|channel)[\s>]")
-    options = {"mode": "PERMISSIVE"}
-    rss = F.from_xml(xml, RSS, options)["channel"]["item"]
-    atom = F.from_xml(xml, ATOM, options)["entry"]
-    entries = F.when(is_atom, F.transform(atom, _atom_entry)).otherwise(F.transform(rss, _rss_entry))
-    parsed = feeds.select(*keep, xml, entries.alias("_entries"))
-    whole = F.col(xml).rlike(r"</(?:[\w.-]+:)?(?:rss|feed|RDF)>\s*\z")
-    failed = parsed.where((F.coalesce(F.size("_entries"), F.lit(0)) <= 0) & ~F.coalesce(whole, F.lit(False)))
+    is_feed = F.col(xml).rlike(r"<(?:[\w.-]+:)?(?:feed|rss|RDF|channel)[\s>]")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    readable = feeds.select(*keep, xml, expand_named(F.col(xml)).alias("_xml"))
+    rss, atom = F.from_xml("_xml", RSS, options), F.from_xml("_xml", ATOM, options)
+    roots = readable.select(*keep, xml, F.when(~is_atom, rss).alias("_rss"), F.when(is_atom, atom).alias("_atom"))
+    items = F.when(F.size("_rss.channel.item") > 0, F.col("_rss.channel.item")).otherwise(F.col("_rss.item"))
+    entries = F.when(is_atom, F.transform("_atom.entry", _atom_entry)).otherwise(F.transform(items, _rss_entry))
+    broken = F.coalesce("_rss._broken", "_atom._broken").isNotNull() | ~F.coalesce(is_feed, F.lit(False))
+    parsed = roots.select(*keep, entries.alias("_entries"), broken.alias("_broken"))
+    failed = parsed.where((F.coalesce(F.size("_entries"), F.lit(0)) <= 0) & F.col("_broken"))
     # The outer form keeps Spark from parsing the feed a second time for a filter on empty lists.
     opened = parsed.select(*keep, F.posexplode_outer("_entries").alias("pos", "_entry"))
     opened = opened.where(F.col("pos").isNotNull()).select(*keep, "pos", "_entry.*")
