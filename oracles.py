@@ -146,8 +146,11 @@ SELECT doc_id, lang, doc_id % 2 = 1 AS held_out, detected FROM documents LEFT JO
 ORACLES["language_fill"] = f"""{CLEANED}, labelled AS (SELECT source_language AS lang, raw_text AS text FROM raw_items WHERE source_language IS NOT NULL AND raw_text IS NOT NULL),
 asked AS (SELECT arrival AS key, clean AS text FROM cleaned WHERE source_language IS NULL), {profile_ctes('labelled')}
 SELECT arrival, source_language, coalesce(source_language, detected) AS language FROM cleaned LEFT JOIN best ON key = arrival"""
-ORACLES["normalized_items"] = f"""{HASHED} SELECT arrival, source_id, external_content_id, {_TYPE} AS content_type, nullif(clean, '') AS normalized_text,
-  content_hash, source_language AS language, 'normalized' AS status FROM hashed"""
+_DETECTED = f"""labelled AS (SELECT source_language AS lang, raw_text AS text FROM raw_items WHERE source_language IS NOT NULL AND raw_text IS NOT NULL),
+asked AS (SELECT arrival AS key, clean AS text FROM cleaned WHERE source_language IS NULL), {profile_ctes('labelled')}"""
+ORACLES["normalized_items"] = f"""{HASHED}, {_DETECTED} SELECT arrival, source_id, external_content_id, {_TYPE} AS content_type, nullif(clean, '') AS normalized_text,
+  content_hash, coalesce(source_language, detected) AS language, 'normalized' AS status,
+  CAST(epoch(TIMESTAMP '2024-01-01 07:00:00') AS BIGINT) + arrival % 28 * 86400 AS published_at FROM hashed LEFT JOIN best ON key = arrival"""
 
 # --- dedup and ingestion ---
 
@@ -164,9 +167,9 @@ ORACLES["ingest_incremental"] = f"""{HASHED}, early_part AS (SELECT * FROM scree
 late_part AS (SELECT * FROM screened WHERE arrival >= {_CUT}), {outcome('first_run', 'early_part')},
 stored AS (SELECT source_id, external_content_id, content_hash FROM first_run WHERE inserted), {outcome('ingested', 'late_part', 'stored')}
 SELECT {_OUTCOME} FROM ingested"""
-ORACLES["content_items"] = f"""{BATCH} SELECT source_id, external_content_id, {_TYPE} AS content_type, source_content_type, title,
-  sha256(raw_text) AS content_sha, sha256(nullif(clean, '')) AS normalized_sha, url, content_hash, source_language AS language,
-  'deduplicated' AS status, is_duplicate, CAST(epoch(TIMESTAMP '2024-02-01') AS BIGINT) AS fetched_at FROM ingested WHERE inserted"""
+ORACLES["content_items"] = f"""{BATCH}, {_DETECTED} SELECT source_id, external_content_id, {_TYPE} AS content_type, source_content_type, title,
+  sha256(raw_text) AS content_sha, sha256(nullif(clean, '')) AS normalized_sha, url, content_hash, coalesce(source_language, detected) AS language,
+  'deduplicated' AS status, is_duplicate, CAST(epoch(TIMESTAMP '2024-02-01') AS BIGINT) AS fetched_at FROM ingested LEFT JOIN best ON key = arrival WHERE inserted"""
 _COUNTERS = """count(*) FILTER (WHERE outcome = 'saved') AS saved, count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates,
   count(*) FILTER (WHERE outcome = 'skipped') AS skipped, count(*) FILTER (WHERE outcome = 'error') AS errors"""
 ORACLES["run_results"] = f"""{BATCH} SELECT source_id, count(*) AS fetched, {_COUNTERS},

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from signal_lake.session import stage
+
 SALTS = 64
 
 
@@ -92,6 +94,25 @@ def first_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], limit
     return kept.drop("_rank")
 
 
+def global_rank(rows: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """Add the place of each row in the order of the whole table, from 0; ``order`` must tell all rows apart.
+
+    Rows are dealt out by ranges of the order and written; each range is numbered on its own, and begins where the
+    ranges before it end. Only the sizes of the ranges, one number per partition, come to the driver.
+    """
+    ranged = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged = stage(ranged, "ranges")
+    sizes = sorted((r["_range"], r["n"]) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect())
+    starts, total = [], 0
+    for part, size in sizes:
+        starts.append((part, total))
+        total += size
+    table = rows.sparkSession.createDataFrame(starts, "_range int, _start bigint")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = ranged.withColumn("_inside", inside).join(table, "_range")
+    return numbered.withColumn(name, F.col("_start") + F.col("_inside") - 1).drop("_range", "_inside", "_start")
+
+
 def with_previous(
     rows: DataFrame, keys: Sequence[str], order: str, value: str, name: str, block: Column
 ) -> DataFrame:

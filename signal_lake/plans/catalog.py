@@ -150,15 +150,17 @@ def language_detect(spark, sf_dir):
 def language_fill(spark, sf_dir):
     """Language of every item: the source's, else the detected one."""
     items = _raw(spark, sf_dir)
-    profile = L.train_profile(items, "raw_text", "source_language")
-    return I.fill_language(I.with_clean_text(items), "arrival", profile).select("arrival", "source_language", "language")
+    cleaned = stage(I.with_clean_text(items), "cleaned")
+    return I.fill_language(cleaned, "arrival", I.language_profile(items)).select("arrival", "source_language", "language")
 
 
 @query
 def normalized_items(spark, sf_dir):
     """Everything normalisation derives of an item."""
-    return I.normalized_items(_raw(spark, sf_dir)).select(
-        "arrival", "source_id", "external_content_id", "content_type", "normalized_text", "content_hash", "language", "status"
+    day = F.lpad((F.col("arrival") % 28 + 1).cast("string"), 2, "0")
+    dated = _raw(spark, sf_dir).withColumn("published_at", S.parse_datetime(F.concat(F.lit("2024-01-"), day, F.lit("T10:00:00+03"))))
+    return I.normalized_items(dated).select(
+        "arrival", "source_id", "external_content_id", "content_type", "normalized_text", "content_hash", "language", "status", _epoch("published_at")
     )
 
 
@@ -168,7 +170,7 @@ def normalized_items(spark, sf_dir):
 @query
 def dedup_batch(spark, sf_dir):
     """Duplicate marks when nothing is screened out first."""
-    items = I.normalized_items(_raw(spark, sf_dir)).select("arrival", "source_id", "external_content_id", "content_hash")
+    items = I.normalized_items(_raw(spark, sf_dir), detect=False).select("arrival", "source_id", "external_content_id", "content_hash")
     return mark_duplicates(stage(items, "fingerprints")).select("arrival", "inserted", "is_duplicate", "outcome")
 
 
@@ -196,7 +198,7 @@ def ingest_incremental(spark, sf_dir):
 @query
 def content_items(spark, sf_dir):
     """The stored rows one batch yields."""
-    items = _raw(spark, sf_dir)
+    items = stage(I.prepared(_raw(spark, sf_dir)), "prepared")
     rows = I.content_rows(items, I.ingest(items), _at(RUN_TIME))
     return rows.select(
         "source_id", "external_content_id", "content_type", "source_content_type", "title",
@@ -280,11 +282,10 @@ def items_enriched(spark, sf_dir):
 def ingest_wave1(spark, sf_dir):
     """A run over the active sources of wave 1, in the order of the run."""
     sources = _numbered_sources(spark, sf_dir)
-    items = P.ordered_items(_registry_items(spark, sf_dir), P.select_sources(sources, wave=1))
-    outcomes = I.ingest(items)
-    return outcomes.select(
-        F.col("arrival.canonical_key").alias("canonical_key"), F.col("arrival.pos").alias("pos"),
-        "content_hash", "inserted", "is_duplicate", "outcome", "reason",
+    placed = P.placed_sources(P.select_sources(sources, wave=1))
+    items = P.ordered_items(_registry_items(spark, sf_dir), placed)
+    return P.with_key(I.ingest(items), placed).select(
+        "canonical_key", "pos", "content_hash", "inserted", "is_duplicate", "outcome", "reason",
     )
 
 

@@ -25,24 +25,31 @@ def with_clean_text(items: DataFrame) -> DataFrame:
     return items.withColumn("normalized_text", clean_text(F.col("raw_text")))
 
 
-def fingerprints(items: DataFrame, order: str = "arrival") -> DataFrame:
-    """The narrow rows dedup works on: order, key, ``content_hash``, and the ``reason`` of an early skip.
+PRINT = [*KEY, "content_hash", "reason"]
+
+
+def prepared(items: DataFrame) -> DataFrame:
+    """Items with ``normalized_text``, ``content_hash``, and the ``reason`` of an early skip: the one pass over the texts.
 
     The advert check reads the raw text and spares those rows the cleaning. The text is cleaned once;
-    length and fingerprint share the result. Skipped rows get no fingerprint.
+    length and fingerprint share the result. Skipped rows get no fingerprint. Staged, the result serves dedup, which
+    reads its narrow columns, and the stored rows alike.
     """
+    own = [name for name in items.columns if name not in ("normalized_text", "content_hash", "reason")]
     advert = (F.col("fetch_method") == "telegram_api") & S.is_advert(F.col("raw_text"))
-    cleaned = items.select(
-        order, *KEY, "url", "title", advert.alias("_advert"),
-        F.when(~advert, clean_text(F.col("raw_text"))).alias("_clean"),
-    )
+    cleaned = items.select(*own, advert.alias("_advert"), F.when(~advert, clean_text(F.col("raw_text"))).alias("normalized_text"))
     reason = (
         F.when(F.col("source_id").isNull(), "no_source")
         .when(F.col("_advert"), "ad")
-        .when(S.is_short(F.col("_clean")), "short")
+        .when(S.is_short(F.col("normalized_text")), "short")
     )
-    prints = S.content_hash(F.col("source_id"), F.col("url"), F.col("title"), F.col("_clean"))
-    return cleaned.select(order, *KEY, F.when(reason.isNull(), prints).alias("content_hash"), reason.alias("reason"))
+    prints = S.content_hash(F.col("source_id"), F.col("url"), F.col("title"), F.col("normalized_text"))
+    return cleaned.select(*own, "normalized_text", F.when(reason.isNull(), prints).alias("content_hash"), reason.alias("reason"))
+
+
+def fingerprints(items: DataFrame, order: str = "arrival") -> DataFrame:
+    """The narrow rows dedup works on: order, key, ``content_hash``, and the ``reason`` of an early skip."""
+    return prepared(items).select(order, *PRINT)
 
 
 def outcomes_of(
@@ -66,27 +73,46 @@ def outcomes_of(
 def ingest(items: DataFrame, stored: DataFrame | None = None, order: str = "arrival", salts: int = SALTS) -> DataFrame:
     """Outcome of each item: order, key, content_hash, inserted, is_duplicate, outcome, reason.
 
-    The heavy text pass runs once and leaves a narrow staged table; all shuffles move narrow rows.
+    Of staged ``prepared`` items the narrow columns are read; other items go through the text pass first, which
+    leaves a narrow staged table. All shuffles move narrow rows.
     """
-    return outcomes_of(stage(fingerprints(items, order), "fingerprints"), stored, order, salts)
+    ready = set(PRINT) <= set(items.columns)
+    prints = items.select(order, *PRINT) if ready else stage(fingerprints(items, order), "fingerprints")
+    return outcomes_of(prints, stored, order, salts)
+
+
+def language_profile(items: DataFrame) -> DataFrame:
+    """A profile trained on the items whose source has one language."""
+    return L.train_profile(items.where(~is_blank(F.col("source_language")) & (F.col("source_language") != "mixed")), "raw_text", "source_language")
 
 
 def fill_language(items: DataFrame, order: str, profile: DataFrame | None) -> DataFrame:
-    """``language``: the source's if it has one, else the detected one of the cleaned text.
+    """``language``: the source's if it has one, else the detected one of the cleaned text; without a profile only the former.
 
-    Only texts of sources without a language go through detection.
+    Only texts of sources without a language go through detection, and only they are joined with its result.
     """
     own = or_null(F.col("source_language"))
     if profile is None:
         return items.withColumn("language", own)
-    unknown = items.where(is_blank(F.col("source_language")))
+    blank = is_blank(F.col("source_language"))
+    known = items.where(~blank).withColumn("language", own)
+    unknown = items.where(blank)
     found = L.detect(unknown.select(order, "normalized_text"), order, "normalized_text", profile)
-    return items.join(found, order, "left").withColumn("language", F.coalesce(own, "detected")).drop("detected")
+    return known.unionByName(unknown.join(found, order, "left").withColumnRenamed("detected", "language"))
+
 
+def _profile_of(items: DataFrame, profile: DataFrame | None, detect: bool) -> DataFrame | None:
+    return language_profile(items) if profile is None and detect else profile if detect else None
 
-def normalized_items(items: DataFrame, order: str = "arrival", profile: DataFrame | None = None) -> DataFrame:
-    """All columns normalisation derives, next to ``order`` and the item's own columns."""
-    cleaned = fill_language(with_clean_text(items), order, profile)
+
+def normalized_items(items: DataFrame, order: str = "arrival", profile: DataFrame | None = None, detect: bool = True) -> DataFrame:
+    """All columns normalisation derives, next to ``order`` and the item's own columns.
+
+    A missing language is detected unless ``detect`` is off, by ``profile`` or by one trained on the items themselves.
+    """
+    chosen = _profile_of(items, profile, detect)
+    cleaned = with_clean_text(items)
+    cleaned = fill_language(cleaned if chosen is None else stage(cleaned, "cleaned"), order, chosen)
     return cleaned.select(
         *[name for name in items.columns if name not in ("normalized_text", "language")],
         or_null(F.col("normalized_text")).alias("normalized_text"),
@@ -98,16 +124,17 @@ def normalized_items(items: DataFrame, order: str = "arrival", profile: DataFram
 
 
 def content_rows(
-    items: DataFrame, outcomes: DataFrame, run_at: Column, order: str = "arrival", profile: DataFrame | None = None
+    items: DataFrame, outcomes: DataFrame, run_at: Column, order: str = "arrival", profile: DataFrame | None = None, detect: bool = True
 ) -> DataFrame:
-    """Rows of ``content_items`` for the inserted items.
+    """Rows of ``content_items`` for the inserted items of a staged ``prepared`` table.
 
-    The wide rows are shuffled once, on the unique ``order``, and only inserted ones are cleaned again.
+    The wide rows are shuffled once, on the unique ``order``. A missing language is detected as in ``normalized_items``.
     """
     taken = outcomes.where("inserted").select(order, "content_hash", "is_duplicate")
     lacking = [f for f in CONTENT_ITEMS.fields if f.name in (*ENGAGEMENT_COLUMNS, "author_name", "published_at", "raw_payload")]
     full = items.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking if f.name not in items.columns])
-    rows = fill_language(with_clean_text(full.join(taken, order)), order, profile)
+    ready = full if "normalized_text" in full.columns else with_clean_text(full)
+    rows = fill_language(ready.drop("content_hash", "reason").join(taken, order), order, _profile_of(items, profile, detect))
     place = F.to_json(F.struct(order))
     made: dict[str, Column] = {
         "id": F.sha2(F.concat_ws("|", F.col("source_id"), F.coalesce("external_content_id", F.lit("")), place), 256),

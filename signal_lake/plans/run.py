@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from signal_lake.operators import tables
+from signal_lake.operators.skew import global_rank, lookup_join
 from signal_lake.plans import ingest as I
 from signal_lake.plans.limits import pick_landed
-from signal_lake.plans.registry import active_sources, processing_order
+from signal_lake.plans.registry import active_sources, processing_order, source_by_key
 from signal_lake.schemas import CONTENT_ITEMS, SOURCES
 from signal_lake.session import stage
-from signal_lake.sources.router import route, source_errors
+from signal_lake.sources.router import has_connector, route, source_errors
 
 
 def read_sources(spark: SparkSession, root: str, version: int) -> DataFrame:
@@ -31,9 +32,8 @@ def append_items(rows: DataFrame, root: str) -> None:
     rows.select(*CONTENT_ITEMS.names).write.mode("append").partitionBy("is_duplicate").parquet(f"{root}/content_items")
 
 
-def run_order(pos: str = "pos") -> Column:
-    """Place of an item in the run: its source's place, then its place in the source."""
-    return F.struct(*processing_order(), F.col(pos))
+#: An item's place in a run is one number: its source's place, and in the lower bits its place in the source.
+POSITION_BITS = 40
 
 
 def select_sources(
@@ -44,13 +44,31 @@ def select_sources(
     return chosen.where(F.col("canonical_key") == key) if key else chosen
 
 
-def ordered_items(items: DataFrame, sources: DataFrame, pos: str = "pos") -> DataFrame:
-    """Items of the given sources with ``arrival``, source language and method."""
-    joined = I.with_source(
-        items.drop("fetch_method"), sources, pos, tier="tier", wave="wave", source_name="source_name",
-        canonical_key="canonical_key", source_language="language", fetch_method="fetch_method",
-    )
-    return joined.withColumn("arrival", run_order(pos)).drop("tier", "wave", "source_name")
+def require_source(sources: DataFrame, key: str) -> None:
+    """A run that names its source fails if there is none or it is switched off."""
+    found = source_by_key(sources, key).select("problem").limit(1).collect()
+    if not found:
+        raise ValueError(f"no source has the key {key!r}")
+    if found[0].problem:
+        raise ValueError(f"source {key!r} is {found[0].problem}")
+
+
+def placed_sources(sources: DataFrame) -> DataFrame:
+    """Sources with ``place``, their number in the order of the run."""
+    return global_rank(sources, processing_order(), "place")
+
+
+def ordered_items(items: DataFrame, placed: DataFrame, pos: str = "pos") -> DataFrame:
+    """Items of ``placed_sources`` with ``arrival``, source language and method."""
+    joined = I.with_source(items.drop("fetch_method"), placed, pos, place="place", source_language="language", fetch_method="fetch_method")
+    arrival = F.col("place") * F.lit(1 << POSITION_BITS) + F.col(pos).cast("bigint")
+    return joined.withColumn("arrival", arrival).drop("place")
+
+
+def with_key(outcomes: DataFrame, placed: DataFrame) -> DataFrame:
+    """Outcomes with the key of their source and the item's ``pos`` there."""
+    split = outcomes.withColumns({"place": F.shiftright("arrival", POSITION_BITS), "pos": F.col("arrival") % F.lit(1 << POSITION_BITS)})
+    return lookup_join(split, placed.select("place", "canonical_key"), "place", "arrival", "inner").drop("place")
 
 
 def run_ingestion(
@@ -65,30 +83,44 @@ def run_ingestion(
     key: str | None = None,
     dry_run: bool = False,
     profile: DataFrame | None = None,
+    detect: bool = True,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """Ingest landed records (method -> table with source_id, pos and the connector's fields).
 
-    Each source's limits and selectors are applied to its records first.
+    Each source's limits and selectors are applied to its records first. A missing language is detected unless ``detect`` is off.
     Returns the counters per source. Unless it is a dry run, inserted items are appended under
     ``root`` and the sources with their new state are written as ``version``. A source that cannot be fetched
-    gives an error row and no items.
+    gives an error row and no items, and so does one in ``failures`` (canonical_key, message): what readers
+    and parsers of its files turned away. Records of a method without a connector are left; their sources are errors.
     """
+    if key:
+        require_source(sources, key)
     chosen = select_sources(sources, method, wave, key)
-    errors = stage(source_errors(chosen), "source_errors")
-    fit = chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti")
-    picked = {name: pick_landed(name, records, fit) for name, records in landed.items()}
-    items = ordered_items(route(picked, ["source_id", "pos"]), fit).drop("pos")
-    stored = None
-    if _exists(spark, f"{root}/content_items"):
-        stored = read_items(spark, root).select("source_id", "external_content_id", "content_hash")
-    outcomes = stage(I.ingest(items, stored), "outcomes")
-    keyed = outcomes.withColumn("canonical_key", F.col("arrival.canonical_key"))
-    results = stage(I.run_results(keyed, errors, "canonical_key", fit), "run_results")
-    if not dry_run:
-        append_items(I.content_rows(items, outcomes, run_at, profile=profile), root)
+    errors = source_errors(chosen)
+    if failures is not None:
+        failed = failures.groupBy("canonical_key").agg(F.min("message").alias("message"))
+        failed = failed.join(chosen.select("canonical_key", "fetch_method"), "canonical_key").join(errors.select("canonical_key"), "canonical_key", "left_anti")
+        errors = errors.unionByName(failed.withColumn("recorded", F.lit(True)))
+    errors = stage(errors, "source_errors")
+    fit = placed_sources(chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti"))
+    picked = {name: pick_landed(name, records, fit) for name, records in landed.items() if has_connector(name)}
+    if not picked:
+        nothing = fit.select("canonical_key", F.lit("none").alias("outcome")).limit(0)
+        results = stage(I.run_results(nothing, errors, "canonical_key", fit), "run_results")
+    else:
+        routed = ordered_items(route(picked, ["source_id", "pos"]), fit).drop("pos")
+        items = stage(I.prepared(routed), "prepared")
+        stored = None
+        if _exists(spark, f"{root}/content_items"):
+            stored = read_items(spark, root).select("source_id", "external_content_id", "content_hash")
+        outcomes = stage(I.ingest(items, stored), "outcomes")
+        results = stage(I.run_results(with_key(outcomes, fit), errors, "canonical_key", fit), "run_results")
+        if not dry_run:
+            append_items(I.content_rows(items, outcomes, run_at, profile=profile, detect=detect), root)
+    if not dry_run and version is not None:
         noted = errors.where("recorded").select("canonical_key", "message", F.lit(0).alias("seq"))
-        if version is not None:
-            write_sources(tables.record_state(sources, noted, fit.select("canonical_key"), run_at), root, version)
+        write_sources(tables.record_state(sources, noted, fit.select("canonical_key"), run_at), root, version)
     return results
 
 

@@ -33,6 +33,10 @@ def register_connector(method: str, mapper: Mapper) -> None:
     _connectors[method] = mapper
 
 
+def has_connector(method: str) -> bool:
+    return method in _connectors
+
+
 def known_methods() -> list[str]:
     return [*_connectors, *[name for name in PLANNED if name not in _connectors]]
 

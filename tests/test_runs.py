@@ -108,7 +108,7 @@ def test_run_against_a_store(spark, tmp_path):
     stored = P.read_items(spark, root)
     assert stored.schema == CONTENT_ITEMS
     assert {(r.external_content_id, r.is_duplicate, r.status, r.language, r.content_type) for r in stored.collect()} == {
-        ("1", False, "deduplicated", None, "article"), (None, False, "deduplicated", None, "article"), ("1", True, "deduplicated", "en", "article"),
+        ("1", False, "deduplicated", "en", "article"), (None, False, "deduplicated", "en", "article"), ("1", True, "deduplicated", "en", "article"),
     }
     after = {r.canonical_key: r for r in P.read_sources(spark, root, 2).collect()}
     assert (after["broken"].error_count, after["broken"].last_error_msg, after["broken"].last_checked_at) == (1, "no feed address", None)
@@ -123,6 +123,22 @@ def test_run_against_a_store(spark, tmp_path):
     assert {r.canonical_key: r.saved for r in only.collect()} == {"late": 1}
 
 
+def test_runs_that_name_no_source_or_bring_nothing(spark, tmp_path):
+    sources = make_sources(spark, [("a", "manual_import", "en", 1, None, None), ("b", "nope", "en", 1, None, None), ("c", "manual_import", "en", 1, None, None)])
+    sources = sources.withColumn("fetch_config", F.lit('{"file_path": "/d/x.json"}')).withColumn("is_active", F.col("canonical_key") != "c")
+    root, records = str(tmp_path / "store"), landed(spark, [("a", 0, "1", BODY, None)])
+    for key, problem in (("gone", "no source has the key 'gone'"), ("c", "source 'c' is not active")):
+        with pytest.raises(ValueError, match=problem):
+            P.run_ingestion(spark, root, sources, records, at("2024-02-01"), key=key)
+    for nothing in ({}, {"nope": records["manual_import"]}):
+        results = P.run_ingestion(spark, root, sources, nothing, at("2024-02-01"), dry_run=True)
+        assert {r.canonical_key: (r.fetched, r.errors) for r in results.collect()} == {"a": (0, 0), "b": (0, 1)}
+    failures = spark.createDataFrame([("a", "feed parse error"), ("a", "feed parse error"), ("gone", "x")], "canonical_key string, message string")
+    results = P.run_ingestion(spark, root, sources, records, at("2024-02-01"), version=2, failures=failures)
+    assert {r.canonical_key: (r.fetched, r.errors) for r in results.collect()} == {"a": (0, 1), "b": (0, 1)}
+    assert {r.canonical_key: r.last_error_msg for r in P.read_sources(spark, root, 2).collect()} == {"a": "feed parse error", "b": None, "c": None}
+
+
 def test_sources_set_their_limits(spark):
     sources = make_sources(spark, [("a", "telegram_api", "en", 1, None, "@a"), ("b", "telegram_api", "en", 1, None, "@b"), ("h", "hn_api", "en", 1, None, None), ("w", "web_scraper", "en", 1, None, None)])
     config = F.create_map(F.lit("a"), F.lit('{"limit": 2, "min_id": 3}'), F.lit("b"), F.lit("{}"), F.lit("h"), F.lit('{"feed": "askhn", "limit": 3, "min_score": 2}'), F.lit("w"), F.lit('{"content_selector": ".x.y", "title_selector": "h1"}'))
