@@ -347,3 +347,19 @@ walked AS (SELECT *, lag(t) OVER (PARTITION BY url ORDER BY snap) AS before FROM
 SELECT url, snap, CASE WHEN before IS NULL THEN 'new' WHEN before = t THEN 'same' ELSE 'changed' END AS state FROM walked"""
 ORACLES["first_n_per_source"] = f"""{views('raw_items')} SELECT source_id, arrival FROM raw_items
 QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY arrival) <= CASE fetch_method WHEN 'rss' THEN 7 WHEN 'telegram_api' THEN 5 ELSE 3 END"""
+
+# --- what runs are made of ---
+
+_BAD = "CASE WHEN signal_quality NOT BETWEEN 1 AND 5 THEN 'signal_quality_range' END, CASE WHEN tier NOT BETWEEN 1 AND 3 THEN 'tier_range' END"
+ORACLES["registry_load"] = f"""{SEED}, checked AS (SELECT *, concat_ws(';', {_BAD}) AS violations FROM seed)
+SELECT canonical_key, tier, CASE WHEN violations <> '' THEN NULL WHEN row_no <= {_THIRD} THEN {_T0} ELSE {_T1} END AS created_at,
+  CASE WHEN violations = '' THEN {_T1} END AS updated_at, violations FROM checked"""
+ORACLES["registry_configs"] = f"""{SEED} SELECT canonical_key, CAST(row_no AS BIGINT) AS item_limit, 'ru,' || canonical_key AS languages,
+  platforms FROM seed"""
+ORACLES["csv_import"] = "SELECT CAST(doc_id AS VARCHAR) AS external_content_id, source AS author_name, sha256(text) AS text_sha FROM documents"
+ORACLES["distinct_stream"] = f"{BATCH} SELECT DISTINCT content_hash FROM ingested WHERE content_hash IS NOT NULL"
+ORACLES["routed_items"] = """SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN 'manual_import' WHEN 3 THEN 'own_api' ELSE 'huggingface_api' END AS fetch_method,
+  CASE doc_id % 4 WHEN 0 THEN 'p' WHEN 1 THEN 'm' WHEN 3 THEN 'o' ELSE '' END || doc_id AS external_content_id,
+  CASE doc_id % 4 WHEN 0 THEN 'hf_paper' WHEN 1 THEN 'hf_model' ELSE 'manual' END AS source_content_type,
+  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 3 THEN lang ELSE source END AS author_name,
+  sha256(CASE WHEN doc_id % 4 = 1 THEN 'Tags: ' || lang ELSE text END) AS text_sha FROM documents"""

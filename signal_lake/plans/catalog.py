@@ -336,6 +336,78 @@ def registry_flat(spark, sf_dir):
     return G.flatten(G.read_seed(spark, f"{path}/json"))
 
 
+@query
+def registry_load(spark, sf_dir):
+    """A load of the list over a stored registry: the table after it, and the rows that stay in quarantine."""
+    third = load(spark, sf_dir, "customer").count() // 3
+    rows = load(spark, sf_dir, "registry_raw")
+    first = G.transform_registry(rows.where(F.col("row_no") <= third))
+    stored = T.new_sources(T.split_quarantine(first)[0], _at(SEED_TIME)).withColumn("tier", F.lit(1).cast("smallint"))
+    merged, bad = G.load_registry(rows, stored, _at(RUN_TIME))
+    loaded = merged.select("canonical_key", "tier", _epoch("created_at"), _epoch("updated_at"), F.lit("").alias("violations"))
+    missing = F.lit(None).cast("bigint")
+    return loaded.unionByName(bad.select(
+        "canonical_key", "tier", missing.alias("created_at"), missing.alias("updated_at"), F.array_join("violations", ";").alias("violations")
+    ))
+
+
+@query
+def registry_configs(spark, sf_dir):
+    """Settings and platforms of sources that carry them as JSON text, decoded."""
+    config = F.concat(F.lit('{"limit": '), F.col("row_no").cast("string"), F.lit(', "languages": ["ru", "'), F.col("canonical_key"), F.lit('"]}'))
+    rows = _seed(spark, sf_dir).withColumns({"fetch_config": config, "platforms": F.to_json("platforms")})
+    decoded = G.decode_config(rows)
+    return decoded.select(
+        "canonical_key", F.col("fetch_config.limit").cast("bigint").alias("item_limit"), F.array_join("fetch_config.languages", ",").alias("languages"),
+        F.array_join("platforms", ";").alias("platforms"),
+    )
+
+
+@query
+def csv_import(spark, sf_dir):
+    """Documents written as two CSV imports of different header order, read back by name."""
+    import uuid
+
+    path = f"{shared_dir(spark)}/import-{uuid.uuid4().hex}"
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("raw_text"), F.col("source").alias("author"))
+    even = F.col("id").cast("bigint") % 2 == 0
+    for name, part in (("a", docs.where(even)), ("b", docs.where(~even).select("author", "raw_text", "id"))):
+        part.write.csv(f"{path}/{name}", header=True, escape='"', quoteAll=True)
+    records = manual.read_csv(spark, [f"{path}/a", f"{path}/b"])
+    return manual.manual_items(records, []).select("external_content_id", "author_name", F.sha2("raw_text", 256).alias("text_sha"))
+
+
+@query
+def distinct_stream(spark, sf_dir):
+    """Fingerprints that a stream lets through when it drops repeats within the watermark."""
+    import uuid
+
+    root = f"{shared_dir(spark)}/distinct-{uuid.uuid4().hex}"
+    prints = I.fingerprints(_raw(spark, sf_dir)).where(F.col("content_hash").isNotNull())
+    prints.select("content_hash", F.timestamp_seconds("arrival").alias("at")).write.parquet(f"{root}/landing")
+    landed = spark.readStream.schema("content_hash string, at timestamp").parquet(f"{root}/landing")
+    kept = ST.distinct_within(landed, "at", "3650 days")
+    writer = kept.writeStream.format("parquet").option("path", f"{root}/kept").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("content_hash string").parquet(f"{root}/kept")
+
+
+@query
+def routed_items(spark, sf_dir):
+    """Records of several methods, both listings and a connector of its own among them, as one table of items."""
+    docs = load(spark, sf_dir, "documents")
+    listing = docs.where("doc_id % 4 < 2").selectExpr(
+        "doc_id", "CASE WHEN doc_id % 4 = 0 THEN 'daily_papers' ELSE 'trending_models' END AS feed",
+        """CASE WHEN doc_id % 4 = 0 THEN to_json(named_struct('paper', named_struct('id', concat('p', doc_id), 'title', source, 'summary', text)))
+           ELSE to_json(named_struct('id', concat('m', doc_id), 'author', source, 'tags', array(lang))) END AS json""",
+    )
+    manual_records = docs.where("doc_id % 4 = 2").selectExpr("doc_id", "CAST(doc_id AS STRING) AS id", "text", "source AS author")
+    own = docs.where("doc_id % 4 = 3").selectExpr("doc_id", "concat('o', doc_id) AS id", "text", "lang AS author")
+    router.register_connector("own_api", manual.manual_items)
+    items = router.route({"huggingface_api": listing, "manual_import": manual_records, "own_api": own}, ["doc_id"])
+    return items.select("doc_id", "fetch_method", "external_content_id", "source_content_type", "author_name", F.sha2("raw_text", 256).alias("text_sha"))
+
+
 @query
 def registry_violations(spark, sf_dir):
     """Constraints each source row breaks."""
@@ -597,8 +669,8 @@ def web_items(spark, sf_dir):
 
 @query
 def page_changes(spark, sf_dir):
-    """State of each snapshot against the one before."""
-    changes = web.page_changes(load(spark, sf_dir, "page_snapshots"), F.floor(F.col("snap") / 100))
+    """State of each snapshot against the one before; each snapshot is a block of its own, so all is carried."""
+    changes = web.page_changes(load(spark, sf_dir, "page_snapshots"), F.floor(F.col("snap") / 2))
     return changes.select("url", "snap", "state")
 
 

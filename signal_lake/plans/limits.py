@@ -30,7 +30,10 @@ def pick_landed(method: str, records: DataFrame, sources: DataFrame) -> DataFram
         F.col("id").alias("source_id"),
         F.coalesce(F.col(f"fetch_config.{setting}"), F.lit(default)).alias("_limit") if setting else F.lit(0).alias("_limit"),
         F.coalesce("fetch_config.min_id", F.lit(0)).alias("_min_id"),
-        F.coalesce("fetch_config.feed", F.lit("topstories")).alias("_feed"),
+        F.coalesce("fetch_config.feed", F.lit(hf.FEEDS[0] if method == "huggingface_api" else "topstories")).alias("_feed"),
+        F.coalesce("fetch_config.sort", F.lit("likes")).alias("_sort"),
+        F.coalesce("fetch_config.languages", F.array(*map(F.lit, transcript.DEFAULT_LANGUAGES))).alias("_languages"),
+        transcript.source_videos(F.col("fetch_config.video_ids"), F.col("url"), F.coalesce("fetch_config.max_videos", F.lit(transcript.DEFAULT_LIMIT))).alias("_videos"),
         F.coalesce("fetch_config.min_score", F.lit(0)).alias("_min_score"),
         F.col("fetch_config.content_selector").alias("content_selector"),
         F.col("fetch_config.title_selector").alias("title_selector"),
@@ -40,14 +43,25 @@ def pick_landed(method: str, records: DataFrame, sources: DataFrame) -> DataFram
     if setting:
         if method == "telegram_api":
             joined = joined.where(F.col("msg_id") > F.col("_min_id"))
-        order = F.col("msg_id").desc() if method == "telegram_api" else F.col("pos")
+        if method == "hn_api" and "list" in records.columns:
+            joined = joined.where(F.col("list") == hn.feed_list(F.col("_feed")))
+        if method == "youtube_transcript" and "video_id" in records.columns:
+            joined = joined.where(F.array_contains("_videos", F.col("video_id")))
+            if {"lang", "is_generated"} <= set(records.columns):
+                chosen = transcript.pick_transcript(joined, ["source_id", "video_id"], F.col("_languages"))
+                joined = joined.join(chosen, ["source_id", "video_id", "lang", "is_generated"], "left_semi")
+        order = [F.col("msg_id").desc()] if method == "telegram_api" else [F.col("pos")]
+        if method == "huggingface_api":
+            value = F.expr("TRY_CAST(get_json_object(json, concat('$.', _sort)) AS DOUBLE)")
+            order = [F.when(F.col("_feed") == hf.FEEDS[1], value).desc_nulls_last(), *order]
+            joined = joined.withColumn("feed", F.col("_feed"))
         bound = wish.agg(F.max("_limit")).first()[0] or default
-        joined = first_n(joined, ["source_id"], [order], F.col("_limit"), bound)
+        joined = first_n(joined, ["source_id"], order, F.col("_limit"), bound)
         if method == "telegram_api":
             joined = joined.where(~is_blank(F.col("text")))
         if method == "hn_api":
             joined = joined.where(hn.wanted(F.col("_feed"), F.col("_min_score")))
-    dropped = ["_limit", "_min_id", "_feed", "_min_score"]
+    dropped = ["_limit", "_min_id", "_feed", "_min_score", "_sort", "_languages", "_videos"]
     if method not in ("web_scraper", "site_change_monitor"):
         dropped += own
     return joined.drop(*dropped)

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from signal_lake.functions import registry_fields as R
 from signal_lake.functions.scalars import lenient_int
 from signal_lake.functions.space import is_blank, strip_space
+from signal_lake.operators import tables
 from signal_lake.operators.skew import keep_first
-from signal_lake.schemas import FETCH_CONFIG, REGISTRY_CSV, REGISTRY_CSV_COLUMNS, SCORE_COLUMNS, SOURCE_SEED
+from signal_lake.schemas import FETCH_CONFIG, REGISTRY_CSV_COLUMNS, SCORE_COLUMNS, SOURCE_SEED
 from signal_lake.sources.common import file_position
 
 # Keys of rows known to repeat another source under a different name.
@@ -16,9 +17,12 @@ DROPPED_KEYS = ["reforge-blog-additional", "ilya-krasinsky"]
 
 
 def read_registry_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the master list with ``row_no``, their place in the file."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8", schema=REGISTRY_CSV)
-    return rows.select("*", F.struct(*file_position()).alias("row_no"))
+    """Rows of the master list, columns by the names of its header, with ``row_no``, their place in the file."""
+    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
+    if "source_name" not in rows.columns:
+        raise ValueError(f"the list has no column source_name; it has {rows.columns}")
+    lacking = [F.lit(None).cast("string").alias(name) for name in REGISTRY_CSV_COLUMNS if name not in rows.columns]
+    return rows.select(*[F.col(n) for n in REGISTRY_CSV_COLUMNS if n in rows.columns], *lacking, F.struct(*file_position()).alias("row_no"))
 
 
 def registry_fields(rows: DataFrame, order: str = "row_no") -> DataFrame:
@@ -61,6 +65,12 @@ def transform_registry(rows: DataFrame, order: str = "row_no") -> DataFrame:
     return keep_first(fields.where(~F.col("canonical_key").isin(DROPPED_KEYS)), ["canonical_key"], order)
 
 
+def load_registry(rows: DataFrame, stored: DataFrame, run_at: Column, order: str = "row_no") -> tuple[DataFrame, DataFrame]:
+    """(the ``sources`` table after a load, rows in quarantine with their ``violations``): transform, check, upsert."""
+    good, bad = tables.split_quarantine(transform_registry(rows, order))
+    return tables.upsert_sources(stored, good, run_at), bad
+
+
 def flatten(seeds: DataFrame) -> DataFrame:
     """Lists as text joined by ``;``, ready for CSV."""
     return seeds.withColumns(

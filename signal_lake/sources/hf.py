@@ -67,6 +67,14 @@ def paper_items(landed: DataFrame, keep: list[str], json: str = "json") -> DataF
     )
 
 
+def listing_items(landed: DataFrame, keep: list[str], json: str = "json") -> DataFrame:
+    """Records of both listings, each by its own mapper; ``feed`` tells the listing, NULL and no column the papers."""
+    if "feed" not in landed.columns:
+        return paper_items(landed, keep, json)
+    models = F.coalesce(F.col("feed") == FEEDS[1], F.lit(False))
+    return paper_items(landed.where(~models), keep, json).unionByName(model_items(landed.where(models), keep, json))
+
+
 def model_items(landed: DataFrame, keep: list[str], json: str = "json") -> DataFrame:
     models = landed.withColumn("_m", F.from_json(json, MODEL)).where(F.col("_m").isNotNull())
     tags = F.coalesce(F.col("_m.tags"), F.array().cast("array<string>"))

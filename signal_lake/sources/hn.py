@@ -33,7 +33,7 @@ def pick_items(ranking: DataFrame, items: DataFrame, limit: int = DEFAULT_LIMIT,
     """Items of the first ``limit`` places; the filters come after the cut.
 
     ``ranking``: id, feed_rank (from 1); ``items``: id, title, score, deleted, dead and the rest. The
-    cut is pushed into the scan of the ranking, so the join meets ``limit`` ids.
+    cut comes before the join, which meets ``limit`` ids.
     """
     placed = ranking.where(F.col("feed_rank") <= limit).join(items, "id")
     return placed.where(wanted(F.lit(feed), F.lit(min_score)))

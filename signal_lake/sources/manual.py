@@ -25,13 +25,32 @@ def file_format(file_path: Column, configured: Column) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of CSV files; the columns are those of the header, all text."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8", enforceSchema=False)
-    return rows.select("*", F.struct(*file_position()).alias("position"))
+    """Records of CSV files; columns go by the names of each file's header, all text, those a file lacks are NULL.
+
+    Files of one header are one read. What comes to the driver is a name and a header per file of an import.
+    """
+    lines = spark.read.text(path).select("value", *file_position()).where("block_start = 0")
+    heads = lines.groupBy("file_path").agg(F.min_by("value", "place").alias("head")).groupBy("head").agg(F.collect_list("file_path").alias("files"))
+    whole: DataFrame | None = None
+    for group in sorted(heads.collect(), key=lambda r: min(r["files"])):
+        part = spark.read.csv(sorted(group["files"]), header=True, multiLine=True, escape='"', encoding="UTF-8", enforceSchema=False)
+        part = part.select("*", F.struct(*file_position()).alias("position"))
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], RECORD).select("*", F.lit(None).alias("position")) if whole is None else whole
+
+
+def read_import(spark: SparkSession, path: str, fmt: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(records, rejected files) of an import by its format, or else the suffix of its path."""
+    kind = (fmt or path.rsplit("/", 1)[-1].rpartition(".")[2]).lower()
+    if kind == "json":
+        return read_json(spark, path)
+    if kind == "csv":
+        return read_csv(spark, path), None
+    raise ValueError(f"unsupported format {kind}")
 
 
 def read_json(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(records, rejected files): a file whose top level is no list of objects yields no record.
+    """(records, rejected files): a file whose top level is no list yields no record, entries that are no object are left out.
 
     Each file is one import of its own and is parsed whole in one task, files in parallel.
     """
@@ -46,7 +65,7 @@ def read_json(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Da
     )
     records = parsed.where(F.col("entries").isNotNull()).select(
         "file_path", F.posexplode("entries").alias("place", "record")
-    )
+    ).where(F.col("record").rlike(r"^\s*\{"))
     fields = F.from_json("record", RECORD)
     return (
         records.select(F.struct("file_path", "place").alias("position"), "record", fields.alias("_r"))
@@ -94,4 +113,4 @@ def manual_items(records: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-__all__ = ["FORMATS", "file_format", "manual_items", "payload", "read_csv", "read_json", "strict_records"]
+__all__ = ["FORMATS", "file_format", "manual_items", "payload", "read_csv", "read_import", "read_json", "strict_records"]

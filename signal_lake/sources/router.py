@@ -21,7 +21,7 @@ _connectors: dict[str, Mapper] = {
     "telegram_api": channel.message_items,
     "youtube_transcript": transcript.transcript_items,
     "hn_api": hn.hn_items,
-    "huggingface_api": hf.paper_items,
+    "huggingface_api": hf.listing_items,
     "web_scraper": web.web_items,
     "site_change_monitor": web.web_items,
     "manual_import": manual.manual_items,

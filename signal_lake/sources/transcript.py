@@ -13,13 +13,14 @@ WATCH_URL = "https://www.youtube.com/watch?v="
 SEGMENTS_PER_BLOCK = 1000
 
 
-def pick_transcript(candidates: DataFrame, keys: list[str], languages: list[str] | None = None) -> DataFrame:
+def pick_transcript(candidates: DataFrame, keys: list[str], languages: list[str] | Column | None = None) -> DataFrame:
     """The transcript to use of each video: by language preference, manual before generated.
 
     Without one in a preferred language any manual one will do (least language code), and a video with
-    generated ones in other languages only is left out. The choice is an aggregate, combined map-side.
+    generated ones in other languages only is left out. The choice is an aggregate, combined map-side. ``languages`` may be a
+    column, each source's own list.
     """
-    wanted = F.array(*[F.lit(code) for code in languages or DEFAULT_LANGUAGES])
+    wanted = languages if isinstance(languages, Column) else F.array(*[F.lit(code) for code in languages or DEFAULT_LANGUAGES])
     place = F.array_position(wanted, F.col("lang"))
     usable = candidates.where((place > 0) | ~F.col("is_generated"))
     rank = F.struct(F.when(place > 0, place).otherwise(F.size(wanted) + 1), F.col("is_generated"), F.col("lang"))

@@ -16,7 +16,7 @@ def land_fingerprints(
 ) -> None:
     """Stream the files not seen yet through cleaning into ``root/fingerprints``, each exactly once.
 
-    ``landing`` is a folder of files, or one file. ``to_items`` turns landed rows into items with ``arrival``; the stream ends when all is
+    ``landing`` is a folder of files, of any names. ``to_items`` turns landed rows into items with ``arrival``; the stream ends when all is
     drained.
     """
     landed = (

@@ -57,6 +57,14 @@ def test_cleaning_is_computed_once(spark, small_sf):
     assert text.count("THE POST") == 2  # once for the text, once for its lines
 
 
+def test_plans_of_runs(spark, small_sf):
+    plan = plan_of(QUERIES["ingest_wave1"](spark, small_sf))
+    assert "SortAggregate" not in plan
+    assert "SinglePartition" not in plan_of(QUERIES["hn_show"](spark, small_sf))
+    rows = QUERIES["content_items"](spark, small_sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "THE POST" not in rows  # the texts were cleaned in the staged pass
+
+
 def test_scans_read_only_what_is_asked(spark, small_sf):
     plan = plan_of(QUERIES["cascade_delete"](spark, small_sf))
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan

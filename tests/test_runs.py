@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signal_lake.operators import language as L, tables as T
+from signal_lake.operators.skew import global_rank
 from signal_lake.plans import ingest as I, registry as G, run as P
 from signal_lake.plans.limits import pick_landed
 from signal_lake.plans.views import load
@@ -162,6 +163,54 @@ def test_sources_set_their_limits(spark):
     assert [(r.title, r.raw_text) for r in items] == [("Head", "chosen")]
 
 
+def test_sources_set_their_listings_and_videos(spark):
+    sources = make_sources(spark, [("m", "huggingface_api", "en", 1, None, None), ("p", "huggingface_api", "en", 1, None, None), ("v", "youtube_transcript", "en", 1, None, None)])
+    config = F.create_map(F.lit("m"), F.lit('{"feed": "trending_models", "sort": "downloads", "limit": 1}'), F.lit("p"), F.lit('{"limit": 1}'), F.lit("v"), F.lit('{"video_ids": ["a", "b"], "languages": ["de"]}'))
+    sources = sources.withColumn("fetch_config", F.try_element_at(config, F.col("canonical_key")))
+    ids = {r.canonical_key: r.id for r in sources.collect()}
+    listing = spark.createDataFrame(
+        [(ids["m"], i, f'{{"id": "m{i}", "likes": {9 - i}, "downloads": {i}}}') for i in range(3)] + [(ids["p"], i, f'{{"paper": {{"id": "p{i}"}}}}') for i in range(3)],
+        "source_id string, pos int, json string",
+    )
+    items = route({"huggingface_api": pick_landed("huggingface_api", listing, sources)}, ["source_id", "pos"]).collect()
+    assert {(r.external_content_id, r.source_content_type) for r in items} == {("m2", "hf_model"), ("p0", "hf_paper")}
+    videos = spark.createDataFrame(
+        [(ids["v"], i, v, lang, False, "t") for i, (v, lang) in enumerate([("a", "en"), ("a", "de"), ("b", "en"), ("c", "de")])],
+        "source_id string, pos int, video_id string, lang string, is_generated boolean, text string",
+    )
+    assert {(r.video_id, r.lang) for r in pick_landed("youtube_transcript", videos, sources).collect()} == {("a", "de"), ("b", "en")}
+
+
+def test_registry_list_goes_by_name(spark, tmp_path):
+    (tmp_path / "list.csv").write_text("type,source_name,tier\nmedia,One,2\nmedia,Two,9\n", encoding="utf-8")
+    rows = G.read_registry_csv(spark, str(tmp_path / "list.csv"))
+    seed = {r.canonical_key: (r.source_type, r.tier) for r in G.transform_registry(rows).collect()}
+    assert seed == {"one": ("media", 2), "two": ("media", 9)}
+    stored = make_sources(spark, [("one", "rss", "en", 1, None, None)])
+    merged, bad = G.load_registry(rows, stored, at("2024-02-01"))
+    assert {r.canonical_key: r.tier for r in merged.collect()} == {"one": 2} and bad.first().violations == ["tier_range"]
+    (tmp_path / "odd.csv").write_text("name,tier\nOne,2\n", encoding="utf-8")
+    with pytest.raises(ValueError):
+        G.read_registry_csv(spark, str(tmp_path / "odd.csv"))
+
+
+def test_places_over_a_whole_table(spark):
+    rows = spark.range(5000).selectExpr("id", "hash(id) % 97 AS h")
+    got = global_rank(rows, [F.desc("h"), "id"], "place").orderBy("place").collect()
+    assert [r.place for r in got] == list(range(5000)) and [r.id for r in got] == [r.id for r in rows.orderBy(F.desc("h"), "id").collect()]
+
+
+def test_late_files_get_outcomes(spark, tmp_path):
+    root, landing = str(tmp_path / "s"), str(tmp_path / "landing")
+    rows = [(i, f"s{i % 2}", str(i % 4), "rss", None, "t", "x" * 200 + str(i % 3), None) for i in range(20)]
+    items = spark.createDataFrame(rows, "arrival bigint, source_id string, external_content_id string, fetch_method string, title string, url string, raw_text string, source_language string")
+    for part in ("arrival >= 10", "arrival < 10", "arrival < 0"):
+        items.where(part).coalesce(1).write.mode("append").parquet(landing)
+        ST.land_fingerprints(spark, landing, items.schema, root)
+        ST.dedup_landed(spark, root)
+    assert sorted(r.arrival for r in ST.all_outcomes(spark, root).collect()) == list(range(20))
+
+
 def test_language_is_filled_in(spark):
     words = {"en": "the cat and the dog are in the house with another animal ", "de": "der hund und die katze sind in dem haus mit einem tier "}
     items = spark.createDataFrame(

@@ -40,6 +40,23 @@ def test_manual_csv(spark, tmp_path):
     assert json.loads(items[0].raw_payload)["source_record"]["raw_text"] == "two\nlines"
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,title,raw_text\n1,T,x\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("raw_text,id,author\ny,2,me\n", encoding="utf-8")
+    records, rejected = manual.read_import(spark, str(tmp_path / "*.csv"))
+    items = manual.manual_items(records, []).orderBy("external_content_id").collect()
+    assert rejected is None
+    assert [(i.external_content_id, i.title, i.raw_text, i.author_name) for i in items] == [("1", "T", "x", None), ("2", None, "y", "me")]
+    with pytest.raises(ValueError):
+        manual.read_import(spark, str(tmp_path / "a.xlsx"))
+
+
+def test_entries_that_are_no_records_are_left_out(spark, tmp_path):
+    (tmp_path / "odd.json").write_text('["str", 5, {"id": "a", "text": "t"}, null, [1]]', encoding="utf-8")
+    records, rejected = manual.read_import(spark, str(tmp_path / "odd.json"))
+    assert [r.id for r in records.collect()] == ["a"] and rejected.count() == 0
+
+
 def test_manual_formats(spark):
     frame = spark.createDataFrame([("/d/a.JSON", None), ("/d/b.txt", "CSV"), ("/d/c.xlsx", ""), ("/d/none", None)], "p string, f string")
     assert [r[0] for r in frame.select(manual.file_format(F.col("p"), F.col("f"))).collect()] == ["json", "csv", "xlsx", ""]
@@ -118,6 +135,30 @@ def test_models_in_the_order_asked_for(spark):
     assert sorted(r.pos for r in hf.pick_models(landed, ["source_id"], sort="downloads", limit=2).collect()) == [0, 1]
 
 
+def test_listings_are_told_apart(spark):
+    rows = [(1, None, '{"paper": {"id": "1"}}'), (2, "trending_models", '{"id": "o/m", "author": "o"}'), (3, "daily_papers", '{"paper": {"id": "3"}}')]
+    landed = spark.createDataFrame(rows, "pos int, feed string, json string")
+    items = router.route({"huggingface_api": landed}, ["pos"]).orderBy("pos").collect()
+    assert [(i.external_content_id, i.source_content_type) for i in items] == [("1", "hf_paper"), ("o/m", "hf_model"), ("3", "hf_paper")]
+
+
+FEEDS = {
+    "entity": "<rss><channel><item><title>a&nbsp;b &amp; c &bogus; </title><guid isPermaLink='true'>https://e.org/g</guid></item></channel></rss>",
+    "rdf": "<rdf:RDF xmlns:rdf='r' xmlns='n'><channel><title>c</title></channel><item rdf:about='x'><title>R</title><link>l</link></item></rdf:RDF>",
+    "xhtml": "<feed><entry><title type='xhtml'><div xmlns='h'>a <b>b</b></div></title><id>1</id></entry></feed>",
+    "empty": "<rss><channel><title>c</title></channel></rss>", "cut": "<rss><channel><item><title>x</title>", "page": "<html><p>x</p></html>", "text": "no feed", "null": None,
+}
+
+
+def test_kinds_of_feed(spark):
+    landed = spark.createDataFrame(list(FEEDS.items()), "name string, xml string")
+    entries, failed = feeds.feed_entries(landed, ["name"])
+    got = {r.name: (r.title.strip(), r.link, r.entry_id) for r in entries.collect()}
+    assert got.pop("xhtml")[0].startswith("a ") and got["rdf"] == ("R", "l", "x")
+    assert "entity" in {r.name for r in failed.collect()} | set(got)
+    assert {r.name for r in failed.collect()} >= {"page", "text", "null"} and "empty" not in {r.name for r in failed.collect()}
+
+
 def test_channel(spark):
     rows = [("c", i, "" if i == 9 else f"m{i}") for i in range(1, 11)] + [("d", 1, "x")]
     messages = spark.createDataFrame(rows, "channel_id string, msg_id bigint, text string")
