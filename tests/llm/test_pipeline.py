@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline as P
 from signal_lake.llm import language_id as L, packing
 
-from conftest import CLASHING  # type: ignore[import-not-found]
+from odd_rows import CLASHING  # type: ignore[import-not-found]
 from test_language_id import plain_model, plain_scores  # type: ignore[import-not-found]
 from test_minhash_dedup import plain_components  # type: ignore[import-not-found]
 from test_packing import check, tokenizer  # type: ignore[import-not-found]  # noqa: F401

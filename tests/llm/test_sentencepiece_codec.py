@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 
 from signal_lake.llm import sentencepiece_codec as S
 
-from conftest import ROWS  # type: ignore[import-not-found]
+from odd_rows import ROWS  # type: ignore[import-not-found]
 
 
 @pytest.fixture(scope="module")
