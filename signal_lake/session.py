@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(app: str = "signal_lake", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +48,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="signal_lake-"))
 
 
+@contextmanager
+def staged_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete what is staged inside once the block ends; its results must be written by then.
+
+    Outside any scope staged tables stay, since a returned DataFrame may still read them.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
@@ -53,6 +73,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -60,10 +60,10 @@ def page_changes(snapshots: DataFrame, block: Column) -> DataFrame:
 
     Page texts are computed once and leave a narrow staged table of fingerprints, and only those are
     shuffled; ``block`` groups snapshots in time so that a page visited very often is not one task's work.
+    A snapshot without a page has a fingerprint of its own, '', so only the first of an address is new.
     """
-    prints = snapshots.select(
-        "url", "snap", F.sha2(page_content(visible_markup(F.col("html"))), 256).alias("fingerprint")
-    )
+    fingerprint = F.sha2(page_content(visible_markup(F.col("html"))), 256)
+    prints = snapshots.select("url", "snap", F.coalesce(fingerprint, F.lit("")).alias("fingerprint"))
     walked = with_previous(stage(prints, "page_prints"), ["url"], "snap", "fingerprint", "previous", block)
     state = (
         F.when(F.col("previous").isNull(), "new")

@@ -11,6 +11,7 @@ from signal_lake.plans import ingest as I, registry as G, run as P
 from signal_lake.plans.limits import pick_landed
 from signal_lake.plans.views import load
 from signal_lake.schemas import CONTENT_ITEMS, SOURCE_SEED, SOURCES
+from signal_lake.session import stage, staged_scope
 from signal_lake.sources.router import route
 from signal_lake.streaming import ingest_stream as ST
 
@@ -211,6 +212,15 @@ def test_late_files_get_outcomes(spark, tmp_path):
     assert sorted(r.arrival for r in ST.all_outcomes(spark, root).collect()) == list(range(20))
 
 
+def test_staged_tables_go_with_their_scope(spark, tmp_path):
+    outside = stage(spark.range(3), "kept")
+    with staged_scope(spark) as paths:
+        rows = stage(spark.range(5), "gone")
+        rows.write.parquet(str(tmp_path / "result"))
+        assert os.path.exists(paths[0])
+    assert not os.path.exists(paths[0]) and outside.count() == 3 and spark.read.parquet(str(tmp_path / "result")).count() == 5
+
+
 def test_language_is_filled_in(spark):
     words = {"en": "the cat and the dog are in the house with another animal ", "de": "der hund und die katze sind in dem haus mit einem tier "}
     items = spark.createDataFrame(

@@ -198,6 +198,9 @@ def test_changes(spark):
     shots = spark.createDataFrame([("u", i, f"<article>{'b' if i > 250 else 'a'}</article>") for i in range(0, 500, 50)], "url string, snap int, html string")
     got = {r.snap: r.state for r in web.page_changes(shots, F.floor(F.col("snap") / 100)).collect()}
     assert got == {i: "new" if i == 0 else "changed" if i == 300 else "same" for i in range(0, 500, 50)}
+    gaps = spark.createDataFrame([("u", 0, None), ("u", 1, "<p>a"), ("u", 2, None), ("u", 3, None), ("u", 4, "<p>a")], "url string, snap int, html string")
+    states = {r.snap: r.state for r in web.page_changes(gaps, F.lit(0)).collect()}
+    assert states == {0: "new", 1: "changed", 2: "changed", 3: "same", 4: "changed"}
 
 
 def test_router(spark):
