@@ -120,21 +120,19 @@ ORACLES["op9_minhash_dedup"] = r"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
     FROM documents
-), shingled AS (
-    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+), flat AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
     FROM worded
-), sizes AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM shingled),
-flat AS (SELECT doc_id, unnest(shingles) AS shingle FROM shingled),
-links AS (
-    SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
-    JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes k ON k.doc_id = b.doc_id
-    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(m.n) + any_value(k.n) - count(*))
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM flat GROUP BY doc_id),
+shared AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+    SELECT s.x, s.y FROM shared s JOIN sizes m ON m.doc_id = s.x JOIN sizes k ON k.doc_id = s.y WHERE 100 * s.n >= 75 * (m.n + k.n - s.n)
 ), reach AS (
-    SELECT doc_id AS x, doc_id AS y FROM sizes UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
-)
-SELECT s.doc_id, s.n AS n_shingles, min(r.y) AS component_id, s.doc_id = min(r.y) AS kept
-FROM sizes s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
+    SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least ON x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
 
 
