@@ -363,3 +363,7 @@ ORACLES["routed_items"] = """SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN 'manual_
   CASE doc_id % 4 WHEN 0 THEN 'hf_paper' WHEN 1 THEN 'hf_model' ELSE 'manual' END AS source_content_type,
   CASE doc_id % 4 WHEN 0 THEN NULL WHEN 3 THEN lang ELSE source END AS author_name,
   sha256(CASE WHEN doc_id % 4 = 1 THEN 'Tags: ' || lang ELSE text END) AS text_sha FROM documents"""
+ORACLES["dry_run"] = f"""{ERRORS}, failed AS (SELECT DISTINCT f.canonical_key AS failed_key FROM documents d
+  JOIN fields f ON f.row_no = d.doc_id % (SELECT count(*) FROM customer) WHERE d.doc_id % 8 IN (5, 7)),
+counted AS (SELECT canonical_key, CAST(message IS NOT NULL OR failed_key IS NOT NULL AS BIGINT) AS errors FROM errors LEFT JOIN failed ON failed_key = canonical_key)
+SELECT canonical_key, CAST(0 AS BIGINT) AS fetched, CAST(0 AS BIGINT) AS saved, errors, errors = 0 AS success FROM counted"""

@@ -336,6 +336,21 @@ def registry_flat(spark, sf_dir):
     return G.flatten(G.read_seed(spark, f"{path}/json"))
 
 
+@query
+def dry_run(spark, sf_dir):
+    """Counters of a dry run over all sources when nothing landed but feeds that don't parse."""
+    import uuid
+
+    listed = load(spark, sf_dir, "registry_raw")
+    rows = listed.count()
+    keys = listed.select("row_no", R.canonical_key(F.trim("source_name")).alias("canonical_key"))
+    _, failed = feeds.feed_entries(_feeds(spark, sf_dir), ["doc_id"])
+    failures = failed.select((F.col("doc_id") % rows).alias("row_no"), "message").join(keys, "row_no")
+    root = f"{shared_dir(spark)}/dry-{uuid.uuid4().hex}"
+    results = P.run_ingestion(spark, root, _sources(spark, sf_dir), {}, _at(RUN_TIME), version=1, dry_run=True, failures=failures)
+    return results.select("canonical_key", "fetched", "saved", "errors", "success")
+
+
 @query
 def registry_load(spark, sf_dir):
     """A load of the list over a stored registry: the table after it, and the rows that stay in quarantine."""
