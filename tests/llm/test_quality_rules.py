@@ -48,7 +48,7 @@ def verdict(text, lang, libraries):
         share = sum(libraries[0].is_byte(i) and chr(int(libraries[0].id_to_piece(i)[3:5], 16)) not in Q.BLANKS for i in ids) / len(ids) if name == "piece" else 0
         a, b, c = Q.CURVE[name]
         x = min(math.log2(len(ids)), -b / (2 * c))
-        if not band.least_chars <= chars / len(ids) <= band.most_chars or share > band.most_bytes or bits(ids) - (a + b * x + c * x * x) < band.least_entropy:
+        if not band.least_chars <= chars / len(ids) <= band.most_chars or share > band.most_bytes or bits(ids) - (a + b * x + c * x * x) < band.least_entropy - Q.SLACK / math.sqrt(len(ids)):
             return False, False
     return False, True
 
