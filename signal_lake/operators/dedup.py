@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from signal_lake.operators.skew import SALTS, with_group_min
+from signal_lake.session import stage
 
 KEY = ["source_id", "external_content_id"]
 
@@ -41,6 +42,8 @@ def mark_duplicates(
     keyed = keyed.withColumn(
         "inserted", F.col("external_content_id").isNull() | ((F.col("_first_key") == F.col(order)) & free)
     ).drop("_first_key", "_key_stored")
+    # The key pass feeds both the groups of the hash pass and the rows they go back to; written, it runs once.
+    keyed = stage(keyed, "keyed")
 
     hashed = with_group_min(
         keyed, ["content_hash"], order, "_first_hash", counted=F.col("inserted"),

@@ -60,6 +60,8 @@ def test_cleaning_is_computed_once(spark, small_sf):
 def test_plans_of_runs(spark, small_sf):
     plan = plan_of(QUERIES["ingest_wave1"](spark, small_sf))
     assert "SortAggregate" not in plan
+    batch = QUERIES["ingest_batch"](spark, small_sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert batch.count("Join ") == 1  # that of the hash pass; the key pass is a written table
     assert "SinglePartition" not in plan_of(QUERIES["hn_show"](spark, small_sf))
     rows = QUERIES["content_items"](spark, small_sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "THE POST" not in rows  # the texts were cleaned in the staged pass
