@@ -2,7 +2,8 @@
 
 Method: a page is a sequence of words and tags. Words score positive, by the element they stand in; tags score negative, by
 their name; both weights are log odds from labelled pages. Words in elements that are no article by their role (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) score negative as well. One linear scan
+footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) score negative as well; inside an article they cost
+nothing, and between paragraphs elsewhere at most ``Weights.block`` each, as they are cut from the text anyway. One linear scan
 finds the contiguous region of the greatest sum, and the blocks in it, without the refused elements, are the text.
 
 Labelled pages are those that mark their article with ``<article>`` or ``<main>``; weights are counted on a sample of about
@@ -62,6 +63,8 @@ CLASSES = {
 #: Parts that an article has itself.
 OWN = {"header", "footer", "teaser"}
 KNOWN = INLINE | BLOCK | VOID | REFUSED
+#: Elements of running text: what holds one holds prose.
+RUNNING = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 
 
 #: Tags of prose; what they cost where no labelled page has them.
@@ -78,11 +81,16 @@ class Weights:
     tag: float = 1.0
     refused: float = 3.0
     mark: float = 6.0
+    #: Most that a refused element between paragraphs costs as a whole.
+    block: float = 3.0
 
 
 @dataclass
 class Piece:
-    """A text or a tag of a page. ``block`` numbers the block, ``place`` names its element."""
+    """A text or a tag of a page. ``block`` numbers the block, ``place`` names its element.
+
+    ``top`` numbers the outermost refused element around, and ``between`` says that it stands among prose.
+    """
 
     tag: str | None
     words: int
@@ -91,6 +99,20 @@ class Piece:
     refused: bool
     marked: bool
     text: str = ""
+    top: int = 0
+    between: bool = False
+
+
+@dataclass
+class Element:
+    """An element of a page; ``parent`` is its place in the list of all, the first of which is the page."""
+
+    name: str
+    parent: int
+    refused: bool = False
+    marked: bool = False
+    top: int = 0
+    prose: bool = False
 
 
 def _refused_by_attributes(name: str, attributes: str, marked: bool) -> bool:
@@ -111,29 +133,33 @@ def _refused_by_attributes(name: str, attributes: str, marked: bool) -> bool:
     return bool(parts & (CLASSES - OWN if marked or name == "article" else CLASSES))
 
 
-def pieces(page: str) -> Iterator[Piece]:
-    """Words and tags of a page in order."""
-    stack: list[tuple[str, bool, bool]] = []  # name, refused, marked
+def _scan(page: str) -> tuple[list[tuple[Piece, int, int]], list[Element]]:
+    """Words and tags of a page in order, each with its element and, for words, the one that holds their block; all elements."""
+    elements = [Element("", 0)]
+    stack: list[tuple[str, int]] = []  # name, element
+    found: list[tuple[Piece, int, int]] = []
     block, at, size = 0, 0, len(page)
-    place = ""
+    place, holder = "", 0
     while at < size:
         m = _TOKEN.match(page, at)
         at = m.end()
         text = m["text"] if m["text"] is not None else m["data"]
-        refused, marked = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        inner = stack[-1][1] if stack else 0
         if text is not None:
             text = html.unescape(text) if "&" in text and m["data"] is None else text
-            yield Piece(None, len(text.split()), block, place, refused, marked, text)
+            found.append((Piece(None, len(text.split()), block, place, False, False, text), inner, holder))
             continue
         if m["name"] is None:
             continue
         name = m["name"].lower()
         if name == "br":
-            yield Piece("br", 0, block, place, refused, marked, " ")
+            found.append((Piece("br", 0, block, place, False, False, " "), inner, holder))
             continue
+        closed = 0
         if m["end"]:
             level = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if level is not None and not (name in INLINE and any(s[0] not in INLINE for s in stack[level:])):
+                closed = stack[level][1]
                 del stack[level:]
         else:
             if name == "p" or name in BLOCK:  # a paragraph, and inline elements left open in it, end where a block begins
@@ -142,25 +168,56 @@ def pieces(page: str) -> Iterator[Piece]:
                     del stack[level:]
             if name == "li" and (level := next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in ("li", "ul", "ol")), None)) is not None and stack[level][0] == "li":
                 del stack[level:]
-            refused, marked = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            parent = stack[-1][1] if stack else 0
+            refused, marked = elements[parent].refused, elements[parent].marked
             by_tag = name in REFUSED or (name == "header" and not marked)
             by_class = bool(m["attributes"].strip()) and _refused_by_attributes(name, m["attributes"], marked)
             if name not in VOID and not m["attributes"].endswith("/"):
                 inside = name in MARKS and not by_class
-                stack.append((name, refused or by_tag or by_class, marked or (inside and not refused)))
+                number = len(elements)
+                own = by_tag or by_class
+                elements.append(Element(name, parent, refused or own, marked or (inside and not refused), elements[parent].top or (number if own else 0)))
+                stack.append((name, number))
             if name in RAW:
                 end = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
                 at = end.start() if end else size
+        inner = stack[-1][1] if stack else 0
         if name not in INLINE:
             block += 1
-            place = next((s[0] for s in reversed(stack) if s[0] not in INLINE), "")
-        refused, marked = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        yield Piece(name if name in KNOWN else "other", 0, block, place, refused, marked)
+            place, holder = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0))
+            if place in RUNNING:
+                holder = elements[holder].parent
+        # The end of a refused element belongs to it.
+        found.append((Piece(name if name in KNOWN else "other", 0, block, place, False, False), closed if elements[closed].top == closed != 0 else inner, holder))
+    return found, elements
+
+
+def _between(elements: list[Element]) -> list[bool]:
+    """By number of an outermost refused element: its parent, or an ancestor below the body, holds prose."""
+    around = [False] * len(elements)
+    for i, e in enumerate(elements):
+        if i:
+            around[i] = e.name not in ("html", "body") and (e.prose or around[e.parent])
+    return [elements[e.parent].prose or around[e.parent] for e in elements]
+
+
+def pieces(page: str) -> Iterator[Piece]:
+    """Words and tags of a page in order."""
+    found, elements = _scan(page)
+    for piece, element, holder in found:
+        if piece.words and not elements[element].refused:
+            elements[holder].prose = True
+    between = _between(elements)
+    for piece, element, _ in found:
+        e = elements[element]
+        piece.refused, piece.marked, piece.top, piece.between = e.refused, e.marked, e.top, bool(e.top) and between[e.top]
+        yield piece
 
 
 def best_region(found: list[Piece], weights: Weights) -> tuple[int, int]:
     """First piece of the region of the greatest sum, and the one after its last; equal if no word scores."""
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
+    spent: dict[int, float] = {}
     for i, piece in enumerate(found):
         if piece.tag is not None:
             score = -(weights.mark if piece.tag in MARKS else weights.tags.get(piece.tag, weights.tag))
@@ -168,6 +225,10 @@ def best_region(found: list[Piece], weights: Weights) -> tuple[int, int]:
             score = -weights.refused * piece.words
         else:
             score = weights.words.get(piece.place, weights.word) * piece.words
+        if piece.refused and (piece.marked or piece.between):
+            least = 0.0 if piece.marked else spent.get(piece.top, 0.0) - weights.block
+            score = max(score, least)
+            spent[piece.top] = spent.get(piece.top, 0.0) - score
         if total <= 0:
             total, start = 0.0, i
         total += score

@@ -68,3 +68,17 @@ def test_odd_pages(spark):
     found = X.extract_pages(pages).collect()
     assert sorted((str(r.page_id), r.n_chars) for r in found) == [("1", 1), ("1", 1), ("2", 0), ("3", 149_999), ("None", 0)]
     assert X.extract_pages(pages.limit(0)).collect() == []
+
+
+ADVERT = "<div class=advert>" + "<p>buy this now</p>" * 12 + "</div>"
+LEARNED = X.Weights(words={"p": 3.0, "h1": 3.0}, tags={"p": 0.1, "h1": 0.1, "div": 3.0, "aside": 3.0})
+
+
+@pytest.mark.parametrize("weights", [X.Weights(), LEARNED], ids=["default", "learned"])
+@pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ("<main>", "</main>"), ("<div class=content>", "</div>"), ("<body>", "</body>")])
+@pytest.mark.parametrize("block", [ADVERT, f"<aside><p>{PROSE}</p><p>{PROSE}</p></aside>", "<div class=share>" + "tell a friend " * 7 + "</div>"], ids=["advert", "aside", "share"])
+def test_a_refused_block_does_not_split_an_article(weights, open_, close, block):
+    prose = html.unescape(PROSE)
+    parts = ["<h1>The bridge over the wide river is built</h1>", block, f"<p>{PROSE}</p>", block, f"<p>{PROSE}</p>", block, "<p>It will open early in May.</p>"]
+    page = f"<nav><a>Home</a></nav>{open_}{''.join(parts)}{close}<footer>c</footer>"
+    assert X.extract(page, weights) == f"The bridge over the wide river is built\n\n{prose}\n\n{prose}\n\nIt will open early in May."
