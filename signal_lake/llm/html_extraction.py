@@ -6,6 +6,10 @@ footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) sc
 nothing, and between paragraphs elsewhere at most ``Weights.block`` each, as they are cut from the text anyway. One linear scan
 finds the contiguous region of the greatest sum, and the blocks in it, without the refused elements, are the text.
 
+A form, or an element that a part of a compound class name refuses (``has-sidebar``), is refused no longer if it holds most of the
+page's words and few stand elsewhere; so is what is refused by a class or as a form around the article of a page that has no other, and
+by a class name of one part if that article holds most of the words.
+
 Labelled pages are those that mark their article with ``<article>`` or ``<main>``; weights are counted on a sample of about
 ``LABELLED`` of them, chosen by a hash. The marks themselves are no features: they cost what the dearest tag costs.
 
@@ -51,8 +55,15 @@ BLOCK = {
     "h5", "h6", "header", "hgroup", "hr", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 MARKS = {"article", "main"}
+# Formulas are words of the sentence they stand in; what annotates them says the same again.
+FORMULA = {
+    "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom", "msub", "msup", "msubsup",
+    "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "mtable", "mtr", "mtd", "menclose", "mfenced",
+}
+ANNOTATION = {"annotation", "annotation-xml"}
+INLINE |= FORMULA | ANNOTATION
 # Elements, roles and parts of class names that say what is no article.
-REFUSED = {"head", "nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "object", "svg", "math", "audio", "video", "canvas", "datalist", "map", *RAW}
+REFUSED = {"head", "nav", "footer", "aside", "form", "menu", "button", "select", "dialog", "object", "svg", "audio", "video", "canvas", "datalist", "map", *RAW}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "status"}
 CLASSES = {
     "ad", "ads", "alert", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus",
@@ -60,6 +71,8 @@ CLASSES = {
     "popup", "promo", "promoted", "promotion", "recommended", "related", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
     "subscribe", "teaser", "toolbar", "topbar", "warning", "widget",
 }
+#: What is refused by a part of a class name is accepted if it holds this many times the words that stand outside.
+MOST = 4
 #: Parts that an article has itself.
 OWN = {"header", "footer", "teaser"}
 KNOWN = INLINE | BLOCK | VOID | REFUSED
@@ -103,9 +116,16 @@ class Piece:
     between: bool = False
 
 
+NO, SOFT, FIRM, HARD = range(4)
+
+
 @dataclass
 class Element:
-    """An element of a page; ``parent`` is its place in the list of all, the first of which is the page."""
+    """An element of a page; ``parent`` is its place in the list of all, the first of which is the page.
+
+    ``why`` is NO if nothing refuses the element itself, SOFT or FIRM if a class name or a form does, else HARD; ``key`` is equal for
+    elements of one kind, ``words`` are its own.
+    """
 
     name: str
     parent: int
@@ -113,24 +133,32 @@ class Element:
     marked: bool = False
     top: int = 0
     prose: bool = False
+    why: int = 0
+    key: str = ""
+    words: int = 0
 
 
-def _refused_by_attributes(name: str, attributes: str, marked: bool) -> bool:
-    parts: set[str] = set()
+def _by_attributes(name: str, attributes: str, marked: bool) -> tuple[int, str]:
+    """How firmly attributes refuse an element: HARD, FIRM for a name of one part, SOFT for a part of a name, NO; and its classes."""
+    found, classes = NO, []
+    refusing = CLASSES - OWN if marked or name == "article" else CLASSES
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            parts.update(p.lower() for p in _PART.findall(value))
+            for token in value.split():
+                parts = [p.lower() for p in _PART.findall(token)]
+                if not refusing.isdisjoint(parts):
+                    found = max(found, FIRM if len(parts) == 1 else SOFT)
+                if key == "class" and not any(c.isdigit() for c in token):
+                    classes.append(token)
         elif (
             key == "hidden"
             or (key == "role" and value.lower() in ROLES)
             or (key == "aria-hidden" and value.lower() == "true")
             or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE))
         ):
-            return True
-    if name in ("html", "body", "main"):  # classed by what they hold
-        return False
-    return bool(parts & (CLASSES - OWN if marked or name == "article" else CLASSES))
+            return HARD, ""
+    return (NO if name in ("html", "body", "main") else found), " ".join([name, *sorted(classes)])  # html, body and main are classed by what they hold
 
 
 def _scan(page: str) -> tuple[list[tuple[Piece, int, int]], list[Element]]:
@@ -147,7 +175,9 @@ def _scan(page: str) -> tuple[list[tuple[Piece, int, int]], list[Element]]:
         inner = stack[-1][1] if stack else 0
         if text is not None:
             text = html.unescape(text) if "&" in text and m["data"] is None else text
-            found.append((Piece(None, len(text.split()), block, place, False, False, text), inner, holder))
+            words = len(text.split())
+            elements[inner].words += words
+            found.append((Piece(None, words, block, place, False, False, text), inner, holder))
             continue
         if m["name"] is None:
             continue
@@ -169,29 +199,81 @@ def _scan(page: str) -> tuple[list[tuple[Piece, int, int]], list[Element]]:
             if name == "li" and (level := next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in ("li", "ul", "ol")), None)) is not None and stack[level][0] == "li":
                 del stack[level:]
             parent = stack[-1][1] if stack else 0
-            refused, marked = elements[parent].refused, elements[parent].marked
-            by_tag = name in REFUSED or (name == "header" and not marked)
-            by_class = bool(m["attributes"].strip()) and _refused_by_attributes(name, m["attributes"], marked)
+            marked = elements[parent].marked
+            why, key = _by_attributes(name, m["attributes"], marked) if m["attributes"].strip() else (NO, name)
+            if name == "form":
+                why = max(why, SOFT)
+            elif name in REFUSED - {"object"} or name in ANNOTATION or (name in ("header", "object") and not marked):
+                why = HARD
             if name not in VOID and not m["attributes"].endswith("/"):
-                inside = name in MARKS and not by_class
-                number = len(elements)
-                own = by_tag or by_class
-                elements.append(Element(name, parent, refused or own, marked or (inside and not refused), elements[parent].top or (number if own else 0)))
-                stack.append((name, number))
+                elements.append(Element(name, parent, marked=marked or (name in MARKS and why < FIRM), why=why, key=key))
+                stack.append((name, len(elements) - 1))
             if name in RAW:
                 end = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
                 at = end.start() if end else size
         inner = stack[-1][1] if stack else 0
+        if name in FORMULA:
+            continue
         if name not in INLINE:
             block += 1
             place, holder = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0))
             if place in RUNNING:
                 holder = elements[holder].parent
         # The end of a refused element belongs to it.
-        found.append((Piece(name if name in KNOWN else "other", 0, block, place, False, False), closed if elements[closed].top == closed != 0 else inner, holder))
+        found.append((Piece(name if name in KNOWN else "other", 0, block, place, False, False), closed if elements[closed].why else inner, holder))
     return found, elements
 
 
+def _mark(elements: list[Element]) -> None:
+    """Refusal and marks from the root down."""
+    for i, e in enumerate(elements[1:], 1):
+        above = elements[e.parent]
+        e.refused, e.top = above.refused or e.why > NO, above.top or (i if e.why else 0)
+        e.marked = above.marked or (e.name in MARKS and not e.refused)
+
+
+def _accept(elements: list[Element]) -> None:
+    """Lift refusals by class, or of a form, of what holds the article; ``why`` becomes NO."""
+    if not any(e.why in (SOFT, FIRM) for e in elements):
+        return
+    hard = [False] * len(elements)
+    for i, e in enumerate(elements):
+        hard[i] = e.why == HARD or (i > 0 and hard[e.parent])
+    inside = [0 if h else e.words for h, e in zip(hard, elements, strict=True)]
+    for i in range(len(elements) - 1, 0, -1):
+        inside[elements[i].parent] += inside[i]
+    firm = [False] * len(elements)
+    for i, e in enumerate(elements):
+        firm[i] = e.why == FIRM or firm[e.parent]
+    # A sidebar's or comments' small article isn't the page's.
+    marks = [i for i, e in enumerate(elements) if e.name in MARKS and e.why < FIRM and inside[i] and (not firm[i] or 2 * inside[i] > inside[0])]
+    if marks and all(elements[i].refused for i in marks):  # the article of the page is the largest
+        at = max(marks, key=lambda i: (inside[i], -i))
+        while at:
+            elements[at].why, at = NO, elements[at].parent
+        _mark(elements)
+    scope = any(e.marked and inside[i] for i, e in enumerate(elements))
+    while True:
+        groups: Counter = Counter()
+        rest = 0
+        for i, e in enumerate(elements):
+            if e.marked >= scope:
+                if not e.refused:
+                    rest += e.words
+                elif e.why == SOFT and not hard[i] and e.top == i:
+                    groups[e.key] += inside[i]
+        key, most = max(groups.items(), key=lambda g: (g[1], g[0]), default=("", 0))
+        others = sum(inside[i] for i, e in enumerate(elements) if i and e.marked >= scope and e.top == i and e.key != key)
+        if not most or most <= MOST * rest or most <= others:
+            return
+        lifted = {i for i, e in enumerate(elements) if i and e.top == i and e.why == SOFT and e.key == key and e.marked >= scope}
+        for i, e in enumerate(elements):
+            # So is an element in it that holds all its words.
+            if i in lifted or (e.top in lifted and e.why == SOFT and inside[i] == inside[e.top]):
+                e.why = NO
+        _mark(elements)
+
+
 def _between(elements: list[Element]) -> list[bool]:
     """By number of an outermost refused element: its parent, or an ancestor below the body, holds prose."""
     around = [False] * len(elements)
@@ -204,6 +286,8 @@ def _between(elements: list[Element]) -> list[bool]:
 def pieces(page: str) -> Iterator[Piece]:
     """Words and tags of a page in order."""
     found, elements = _scan(page)
+    _mark(elements)
+    _accept(elements)
     for piece, element, holder in found:
         if piece.words and not elements[element].refused:
             elements[holder].prose = True

@@ -82,3 +82,31 @@ def test_a_refused_block_does_not_split_an_article(weights, open_, close, block)
     parts = ["<h1>The bridge over the wide river is built</h1>", block, f"<p>{PROSE}</p>", block, f"<p>{PROSE}</p>", block, "<p>It will open early in May.</p>"]
     page = f"<nav><a>Home</a></nav>{open_}{''.join(parts)}{close}<footer>c</footer>"
     assert X.extract(page, weights) == f"The bridge over the wide river is built\n\n{prose}\n\n{prose}\n\nIt will open early in May."
+
+
+TOP = "<header>Site</header><nav><a>Home</a> <a>News</a></nav>"
+
+
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "class=no-sidebar", "class=elementor-widget-container", "class='single-post comments-open'", "class='page header-fixed'", None])
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+def test_a_wrapper_does_not_refuse_the_article(wrapper, mark):
+    open_, close = (f"<div {wrapper}>", "</div>") if wrapper else ("<form id=aspnetForm action=/page>", "</form>")
+    side = "<div class=sidebar><article><p>Other news</p></article></div><div class=comments><p>Nice one</p></div>"
+    page = f"<body>{TOP}{open_}<{mark}><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p></{mark}>{side}{close}<footer>c</footer></body>"
+    for weights in (X.Weights(), X.Weights(mark=0.1)):
+        assert X.extract(page, weights) == "Title\n\n" + "\n\n".join([html.unescape(PROSE)] * 2)
+
+
+def test_widgets_of_one_kind_hold_a_page_together():
+    page = f"<body>{TOP}" + f"<div class='elementor-widget elementor-widget-text e-1'><p>{PROSE}</p></div>" * 3 + "</body>"
+    assert X.extract(page, X.Weights()) == "\n\n".join([html.unescape(PROSE)] * 3)
+
+
+def test_comments_longer_than_the_article_stay_refused():
+    page = f"<body><div class=content><p>{PROSE}</p></div><div class=comments>" + f"<p>{PROSE}</p>" * 9 + "</div></body>"
+    assert X.extract(page, X.Weights()) == html.unescape(PROSE)
+
+
+def test_formulas_and_objects_in_an_article():
+    page = "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x = 1</annotation></math> holds.</p><object data=a><p>A plan of the bridge.</p></object></article>"
+    assert X.extract(page, X.Weights()) == "Here x=1 holds.\n\nA plan of the bridge."
