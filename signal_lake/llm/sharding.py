@@ -1,10 +1,11 @@
 """Sharding by balanced label propagation.
 
-Method: documents that belong to one link (here: have one text) should meet in one shard. Labels start from a hash. In each
-round a join tells every link's members how many of them each shard holds, and each member wishes to go where most are. The
-wishes from shard to shard are counted (at most ``shards`` squared numbers, the only thing the driver sees) and cut to
-quotas, so that no shard ends above its capacity; moves are ranked within their pair of shards, and those within the
-quota happen. Members that have no link fill the shards up at the end, so that all have the same number of rows, give or take one
+Method: documents that belong to one link (here: have one text) should meet in one shard. A link starts in one place: large
+ones, largest first, in the fullest shard with room for them, the others side by side in what is left. In each
+round a join tells every link's members how many of them each shard holds, and each member wishes to go to the shard that holds
+most among those with room for the whole link. Wishes are granted link by link as far as the room goes, until none is left or no
+round brings more together; the driver sees counts by shard. What then has no room anywhere gathers row by row under
+quotas, so that no shard ends above its capacity. Members that have no link fill the shards up at the end, so that all have the same number of rows, give or take one
 (law ``rows``). A link larger than a shard is first
 cut into parts that fill one each.
 
@@ -21,7 +22,10 @@ from signal_lake.llm.common import blocks_for, prepare, with_rank
 from signal_lake.session import stage
 
 SHARDS = 16
+#: Rounds without gain, after which propagation ends, and rounds under quotas.
 ROUNDS = 4
+#: Links above this part of a shard are placed largest first by the driver: at most so many for each shard.
+LARGE = 32
 
 
 def quotas(wishes: np.ndarray, held: np.ndarray, capacity: np.ndarray) -> np.ndarray:
@@ -48,8 +52,8 @@ def _least_first(count: str) -> Column:
     return F.struct(F.col(count), F.xxhash64("link", "shard"))
 
 
-def propagate(members: DataFrame, capacity: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
-    """``members`` (row, link, shard) with shards after the rounds; a row may have several links, each a row here."""
+def _gather(members: DataFrame, capacity: np.ndarray, rounds: int) -> DataFrame:
+    """Rounds under quotas, row by row, for links that no shard has room for."""
     spark = members.sparkSession
     shards = len(capacity)
     total = members.select("row").distinct().count()
@@ -66,10 +70,9 @@ def propagate(members: DataFrame, capacity: np.ndarray, rounds: int = ROUNDS) ->
             wishes[r["shard"], r["target"]] = r["n"]
         if not wishes.any():
             break
-        held = np.zeros(shards, dtype=np.int64)
-        for r in members.select("row", "shard").distinct().groupBy("shard").agg(F.count("*").alias("n")).collect():
-            held[r["shard"]] = r["n"]
-        allowed = quotas(wishes, held, capacity)
+        allowed = quotas(wishes, _held(members, shards), capacity)
+        if not allowed.any():
+            break
         limits = spark.createDataFrame(
             [(i, j, int(allowed[i, j])) for i in range(shards) for j in range(shards) if wishes[i, j]], "shard int, target int, quota bigint"
         )
@@ -81,6 +84,54 @@ def propagate(members: DataFrame, capacity: np.ndarray, rounds: int = ROUNDS) ->
     return members
 
 
+def _held(members: DataFrame, shards: int) -> np.ndarray:
+    held = np.zeros(shards, dtype=np.int64)
+    for r in members.select("row", "shard").distinct().groupBy("shard").agg(F.count("*").alias("n")).collect():
+        held[r["shard"]] = r["n"]
+    return held
+
+
+def propagate(members: DataFrame, capacity: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
+    """``members`` (row, link, shard) with shards after propagation; a row may have several links, each a row here.
+
+    If rows have one link each, every round brings at least one link together, so rounds end by themselves; links that share rows
+    may pull them to and fro, so ``rounds`` rounds without gain end it as well.
+    """
+    spark = members.sparkSession
+    shards = len(capacity)
+    total = members.select("row").distinct().count()
+    least, idle = None, 0
+    while True:
+        tally = stage(members.groupBy("link", "shard").agg(F.count("*").alias("n")), "tally")
+        spread = tally.count()
+        idle = 0 if least is None or spread < least else idle + 1
+        least = spread if least is None else min(least, spread)
+        sizes = tally.groupBy("link").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.first("shard").alias("shard"))
+        split = sizes.where("parts > 1").select("link", "size")
+        if split.isEmpty():
+            return members
+        if idle >= rounds:
+            break
+        # `rooms` has a row per shard.
+        left = capacity - _held(members, shards)
+        rooms = spark.createDataFrame([(s, int(x)) for s, x in enumerate(left)], "shard int, room bigint")
+        fits = split.crossJoin(F.broadcast(rooms)).join(tally, ["link", "shard"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        best = fits.where("n + room >= size").groupBy("link").agg(F.max_by(F.struct("shard", "n"), _least_first("n")).alias("best"))
+        whole = sizes.where("parts = 1").select("link", F.struct("shard", F.col("size").alias("n")).alias("best"))
+        voted = members.join(best.union(whole), "link").groupBy("row").agg(
+            F.first("shard").alias("shard"), F.max_by(F.struct(F.col("best.shard").alias("target"), "link"), F.struct("best.n", "best.shard", "link")).alias("vote")
+        )
+        moving = stage(voted.where("shard <> vote.target").select("row", "vote.target", "vote.link"), "moving")
+        groups = moving.groupBy("target", "link").agg(F.count("*").alias("n"))
+        ranked = with_rank(groups, ["target"], "link", "rank", blocks_for(total), F.col("n"))
+        granted = ranked.join(F.broadcast(rooms.withColumnRenamed("shard", "target")), "target").where("rank + n <= room").select("target", "link")
+        moved = stage(moving.join(granted, ["target", "link"], "left_semi").select("row", "target"), "moved")
+        if moved.isEmpty():
+            break
+        members = stage(members.join(moved, "row", "left").withColumn("shard", F.coalesce("target", "shard")).drop("target"), "members")
+    return _gather(members, capacity, rounds)
+
+
 def _parts(links: DataFrame, capacity: int, blocks: int) -> DataFrame:
     """``links`` with those above a shard's capacity cut into parts that just fill one."""
     large = links.groupBy("link").agg(F.count("*").alias("n")).where(F.col("n") > capacity).select("link")
@@ -92,22 +143,61 @@ def _parts(links: DataFrame, capacity: int, blocks: int) -> DataFrame:
     return links.join(large, "link", "left_anti").select("row", "link").union(cut)
 
 
-def _first_labels(links: DataFrame, capacity: np.ndarray) -> DataFrame:
-    """(row, link, shard): links of over half a shard, fewer than twice the shards, have one each; others start where a hash says."""
-    shards, half = len(capacity), int(capacity.max()) / 2
-    sizes = links.groupBy("link").agg(F.count("*").alias("n")).where(F.col("n") > half)
-    large = sizes.orderBy(F.desc("n"), "link").limit(4 * shards).collect()
-    room, places = capacity.copy(), []
-    for r in large:
-        shard = int(np.argmax(room))
-        room[shard] -= r["n"]
-        places.append((r["link"], shard))
-    open_ = [s for s in range(shards) if room[s] >= half] or list(range(shards))
-    hashed = F.array(*map(F.lit, open_))[F.pmod(F.xxhash64("row", F.lit(shards)), F.lit(len(open_))).cast("int")]
-    if not places:
-        return links.select("row", "link", hashed.alias("shard"))
-    table = links.sparkSession.createDataFrame(places, "link bigint, large int")
-    return links.join(F.broadcast(table), "link", "left").select("row", "link", F.coalesce("large", hashed).alias("shard"))
+def _fullest(room: np.ndarray, size: int) -> int | None:
+    """The shard with the least room that takes ``size`` rows; it is taken."""
+    fit = np.flatnonzero(room >= size)
+    if not len(fit):
+        return None
+    shard = int(fit[np.argmin(room[fit])])
+    room[shard] -= size
+    return shard
+
+
+def _first_labels(links: DataFrame, capacity: np.ndarray, blocks: int) -> DataFrame:
+    """(row, link, shard): each link in one shard as far as there is room, by the first link of each row.
+
+    The driver sees links of over a ``LARGE``-th of a shard and those that lie across the end of a shard's room: a bounded number by shard.
+    """
+    spark, shards = links.sparkSession, len(capacity)
+    own = links.groupBy("row").agg(F.min("link").alias("own"))
+    sizes = stage(own.groupBy("own").agg(F.count("*").alias("n")), "sizes")
+    share = int(capacity.max()) // LARGE
+    room, places, rest = capacity.copy(), [], []
+
+    def place(found: DataFrame) -> None:
+        for r in sorted(found.collect(), key=lambda r: (-r["n"], r["own"])):
+            shard = _fullest(room, r["n"])
+            if shard is None:
+                rest.append((r["own"], r["n"]))
+            else:
+                places.append((r["own"], shard, None))
+
+    large = sizes.where(F.col("n") > max(1, share))
+    place(large)
+    # The others one after the other along the rooms; with those the driver could not place they fit, as all rows do.
+    bounds = np.concatenate([[0], np.cumsum(room)]).tolist()
+    small = with_rank(sizes.join(large.select("own"), "own", "left_anti"), [], "own", "at", blocks, F.col("n"))
+    inside = F.coalesce(*[F.when((F.col("at") >= bounds[s]) & (F.col("at") + F.col("n") <= bounds[s + 1]), F.lit(s)) for s in range(shards)])
+    small = stage(small.withColumn("shard", inside.cast("int")), "small")
+    for r in small.where("shard IS NOT NULL").groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        room[r["shard"]] -= r["n"]
+    place(small.where("shard IS NULL"))
+    # What no shard takes whole is laid across the rooms that are left, row after row.
+    start = 0
+    for link, n in rest:
+        places.append((link, None, start))
+        start += n
+    bounds = np.concatenate([[0], np.cumsum(room)]).tolist()
+    table = spark.createDataFrame(places, "own bigint, placed int, start bigint")
+    known = own.join(small.where("shard IS NOT NULL").select("own", "shard"), "own", "left").join(F.broadcast(table), "own", "left")
+    known = stage(known.select("row", "own", "start", F.coalesce("shard", "placed").alias("shard")), "known")
+    laid = known.where("shard IS NOT NULL").select("row", "shard")
+    if rest:
+        open_ = with_rank(known.where("shard IS NULL"), ["own"], "row", "rank", blocks)
+        at = F.col("start") + F.col("rank")
+        dealt = F.coalesce(*[F.when(at < bounds[s + 1], F.lit(s)) for s in range(shards)])
+        laid = laid.union(open_.select("row", dealt.cast("int").alias("shard")))
+    return links.join(laid, "row").select("row", "link", "shard")
 
 
 def shard_rows(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -117,7 +207,7 @@ def shard_rows(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     capacity = np.array([total // shards + (s < total % shards) for s in range(shards)])
     blocks = blocks_for(total)
     links = _parts(links.where("link IS NOT NULL"), max(1, int(capacity.min())), blocks)
-    linked = stage(_first_labels(links, capacity), "members")
+    linked = stage(_first_labels(links, capacity, blocks), "members")
     placed = propagate(linked, capacity, rounds).select("row", "shard").distinct()
     placed = stage(with_rank(placed, ["shard"], "row", "rank", blocks), "placed")
 

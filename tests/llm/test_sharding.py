@@ -72,3 +72,40 @@ def test_quotas_never_overfill(case):
     allowed = H.quotas(wishes, held, capacity)
     assert (allowed >= 0).all() and (allowed <= wishes).all()
     assert (held + allowed.sum(axis=0) - allowed.sum(axis=1) <= capacity).all()
+
+
+def test_groups_below_half_a_shard_stay_whole(spark):
+    texts = [f"g{i // 90}" for i in range(16 * 90)] + [f"s{i}" for i in range(16 * 110)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = H.shard_documents(docs).collect()
+    check(rows)
+    shards = defaultdict(set)
+    for r in rows:
+        shards[texts[r.doc_id]].add(r.shard)
+    assert max(map(len, shards.values())) == 1
+
+
+def test_propagation_brings_scattered_groups_together(spark):
+    members = spark.createDataFrame([(i, i // 90, zlib.crc32(str(i).encode()) % 16) for i in range(16 * 90)], "row bigint, link bigint, shard int")
+    rows = H.propagate(members, np.full(16, 200)).collect()
+    sizes, shards = Counter(r.shard for r in rows), defaultdict(set)
+    for r in rows:
+        shards[r.link].add(r.shard)
+    assert len(rows) == 16 * 90 and max(sizes.values()) <= 200 and max(map(len, shards.values())) == 1
+
+
+def test_few_groups_are_split_if_all_rows_are_linked(spark):
+    texts = [f"g{i // 130}" for i in range(16 * 130)] + [f"t{i // 7}" for i in range(16 * 70)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = H.shard_documents(docs).collect()
+    check(rows)
+    shards = defaultdict(set)
+    for r in rows:
+        shards[texts[r.doc_id]].add(r.shard)
+    assert sum(len(s) > 1 for s in shards.values()) <= 16 and all(len(s) == 1 for t, s in shards.items() if t[0] == "g")
+
+
+def test_links_that_share_rows_end(spark):
+    links = spark.createDataFrame([(i, i // 3) for i in range(300)] + [(i, 1000 + i // 10) for i in range(0, 300, 2)], "row bigint, link bigint")
+    rows = H.shard_rows(spark.range(300).withColumnRenamed("id", "row"), links, 4).collect()
+    assert sorted(Counter(r.shard for r in rows).values()) == [75] * 4
