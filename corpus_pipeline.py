@@ -18,7 +18,7 @@ from signal_lake.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A document stays if its language is told with this probability.
+#: A document stays if its language is told with this probability, and its text fits that language.
 LEAST_SCORE = 0.5
 
 
@@ -28,7 +28,7 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; the model learns from the labelled documents that are not held out."""
-    found = language_id.identify(_whole(docs), F.col("doc.doc_id"), F.col("doc.text"), F.col("doc.lang"))
+    found = language_id.identify(_whole(docs), F.col("doc.doc_id"), F.col("doc.text"), F.col("doc.lang"), check_fit=True)
     return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
 
 

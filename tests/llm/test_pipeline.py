@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter
 
@@ -56,3 +57,21 @@ def test_one_document_of_each_group_stays(spark, odd_docs):
 
 def test_stages_are_in_order():
     assert [name for name, _ in P.STAGES] == ["language", "quality", "near_copies", "packing"] and packing.SIZE == 1024
+
+
+def test_texts_in_no_learned_language_go(spark, small_sf):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    strange = {
+        -1: "Совет собрался в понедельник и решил построить мост через реку до начала зимы. ",
+        -2: "評議会は月曜日に会合を開き、冬が始まる前に川に橋を架けることに同意した。",
+        -3: "Rada zebrała się w poniedziałek i zgodziła się zbudować most na rzece przed początkiem zimy. ",
+        -4: "".join(rng.choices(letters + letters.upper() + "0123456789+/", k=400)),
+        -5: " ".join("".join(rng.choices(letters, k=6)) for _ in range(60)),
+    }
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet")
+    more = spark.createDataFrame([(i, t * (4 if i > -4 else 1)) for i, t in strange.items()], "doc_id bigint, text string")
+    kept = {r.doc_id for r in P.language(spark, docs.select("doc_id", "text", "lang").unionByName(more, allowMissingColumns=True), "").collect()}
+    assert not kept & set(strange)
+    labels = spark.read.parquet(f"{small_sf}/labels.parquet").where("quality = 1").join(docs, "doc_id", "left_semi").collect()
+    assert labels and all(r.doc_id in kept for r in labels)
