@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import chat_format, html_extraction, language_id, minhash_dedup, nearest_neighbours, packing, quality_rules, sentencepiece_codec, sharding, warc
+from signal_lake.llm import chat_format, html_extraction, language_id, lm_scoring, minhash_dedup, nearest_neighbours, packing, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,9 @@ FROM documents d JOIN least ON x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.do
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extraction.extract_pages(load(spark, sf_dir, "pages"))
+
+
+@query
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by n-grams of the documents that aren't held out."""
+    return lm_scoring.score_documents(load(spark, sf_dir, "documents"))
