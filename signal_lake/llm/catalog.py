@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import chat_format, html_extraction, language_id, lm_scoring, minhash_dedup, nearest_neighbours, packing, quality_rules, sentencepiece_codec, sharding, warc
+from signal_lake.llm import chat_format, html_extraction, language_id, lm_scoring, minhash_dedup, nearest_neighbours, packing, phrase_mining, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,35 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document by n-grams of the documents that aren't held out."""
     return lm_scoring.score_documents(load(spark, sf_dir, "documents"))
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return phrase_mining.mine_phrases(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_phrase_mining"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+runs AS (
+    SELECT lang, k, unnest(CASE WHEN len(w) >= k THEN list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')) ELSE [] END) AS phrase
+    FROM worded, (VALUES (1), (2), (3)) t(k)
+), f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT c.*, cut, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:k], ' ') AS rest FROM c, (VALUES (1), (2)) t(cut) WHERE cut < k),
+s AS (
+    SELECT cuts.lang, cuts.phrase, a, cut, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, cut) = 1
+), most AS (
+    SELECT lang, phrase, max(a) AS held FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3) GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM s JOIN totals USING (lang) LEFT JOIN most ON most.lang = s.lang AND most.phrase = s.phrase
+WHERE held IS NULL OR 100 * held < 50 * a
+QUALIFY rank <= 2000
+"""

@@ -78,6 +78,19 @@ def with_rank(
     return joined.withColumn(name, (F.col("_start") + F.col("_inside")).cast("bigint")).drop("_block", "_inside", "_start")
 
 
+def lookup_salted(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int = 64) -> DataFrame:
+    """Rows with the columns of the row of ``table`` that has their ``keys`` (one row a key); rows without one are left out.
+
+    A key may be that of any share of the rows: it is joined by (key, salt), the salt drawn from ``spread``, and its row in
+    the table is repeated for just those salts that its rows have.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    used = salted.groupBy(*keys).agg(F.bit_or(F.expr("shiftleft(1L, CAST(_salt AS INT))")).alias("_salts"))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    fanned = table.join(used, list(keys)).withColumn("_salt", F.explode(F.filter(every, lambda i: F.getbit(F.col("_salts"), i) == 1)))
+    return salted.join(fanned.drop("_salts"), [*keys, "_salt"]).drop("_salt")
+
+
 def blocks_for(count: int, rows: int = 50_000) -> int:
     """Blocks of about ``rows`` rows."""
     return max(8, -(-count // rows))

@@ -12,7 +12,7 @@ import numpy as np
 import xxhash
 import zstandard
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
