@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from signal_lake.llm import chat_format, html_extraction, language_id, lm_scoring, minhash_dedup, nearest_neighbours, packing, phrase_mining, quality_rules, sentencepiece_codec, sharding, warc
+from signal_lake.llm import chat_format, embedding_whitening, html_extraction, language_id, lm_scoring, minhash_dedup, nearest_neighbours, packing, phrase_mining, quality_rules, sentencepiece_codec, sharding, warc
 from signal_lake.llm.common import load, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,9 @@ FROM s JOIN totals USING (lang) LEFT JOIN most ON most.lang = s.lang AND most.ph
 WHERE held IS NULL OR 100 * held < 50 * a
 QUALIFY rank <= 2000
 """
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors on up to 32 leading components, scaled to variance 1."""
+    return embedding_whitening.whiten(load(spark, sf_dir, "embeddings"))
