@@ -8,7 +8,7 @@ counts a phrase twice. Proposed phrases are kept as a bit map of their hashes, o
 makes a pass count more than it must and changes no result.
 
 How it runs: texts become blocks of word numbers by group and by sample, which all passes read. A block gives each of its different phrases
-once, so a frequent phrase is one row a block. Phrases go by their words themselves. Scores are whole numbers of up to 38 digits, exact
+once, so a frequent phrase is one entry a block, and packed entries are added up part by part of the space of hashes. Phrases go by their words themselves. Scores are whole numbers of up to 38 digits, exact
 for counts below 10 ** 16. Parts of phrases are looked up by (part, salt), as a frequent word is part of many phrases; first rows of a
 group are cut within salts first.
 
@@ -18,16 +18,18 @@ and the marks that split pieces. Groups without a phrase that is frequent give n
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from signal_lake.llm.common import as_column, lookup_salted, prepare
-from signal_lake.llm.token_blocks import BLOCK_TOKENS, Block, joined_hash, unpack_ints, unpack_words, word_hashes
+from signal_lake.llm.token_blocks import Block, joined_hash, pack_ints, pack_words, share_of, unpack_ints, unpack_words, word_hashes
 from signal_lake.operators.skew import first_n
 from signal_lake.session import stage
 
@@ -38,6 +40,8 @@ SAMPLE, LOWERED = 0.25, 0.8
 #: Bits a proposed phrase gets in a map, and bounds of a map's size: 128 KB to 32 MB.
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 20, 28
 _CHUNK = 16
+#: Tokens that a task holds while it makes blocks, and about so many phrases does a task add up at a time.
+HELD_TOKENS, PART_KEYS = 1 << 21, 1 << 20
 _SPLIT = bytes.maketrans(b"\t.,;:!?\n\x0b\x0c\r", b" " + b"\xff" * 10)
 
 
@@ -54,12 +58,14 @@ def _blocks(docs: DataFrame, text_column: Column, group_column: Column, block_to
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, bool], Block] = {}
 
-        def flush() -> pa.RecordBatch:
-            made = [(*key, sum(int((p > 0).sum()) for p in block.parts), *block.take()) for key, block in held.items()]
-            held.clear()
-            columns = list(zip(*made, strict=True))
+        def flush(*keys: tuple[str, bool]) -> pa.RecordBatch:
+            made = []
+            for key in keys:
+                block = held.pop(key)
+                made.append((*key, sum(int((p > 0).sum()) for p in block.parts), *block.take()))
             kinds = [pa.string(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
-            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "sampled", "n_words", "tokens", "words"])
+            columns = zip(zip(*made, strict=True), kinds, strict=True)
+            return pa.record_batch([pa.array(c, k) for c, k in columns], ["lang", "sampled", "n_words", "tokens", "words"])
 
         size = 0
         for batch in batches:
@@ -68,11 +74,12 @@ def _blocks(docs: DataFrame, text_column: Column, group_column: Column, block_to
                 if len(words) > 1:
                     held.setdefault((lang, sampled), Block()).add(words)
                     size += len(words)
-                if size >= block_tokens:
-                    yield flush()
-                    size = 0
+                if size >= block_tokens:  # the largest block goes, so that blocks of rare groups can grow
+                    largest = max(held, key=lambda key: held[key].size)
+                    size -= held[largest].size
+                    yield flush(largest)
         if held:
-            yield flush()
+            yield flush(*held)
 
     return stage(rows.mapInArrow(write, "lang string, sampled boolean, n_words bigint, tokens binary, words binary"), "phrase_blocks")
 
@@ -113,10 +120,15 @@ def _phrase_hash(lang: str, phrase: str) -> np.ndarray:
     return found
 
 
-def _count(blocks: DataFrame, now: Proposed, before: Proposed, words_too: bool, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, length, f): exact counts of the phrases whose parts are all in ``now`` but were not in ``before``, and of all words if asked."""
+def _count(blocks: DataFrame, now: Proposed, before: Proposed, words_too: bool, least: int, longest: int = LONGEST, part_keys: int = PART_KEYS) -> DataFrame:
+    """(lang, phrase, length, f): exact counts of the phrases whose parts are all in ``now`` but were not in ``before``, and of all words if asked.
+
+    Phrases with fewer than ``least`` occurrences are counted and left out. A block sends its phrases packed, one row per part of the space
+    of hashes; all rows of a phrase meet in its part, where they are added up by the phrase itself.
+    """
     spark = blocks.sparkSession
     shared = spark.sparkContext.broadcast((now, before))
+    parts = min(max(8, -(-(blocks.agg(F.sum("n_words")).first()[0] or 0) // part_keys)), (1 << 31) - 1)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = shared.value
@@ -124,10 +136,10 @@ def _count(blocks: DataFrame, now: Proposed, before: Proposed, words_too: bool,
             for lang, tokens, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 names, at = unpack_words(words), unpack_ints(tokens)
                 own, spelled = word_hashes(names, _seed(lang)), np.array(names, dtype=object)
-                found: list[tuple[np.ndarray, int, np.ndarray]] = []
+                found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
                 if words_too:
                     n = np.bincount(at, minlength=len(names))
-                    found.append((spelled[1:], 1, n[1:]))
+                    found.append((spelled[1:], own[1:], n[1:]))
                 # Of the phrase that begins at a token: does it lie in a piece, and are all its parts proposed, now and before?
                 inside = at > 0
                 part_now, part_before = inside & now.has(1, own)[at], inside & before.has(1, own)[at]
@@ -149,21 +161,46 @@ def _count(blocks: DataFrame, now: Proposed, before: Proposed, words_too: bool,
                         phrases = spelled[at[new[one]]]
                         for k in range(1, length):
                             phrases = phrases + b" " + spelled[at[new[one] + k]]
-                        found.append((phrases, length, n))
+                        found.append((phrases, hashes[new[one]], n))
                     if length < longest:
                         place = np.unique(place[:many] * len(names) + at[length - 1 :], return_inverse=True)[1]
                         part_now, part_before = whole_now & now.has(length, hashes), whole_before & before.has(length, hashes)
-                for phrases, length, n in found:
-                    for start in range(0, len(phrases), 1 << 16):
-                        some = pa.array(phrases[start : start + (1 << 16)], pa.binary()).cast(pa.string())
-                        size = len(some)
-                        yield pa.record_batch(
-                            [pa.array([lang] * size), some, pa.array(np.full(size, length), pa.int32()), pa.array(n[start : start + size].astype(np.int64))],
-                            ["lang", "phrase", "length", "n"],
-                        )
-
-    counted = blocks.select("lang", "tokens", "words").mapInArrow(emit, "lang string, phrase string, length int, n bigint")
-    return counted.groupBy("lang", "phrase", "length").agg(F.sum("n").alias("f"))
+                if not found:
+                    continue
+                phrases, hashed, n = (np.concatenate(x) for x in zip(*found, strict=True))
+                place = share_of(hashed, parts)
+                order = np.argsort(place, kind="stable")
+                phrases, place, n = phrases[order].tolist(), place[order], n[order]
+                used = np.unique(place)
+                edges = np.searchsorted(place, np.append(used, parts)).tolist()
+                cuts = [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
+                yield pa.record_batch(
+                    [pa.array(used, pa.int32()), pa.array([lang] * len(used), pa.string()), pa.array([pack_words(phrases[c], b"\n") for c in cuts], pa.binary()),
+                     pa.array([pack_ints(n[c]) for c in cuts], pa.binary())],
+                    ["part", "lang", "phrases", "counts"],
+                )
+
+    def add_up(table: pa.Table) -> pa.Table:
+        made = []
+        for lang in table["lang"].unique().to_pylist():
+            some = table.filter(pc.equal(table["lang"], lang))
+            numbers: defaultdict[bytes, int] = defaultdict()
+            numbers.default_factory = numbers.__len__
+            at, n = [], []
+            for phrases, counts in zip(some["phrases"].to_pylist(), some["counts"].to_pylist(), strict=True):
+                words = unpack_words(phrases, b"\n")
+                at.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+                n.append(unpack_ints(counts))
+            total = np.zeros(len(numbers), np.int64)
+            np.add.at(total, np.concatenate(at), np.concatenate(n))
+            often = np.flatnonzero(total >= least)
+            phrases = pa.array(np.array(list(numbers), dtype=object)[often], pa.binary()).cast(pa.string())
+            length = pc.add(pc.count_substring(phrases, " "), 1)
+            made.append(pa.table({"lang": pa.array([lang] * len(often), pa.string()), "phrase": phrases, "length": length.cast(pa.int32()), "f": pa.array(total[often])}))
+        return pa.concat_tables(made)
+
+    sent = blocks.select("lang", "tokens", "words").mapInArrow(emit, "part int, lang string, phrases binary, counts binary")
+    return sent.groupBy("part").applyInArrow(add_up, "lang string, phrase string, length int, f bigint")
 
 
 def _bits_for(count: int) -> int:
@@ -202,8 +239,8 @@ def _propose(blocks: DataFrame, least: int, longest: int) -> Proposed:
     proposed = Proposed()
     for length in range(1, longest):
         before = proposed if length > 1 else Proposed()
-        counted = _count(sample, before, Proposed(), words_too=length == 1, longest=length)
-        likely = stage(counted.where((F.col("length") == length) & (F.col("f") >= lowered)).select("lang", "phrase", "length"), "proposed")
+        counted = _count(sample, before, Proposed(), words_too=length == 1, least=lowered, longest=length)
+        likely = stage(counted.select("lang", "phrase", "length"), "proposed")
         proposed = proposed.with_map(length, _bit_map(likely, length, _bits_for(likely.count())))
     return proposed
 
@@ -228,8 +265,8 @@ def frequent_phrases(blocks: DataFrame, least: int = LEAST, longest: int = LONGE
     now = _propose(blocks, least, longest) if proposed is None else proposed
     before, found, failed = Proposed(), [], []
     while True:
-        counted = _count(blocks, now, before, words_too=not found, longest=longest)
-        found.append(stage(counted.where(F.col("f") >= least), "frequent"))
+        counted = _count(blocks, now, before, words_too=not found, least=least, longest=longest)
+        found.append(stage(counted, "frequent"))
         failures = stage(_failures(found[-1], now, longest), "failures")
         by_length = {r["length"]: r["n"] for r in failures.groupBy("length").agg(F.count("*").alias("n")).collect()}
         failed.append(sum(by_length.values()))
@@ -277,7 +314,7 @@ def without_covered(scored: DataFrame) -> DataFrame:
 
 def mine_phrases(
     docs: DataFrame, text_column: Column | str = "text", group_column: Column | str = "lang", least: int = LEAST, first: int = FIRST,
-    block_tokens: int = BLOCK_TOKENS,
+    block_tokens: int = HELD_TOKENS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``first`` phrases of each group."""
     spark: SparkSession = docs.sparkSession

@@ -13,6 +13,8 @@ import xxhash
 import zstandard
 
 BLOCK_TOKENS = 1 << 19
+_compress = zstandard.ZstdCompressor(level=1).compress
+_decompress = zstandard.ZstdDecompressor().decompress
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -45,22 +47,22 @@ def pack_ints(values: np.ndarray) -> bytes:
     """Whole numbers from 0, by byte planes, so that the zeros of small ones stand together."""
     width = np.min_scalar_type(int(values.max()) if len(values) else 0).itemsize
     planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([width]) + _compress(planes.tobytes())
 
 
 def unpack_ints(data: bytes) -> np.ndarray:
     width = data[0]
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(width, -1)
+    planes = np.frombuffer(_decompress(data[1:]), np.uint8).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
-def pack_words(words: list[bytes]) -> bytes:
-    """Words without blanks, in order."""
-    return zstandard.ZstdCompressor(level=1).compress(b" ".join(words))
+def pack_words(words: list[bytes], between: bytes = b" ") -> bytes:
+    """Words, or phrases, in order; none holds ``between``."""
+    return _compress(between.join(words))
 
 
-def unpack_words(data: bytes) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(data).split(b" ")
+def unpack_words(data: bytes, between: bytes = b" ") -> list[bytes]:
+    return _decompress(data).split(between)
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
