@@ -143,10 +143,10 @@ best AS (SELECT key, arg_max(lang, (score, lang)) AS detected FROM scores GROUP
 ORACLES["language_detect"] = f"""WITH labelled AS (SELECT lang, text FROM documents WHERE doc_id % 2 = 0),
 asked AS (SELECT doc_id AS key, text FROM documents), {profile_ctes('labelled')}
 SELECT doc_id, lang, doc_id % 2 = 1 AS held_out, detected FROM documents LEFT JOIN best ON key = doc_id"""
-ORACLES["language_fill"] = f"""{CLEANED}, labelled AS (SELECT source_language AS lang, raw_text AS text FROM raw_items WHERE source_language IS NOT NULL AND raw_text IS NOT NULL),
+ORACLES["language_fill"] = f"""{CLEANED}, labelled AS (SELECT source_language AS lang, clean AS text FROM cleaned WHERE source_language IS NOT NULL),
 asked AS (SELECT arrival AS key, clean AS text FROM cleaned WHERE source_language IS NULL), {profile_ctes('labelled')}
 SELECT arrival, source_language, coalesce(source_language, detected) AS language FROM cleaned LEFT JOIN best ON key = arrival"""
-_DETECTED = f"""labelled AS (SELECT source_language AS lang, raw_text AS text FROM raw_items WHERE source_language IS NOT NULL AND raw_text IS NOT NULL),
+_DETECTED = f"""labelled AS (SELECT source_language AS lang, clean AS text FROM cleaned WHERE source_language IS NOT NULL),
 asked AS (SELECT arrival AS key, clean AS text FROM cleaned WHERE source_language IS NULL), {profile_ctes('labelled')}"""
 ORACLES["normalized_items"] = f"""{HASHED}, {_DETECTED} SELECT arrival, source_id, external_content_id, {_TYPE} AS content_type, nullif(clean, '') AS normalized_text,
   content_hash, coalesce(source_language, detected) AS language, 'normalized' AS status,
@@ -167,7 +167,7 @@ ORACLES["ingest_incremental"] = f"""{HASHED}, early_part AS (SELECT * FROM scree
 late_part AS (SELECT * FROM screened WHERE arrival >= {_CUT}), {outcome('first_run', 'early_part')},
 stored AS (SELECT source_id, external_content_id, content_hash FROM first_run WHERE inserted), {outcome('ingested', 'late_part', 'stored')}
 SELECT {_OUTCOME} FROM ingested"""
-ORACLES["content_items"] = f"""{BATCH}, {_DETECTED} SELECT source_id, external_content_id, {_TYPE} AS content_type, source_content_type, title,
+ORACLES["content_items"] = f"""{BATCH}, {_DETECTED.replace('FROM cleaned WHERE source_language IS NOT NULL', 'FROM cleaned WHERE NOT is_ad AND source_language IS NOT NULL')} SELECT source_id, external_content_id, {_TYPE} AS content_type, source_content_type, title,
   sha256(raw_text) AS content_sha, sha256(nullif(clean, '')) AS normalized_sha, url, content_hash, coalesce(source_language, detected) AS language,
   'deduplicated' AS status, is_duplicate, CAST(epoch(TIMESTAMP '2024-02-01') AS BIGINT) AS fetched_at FROM ingested LEFT JOIN best ON key = arrival WHERE inserted"""
 _COUNTERS = """count(*) FILTER (WHERE outcome = 'saved') AS saved, count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates,
@@ -284,6 +284,39 @@ hashed AS (SELECT *, {_HASH} AS content_hash, CASE WHEN is_ad THEN 'ad' WHEN len
 screened AS (SELECT * REPLACE (CASE WHEN early IS NULL THEN content_hash END AS content_hash) FROM hashed),
 {outcome('ingested', 'screened')} SELECT canonical_key, pos, content_hash, inserted, is_duplicate, outcome, reason FROM ingested"""
 
+
+
+def _run_ctes(run: int, part: str, stored: str | None) -> str:
+    """One run of ``run_twice``: the landed documents by connector, in the order of the run, to outcomes."""
+    newer = f"AND msg > coalesce((SELECT max(msg) FROM landed_{run - 1} l WHERE l.source_id = o.source_id AND l.method = 'telegram_api'), 0)" if run > 1 else ""
+    return f"""landed_{run} AS (SELECT o.*, o.arrival AS msg FROM several o WHERE {part}),
+picked_{run} AS (SELECT * FROM landed_{run} o WHERE method <> 'telegram_api' OR (raw_text IS NOT NULL AND trim(raw_text) <> '' {newer} AND msg > 0)
+  QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY CASE method WHEN 'telegram_api' THEN -msg ELSE pos END) <= 50 OR method = 'manual_import'),
+raw_{run} AS (SELECT source_id, canonical_key, new_language, method AS fetch_method,
+    CASE method WHEN 'telegram_api' THEN CAST(msg AS VARCHAR) WHEN 'rss' THEN coalesce(external_content_id, nullif(url, '')) ELSE external_content_id END AS external_content_id,
+    CASE WHEN method <> 'telegram_api' THEN title END AS title, CASE method WHEN 'rss' THEN coalesce(raw_text, '') ELSE raw_text END AS raw_text,
+    CASE WHEN method <> 'telegram_api' THEN url END AS url,
+    row_number() OVER (ORDER BY tier, wave, source_name, canonical_key, pos) AS arrival FROM picked_{run}),
+cleaned_{run} AS (SELECT *, fetch_method = 'telegram_api' AND ({_AD}) AS is_ad, {clean("coalesce(raw_text, '')")} AS clean FROM raw_{run}),
+hashed_{run} AS (SELECT *, {_HASH} AS content_hash, CASE WHEN is_ad THEN 'ad' WHEN length(clean) < 150 THEN 'short' END AS early FROM cleaned_{run}),
+screened_{run} AS (SELECT * REPLACE (CASE WHEN early IS NULL THEN content_hash END AS content_hash) FROM hashed_{run}),
+{outcome(f'run_{run}', f'screened_{run}', stored)},
+stored_{run} AS (SELECT source_id, external_content_id, content_hash FROM run_{run} WHERE inserted),
+counted_{run} AS (SELECT id AS source_id, count(r.source_id) AS fetched_{run}, count(*) FILTER (outcome = 'saved') AS saved_{run},
+  count(*) FILTER (outcome = 'duplicate') AS duplicates_{run}, count(*) FILTER (outcome = 'skipped') AS skipped_{run}
+  FROM named LEFT JOIN run_{run} r ON r.source_id = id GROUP BY id)"""
+
+
+ORACLES["run_twice"] = f"""{SEED}, named AS (SELECT *, sha256(canonical_key) AS id, ['manual_import', 'telegram_api', 'rss'][row_no % 3 + 1] AS new_method FROM seed),
+several AS (SELECT n.id AS source_id, n.canonical_key, n.tier, n.wave, n.source_name, n.language AS new_language, n.new_method AS method, raw.arrival AS pos, raw.* EXCLUDE (source_id, fetch_method)
+  FROM ({view_sql('raw_items')}) raw JOIN fields f ON f.row_no = raw.arrival % (SELECT count(*) // 6 FROM customer) + 1 JOIN named n ON n.canonical_key = f.canonical_key),
+{_run_ctes(1, "arrival < (SELECT count(*) * 7 // 10 FROM documents)", None)},
+{_run_ctes(2, "arrival >= (SELECT count(*) * 4 // 10 FROM documents)", 'stored_1')},
+both_runs AS (SELECT *, {_T0} AS fetched_at FROM run_1 UNION ALL SELECT *, {_T1} FROM run_2)
+SELECT b.source_id, external_content_id, title, content_hash, new_language AS language, is_duplicate, fetched_at,
+  fetched_1, saved_1, duplicates_1, skipped_1, fetched_2, saved_2, duplicates_2, skipped_2
+FROM both_runs b JOIN counted_1 USING (source_id) JOIN counted_2 USING (source_id) WHERE inserted"""
+
 # --- connectors ---
 
 ORACLES["manual_items"] = f"""{views('landed_manual')} SELECT rec, coalesce(nullif(external_content_id, ''), nullif(id, '')) AS external_content_id,

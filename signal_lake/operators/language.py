@@ -31,25 +31,43 @@ def _places(rows: DataFrame, text: str, *columns: Column) -> DataFrame:
     return rows.select(*columns, F.explode(trigrams(F.col(text))).alias("gram")).select("*", _place(F.col("gram")).alias("place")).drop("gram")
 
 
-def train_profile(labelled: DataFrame, text: str, lang: str) -> DataFrame:
+def count_trigrams(labelled: DataFrame, text: str, lang: str) -> DataFrame:
+    """Rows (lang, place, n): how often the trigrams of a language's texts fall into each place. Counts of parts add up to those of the whole."""
+    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    return _places(known, text, F.col(lang).alias("lang")).groupBy("lang", "place").agg(F.count("*").alias("n"))
+
+
+def add_counts(*counts: DataFrame) -> DataFrame:
+    """The counts of all texts that went into ``counts``."""
+    whole = counts[0]
+    for more in counts[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("lang", "place").agg(F.sum("n").alias("n"))
+
+
+def profile_of(counts: DataFrame) -> DataFrame:
     """Rows (place, lang, weight): the weight of every place that a language's trigrams fall into, as a small staged table.
 
     The weight is a rounded thousandfold log of the add-one smoothed count: sums of whole numbers
     do not depend on the order of rows.
     """
-    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = _places(known, text, F.col(lang).alias("lang")).groupBy("lang", "place").agg(F.count("*").alias("n"))
+    counts = stage(counts, "trigram_counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     weight = F.round(1000 * F.log(1 + F.lit(_SCALE) * F.col("n") / F.col("total"))).cast("bigint")
     return stage(counts.join(totals, "lang").select("place", "lang", weight.alias("weight")), "language_profile")
 
 
+def train_profile(labelled: DataFrame, text: str, lang: str) -> DataFrame:
+    """The profile of labelled texts."""
+    return profile_of(count_trigrams(labelled, text, lang))
+
+
 def detect(rows: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
     """Rows (key, detected); texts under 20 characters or without a known trigram are left out.
 
     Trigrams meet the broadcast profile, one row per place with a weight per language, inside the scan
     stage and are summed there, so the shuffle carries one row per text and task, whatever the length of
-    the text. ``profile`` must come from ``train_profile``, which bounds its size by ``PLACES``.
+    the text. ``profile`` must come from ``profile_of``, which bounds its size by ``PLACES``.
     """
     langs = sorted(row.lang for row in profile.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if not langs:

@@ -151,7 +151,7 @@ def language_fill(spark, sf_dir):
     """Language of every item: the source's, else the detected one."""
     items = _raw(spark, sf_dir)
     cleaned = stage(I.with_clean_text(items), "cleaned")
-    return I.fill_language(cleaned, "arrival", I.language_profile(items)).select("arrival", "source_language", "language")
+    return I.fill_language(cleaned, "arrival", I.language_profile(cleaned)).select("arrival", "source_language", "language")
 
 
 @query
@@ -289,6 +289,57 @@ def ingest_wave1(spark, sf_dir):
     )
 
 
+def _landed_in(spark: SparkSession, sf_dir: str, part: Column) -> dict[str, DataFrame]:
+    """Some documents as landed records of the methods of ``_several_sources``: source n has every document n modulo a sixth of the sources."""
+    listed = load(spark, sf_dir, "registry_raw")
+    sixth = listed.count() // 6
+    keys = listed.select("row_no", R.canonical_key(F.trim("source_name")).alias("key"))
+    owners = _several_sources(spark, sf_dir).select(F.col("canonical_key").alias("key"), F.col("id").alias("owner"), F.col("fetch_method").alias("method"))
+    docs = _raw(spark, sf_dir).where(part).withColumn("row_no", F.col("arrival") % sixth + 1).join(keys, "row_no").join(owners, "key")
+    docs = docs.withColumns({"source_id": F.col("owner"), "pos": F.col("arrival")})
+    nothing = F.lit(None).cast("string")
+    return {
+        "manual_import": docs.where("method = 'manual_import'").select("source_id", "pos", F.col("external_content_id").alias("id"), "title", F.col("raw_text").alias("text"), "url"),
+        "telegram_api": docs.where("method = 'telegram_api'").select(
+            "source_id", "pos", F.col("pos").alias("msg_id"), F.col("raw_text").alias("text"), nothing.alias("channel"), nothing.cast("timestamp").alias("date"),
+            nothing.cast("int").alias("views"), nothing.cast("int").alias("replies"), F.lit(False).alias("has_media"), nothing.cast("bigint").alias("grouped_id"),
+        ),
+        "rss": docs.where("method = 'rss'").select(
+            "source_id", "pos", "title", F.col("url").alias("link"), F.col("raw_text").alias("summary"), nothing.alias("content"), F.col("external_content_id").alias("entry_id"),
+            nothing.alias("published"), nothing.alias("author"), F.array(nothing).alias("tags"),
+        ),
+    }
+
+
+def _several_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list's sources, each of one of three methods, with the settings these need."""
+    method = F.element_at(F.array(F.lit("manual_import"), F.lit("telegram_api"), F.lit("rss")), (F.col("row_no") % 3 + 1).cast("int"))
+    seed = _seed(spark, sf_dir).withColumn("fetch_method", method)
+    return T.new_sources(seed.withColumn("fetch_config", F.lit('{"file_path": "/in/x.json", "channel": "@c", "feed_url": "https://ex.org/feed"}')), _at(SEED_TIME))
+
+
+@query
+def run_twice(spark, sf_dir):
+    """What is stored after two runs over three connectors, with the counters of the item's source in both.
+
+    The first run lands the first 70 % of the documents, the second the last 60 %: what landed before is met again.
+    """
+    import uuid
+
+    root = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
+    n = load(spark, sf_dir, "documents").count()
+    P.write_sources(_several_sources(spark, sf_dir), root, 1)
+    counters = []
+    for run, part in enumerate((F.col("arrival") < n * 7 // 10, F.col("arrival") >= n * 4 // 10), 1):
+        at = _at(SEED_TIME if run == 1 else RUN_TIME)
+        sources = P.read_sources(spark, root, run)
+        results = P.run_ingestion(spark, root, sources, _landed_in(spark, sf_dir, part), at, version=run + 1, detect=False, run=run)
+        named = results.join(sources.select("canonical_key", F.col("id").alias("source_id")), "canonical_key")
+        counters.append(named.select("source_id", *[F.col(c).alias(f"{c}_{run}") for c in ("fetched", "saved", "duplicates", "skipped")]))
+    items = P.read_items(spark, root).select("source_id", "external_content_id", "title", "content_hash", "language", "is_duplicate", _epoch("fetched_at"))
+    return items.join(counters[0], "source_id").join(counters[1], "source_id")
+
+
 # --- registry ---------------------------------------------------------------------------------
 
 
@@ -450,9 +501,7 @@ def source_by_key(spark, sf_dir):
     missing = load(spark, sf_dir, "registry_raw").select(
         F.concat(F.lit("gone-"), F.col("row_no").cast("string")).alias("canonical_key")
     )
-    found = wanted.unionByName(missing).join(known, "canonical_key", "left")
-    problem = F.when(F.col("is_active").isNull(), "not found").when(~F.col("is_active"), "not active")
-    return found.select("canonical_key", problem.alias("problem"))
+    return G.keys_with_problem(known, wanted.unionByName(missing))
 
 
 def _mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

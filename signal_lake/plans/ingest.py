@@ -9,6 +9,7 @@ from signal_lake.functions.space import is_blank, or_null
 from signal_lake.functions.text import clean_text
 from signal_lake.operators import language as L
 from signal_lake.operators.dedup import KEY, mark_duplicates, touched_rows
+from signal_lake.operators.index import StoredIndex
 from signal_lake.operators.skew import SALTS, lookup_join
 from signal_lake.schemas import CONTENT_ITEMS, ENGAGEMENT_COLUMNS
 from signal_lake.session import stage
@@ -53,14 +54,18 @@ def fingerprints(items: DataFrame, order: str = "arrival") -> DataFrame:
 
 
 def outcomes_of(
-    prints: DataFrame, stored: DataFrame | None = None, order: str = "arrival", salts: int = SALTS
+    prints: DataFrame, stored: DataFrame | StoredIndex | None = None, order: str = "arrival", salts: int = SALTS
 ) -> DataFrame:
     """Outcome of every row of staged ``fingerprints``; skipped rows register neither key nor fingerprint.
 
-    ``stored`` holds the key columns and ``content_hash`` of the stored rows.
+    ``stored`` is an index of the stored rows, or holds their key columns and ``content_hash``.
     """
     fine = prints.where(F.col("reason").isNull() & F.col("content_hash").isNotNull()).select(order, *KEY, "content_hash")
-    marked = mark_duplicates(fine, order, None if stored is None else touched_rows(fine, stored), salts)
+    if stored is None:
+        touched = None
+    else:
+        touched = stored.touched(fine) if isinstance(stored, StoredIndex) else touched_rows(fine, stored)
+    marked = mark_duplicates(fine, order, touched, salts)
     broken = F.col("reason") == "no_source"
     turned_away = prints.where(F.col("reason").isNotNull()).select(
         order, *KEY, "content_hash",
@@ -70,7 +75,7 @@ def outcomes_of(
     return marked.unionByName(turned_away)
 
 
-def ingest(items: DataFrame, stored: DataFrame | None = None, order: str = "arrival", salts: int = SALTS) -> DataFrame:
+def ingest(items: DataFrame, stored: DataFrame | StoredIndex | None = None, order: str = "arrival", salts: int = SALTS) -> DataFrame:
     """Outcome of each item: order, key, content_hash, inserted, is_duplicate, outcome, reason.
 
     Of staged ``prepared`` items the narrow columns are read; other items go through the text pass first, which
@@ -81,9 +86,19 @@ def ingest(items: DataFrame, stored: DataFrame | None = None, order: str = "arri
     return outcomes_of(prints, stored, order, salts)
 
 
-def language_profile(items: DataFrame) -> DataFrame:
-    """A profile trained on the items whose source has one language."""
-    return L.train_profile(items.where(~is_blank(F.col("source_language")) & (F.col("source_language") != "mixed")), "raw_text", "source_language")
+def labelled_texts(cleaned: DataFrame) -> DataFrame:
+    """Cleaned items whose source has one language."""
+    return cleaned.where(~is_blank(F.col("source_language")) & (F.col("source_language") != "mixed"))
+
+
+def language_counts(cleaned: DataFrame) -> DataFrame:
+    """Trigram counts of the cleaned items whose source has one language; counts of several runs add up."""
+    return L.count_trigrams(labelled_texts(cleaned), "normalized_text", "source_language")
+
+
+def language_profile(cleaned: DataFrame) -> DataFrame:
+    """A profile trained on the cleaned items whose source has one language."""
+    return L.profile_of(language_counts(cleaned))
 
 
 def fill_language(items: DataFrame, order: str, profile: DataFrame | None) -> DataFrame:
@@ -101,18 +116,17 @@ def fill_language(items: DataFrame, order: str, profile: DataFrame | None) -> Da
     return known.unionByName(unknown.join(found, order, "left").withColumnRenamed("detected", "language"))
 
 
-def _profile_of(items: DataFrame, profile: DataFrame | None, detect: bool) -> DataFrame | None:
-    return language_profile(items) if profile is None and detect else profile if detect else None
-
-
 def normalized_items(items: DataFrame, order: str = "arrival", profile: DataFrame | None = None, detect: bool = True) -> DataFrame:
     """All columns normalisation derives, next to ``order`` and the item's own columns.
 
     A missing language is detected unless ``detect`` is off, by ``profile`` or by one trained on the items themselves.
     """
-    chosen = _profile_of(items, profile, detect)
     cleaned = with_clean_text(items)
-    cleaned = fill_language(cleaned if chosen is None else stage(cleaned, "cleaned"), order, chosen)
+    if not detect:
+        cleaned = fill_language(cleaned, order, None)
+    else:
+        cleaned = stage(cleaned, "cleaned")
+        cleaned = fill_language(cleaned, order, language_profile(cleaned) if profile is None else profile)
     return cleaned.select(
         *[name for name in items.columns if name not in ("normalized_text", "language")],
         or_null(F.col("normalized_text")).alias("normalized_text"),
@@ -124,18 +138,25 @@ def normalized_items(items: DataFrame, order: str = "arrival", profile: DataFram
 
 
 def content_rows(
-    items: DataFrame, outcomes: DataFrame, run_at: Column, order: str = "arrival", profile: DataFrame | None = None, detect: bool = True
+    items: DataFrame, outcomes: DataFrame, run_at: Column, order: str = "arrival", profile: DataFrame | None = None, detect: bool = True,
+    run: int | None = None,
 ) -> DataFrame:
     """Rows of ``content_items`` for the inserted items of a staged ``prepared`` table.
 
-    The wide rows are shuffled once, on the unique ``order``. A missing language is detected as in ``normalized_items``.
+    A missing language is detected as in ``normalized_items``, on (order, text) rows of the staged table, before anything is joined: languages
+    and outcomes meet as narrow rows, and the wide rows are shuffled once, on the unique ``order``. ``run`` is part of the ids if given.
     """
     taken = outcomes.where("inserted").select(order, "content_hash", "is_duplicate")
+    if detect:
+        known = language_profile(items) if profile is None else profile
+        asked = items.where(F.col("reason").isNull() & is_blank(F.col("source_language"))).select(order, "normalized_text")
+        taken = taken.join(L.detect(asked, order, "normalized_text", known), order, "left")
+    else:
+        taken = taken.withColumn("detected", F.lit(None).cast("string"))
     lacking = [f for f in CONTENT_ITEMS.fields if f.name in (*ENGAGEMENT_COLUMNS, "author_name", "published_at", "raw_payload")]
     full = items.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking if f.name not in items.columns])
-    ready = full if "normalized_text" in full.columns else with_clean_text(full)
-    rows = fill_language(ready.drop("content_hash", "reason").join(taken, order), order, _profile_of(items, profile, detect))
-    place = F.to_json(F.struct(order))
+    rows = full.drop("content_hash", "reason").join(taken, order).withColumn("language", F.coalesce(or_null(F.col("source_language")), "detected"))
+    place = F.to_json(F.struct(order) if run is None else F.struct(F.lit(run).alias("run"), order))
     made: dict[str, Column] = {
         "id": F.sha2(F.concat_ws("|", F.col("source_id"), F.coalesce("external_content_id", F.lit("")), place), 256),
         "content_type": S.content_type(F.col("source_content_type")),

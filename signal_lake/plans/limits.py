@@ -19,9 +19,11 @@ LIMITS = {
 }
 
 
-def pick_landed(method: str, records: DataFrame, sources: DataFrame) -> DataFrame:
+def pick_landed(method: str, records: DataFrame, sources: DataFrame, cursors: DataFrame | None = None) -> DataFrame:
     """Records (with ``source_id`` and ``pos``) of the sources of ``method``, cut as each source is set up.
 
+    ``cursors`` (source_id, min_id) tell how far channels were read; a source's own setting holds if it is further.
+
     Only the greatest limit comes to the driver, one number; it bounds the cut before the shuffle.
     """
     setting, default = LIMITS.get(method, (None, None))
@@ -29,7 +31,7 @@ def pick_landed(method: str, records: DataFrame, sources: DataFrame) -> DataFram
     wish = config.select(
         F.col("id").alias("source_id"),
         F.coalesce(F.col(f"fetch_config.{setting}"), F.lit(default)).alias("_limit") if setting else F.lit(0).alias("_limit"),
-        F.coalesce("fetch_config.min_id", F.lit(0)).alias("_min_id"),
+        F.coalesce("fetch_config.min_id", F.lit(0)).cast("bigint").alias("_min_id"),
         F.coalesce("fetch_config.feed", F.lit(hf.FEEDS[0] if method == "huggingface_api" else "topstories")).alias("_feed"),
         F.coalesce("fetch_config.sort", F.lit("likes")).alias("_sort"),
         F.coalesce("fetch_config.languages", F.array(*map(F.lit, transcript.DEFAULT_LANGUAGES))).alias("_languages"),
@@ -38,6 +40,9 @@ def pick_landed(method: str, records: DataFrame, sources: DataFrame) -> DataFram
         F.col("fetch_config.content_selector").alias("content_selector"),
         F.col("fetch_config.title_selector").alias("title_selector"),
     )
+    if cursors is not None and method == "telegram_api":
+        read_to = cursors.select("source_id", F.col("min_id").alias("_read_to"))
+        wish = wish.join(read_to, "source_id", "left").withColumn("_min_id", F.greatest("_min_id", F.coalesce("_read_to", F.lit(0)))).drop("_read_to")
     own = [name for name in ("content_selector", "title_selector") if name not in records.columns]
     joined = lookup_join(records.drop("content_selector", "title_selector"), wish, "source_id", "pos", "inner")
     if setting:

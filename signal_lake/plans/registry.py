@@ -128,6 +128,13 @@ def processing_order() -> list[str]:
     return ["tier", "wave", "source_name", "canonical_key"]
 
 
+def keys_with_problem(sources: DataFrame, keys: DataFrame) -> DataFrame:
+    """(canonical_key, problem) of every asked key: NULL if its source can run."""
+    found = keys.select("canonical_key").join(sources.select("canonical_key", "is_active"), "canonical_key", "left")
+    problem = F.when(F.col("is_active").isNull(), "not found").when(~F.col("is_active"), "not active")
+    return found.select("canonical_key", problem.alias("problem"))
+
+
 def source_by_key(sources: DataFrame, key: str) -> DataFrame:
     """The source with its state: ``problem`` is NULL if it can run."""
     return sources.where(F.col("canonical_key") == key).withColumn(

@@ -2,34 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
 
-from signal_lake.operators import tables
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+
+from signal_lake.operators import language as L, tables
+from signal_lake.operators.index import StoredIndex
 from signal_lake.operators.skew import global_rank, lookup_join
 from signal_lake.plans import ingest as I
 from signal_lake.plans.limits import pick_landed
 from signal_lake.plans.registry import active_sources, processing_order, source_by_key
 from signal_lake.schemas import CONTENT_ITEMS, SOURCES
 from signal_lake.session import stage
+from signal_lake.sources.channel import cursor
 from signal_lake.sources.router import has_connector, route, source_errors
 
 
+#: So many runs may have an index of their own before they are merged into one.
+MERGE_AFTER = 16
+LEDGER = "run bigint, version bigint, index_runs array<bigint>"
+CURSORS = "source_id string, min_id bigint"
+COUNTS = "lang string, place bigint, n bigint"
+
+
 def read_sources(spark: SparkSession, root: str, version: int) -> DataFrame:
     """One version of the registry. A run reads one version and writes the next, never the one it reads."""
     return spark.read.schema(SOURCES).parquet(f"{root}/sources/version={version}")
 
 
-def write_sources(rows: DataFrame, root: str, version: int) -> None:
-    rows.select(*SOURCES.names).write.mode("errorifexists").parquet(f"{root}/sources/version={version}")
+def write_sources(rows: DataFrame, root: str, version: int, mode: str = "errorifexists") -> None:
+    rows.select(*SOURCES.names).write.mode(mode).parquet(f"{root}/sources/version={version}")
+
+
+def complete_runs(spark: SparkSession, root: str) -> list[Row]:
+    """Runs that came to their end, in order, one small row each: what a run wrote counts from its row in the ledger on."""
+    if not _exists(spark, f"{root}/ledger"):
+        return []
+    return sorted(spark.read.schema(LEDGER).parquet(f"{root}/ledger").collect(), key=lambda r: r["run"])
+
+
+def _of_runs(spark: SparkSession, root: str, part: str, schema: T.StructType | str, runs: Sequence[int]) -> DataFrame:
+    paths = [f"{root}/{part}/run={run}" for run in runs]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{part}").parquet(*paths).drop("run")
 
 
 def read_items(spark: SparkSession, root: str) -> DataFrame:
-    """Stored items; the split by ``is_duplicate`` is a partition column, so a read of originals skips the copies."""
-    return spark.read.schema(CONTENT_ITEMS).parquet(f"{root}/content_items").select(*CONTENT_ITEMS.names)
+    """Items of complete runs; the split by ``is_duplicate`` is a partition column, so a read of originals skips the copies."""
+    return _of_runs(spark, root, "content_items", CONTENT_ITEMS, [r["run"] for r in complete_runs(spark, root)]).select(*CONTENT_ITEMS.names)
+
+
+def write_items(rows: DataFrame, root: str, run: int) -> None:
+    """The items of one run; a run that is done again replaces its own."""
+    rows.select(*CONTENT_ITEMS.names).write.mode("overwrite").partitionBy("is_duplicate").parquet(f"{root}/content_items/run={run}")
 
 
-def append_items(rows: DataFrame, root: str) -> None:
-    rows.select(*CONTENT_ITEMS.names).write.mode("append").partitionBy("is_duplicate").parquet(f"{root}/content_items")
+def read_cursors(spark: SparkSession, root: str) -> DataFrame:
+    """(source_id, min_id): the message each channel was read to, as of the last complete run."""
+    return _of_runs(spark, root, "cursors", CURSORS, [r["run"] for r in complete_runs(spark, root)][-1:])
+
+
+def _begin(spark: SparkSession, root: str, run: int, version: int | None) -> None:
+    """Note that a run begins. Only a run that began before may find its version of the registry there."""
+    started = f"{root}/started/run={run}"
+    if version is not None and _exists(spark, f"{root}/sources/version={version}"):
+        mine = _exists(spark, started) and spark.read.schema("version bigint").parquet(started).where(F.col("version") == version).count()
+        if not mine:
+            raise ValueError(f"version {version} of the sources is there already")
+    spark.createDataFrame([(version,)], "version bigint").coalesce(1).write.mode("overwrite").parquet(started)
 
 
 #: An item's place in a run is one number: its source's place, and in the lower bits its place in the source.
@@ -85,17 +126,29 @@ def run_ingestion(
     profile: DataFrame | None = None,
     detect: bool = True,
     failures: DataFrame | None = None,
+    run: int | None = None,
 ) -> DataFrame:
     """Ingest landed records (method -> table with source_id, pos and the connector's fields).
 
-    Each source's limits and selectors are applied to its records first. A missing language is detected unless ``detect`` is off.
-    Returns the counters per source. Unless it is a dry run, inserted items are appended under
-    ``root`` and the sources with their new state are written as ``version``. A source that cannot be fetched
+    Each source's limits, selectors and cursor are applied to its records first. A missing language is detected unless ``detect`` is off: by
+    ``profile``, or by the trigrams of this run's texts and those counted in the runs before.
+    Returns the counters per source. A source that cannot be fetched
     gives an error row and no items, and so does one in ``failures`` (canonical_key, message): what readers
     and parsers of its files turned away. Records of a method without a connector are left; their sources are errors.
+
+    Unless it is a dry run, it writes under ``root``, in folders of the ``run`` (the next number if none is given): items, their index, cursors,
+    trigram counts, counters, and the sources with their new state as ``version``. Its row in the ledger comes last, and only
+    what ledgered runs wrote is ever read. So a run that broke off anywhere is done again under its number with the
+    same result, and a complete one just returns its counters.
     """
     if key:
         require_source(sources, key)
+    done = complete_runs(spark, root)
+    number = run if run is not None else max((r["run"] for r in done), default=0) + 1
+    if not dry_run:
+        if number in [r["run"] for r in done]:
+            return spark.read.parquet(f"{root}/results/run={number}")
+        _begin(spark, root, number, version)
     chosen = select_sources(sources, method, wave, key)
     errors = source_errors(chosen)
     if failures is not None:
@@ -104,24 +157,48 @@ def run_ingestion(
         errors = errors.unionByName(failed.withColumn("recorded", F.lit(True)))
     errors = stage(errors, "source_errors")
     fit = placed_sources(chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti"))
-    picked = {name: pick_landed(name, records, fit) for name, records in landed.items() if has_connector(name)}
+    cursors = read_cursors(spark, root)
+    index = StoredIndex(spark, f"{root}/index", tuple(done[-1]["index_runs"]) if done else ())
+    picked = {name: pick_landed(name, records, fit, cursors) for name, records in landed.items() if has_connector(name)}
     if not picked:
         nothing = fit.select("canonical_key", F.lit("none").alias("outcome")).limit(0)
         results = stage(I.run_results(nothing, errors, "canonical_key", fit), "run_results")
     else:
         routed = ordered_items(route(picked, ["source_id", "pos"]), fit).drop("pos")
         items = stage(I.prepared(routed), "prepared")
-        stored = None
-        if _exists(spark, f"{root}/content_items"):
-            stored = read_items(spark, root).select("source_id", "external_content_id", "content_hash")
-        outcomes = stage(I.ingest(items, stored), "outcomes")
+        outcomes = stage(I.ingest(items, index), "outcomes")
         results = stage(I.run_results(with_key(outcomes, fit), errors, "canonical_key", fit), "run_results")
-        if not dry_run:
-            append_items(I.content_rows(items, outcomes, run_at, profile=profile, detect=detect), root)
-    if not dry_run and version is not None:
+    if dry_run:
+        return results
+
+    counts = _of_runs(spark, root, "trigrams", COUNTS, [r["run"] for r in done][-1:])
+    if picked:
+        if detect and profile is None:
+            counts = stage(L.add_counts(counts, I.language_counts(items)), "trigrams")
+            profile = L.profile_of(counts)
+        write_items(I.content_rows(items, outcomes, run_at, profile=profile, detect=detect, run=number), root, number)
+        index.add(outcomes.where("inserted"), number)
+    counts.select("lang", "place", "n").write.mode("overwrite").parquet(f"{root}/trigrams/run={number}")
+    read_to = cursors
+    if "telegram_api" in picked:
+        heard = landed["telegram_api"].join(fit.select(F.col("id").alias("source_id")), "source_id", "left_semi")
+        read_to = cursors.unionByName(cursor(heard, ["source_id"]))
+    read_to.groupBy("source_id").agg(F.max("min_id").alias("min_id")).write.mode("overwrite").parquet(f"{root}/cursors/run={number}")
+    results.write.mode("overwrite").parquet(f"{root}/results/run={number}")
+    if version is not None:
         noted = errors.where("recorded").select("canonical_key", "message", F.lit(0).alias("seq"))
-        write_sources(tables.record_state(sources, noted, fit.select("canonical_key"), run_at), root, version)
-    return results
+        write_sources(tables.record_state(sources, noted, fit.select("canonical_key"), run_at), root, version, "overwrite")
+    _finish(spark, root, number, version, index, bool(picked))
+    return spark.read.parquet(f"{root}/results/run={number}")
+
+
+def _finish(spark: SparkSession, root: str, run: int, version: int | None, index: StoredIndex, added: bool) -> None:
+    """Write the ledger row; many small indexes are merged first."""
+    runs = (*index.runs, run) if added else index.runs
+    if len(runs) > MERGE_AFTER:
+        runs = StoredIndex(spark, index.root, runs).merge(-run).runs
+    row = spark.createDataFrame([(run, version, list(runs))], LEDGER)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/ledger/run={run}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
