@@ -162,6 +162,7 @@ ORACLES["ingest_stream"] = f"""{HASHED}, early_part AS (SELECT * FROM screened W
 late_part AS (SELECT * FROM screened WHERE arrival < {_LATE}), {outcome('first_run', 'early_part')},
 stored AS (SELECT source_id, external_content_id, content_hash FROM first_run WHERE inserted), {outcome('ingested', 'late_part', 'stored')}
 SELECT {_OUTCOME} FROM first_run UNION ALL SELECT {_OUTCOME} FROM ingested"""
+ORACLES["ingest_stream_exact"] = ORACLES["ingest_batch"]
 _CUT = "(SELECT count(*) * 6 // 10 FROM documents)"
 ORACLES["ingest_incremental"] = f"""{HASHED}, early_part AS (SELECT * FROM screened WHERE arrival < {_CUT}),
 late_part AS (SELECT * FROM screened WHERE arrival >= {_CUT}), {outcome('first_run', 'early_part')},

@@ -15,17 +15,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from signal_lake.session import stage
 
 KEY = ["source_id", "external_content_id"]
-ENTRIES = "kind string, source_id string, external_content_id string, content_hash string, place bigint"
+ENTRIES = "kind string, source_id string, external_content_id string, content_hash string, member bigint, place bigint"
 #: Entries of a folder, and entries per word of the filter: 16 bits each, of which 4 are set.
 FOLDER, PER_WORD = 1 << 20, 4
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Entries with ``place``, a hash of what they are looked up by."""
+    place = F.when(F.col("kind") == "key", F.xxhash64("kind", *KEY)).otherwise(F.xxhash64("kind", "content_hash"))
+    return rows.withColumn("place", place)
+
+
 def entries_of(rows: DataFrame) -> DataFrame:
     """One entry per different key and per different fingerprint; NULL ones are never looked for."""
-    missing = F.lit(None).cast("string")
-    keys = rows.where(F.col("external_content_id").isNotNull() & F.col("source_id").isNotNull()).select(F.lit("key").alias("kind"), *KEY, missing.alias("content_hash"))
-    prints = rows.where(F.col("content_hash").isNotNull()).select(F.lit("hash").alias("kind"), missing.alias("source_id"), missing.alias("external_content_id"), "content_hash")
-    return keys.union(prints).distinct().withColumn("place", F.xxhash64("kind", *KEY, "content_hash"))
+    missing, nobody = F.lit(None).cast("string"), F.lit(None).cast("bigint").alias("member")
+    keys = rows.where(F.col("external_content_id").isNotNull() & F.col("source_id").isNotNull()).select(F.lit("key").alias("kind"), *KEY, missing.alias("content_hash"), nobody)
+    prints = rows.where(F.col("content_hash").isNotNull()).select(F.lit("hash").alias("kind"), missing.alias("source_id"), missing.alias("external_content_id"), "content_hash", nobody)
+    return _placed(keys.union(prints).distinct())
+
+
+def members_of(rows: DataFrame, order: str) -> DataFrame:
+    """Two entries a row, by its key and by its fingerprint, each with the whole row and its ``order`` as ``member``."""
+    kinds = F.explode(F.array(F.lit("key"), F.lit("hash"))).alias("kind")
+    both = rows.select(kinds, *KEY, "content_hash", F.col(order).cast("bigint").alias("member"))
+    findable = F.when(F.col("kind") == "key", F.col("external_content_id").isNotNull() & F.col("source_id").isNotNull()).otherwise(F.col("content_hash").isNotNull())
+    return _placed(both.where(findable))
 
 
 def _word(place: Column, words: Column | int) -> Column:
@@ -55,6 +69,10 @@ class StoredIndex:
         """Write what ``run`` adds; a run that is done again replaces its own."""
         self._write(stage(entries_of(rows), "index_entries"), run)
 
+    def add_members(self, rows: DataFrame, order: str, run: int) -> None:
+        """The same with every row as a member of its two groups."""
+        self._write(stage(members_of(rows, order), "index_entries"), run)
+
     def _write(self, entries: DataFrame, run: int) -> None:
         count = entries.count()
         folders = max(1, -(-count // FOLDER))
@@ -92,6 +110,16 @@ class StoredIndex:
         paths = [f"{self.root}/entries/run={run}/folder={folder}" for run, folder in folders]
         return self.spark.read.schema(ENTRIES).parquet(*paths)
 
+    def members(self, asked: DataFrame) -> DataFrame:
+        """Stored rows (two key columns, content_hash, member) of the groups that ``asked`` entries name."""
+        found = self.read_folders(self.folders_for(asked))
+        same = F.col("f.place") == F.col("a.place")
+        same = same & (F.col("f.kind") == F.col("a.kind"))
+        # Of a hash that two groups share, the group itself decides.
+        by_key = (F.col("f.kind") == "key") & F.col("f.source_id").eqNullSafe(F.col("a.source_id")) & F.col("f.external_content_id").eqNullSafe(F.col("a.external_content_id"))
+        by_print = (F.col("f.kind") == "hash") & F.col("f.content_hash").eqNullSafe(F.col("a.content_hash"))
+        return found.alias("f").join(asked.alias("a"), same & (by_key | by_print), "left_semi").select(*KEY, "content_hash", "member")
+
     def touched(self, items: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(stored keys, stored fingerprints) that ``items`` meet, each once."""
         asked = stage(entries_of(items), "asked")

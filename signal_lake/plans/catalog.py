@@ -210,22 +210,38 @@ def content_items(spark, sf_dir):
 @query
 def ingest_stream(spark, sf_dir):
     """Outcomes through Structured Streaming: the later 60 % of the documents land first, the earlier ones come late."""
+    docs = load(spark, sf_dir, "documents")
+    cut = docs.count() * 4 // 10
+    root = _streamed(spark, sf_dir, [F.col("doc_id") >= cut, F.col("doc_id") < cut])
+    return ST.all_outcomes(spark, root).select(*OUTCOME)
+
+
+@query
+def ingest_stream_exact(spark, sf_dir):
+    """The same in three parts, the last ones first, when late rows take their place: the result of one batch."""
+    docs = load(spark, sf_dir, "documents")
+    low, high = docs.count() // 3, docs.count() * 2 // 3
+    root = _streamed(spark, sf_dir, [F.col("doc_id") >= high, F.col("doc_id") < low, (F.col("doc_id") >= low) & (F.col("doc_id") < high)], exact=True)
+    return ST.current_outcomes(spark, root).select(*OUTCOME)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, parts: list[Column], exact: bool = False) -> str:
+    """Folder of a stream into which parts of the documents landed one after the other, each followed by a drain."""
     import uuid
 
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     docs = load(spark, sf_dir, "documents")
-    cut = docs.count() * 4 // 10
 
     def to_items(rows: DataFrame) -> DataFrame:
         from signal_lake.plans.views import view_sql
 
         return spark.sql(view_sql("raw_items").replace("FROM documents", "FROM {documents}"), documents=rows)
 
-    for part in (docs.where(F.col("doc_id") >= cut), docs.where(F.col("doc_id") < cut)):
-        part.write.mode("append").parquet(f"{root}/landing")
+    for part in parts:
+        docs.where(part).write.mode("append").parquet(f"{root}/landing")
         ST.land_fingerprints(spark, f"{root}/landing", docs.schema, root, to_items)
-        ST.dedup_landed(spark, root)
-    return ST.all_outcomes(spark, root).select(*OUTCOME)
+        ST.dedup_landed(spark, root, exact)
+    return root
 
 
 @query

@@ -65,14 +65,17 @@ def outcomes_of(
         touched = None
     else:
         touched = stored.touched(fine) if isinstance(stored, StoredIndex) else touched_rows(fine, stored)
-    marked = mark_duplicates(fine, order, touched, salts)
+    return mark_duplicates(fine, order, touched, salts).unionByName(turned_away(prints, order))
+
+
+def turned_away(prints: DataFrame, order: str = "arrival") -> DataFrame:
+    """Outcome of the rows that were skipped early, or have no source."""
     broken = F.col("reason") == "no_source"
-    turned_away = prints.where(F.col("reason").isNotNull()).select(
+    return prints.where(F.col("reason").isNotNull()).select(
         order, *KEY, "content_hash",
         F.lit(False).alias("inserted"), F.lit(False).alias("is_duplicate"),
         F.when(broken, "error").otherwise("skipped").alias("outcome"), "reason",
     )
-    return marked.unionByName(turned_away)
 
 
 def ingest(items: DataFrame, stored: DataFrame | StoredIndex | None = None, order: str = "arrival", salts: int = SALTS) -> DataFrame:
