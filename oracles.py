@@ -326,13 +326,16 @@ ORACLES["manual_items"] = f"""{views('landed_manual')} SELECT rec, coalesce(null
 _SHA = r"sha256(regexp_replace(text, '\s+', '', 'g'))"
 _FEED_TIME = "CAST(epoch(TIMESTAMP '2024-01-05 07:00:00') AS BIGINT)"
 ORACLES["feed_items"] = f"""SELECT doc_id, CAST(0 AS BIGINT) AS pos, 'g' || doc_id AS external_content_id, 'T ' || doc_id AS title, 'https://ex.org/' || doc_id AS url,
-  source AS author_name, {_FEED_TIME} AS published_at, {_SHA} AS text_sha FROM documents WHERE doc_id % 8 = 0
-UNION ALL SELECT doc_id, 1, 'https://ex.org/u' || doc_id, 'U', 'https://ex.org/u' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 8 = 0
-UNION ALL SELECT doc_id, 0, 'a' || doc_id, 'A ' || doc_id, 'https://ex.org/a' || doc_id, source, {_FEED_TIME} + 3 * 3600, {_SHA} FROM documents WHERE doc_id % 8 = 1
-UNION ALL SELECT doc_id, 0, 'r' || doc_id, 'R' || chr(160) || doc_id, 'https://ex.org/r' || doc_id, NULL, {_FEED_TIME} - 7 * 3600, {_SHA} FROM documents WHERE doc_id % 8 = 2
-UNION ALL SELECT doc_id, 0, 'x' || doc_id, 'X ' || doc_id, 'https://ex.org/x' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 8 = 3
-UNION ALL SELECT doc_id, 0, 'https://ex.org/p' || doc_id, 'P ' || doc_id, 'https://ex.org/p' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 8 = 4"""
-ORACLES["feed_errors"] = "SELECT doc_id, 'feed parse error' AS message FROM documents WHERE doc_id % 8 IN (5, 7)"
+  source AS author_name, {_FEED_TIME} AS published_at, {_SHA} AS text_sha FROM documents WHERE doc_id % 11 = 0
+UNION ALL SELECT doc_id, 1, 'https://ex.org/u' || doc_id, 'U', 'https://ex.org/u' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 11 = 0
+UNION ALL SELECT doc_id, 0, 'a' || doc_id, 'A ' || doc_id, 'https://ex.org/a' || doc_id, source, {_FEED_TIME} + 3 * 3600, {_SHA} FROM documents WHERE doc_id % 11 = 1
+UNION ALL SELECT doc_id, 0, 'r' || doc_id, 'R' || chr(160) || doc_id, 'https://ex.org/r' || doc_id, NULL, {_FEED_TIME} - 7 * 3600, {_SHA} FROM documents WHERE doc_id % 11 = 2
+UNION ALL SELECT doc_id, 0, 'x' || doc_id, 'X ' || doc_id, 'https://ex.org/x' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 11 = 3
+UNION ALL SELECT doc_id, 0, 'https://ex.org/p' || doc_id, 'P ' || doc_id, 'https://ex.org/p' || doc_id, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 11 = 4
+UNION ALL SELECT doc_id, 0, 'n' || doc_id, 'N ' || doc_id, 'https://ex.org/n' || doc_id, source, NULL, {_SHA} FROM documents WHERE doc_id % 11 = 8
+UNION ALL SELECT doc_id, 0, 'm' || doc_id, 'M ' || doc_id, 'https://ex.org/m' || doc_id, NULL, NULL, sha256('a<channel>of<rssversion="2.0">and<atom:item>' || doc_id) FROM documents WHERE doc_id % 11 = 9
+UNION ALL SELECT doc_id, 0, 'c' || doc_id, 'C ' || doc_id, NULL, NULL, NULL, {_SHA} FROM documents WHERE doc_id % 11 = 10"""
+ORACLES["feed_errors"] = "SELECT doc_id, 'feed parse error' AS message FROM documents WHERE doc_id % 11 IN (5, 7)"
 
 
 def hn(limit: int, extra: str) -> str:
@@ -398,6 +401,6 @@ ORACLES["routed_items"] = """SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN 'manual_
   CASE doc_id % 4 WHEN 0 THEN NULL WHEN 3 THEN lang ELSE source END AS author_name,
   sha256(CASE WHEN doc_id % 4 = 1 THEN 'Tags: ' || lang ELSE text END) AS text_sha FROM documents"""
 ORACLES["dry_run"] = f"""{ERRORS}, failed AS (SELECT DISTINCT f.canonical_key AS failed_key FROM documents d
-  JOIN fields f ON f.row_no = d.doc_id % (SELECT count(*) FROM customer) WHERE d.doc_id % 8 IN (5, 7)),
+  JOIN fields f ON f.row_no = d.doc_id % (SELECT count(*) FROM customer) WHERE d.doc_id % 11 IN (5, 7)),
 counted AS (SELECT canonical_key, CAST(message IS NOT NULL OR failed_key IS NOT NULL AS BIGINT) AS errors FROM errors LEFT JOIN failed ON failed_key = canonical_key)
 SELECT canonical_key, CAST(0 AS BIGINT) AS fetched, CAST(0 AS BIGINT) AS saved, errors, errors = 0 AS success FROM counted"""

@@ -600,7 +600,11 @@ def manual_items(spark, sf_dir):
 
 
 def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landed feed per document, of eight kinds in turn: RSS, Atom, RSS 1.0, Atom with markup, an address as id, broken, empty, and no feed."""
+    """A landed feed per document, of eleven kinds in turn.
+
+    RSS, Atom, RSS 1.0, Atom with markup, an address as id, broken, empty, no feed, Atom with prefixes, Atom that mentions
+    RSS elements in its text, and RSS that breaks off in its second item.
+    """
 
     def xml(column: str) -> str:
         return f"replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -618,9 +622,15 @@ def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
       '<link href="https://ex.org/x', doc_id, '"/><content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml">', {xml('text')}, '</div></content><id>x', doc_id, '</id></entry></feed>')"""
     permalink = f"""concat('<rss><channel><item><title>P ', doc_id, '</title><guid isPermaLink="true">https://ex.org/p', doc_id, '</guid><description>', {xml('text')}, '</description></item></channel></rss>')"""
     broken = f"""concat('<rss><channel><item><title>B ', doc_id, '</item>', {xml('text')}, '</channel></rss>')"""
-    kinds = {0: rss, 1: atom, 2: rdf, 3: xhtml, 4: permalink, 5: broken, 6: "'<rss><channel><title>none</title></channel></rss>'", 7: f"concat('<html>', {xml('text')}, '</html>')"}
+    prefixed = f"""concat('<?xml version="1.0"?><!-- <rss> --><atom:feed xmlns:atom="http://www.w3.org/2005/Atom"><atom:title>c</atom:title><atom:entry><atom:title>N ', doc_id, '</atom:title>',
+      '<atom:link href="https://ex.org/n', doc_id, '"/><atom:summary>', {xml('text')}, '</atom:summary><atom:id>n', doc_id, '</atom:id><atom:author><atom:name>', source, '</atom:name></atom:author></atom:entry></atom:feed>')"""
+    mentions = f"""concat('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>M ', doc_id, '</title><link href="https://ex.org/m', doc_id, '"/>',
+      '<summary><![CDATA[a <channel> of <rss version="2.0"> and <atom:item> ', doc_id, ']]></summary><id>m', doc_id, '</id></entry></feed>')"""
+    cut = f"""concat('<rss version="2.0"><channel><title>c</title><item><title>C ', doc_id, '</title><guid>c', doc_id, '</guid><description>', {xml('text')}, '</description></item>',
+      '<item><title>lost</title><description>', substr({xml('text')}, 1, 20))"""
+    kinds = {8: prefixed, 9: mentions, 10: cut, 0: rss, 1: atom, 2: rdf, 3: xhtml, 4: permalink, 5: broken, 6: "'<rss><channel><title>none</title></channel></rss>'", 7: f"concat('<html>', {xml('text')}, '</html>')"}
     chosen = " ".join(f"WHEN {kind} THEN {text}" for kind, text in kinds.items())
-    return load(spark, sf_dir, "documents").selectExpr("doc_id", f"CASE doc_id % 8 {chosen} END AS xml")
+    return load(spark, sf_dir, "documents").selectExpr("doc_id", f"CASE doc_id % 11 {chosen} END AS xml")
 
 
 @query

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from signal_lake.functions.html import expand_named
@@ -86,18 +89,82 @@ def _atom_entry(entry: Column) -> Column:
     )
 
 
+# Namespaces whose elements a feed may name with a prefix of its own.
+ATOM_NAMES = ["http://www.w3.org/2005/Atom", "http://purl.org/atom/ns#"]
+RSS_NAMES = ["http://purl.org/rss/1.0/", "http://my.netscape.com/rdf/simple/0.9/"]
+
+_PROLOG = r"(?s)\A(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*"
+_ENTRY = r"<(?:[\w.-]+:)?(?:item|entry)[\s>/]"
+
+
+def root_name(xml: Column) -> Column:
+    """Name of the root element as it is written, '' if there is none; what the texts inside mention doesn't matter."""
+    return F.regexp_extract(xml, _PROLOG + r"<([\w:.-]+)", 1)
+
+
+def _outside_cdata(xml: Column, change: Callable[[Column], Column]) -> Column:
+    """``change`` applied to what stands outside CDATA sections."""
+    parts = F.split(xml, r"(?s)(?=<!\[CDATA\[)|(?<=\]\]>)")
+    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("<![CDATA["), p).otherwise(change(p))), "")
+
+
+def _without_prefix(xml: Column, namespaces: list[str]) -> Column:
+    """The feed with elements of these namespaces named without the prefix that its root gives them."""
+    names = "|".join(re.escape(n) for n in namespaces)
+    prefix = F.regexp_extract(xml, rf"""xmlns:([\w.-]+)\s*=\s*["'](?:{names})["']""", 1)
+    pattern = F.concat(F.lit("(</?)"), F.regexp_replace(prefix, r"([.])", r"\\$1"), F.lit(":"))
+    return F.when(prefix == "", xml).otherwise(_outside_cdata(xml, lambda part: F.regexp_replace(part, pattern, F.lit("$1"))))
+
+
+def _up_to_last_entry(xml: Column, kind: Column, root: Column) -> Column:
+    """A feed that breaks off, closed after its last whole entry; NULL if there is none."""
+    end = F.when(kind == "atom", "</entry>").otherwise("</item>")
+    kept = F.call_function("substring_index", xml, end, F.lit(-1))
+    head = F.when(F.contains(xml, end), F.substring(xml, F.lit(1), F.length(xml) - F.length(kept)))
+    channel = F.when(F.lower(root) == "rss", "</channel>").otherwise("")
+    return F.concat(head, channel, F.lit("</"), root, F.lit(">"))
+
+
+def _once(rows: DataFrame, *columns: Column) -> DataFrame:
+    """``rows`` with these columns computed once a row: a one-element list is opened, past which Spark copies no expressions."""
+    return rows.select(F.explode(F.array(F.struct(*columns))).alias("_row")).select("_row.*")
+
+
 def feed_entries(feeds: DataFrame, keep: list[str], xml: str = "xml") -> tuple[DataFrame, DataFrame]:
-    """(entries in feed order with ``pos``, feeds with an error): those that yield no entry and don't parse, or are no feed."""
-    is_atom = F.col(xml).rlike(r"<(?:[\w.-]+:)?feed[\s>]") & ~F.col(xml).rlike(r"<(?:rss|channel)[\s>]")
-    is_feed = F.col(xml).rlike(r"<(?:[\w.-]+:)?(?:feed|rss|RDF|channel)[\s>]")
+    """(entries in feed order with ``pos``, feeds with an error).
+
+    The root element alone tells the kind. A feed that breaks off keeps its whole entries. An error is a feed that yields no entry and doesn't
+    parse, is no feed, or holds entries by its text.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    readable = feeds.select(*keep, xml, expand_named(F.col(xml)).alias("_xml"))
+    written = root_name(F.col(xml))
+    local = F.regexp_replace(written, "^.*:", "")
+    kind = F.when(local == "feed", "atom").when(local.isin("rss", "RDF", "channel"), "rss").otherwise("none")
+    own = [F.col(name) for name in keep]
+    named = _once(feeds, *own, expand_named(F.col(xml)).alias("_named"), kind.alias("_kind"))
+    plain = F.when(F.col("_kind") == "atom", _without_prefix(F.col("_named"), ATOM_NAMES)).when(F.col("_kind") == "rss", _without_prefix(F.col("_named"), RSS_NAMES))
+    readable = _once(named, *own, F.col("_kind"), plain.alias("_xml"))
+    is_atom = F.col("_kind") == "atom"
     rss, atom = F.from_xml("_xml", RSS, options), F.from_xml("_xml", ATOM, options)
-    roots = readable.select(*keep, xml, F.when(~is_atom, rss).alias("_rss"), F.when(is_atom, atom).alias("_atom"))
+    roots = _once(readable, *own, F.col("_kind"), F.col("_xml"), F.when(F.col("_kind") == "rss", rss).alias("_rss"), F.when(is_atom, atom).alias("_atom"))
     items = F.when(F.size("_rss.channel.item") > 0, F.col("_rss.channel.item")).otherwise(F.col("_rss.item"))
-    entries = F.when(is_atom, F.transform("_atom.entry", _atom_entry)).otherwise(F.transform(items, _rss_entry))
-    broken = F.coalesce("_rss._broken", "_atom._broken").isNotNull() | ~F.coalesce(is_feed, F.lit(False))
-    parsed = roots.select(*keep, entries.alias("_entries"), broken.alias("_broken"))
+    whole = F.when(is_atom, F.transform("_atom.entry", _atom_entry)).otherwise(F.transform(items, _rss_entry))
+    broken = F.coalesce("_rss._broken", "_atom._broken").isNotNull() | (F.col("_kind") == "none")
+    # Only feeds that broke are parsed a second time, up to their last whole entry.
+    cut = F.when(broken & (F.coalesce(F.size(whole), F.lit(0)) <= 0), _up_to_last_entry(F.col("_xml"), F.col("_kind"), root_name(F.col("_xml"))))
+    first = _once(roots, *own, F.col("_kind"), F.col("_xml"), whole.alias("_whole"), broken.alias("_broken"), cut.alias("_cut"))
+    again_rss, again_atom = F.from_xml("_cut", RSS, options), F.from_xml("_cut", ATOM, options)
+    second = _once(
+        first, *own, F.col("_xml"), F.col("_whole"), F.col("_broken"),
+        F.when(F.col("_cut").isNotNull() & (F.col("_kind") == "rss"), again_rss).alias("_rss"),
+        F.when(F.col("_cut").isNotNull() & (F.col("_kind") == "atom"), again_atom).alias("_atom"),
+    )
+    saved_items = F.when(F.size("_rss.channel.item") > 0, F.col("_rss.channel.item")).otherwise(F.col("_rss.item"))
+    saved = F.coalesce(F.transform("_atom.entry", _atom_entry), F.transform(saved_items, _rss_entry))
+    has = F.coalesce(F.size("_whole"), F.lit(0)) > 0
+    text = F.regexp_replace("_xml", r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->", "")
+    mentions = F.coalesce(text.rlike(_ENTRY), F.lit(False))
+    parsed = second.select(*keep, F.when(has, F.col("_whole")).otherwise(saved).alias("_entries"), (F.col("_broken") | (~has & mentions)).alias("_broken"))
     failed = parsed.where((F.coalesce(F.size("_entries"), F.lit(0)) <= 0) & F.col("_broken"))
     # The outer form keeps Spark from parsing the feed a second time for a filter on empty lists.
     opened = parsed.select(*keep, F.posexplode_outer("_entries").alias("pos", "_entry"))

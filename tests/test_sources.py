@@ -227,3 +227,22 @@ def test_own_connector(spark):
         assert [(r.fetch_method, r.external_content_id) for r in rows] == [("own", "a"), ("rss", "g")]
     finally:
         router._connectors.pop("own")
+
+
+def test_kind_of_a_feed_is_its_root_and_cut_feeds_keep_entries(spark):
+    atom = 'xmlns:a="http://www.w3.org/2005/Atom"'
+    rows = [
+        ("prefixed", f"<a:feed {atom}><a:entry><a:title>x</a:title><a:id>1</a:id></a:entry></a:feed>"),
+        ("mentions", '<feed><entry><title>x</title><summary><![CDATA[ <channel> <rss version="2.0"> <a:b> ]]></summary></entry></feed>'),
+        ("atom link", f'<rss {atom}><channel><a:link rel="self" href="s"/><item><title>t</title><link>http://l</link><a:link href="no"/></item></channel></rss>'),
+        ("cut", "<feed><entry><title>x</title></entry><entry><title>y</ti"), ("cut at once", "<feed><entry><title>x</title>"),
+        ("rss names", '<rdf:RDF xmlns:rdf="r" xmlns:r="http://purl.org/rss/1.0/"><r:channel/><r:item><r:title>t</r:title></r:item></rdf:RDF>'),
+        ("hidden entries", "<feed><other><entry><title>x</title></entry></other></feed>"), ("empty", "<feed></feed>"), ("null", None), ("blank", ""),
+        ("prolog", '﻿<?xml version="1.0"?>\n<!-- <feed> --><!DOCTYPE rss [<!ENTITY a "b">]><rss><channel><item><title>t</title></item></channel></rss>'),
+        ("empty that mentions", "<rss><channel><description><![CDATA[<item>]]></description></channel></rss>"),
+    ]
+    entries, failed = feeds.feed_entries(spark.createDataFrame(rows, "k string, xml string"), ["k"])
+    assert {(r.k, r.pos, r.title, r.link) for r in entries.collect()} == {
+        ("prefixed", 0, "x", None), ("mentions", 0, "x", None), ("atom link", 0, "t", "http://l"), ("cut", 0, "x", None), ("rss names", 0, "t", None), ("prolog", 0, "t", None),
+    }
+    assert {r.k for r in failed.collect()} == {"cut at once", "hidden entries", "null", "blank"}
