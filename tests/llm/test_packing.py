@@ -16,9 +16,7 @@ from signal_lake.llm.catalog import QUERIES
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(P.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(P.default_tokenizer())
 
 
 def check(pieces, texts, tokenizer, size=P.SIZE):
@@ -78,3 +76,10 @@ def test_both_libraries_give_the_same_ids(tokenizer):
     texts = ["", "a", "It's  naïve – «çé» ½ 1234\r\n\t x", "日本語 🙂 \u0000", "<|endoftext|> is text", "    \x0b", "a" * 5000]
     assert tokens.fast is not None
     assert [list(i) for i in tokens.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_special_strings_are_special_tokens(spark, tokenizer):
+    texts = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 3), (3, "ä 日本 <|endoftext|>"), (4, "<|endoftext|"), (5, "a")]
+    assert P.tokens(P.default_tokenizer()).encode([texts[0][1]])[0].tolist() == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    check(P.pack(docs, "doc_id", "text").collect(), texts, tokenizer)
