@@ -1,13 +1,14 @@
 """Sharding by balanced label propagation.
 
-Method: documents that belong to one link (here: have one text) should meet in one shard. A link starts in one place: large
-ones, largest first, in the fullest shard with room for them, the others side by side in what is left. In each
-round a join tells every link's members how many of them each shard holds, and each member wishes to go to the shard that holds
-most among those with room for the whole link. Wishes are granted link by link as far as the room goes, until none is left or no
-round brings more together; the driver sees counts by shard. What then has no room anywhere gathers row by row under
-quotas, so that no shard ends above its capacity. Members that have no link fill the shards up at the end, so that all have the same number of rows, give or take one
-(law ``rows``). A link larger than a shard is first
-cut into parts that fill one each.
+Method: documents that belong to one link (here: have one text) should meet in one shard. Every linked row starts in a shard of its own hash, so links
+are cut all over. The rows of a link are a unit (a row of several links belongs to the least); in each round a join tells every unit how
+many neighbours it has in each shard, and it wishes to go to the shard with most among those that have room for all of it. Wishes
+into a shard are granted as far as its quota goes: what units that have settled leave of its capacity. Those turned away wish anew in the next
+round, until none is left or none can be granted. Larger units go first, class by class of half the size, since they find room
+more rarely. What then fits nowhere whole is laid across the room that is left, and rows without a link fill the shards up, so that
+all have the same number of rows, give or take one (law ``rows``). A link larger than a shard is first cut into parts that fill one each.
+
+State between rounds is one row per unit, link and shard, however many rows a unit has; the driver sees sums by shard.
 
 Results for odd input: a NULL text counts as an empty one (size 1, checksum 0). NULL links count as none. Rows with an equal id
 are rows of their own. An empty table gives an empty result. Columns other than those named are not read.
@@ -15,126 +16,79 @@ are rows of their own. An empty table gives an empty result. Columns other than
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from signal_lake.llm.common import blocks_for, prepare, with_rank
+from signal_lake.llm.common import blocks_for, lookup_salted, prepare, with_rank
 from signal_lake.session import stage
 
 SHARDS = 16
-#: Rounds without gain, after which propagation ends, and rounds under quotas.
-ROUNDS = 4
-#: Links above this part of a shard are placed largest first by the driver: at most so many for each shard.
-LARGE = 32
+#: Rounds of one class of sizes, and classes above the one that holds all units.
+ROUNDS, CLASSES = 10, 6
 
 
-def quotas(wishes: np.ndarray, held: np.ndarray, capacity: np.ndarray) -> np.ndarray:
-    """How many of the wished moves (from row to column) may happen so that no shard ends above its capacity.
+def _shard_of(place: Column, bounds: Sequence[int]) -> Column:
+    """Shard whose interval of places, from ``bounds[s]`` on, holds ``place``."""
+    return F.coalesce(*[F.when(place < bounds[s + 1], F.lit(s)) for s in range(len(bounds) - 1)])
 
-    Starts from all moves and cuts those into a full shard in proportion; a cut keeps rows where they were, which may
-    fill another shard, so it is done again until nothing is over.
-    """
-    allowed = wishes.astype(np.int64).copy()
-    for _ in range(10_000):
-        after = held + allowed.sum(axis=0) - allowed.sum(axis=1)
-        over = np.minimum(after - np.maximum(capacity, held), allowed.sum(axis=0))
-        if (over <= 0).all():
-            return allowed
-        for shard in np.flatnonzero(over > 0):
-            into = allowed[:, shard]
-            keep = into.sum() - over[shard]
-            allowed[:, shard] = into * keep // max(1, into.sum())
-    return np.zeros_like(allowed)
-
-
-def _least_first(count: str) -> Column:
-    """Order of shards for a link: most members first; between equals a hash of link and shard decides."""
-    return F.struct(F.col(count), F.xxhash64("link", "shard"))
-
-
-def _gather(members: DataFrame, capacity: np.ndarray, rounds: int) -> DataFrame:
-    """Rounds under quotas, row by row, for links that no shard has room for."""
-    spark = members.sparkSession
-    shards = len(capacity)
-    total = members.select("row").distinct().count()
-    for _ in range(rounds):
-        tally = members.groupBy("link", "shard").agg(F.count("*").alias("n"))
-        # One row per link with at most `shards` entries; a hot link is counted before its rows meet.
-        best = tally.groupBy("link").agg(F.max_by(F.struct("shard", "n"), _least_first("n")).alias("best"))
-        voted = members.join(best, "link").groupBy("row").agg(
-            F.first("shard").alias("shard"), F.max_by("best.shard", F.struct("best.n", "best.shard", "link")).alias("target"), F.min("link").alias("first_link")
-        )
-        moving = stage(voted.where("shard <> target"), "moving")
-        wishes = np.zeros((shards, shards), dtype=np.int64)
-        for r in moving.groupBy("shard", "target").agg(F.count("*").alias("n")).collect():
-            wishes[r["shard"], r["target"]] = r["n"]
-        if not wishes.any():
-            break
-        allowed = quotas(wishes, _held(members, shards), capacity)
-        if not allowed.any():
-            break
-        limits = spark.createDataFrame(
-            [(i, j, int(allowed[i, j])) for i in range(shards) for j in range(shards) if wishes[i, j]], "shard int, target int, quota bigint"
-        )
-        ranked = with_rank(moving, ["shard", "target"], "row", "rank", blocks_for(total))
-        # `limits` has at most the square of the shards as rows.
-        moved = ranked.join(F.broadcast(limits), ["shard", "target"]).where("rank < quota").select("row", "target")
-        members = members.join(moved, "row", "left").withColumn("shard", F.coalesce("target", "shard")).drop("target")
-        members = stage(members, "members")
-    return members
-
-
-def _held(members: DataFrame, shards: int) -> np.ndarray:
-    held = np.zeros(shards, dtype=np.int64)
-    for r in members.select("row", "shard").distinct().groupBy("shard").agg(F.count("*").alias("n")).collect():
-        held[r["shard"]] = r["n"]
-    return held
+
+def cut_edges(spread: DataFrame) -> int:
+    """Pairs of rows of one link that lie in different shards."""
+    tally = spread.groupBy("link", "shard").agg(F.sum("w").alias("n"))
+    cut = tally.groupBy("link").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("decimal(38,0)").alias("cut"))
+    return int(cut.agg(F.sum("cut")).first()[0] or 0)
+
+
+def _round(spread: DataFrame, active: DataFrame, room: np.ndarray, blocks: int) -> DataFrame:
+    """(unit, size, target) of the wishes of ``active`` (unit, size) units that are granted."""
+    tally = spread.groupBy("link", "shard").agg(F.sum("w").alias("n"))
+    part = spread.join(active.select("unit"), "unit", "left_semi").groupBy("unit", "link").agg(F.sum("w").alias("w"))
+    near = part.join(tally, "link").groupBy("unit", "shard").agg(F.sum((F.col("w") * F.col("n")).cast("decimal(38,0)")).alias("near"))
+    rooms = F.explode(F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(int(x)).alias("room")) for s, x in enumerate(room)])).alias("r")
+    fits = active.select("unit", "size", rooms).select("unit", "size", "r.*").where("size <= room")
+    voted = fits.join(near, ["unit", "shard"], "left")
+    first = F.struct(F.coalesce("near", F.lit(0).cast("decimal(38,0)")).alias("near"), F.xxhash64("unit", "shard").alias("tie"))
+    wishes = voted.groupBy("unit", "size").agg(F.max_by(F.struct("shard", "room"), first).alias("best")).select("unit", "size", F.col("best.shard").alias("target"), "best.room")
+    ranked = with_rank(stage(wishes, "wishes"), ["target"], "unit", "rank", blocks, F.col("size"))
+    return ranked.where("rank + size <= room").select("unit", "size", "target")
 
 
-def propagate(members: DataFrame, capacity: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
-    """``members`` (row, link, shard) with shards after propagation; a row may have several links, each a row here.
+def propagate(spread: DataFrame, sizes: DataFrame, capacity: np.ndarray, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray, list[int]]:
+    """((unit, shard) of the units that have settled, room left, cut edges before the first and after each round).
 
-    If rows have one link each, every round brings at least one link together, so rounds end by themselves; links that share rows
-    may pull them to and fro, so ``rounds`` rounds without gain end it as well.
+    ``spread`` holds how many rows (w) of a unit have a link and start in a shard, ``sizes`` the rows of each unit.
     """
-    spark = members.sparkSession
-    shards = len(capacity)
-    total = members.select("row").distinct().count()
-    least, idle = None, 0
-    while True:
-        tally = stage(members.groupBy("link", "shard").agg(F.count("*").alias("n")), "tally")
-        spread = tally.count()
-        idle = 0 if least is None or spread < least else idle + 1
-        least = spread if least is None else min(least, spread)
-        sizes = tally.groupBy("link").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.first("shard").alias("shard"))
-        split = sizes.where("parts > 1").select("link", "size")
-        if split.isEmpty():
-            return members
-        if idle >= rounds:
-            break
-        # `rooms` has a row per shard.
-        left = capacity - _held(members, shards)
-        rooms = spark.createDataFrame([(s, int(x)) for s, x in enumerate(left)], "shard int, room bigint")
-        fits = split.crossJoin(F.broadcast(rooms)).join(tally, ["link", "shard"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        best = fits.where("n + room >= size").groupBy("link").agg(F.max_by(F.struct("shard", "n"), _least_first("n")).alias("best"))
-        whole = sizes.where("parts = 1").select("link", F.struct("shard", F.col("size").alias("n")).alias("best"))
-        voted = members.join(best.union(whole), "link").groupBy("row").agg(
-            F.first("shard").alias("shard"), F.max_by(F.struct(F.col("best.shard").alias("target"), "link"), F.struct("best.n", "best.shard", "link")).alias("vote")
-        )
-        moving = stage(voted.where("shard <> vote.target").select("row", "vote.target", "vote.link"), "moving")
-        groups = moving.groupBy("target", "link").agg(F.count("*").alias("n"))
-        ranked = with_rank(groups, ["target"], "link", "rank", blocks_for(total), F.col("n"))
-        granted = ranked.join(F.broadcast(rooms.withColumnRenamed("shard", "target")), "target").where("rank + n <= room").select("target", "link")
-        moved = stage(moving.join(granted, ["target", "link"], "left_semi").select("row", "target"), "moved")
-        if moved.isEmpty():
-            break
-        members = stage(members.join(moved, "row", "left").withColumn("shard", F.coalesce("target", "shard")).drop("target"), "members")
-    return _gather(members, capacity, rounds)
+    spark = spread.sparkSession
+    room = capacity.astype(np.int64).copy()
+    blocks = blocks_for(sizes.count())
+    greatest = sizes.agg(F.max("size")).first()[0] or 0
+    settled = spark.createDataFrame([], "unit bigint, shard int")
+    open_, cuts = sizes, [cut_edges(spread)]
+    for least in [int(capacity.max()) >> k for k in range(1, CLASSES + 1)] + [0]:
+        if least >= greatest:
+            continue
+        for _ in range(rounds):
+            active = open_.where(F.col("size") > least)
+            granted = stage(_round(spread, active, room, blocks), "granted")
+            taken = granted.groupBy("target").agg(F.sum("size").alias("n")).collect()
+            if not taken:
+                break
+            for r in taken:
+                room[r["target"]] -= r["n"]
+            settled = settled.union(granted.select("unit", F.col("target").alias("shard")))
+            open_ = stage(open_.join(granted.select("unit"), "unit", "left_anti"), "open")
+            moved = spread.join(granted.select("unit", "target"), "unit", "left").withColumn("shard", F.coalesce("target", "shard"))
+            spread = stage(moved.groupBy("unit", "link", "shard").agg(F.sum("w").alias("w")), "spread")
+            cuts.append(cut_edges(spread))
+    return settled, room, cuts
 
 
 def _parts(links: DataFrame, capacity: int, blocks: int) -> DataFrame:
     """``links`` with those above a shard's capacity cut into parts that just fill one."""
     large = links.groupBy("link").agg(F.count("*").alias("n")).where(F.col("n") > capacity).select("link")
+    large = F.broadcast(stage(large, "over"))  # no more than there are shards
     inside = stage(links.join(large, "link", "left_semi"), "large")
     if inside.isEmpty():
         return links
@@ -143,86 +97,50 @@ def _parts(links: DataFrame, capacity: int, blocks: int) -> DataFrame:
     return links.join(large, "link", "left_anti").select("row", "link").union(cut)
 
 
-def _fullest(room: np.ndarray, size: int) -> int | None:
-    """The shard with the least room that takes ``size`` rows; it is taken."""
-    fit = np.flatnonzero(room >= size)
-    if not len(fit):
-        return None
-    shard = int(fit[np.argmin(room[fit])])
-    room[shard] -= size
-    return shard
+def start_of(row: str = "row", shards: int = SHARDS) -> Column:
+    """Where a linked row starts."""
+    return F.pmod(F.xxhash64(row), F.lit(shards)).cast("int")
 
 
-def _first_labels(links: DataFrame, capacity: np.ndarray, blocks: int) -> DataFrame:
-    """(row, link, shard): each link in one shard as far as there is room, by the first link of each row.
-
-    The driver sees links of over a ``LARGE``-th of a shard and those that lie across the end of a shard's room: a bounded number by shard.
-    """
-    spark, shards = links.sparkSession, len(capacity)
-    own = links.groupBy("row").agg(F.min("link").alias("own"))
-    sizes = stage(own.groupBy("own").agg(F.count("*").alias("n")), "sizes")
-    share = int(capacity.max()) // LARGE
-    room, places, rest = capacity.copy(), [], []
-
-    def place(found: DataFrame) -> None:
-        for r in sorted(found.collect(), key=lambda r: (-r["n"], r["own"])):
-            shard = _fullest(room, r["n"])
-            if shard is None:
-                rest.append((r["own"], r["n"]))
-            else:
-                places.append((r["own"], shard, None))
-
-    large = sizes.where(F.col("n") > max(1, share))
-    place(large)
-    # The others one after the other along the rooms; with those the driver could not place they fit, as all rows do.
-    bounds = np.concatenate([[0], np.cumsum(room)]).tolist()
-    small = with_rank(sizes.join(large.select("own"), "own", "left_anti"), [], "own", "at", blocks, F.col("n"))
-    inside = F.coalesce(*[F.when((F.col("at") >= bounds[s]) & (F.col("at") + F.col("n") <= bounds[s + 1]), F.lit(s)) for s in range(shards)])
-    small = stage(small.withColumn("shard", inside.cast("int")), "small")
-    for r in small.where("shard IS NOT NULL").groupBy("shard").agg(F.sum("n").alias("n")).collect():
-        room[r["shard"]] -= r["n"]
-    place(small.where("shard IS NULL"))
-    # What no shard takes whole is laid across the rooms that are left, row after row.
-    start = 0
-    for link, n in rest:
-        places.append((link, None, start))
-        start += n
-    bounds = np.concatenate([[0], np.cumsum(room)]).tolist()
-    table = spark.createDataFrame(places, "own bigint, placed int, start bigint")
-    known = own.join(small.where("shard IS NOT NULL").select("own", "shard"), "own", "left").join(F.broadcast(table), "own", "left")
-    known = stage(known.select("row", "own", "start", F.coalesce("shard", "placed").alias("shard")), "known")
-    laid = known.where("shard IS NOT NULL").select("row", "shard")
-    if rest:
-        open_ = with_rank(known.where("shard IS NULL"), ["own"], "row", "rank", blocks)
-        at = F.col("start") + F.col("rank")
-        dealt = F.coalesce(*[F.when(at < bounds[s + 1], F.lit(s)) for s in range(shards)])
-        laid = laid.union(open_.select("row", dealt.cast("int").alias("shard")))
-    return links.join(laid, "row").select("row", "link", "shard")
+def units_of(links: DataFrame, shards: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(staged (row, unit), staged spread, staged sizes) of rows with their links; a row's unit is its least link."""
+    own = stage(links.groupBy("row").agg(F.min("link").alias("unit")), "units")
+    if links.count() == own.count():  # one link a row: no join is needed to tell a row's unit
+        counted = links.select(F.col("link").alias("unit"), "link", start_of("row", shards).alias("shard"))
+    else:
+        counted = links.join(own, "row").select("unit", "link", start_of("row", shards).alias("shard"))
+    spread = stage(counted.groupBy("unit", "link", "shard").agg(F.count("*").alias("w")), "spread")
+    return own, spread, stage(own.groupBy("unit").agg(F.count("*").alias("size")), "sizes")
 
 
 def shard_rows(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """(row, shard, slot) of all ``rows`` (row), linked by ``links`` (row, link); sizes differ by one at most."""
-    spark = rows.sparkSession
     total = rows.count()
     capacity = np.array([total // shards + (s < total % shards) for s in range(shards)])
     blocks = blocks_for(total)
-    links = _parts(links.where("link IS NOT NULL"), max(1, int(capacity.min())), blocks)
-    linked = stage(_first_labels(links, capacity, blocks), "members")
-    placed = propagate(linked, capacity, rounds).select("row", "shard").distinct()
-    placed = stage(with_rank(placed, ["shard"], "row", "rank", blocks), "placed")
-
-    # Rows without a link, and those above a shard's capacity, are dealt to the room that is left.
-    limits = spark.createDataFrame([(s, int(c)) for s, c in enumerate(capacity)], "shard int, capacity bigint")
-    stay = placed.join(F.broadcast(limits), "shard").where("rank < capacity").select("row", "shard")
+    links = stage(_parts(links.where("link IS NOT NULL"), max(1, int(capacity.min())), blocks), "links")
+    own, spread, sizes = units_of(links, shards)
+    settled, room, _ = propagate(spread, sizes, capacity, rounds)
+    settled = stage(settled, "settled")
+    stay = lookup_salted(own, settled, ["unit"], ["row"]).select("row", "shard")
+
+    # Units that fit nowhere whole lie one after the other along the room that is left.
+    bounds = np.concatenate([[0], np.cumsum(room)]).tolist()
+    loose = stage(sizes.join(settled, "unit", "left_anti"), "loose")
+    if not loose.isEmpty():
+        begins = with_rank(loose, [], "unit", "at", blocks, F.col("size")).select("unit", "at")
+        ranked = with_rank(lookup_salted(own, begins, ["unit"], ["row"]), ["unit"], "row", "rank", blocks)
+        stay = stay.union(ranked.select("row", _shard_of(F.col("at") + F.col("rank"), bounds).alias("shard")))
+    stay = stage(stay, "stay")
     held = np.zeros(shards, dtype=np.int64)
     for r in stay.groupBy("shard").agg(F.count("*").alias("n")).collect():
         held[r["shard"]] = r["n"]
-    room = np.concatenate([[0], np.cumsum(capacity - held)]).tolist()
+
+    # Rows without a link are dealt to the room that is left.
+    bounds = np.concatenate([[0], np.cumsum(capacity - held)]).tolist()
     free = stage(rows.select("row").join(stay, "row", "left_anti"), "free")
-    free = with_rank(free, [], "row", "rank", blocks)
-    deal = F.coalesce(*[F.when(F.col("rank") < room[s + 1], F.lit(s)) for s in range(shards)])
-    full = stage(stay.union(free.select("row", deal.alias("shard"))), "sharded")
-    return with_rank(full, ["shard"], "row", "slot", blocks)
+    free = with_rank(free, [], "row", "rank", blocks).select("row", _shard_of(F.col("rank"), bounds).alias("shard"))
+    return with_rank(stage(stay.union(free), "sharded"), ["shard"], "row", "slot", blocks)
 
 
 def shard_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shards: int = SHARDS) -> DataFrame:
@@ -234,7 +152,7 @@ def shard_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     narrow = stage(narrow.withColumn("row", F.monotonically_increasing_id()), "narrow")
     groups = narrow.groupBy("content").agg(F.count("*").alias("n"), F.min("row").alias("link")).where("n > 1").select("content", "link")
-    links = narrow.join(groups, "content").select("row", "link")
+    links = lookup_salted(narrow.select("row", "content"), groups, ["content"], ["row"]).select("row", "link")
     placed = shard_rows(narrow, links, shards)
     return narrow.join(placed, "row").select(
         F.col("id").alias(id_column), "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard")

@@ -6,7 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from signal_lake.llm import sharding as H
 from signal_lake.llm.catalog import QUERIES
@@ -60,20 +60,6 @@ def test_odd_documents(spark, odd_docs, no_docs):
     check(few, 4)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.integers(2, 6).flatmap(lambda n: st.tuples(
-    st.lists(st.lists(st.integers(0, 40), min_size=n, max_size=n), min_size=n, max_size=n), st.lists(st.integers(0, 30), min_size=n, max_size=n)
-)))
-def test_quotas_never_overfill(case):
-    wishes, spare = (np.array(x) for x in case)
-    np.fill_diagonal(wishes, 0)
-    held = wishes.sum(axis=1) + 3  # who wishes to leave is there
-    capacity = held + spare
-    allowed = H.quotas(wishes, held, capacity)
-    assert (allowed >= 0).all() and (allowed <= wishes).all()
-    assert (held + allowed.sum(axis=0) - allowed.sum(axis=1) <= capacity).all()
-
-
 def test_groups_below_half_a_shard_stay_whole(spark):
     texts = [f"g{i // 90}" for i in range(16 * 90)] + [f"s{i}" for i in range(16 * 110)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -85,13 +71,49 @@ def test_groups_below_half_a_shard_stay_whole(spark):
     assert max(map(len, shards.values())) == 1
 
 
+def plain_cut(rows, units, settled, shards):
+    """Cut edges when settled units are where they settled and all other rows where they start."""
+    where = defaultdict(Counter)
+    for row, start in rows.items():
+        where[units[row]][settled.get(units[row], start)] += 1
+    return sum((sum(c.values()) ** 2 - sum(n * n for n in c.values())) // 2 for c in where.values())
+
+
 def test_propagation_brings_scattered_groups_together(spark):
-    members = spark.createDataFrame([(i, i // 90, zlib.crc32(str(i).encode()) % 16) for i in range(16 * 90)], "row bigint, link bigint, shard int")
-    rows = H.propagate(members, np.full(16, 200)).collect()
-    sizes, shards = Counter(r.shard for r in rows), defaultdict(set)
-    for r in rows:
-        shards[r.link].add(r.shard)
-    assert len(rows) == 16 * 90 and max(sizes.values()) <= 200 and max(map(len, shards.values())) == 1
+    links = spark.createDataFrame([(i, i // 90) for i in range(16 * 90)], "row bigint, link bigint")
+    own, spread, sizes = H.units_of(links, 16)
+    settled, room, cuts = H.propagate(spread, sizes, np.full(16, 200))
+    found = {r.unit: r.shard for r in settled.collect()}
+    assert sorted(found) == list(range(16)) and (room >= 0).all() and room.sum() == 16 * 110
+    assert Counter(found.values()) == {s: int(200 - r) // 90 for s, r in enumerate(room) if r < 200}
+    rows = {r.row: r.shard for r in links.select("row", H.start_of().alias("shard")).collect()}
+    units = {r.row: r.unit for r in own.collect()}
+    assert cuts[0] == plain_cut(rows, units, {}, 16) > 0 and cuts[-1] == 0
+    assert all(b < a for a, b in zip(cuts, cuts[1:], strict=False))
+
+
+def test_propagation_moves_rows_of_documents(spark, small_sf):
+    """The rounds do the work on the given table: equal texts start apart and end together, with fewer cut edges after every round."""
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet").select(F.col("doc_id").alias("row"), "text")
+    first = docs.groupBy("text").agg(F.count("*").alias("n"), F.min("row").alias("link")).where("n > 1")
+    links = docs.join(first, "text").select("row", "link")
+    own, spread, sizes = H.units_of(links, 16)
+    settled, _, cuts = H.propagate(spread, sizes, np.full(16, docs.count() // 16))
+    rows = {r.row: r.shard for r in links.select("row", H.start_of().alias("shard")).collect()}
+    units = {r.row: r.unit for r in own.collect()}
+    found = {r.unit: r.shard for r in settled.collect()}
+    assert cuts[0] == plain_cut(rows, units, {}, 16) and cuts[-1] == plain_cut(rows, units, found, 16) == 0
+    assert len(cuts) > 1 and all(b < a for a, b in zip(cuts, cuts[1:], strict=False))
+    assert sum(found[units[row]] != start for row, start in rows.items()) > len(rows) // 2
+
+
+def test_wishes_go_to_most_neighbours_with_room(spark):
+    spread = spark.createDataFrame([(1, 1, 0, 5), (1, 1, 1, 3), (2, 2, 0, 4), (2, 2, 2, 1), (3, 3, 1, 2), (3, 3, 2, 2)], "unit bigint, link bigint, shard int, w bigint")
+    sizes = spark.createDataFrame([(1, 8), (2, 5), (3, 4)], "unit bigint, size bigint")
+    granted = {r.unit: r.target for r in H._round(spread, sizes, np.array([8, 4, 5]), 8).collect()}
+    assert granted[3] in (1, 2) and list(granted.values()).count(0) == 1  # units 1 and 2 both wish for shard 0, which has room for one
+    settled, room, cuts = H.propagate(spread, sizes, np.array([8, 4, 5]))
+    assert {r.unit: r.shard for r in settled.collect()} == {1: 0, 2: 2, 3: 1} and room.tolist() == [0, 0, 0] and cuts[-1] == 0
 
 
 def test_few_groups_are_split_if_all_rows_are_linked(spark):
