@@ -394,6 +394,8 @@ SELECT canonical_key, tier, CASE WHEN violations <> '' THEN NULL WHEN row_no <=
 ORACLES["registry_configs"] = f"""{SEED} SELECT canonical_key, CAST(row_no AS BIGINT) AS item_limit, 'ru,' || canonical_key AS languages,
   platforms FROM seed"""
 ORACLES["csv_import"] = "SELECT CAST(doc_id AS VARCHAR) AS external_content_id, source AS author_name, sha256(text) AS text_sha FROM documents"
+ORACLES["json_import"] = ORACLES["csv_import"]
+ORACLES["registry_list"] = f"""{SEED} SELECT canonical_key, source_name, fetch_method, tier, 'note "' || row_no || '",' || chr(10) || 'second line' AS notes FROM seed"""
 ORACLES["distinct_stream"] = f"{BATCH} SELECT DISTINCT content_hash FROM ingested WHERE content_hash IS NOT NULL"
 ORACLES["routed_items"] = """SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN 'manual_import' WHEN 3 THEN 'own_api' ELSE 'huggingface_api' END AS fetch_method,
   CASE doc_id % 4 WHEN 0 THEN 'p' WHEN 1 THEN 'm' WHEN 3 THEN 'o' ELSE '' END || doc_id AS external_content_id,

@@ -75,17 +75,25 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return first.select("_row.*")
 
 
+def first_cut(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: Column | int, bound: int) -> DataFrame:
+    """The first rows of each group within salts, each group cut at its own limit: at most ``SALTS`` times that is left of it.
+
+    The salt is drawn from the partition a row was read in, so no column is hashed and a hot group is ranked by ``SALTS`` tasks.
+    """
+    salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)
+    placed = salted.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)))
+    kept = placed.where(F.col("_place") <= F.lit(bound))
+    return kept.where(F.col("_place") <= (limit if isinstance(limit, Column) else F.lit(limit))).drop("_salt", "_place")
+
+
 def first_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: Column | int, bound: int) -> DataFrame:
     """The first ``limit`` rows of each group; ``bound`` is at least the greatest limit of any group.
 
-    Groups are first cut within salts of their own, so that a hot group is ranked by ``SALTS`` tasks; what is left of a
-    group is at most ``SALTS`` times the bound. Up to Spark's threshold for it, each cut also happens before its shuffle.
+    Each group's own limit cuts it within salts first (``first_cut``), then as a whole. Up to Spark's threshold for it, each cut by the bound also
+    happens before its shuffle.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(SALTS))
-    inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    placed = rows.withColumn("_salt", salt).withColumn("_place", F.row_number().over(inside))
-    rows = placed.where(F.col("_place") <= bound).drop("_salt", "_place")
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    cut = first_cut(rows, keys, order, limit, bound)
+    ranked = cut.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.where(F.col("_rank") <= F.lit(bound))
     if isinstance(limit, Column):
         kept = kept.where(F.col("_rank") <= limit)

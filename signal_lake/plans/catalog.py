@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -459,6 +460,38 @@ def csv_import(spark, sf_dir):
     return manual.manual_items(records, []).select("external_content_id", "author_name", F.sha2("raw_text", 256).alias("text_sha"))
 
 
+@query
+def json_import(spark, sf_dir):
+    """Documents written as JSON lists, one file each of four, which hold other entries too; read back by the settings of their sources."""
+    import uuid
+
+    path = f"{shared_dir(spark)}/lists-{uuid.uuid4().hex}"
+    docs = load(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 4).alias("g"), F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("raw_text"), F.col("source").alias("author"))).alias("json"))
+    entry = F.concat(F.lit(', "no } record", ['), F.col("json"), F.lit("], "), F.col("json")).alias("value")
+    ends = spark.sql("SELECT explode(sequence(0, 3)) AS g, inline(array(struct(-1L AS doc_id, '[0' AS value), struct(9223372036854775807L AS doc_id, ']' AS value)))")
+    rows = docs.select("g", "doc_id", entry).unionByName(ends.select(F.col("g").cast("bigint").alias("g"), "doc_id", "value"))
+    rows.repartition("g").sortWithinPartitions("g", "doc_id").select("g", "value").write.partitionBy("g").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()
+    names = [(f"list {k}", json.dumps({"file_path": file, "file_format": "json"})) for k, file in enumerate(sorted(files))]
+    listed = spark.createDataFrame(names, "canonical_key string, fetch_config string")
+    sources = listed.select("canonical_key", T.source_id(F.col("canonical_key")).alias("id"), F.lit("manual_import").alias("fetch_method"), "fetch_config")
+    records, _ = manual.read_source_imports(spark, sources)
+    return manual.manual_items(records, []).select("external_content_id", "author_name", F.sha2("raw_text", 256).alias("text_sha"))
+
+
+@query
+def registry_list(spark, sf_dir):
+    """The list written as CSV, read by the names of its header and transformed."""
+    import uuid
+
+    path = f"{shared_dir(spark)}/list-{uuid.uuid4().hex}"
+    listed = load(spark, sf_dir, "registry_raw")
+    noted = listed.withColumn("why_relevant", F.concat(F.lit('note "'), F.col("row_no").cast("string"), F.lit('",\nsecond line')))
+    noted.orderBy("row_no").drop("row_no").write.csv(path, header=True, escape='"', quoteAll=True)
+    seeds = G.transform_registry(G.read_registry_csv(spark, path))
+    return seeds.select("canonical_key", "source_name", "fetch_method", "tier", "notes")
+
+
 @query
 def distinct_stream(spark, sf_dir):
     """Fingerprints that a stream lets through when it drops repeats within the watermark."""

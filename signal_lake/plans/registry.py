@@ -10,7 +10,8 @@ from signal_lake.functions.space import is_blank, strip_space
 from signal_lake.operators import tables
 from signal_lake.operators.skew import keep_first
 from signal_lake.schemas import FETCH_CONFIG, REGISTRY_CSV_COLUMNS, SCORE_COLUMNS, SOURCE_SEED
-from signal_lake.sources.common import file_position
+from signal_lake.session import stage
+from signal_lake.sources.fragments import csv_fields
 
 # Keys of rows known to repeat another source under a different name.
 DROPPED_KEYS = ["reforge-blog-additional", "ilya-krasinsky"]
@@ -18,11 +19,11 @@ DROPPED_KEYS = ["reforge-blog-additional", "ilya-krasinsky"]
 
 def read_registry_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the master list, columns by the names of its header, with ``row_no``, their place in the file."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
-    if "source_name" not in rows.columns:
-        raise ValueError(f"the list has no column source_name; it has {rows.columns}")
-    lacking = [F.lit(None).cast("string").alias(name) for name in REGISTRY_CSV_COLUMNS if name not in rows.columns]
-    return rows.select(*[F.col(n) for n in REGISTRY_CSV_COLUMNS if n in rows.columns], *lacking, F.struct(*file_position()).alias("row_no"))
+    rows = stage(csv_fields(spark, path, REGISTRY_CSV_COLUMNS), "registry_list")
+    unnamed = rows.where(~F.array_contains("header", "source_name")).select("position.file_path", "header").limit(1).collect()
+    if unnamed:
+        raise ValueError(f"the list has no column source_name; it has {unnamed[0]['header']}")
+    return rows.select(*REGISTRY_CSV_COLUMNS, F.col("position").alias("row_no"))
 
 
 def registry_fields(rows: DataFrame, order: str = "row_no") -> DataFrame:

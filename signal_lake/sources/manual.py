@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from signal_lake.functions.scalars import parse_datetime, strict_int
 from signal_lake.functions.space import is_blank, or_null
-from signal_lake.schemas import ENGAGEMENT_COLUMNS
-from signal_lake.sources.common import file_position, payload, to_raw_items
+from signal_lake.operators.skew import lookup_join
+from signal_lake.schemas import ENGAGEMENT_COLUMNS, FETCH_CONFIG
+from signal_lake.session import stage
+from signal_lake.sources.common import payload, to_raw_items
+from signal_lake.sources.fragments import csv_fields, json_entries
 
 # The fields a record may have; the later ones of a pair stand in for the first.
 RECORD_FIELDS = [
@@ -25,18 +28,8 @@ def file_format(file_path: Column, configured: Column) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of CSV files; columns go by the names of each file's header, all text, those a file lacks are NULL.
-
-    Files of one header are one read. What comes to the driver is a name and a header per file of an import.
-    """
-    lines = spark.read.text(path).select("value", *file_position()).where("block_start = 0")
-    heads = lines.groupBy("file_path").agg(F.min_by("value", "place").alias("head")).groupBy("head").agg(F.collect_list("file_path").alias("files"))
-    whole: DataFrame | None = None
-    for group in sorted(heads.collect(), key=lambda r: min(r["files"])):
-        part = spark.read.csv(sorted(group["files"]), header=True, multiLine=True, escape='"', encoding="UTF-8", enforceSchema=False)
-        part = part.select("*", F.struct(*file_position()).alias("position"))
-        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
-    return spark.createDataFrame([], RECORD).select("*", F.lit(None).alias("position")) if whole is None else whole
+    """Records of CSV files; columns go by the names of each file's header, all text, those a file lacks are NULL. A file may be of any size."""
+    return csv_fields(spark, path, RECORD_FIELDS).drop("header")
 
 
 def read_import(spark: SparkSession, path: str, fmt: str | None = None) -> tuple[DataFrame, DataFrame | None]:
@@ -52,26 +45,54 @@ def read_import(spark: SparkSession, path: str, fmt: str | None = None) -> tuple
 def read_json(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(records, rejected files): a file whose top level is no list yields no record, entries that are no object are left out.
 
-    Each file is one import of its own and is parsed whole in one task, files in parallel.
+    A file may be of any size; it is read by as many tasks as it has blocks.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        "value", F.col("_metadata.file_path").alias("file_path")
-    )
-    is_list = F.col("value").rlike(r"^\s*\[")
-    entries = F.from_json("value", T.ArrayType(T.StringType()))
-    parsed = files.withColumn("entries", F.when(is_list, entries))
-    rejected = parsed.where(F.col("entries").isNull()).select(
-        "file_path", F.lit("import file must hold a list of records").alias("message")
-    )
-    records = parsed.where(F.col("entries").isNotNull()).select(
-        "file_path", F.posexplode("entries").alias("place", "record")
-    ).where(F.col("record").rlike(r"^\s*\{"))
+    entries, rejected = json_entries(spark, path)
     fields = F.from_json("record", RECORD)
-    return (
-        records.select(F.struct("file_path", "place").alias("position"), "record", fields.alias("_r"))
-        .select("position", "record", "_r.*"),
-        rejected,
-    )
+    records = entries.select(F.struct("file_path", "number").alias("position"), "record", fields.alias("_r")).select("position", "record", "_r.*")
+    return records, rejected.withColumn("message", F.lit("import file must hold a list of records"))
+
+
+def _plain_path(path: Column) -> Column:
+    """A path as settings write it: a local one without its scheme."""
+    return F.regexp_replace(path, r"^file:/+", "/")
+
+
+def read_source_imports(spark: SparkSession, sources: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """(records with ``source_id`` and ``pos``, failures (canonical_key, message)) of the files that import sources name, by the reader of their format.
+
+    Paths come to the driver, one per source, as any read needs them; files that are missing fail their source alone.
+    """
+    config = sources.where(F.col("fetch_method") == "manual_import")
+    if dict(config.dtypes)["fetch_config"] == "string":
+        config = config.withColumn("fetch_config", F.from_json("fetch_config", FETCH_CONFIG))
+    path = F.col("fetch_config.file_path")
+    wanted = config.where(~is_blank(path)).select("canonical_key", F.col("id").alias("source_id"), path.alias("path"), file_format(path, F.col("fetch_config.file_format")).alias("format"))
+    wanted = stage(wanted.where(F.col("format").isin(FORMATS)), "imports")
+    found, failures, missing = None, wanted.select("canonical_key", F.lit("").alias("message")).limit(0), []
+    for kind in FORMATS:
+        asked = sorted({r["path"] for r in wanted.where(F.col("format") == kind).select("path").collect()})
+        paths = [p for p in asked if _is_there(spark, p)]
+        missing += [p for p in asked if p not in paths]
+        if not paths:
+            continue
+        records, rejected = read_json(spark, paths) if kind == "json" else (read_csv(spark, paths), None)
+        own = records.withColumns({name: F.lit(None).cast("string") for name in ("record",) if name not in records.columns})
+        own = own.select("position", "record", *RECORD_FIELDS).withColumn("path", _plain_path(F.col("position.file_path")))
+        part = lookup_join(own.withColumn("pos", F.col("position.number")), wanted.select("source_id", _plain_path(F.col("path")).alias("path")), "path", "pos", "inner").drop("position", "path")
+        found = part if found is None else found.unionByName(part)
+        if rejected is not None:
+            names = wanted.select("canonical_key", _plain_path(F.col("path")).alias("path"))
+            failures = failures.union(rejected.select(_plain_path(F.col("file_path")).alias("path"), "message").join(names, "path").select("canonical_key", "message"))
+    if missing:
+        gone = spark.createDataFrame([(p,) for p in missing], "path string")
+        failures = failures.union(wanted.join(gone, "path").select("canonical_key", F.lit("no import file").alias("message")))
+    return found, failures
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place))
 
 
 def strict_records(records: DataFrame) -> DataFrame:
@@ -95,9 +116,9 @@ def manual_items(records: DataFrame, keep: list[str]) -> DataFrame:
     def plain(name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast("string")
 
-    whole = F.col("record") if "record" in have else F.to_json(
-        F.struct(*[name for name in records.columns if name in RECORD_FIELDS])
-    )
+    whole = F.to_json(F.struct(*[name for name in records.columns if name in RECORD_FIELDS]))
+    if "record" in have:
+        whole = F.coalesce("record", whole)
     return to_raw_items(
         records,
         keep,
@@ -113,4 +134,4 @@ def manual_items(records: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-__all__ = ["FORMATS", "file_format", "manual_items", "payload", "read_csv", "read_import", "read_json", "strict_records"]
+__all__ = ["FORMATS", "file_format", "manual_items", "payload", "read_csv", "read_import", "read_json", "read_source_imports", "strict_records"]
