@@ -347,6 +347,7 @@ FROM hn_feed f JOIN hn_items i ON i.id = f.id WHERE feed_rank <= {limit} AND NOT
 
 ORACLES["hn_items"] = hn(30, "AND score >= 0")
 ORACLES["hn_show"] = hn(2000, "AND score >= 5 AND title LIKE 'Show HN%'")
+ORACLES["hn_ask"] = hn(2000, "AND feed_rank % 2 = 1 AND score >= 5 AND title LIKE 'Ask HN%'")
 _PAPER_TIME = "CASE WHEN doc_id % 4 < 2 THEN CAST(epoch(TIMESTAMP '2024-01-05 10:00:00') AS BIGINT) END"
 ORACLES["hf_papers"] = f"""SELECT doc_id, 'p' || doc_id AS external_content_id, 'Paper ' || doc_id AS title, text AS raw_text,
   'https://huggingface.co/papers/p' || doc_id AS url, CASE WHEN doc_id % 3 > 0 THEN source END AS author_name, {_PAPER_TIME} AS published_at,
@@ -382,6 +383,13 @@ ORACLES["page_changes"] = f"""{views('page_snapshots')}, texts AS (
   SELECT url, snap, {nodes(f"regexp_extract({_BODY}, '(?s)<article>(.*?)</article>', 1)")} AS t FROM page_snapshots),
 walked AS (SELECT *, lag(t) OVER (PARTITION BY url ORDER BY snap) AS before FROM texts)
 SELECT url, snap, CASE WHEN before IS NULL THEN 'new' WHEN before = t THEN 'same' ELSE 'changed' END AS state FROM walked"""
+ORACLES["page_change_items"] = f"""{views('page_snapshots')}, texts AS (
+  SELECT url, snap, {nodes(f"regexp_extract({_BODY}, '(?s)<article>(.*?)</article>', 1)")} AS t FROM page_snapshots),
+walked AS (SELECT *, lag(t) OVER (PARTITION BY url ORDER BY snap) AS before FROM texts),
+split AS (SELECT url, snap, t, string_split(t, chr(10)) AS now, string_split(before, chr(10)) AS old FROM walked WHERE before <> t)
+SELECT url || '#' || substr(sha256(t), 1, 16) AS external_content_id, url || '#' || substr(sha256(t), 1, 16) AS url, snap,
+  array_to_string(list_filter(now, lambda l: l <> '' AND NOT list_contains(old, l)), chr(10)) AS raw_text,
+  array_to_string(list_filter(old, lambda l: l <> '' AND NOT list_contains(now, l)), '|') AS removed FROM split"""
 ORACLES["first_n_per_source"] = f"""{views('raw_items')} SELECT source_id, arrival FROM raw_items
 QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY arrival) <= CASE fetch_method WHEN 'rss' THEN 7 WHEN 'telegram_api' THEN 5 ELSE 3 END"""
 

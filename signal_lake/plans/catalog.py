@@ -680,14 +680,15 @@ def feed_errors(spark, sf_dir):
     return feeds.feed_entries(_feeds(spark, sf_dir), ["doc_id"])[1]
 
 
-def _hn(spark: SparkSession, sf_dir: str, **choice) -> DataFrame:
+def _hn(spark: SparkSession, sf_dir: str, listed: Column | None = None, **choice) -> DataFrame:
     items = load(spark, sf_dir, "hn_items").select(
         "*", F.lit(None).cast("string").alias("text"), F.col("author").alias("by"),
         F.unix_seconds(F.col("time_ts").cast("timestamp")).alias("time"),
         F.get_json_object("props", "$.k").cast("int").alias("descendants"),
         F.lit(None).cast("array<bigint>").alias("kids"),
     )
-    picked = hn.pick_items(load(spark, sf_dir, "hn_feed"), items, **choice)
+    ranking = load(spark, sf_dir, "hn_feed")
+    picked = hn.pick_items(ranking if listed is None else ranking.where(listed), items, **choice)
     shown = hn.hn_items(picked, ["id", "feed_rank"]).withColumn("feed_rank", F.col("feed_rank").cast("bigint"))
     return _shown(
         shown, "id", "feed_rank", "external_content_id", "title", "raw_text", "url", "author_name", "published_at", "engagement_comment_count"
@@ -797,6 +798,20 @@ def page_changes(spark, sf_dir):
     return changes.select("url", "snap", "state")
 
 
+@query
+def page_change_items(spark, sf_dir):
+    """An item of every page that has changed, with the lines that came and went."""
+    items = web.changed_items(load(spark, sf_dir, "page_snapshots"), F.floor(F.col("snap") / 2))
+    return items.select("external_content_id", "url", "snap", "raw_text", F.array_join("removed", "|").alias("removed"))
+
+
+@query
+def hn_ask(spark, sf_dir):
+    """Ask posts of the list that the feed's short name stands for, when every other place is one of that list."""
+    which = F.when(F.col("feed_rank") % 2 == 1, "newstories").otherwise("topstories")
+    return _hn(spark, sf_dir, which == hn.feed_list(F.lit("askhn")), limit=2000, feed="askhn", min_score=5)
+
+
 @query
 def first_n_per_source(spark, sf_dir):
     """The first items of each source, up to a limit that differs by source."""

@@ -61,7 +61,7 @@ SELECT conv_id AS channel_id, turn AS msg_id, CASE WHEN turn % 7 = 6 THEN '' ELS
 SELECT page_id, replace(html, '</h1>', ' it&apos;s' || chr(1) || ' so</h1>') AS html FROM pages
 """,
     "page_snapshots": """
-SELECT page_id, 1 AS snap, url, html FROM pages UNION ALL SELECT page_id, 2 AS snap, url, CASE WHEN page_id % 4 = 0 THEN replace(html, '</article>', '<p>edited</p></article>') ELSE html END AS html FROM pages
+SELECT page_id, 1 AS snap, url, html FROM pages UNION ALL SELECT page_id, 2 AS snap, url, CASE WHEN page_id % 4 = 0 THEN replace(html, '</article>', '<p>edited</p></article>') WHEN page_id % 8 = 2 THEN replace(html, '</h1>', ' renamed</h1>') ELSE html END AS html FROM pages
 """,
     "landed_manual": """
 SELECT doc_id AS rec, CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE CAST(doc_id AS STRING) END AS external_content_id, 'r' || CAST(doc_id AS STRING) AS id, CASE WHEN doc_id % 3 = 0 THEN text END AS raw_text, CASE WHEN doc_id % 3 = 1 THEN text END AS content, text,

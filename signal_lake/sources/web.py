@@ -55,6 +55,44 @@ def web_items(pages: DataFrame, keep: list[str], content_selector: Selector = No
     )
 
 
+def _walked(snapshots: DataFrame, block: Column) -> tuple[DataFrame, DataFrame]:
+    """(staged texts (url, snap, page_text) with their ``fingerprint``, the narrow rows of these with ``previous`` and ``state``)."""
+    text = page_content(visible_markup(F.col("html")))
+    texts = stage(snapshots.select("url", "snap", text.alias("page_text")).withColumn("fingerprint", F.coalesce(F.sha2("page_text", 256), F.lit(""))), "page_texts")
+    before = F.struct("fingerprint", "snap")
+    walked = with_previous(texts.select("url", "snap", "fingerprint").withColumn("_now", before), ["url"], "snap", "_now", "_then", block)
+    state = F.when(F.col("_then").isNull(), "new").when(F.col("_then.fingerprint") == F.col("fingerprint"), "same").otherwise("changed")
+    return texts, walked.select("url", "snap", "fingerprint", F.col("_then.snap").alias("previous_snap"), state.alias("state"))
+
+
+def changed_items(snapshots: DataFrame, block: Column) -> DataFrame:
+    """A raw item (with ``snap``, and the lines ``added`` and ``removed``) of every snapshot whose page has changed since the one before.
+
+    Its id and address carry the version, the beginning of the text's fingerprint, so each version is stored as an item of its own; its text
+    are the added lines. All snapshots are compared as fingerprints; only changed ones meet the text of their
+    predecessor, and their lines are told apart by membership, in place.
+    """
+    texts, walked = _walked(snapshots, block)
+    changed = walked.where("state = 'changed'").select("url", "snap", "previous_snap")
+    now = texts.select("url", "snap", "fingerprint", F.col("page_text").alias("now"))
+    then = texts.select("url", F.col("snap").alias("previous_snap"), F.col("page_text").alias("then"))
+    met = stage(changed, "changed").join(now, ["url", "snap"]).join(then, ["url", "previous_snap"])
+    lines = met.withColumns({name: F.split(F.coalesce(name, F.lit("")), "\n") for name in ("now", "then")})
+    added = F.filter("now", lambda line: (line != "") & ~F.array_contains(F.col("then"), line))
+    removed = F.filter("then", lambda line: (line != "") & ~F.array_contains(F.col("now"), line))
+    version = F.concat("url", F.lit("#"), F.substring("fingerprint", 1, 16))
+    told = lines.select("url", "snap", version.alias("version"), added.alias("added"), removed.alias("removed"))
+    return to_raw_items(
+        told,
+        ["snap", "added", "removed"],
+        external_content_id="version",
+        source_content_type=F.lit("web_page"),
+        raw_text=F.array_join("added", "\n"),
+        url="version",
+        raw_payload=payload(F.col("url").alias("scraped_url"), "removed"),
+    )
+
+
 def page_changes(snapshots: DataFrame, block: Column) -> DataFrame:
     """State of each snapshot (url, snap, html) against the one before: new, changed or same.
 

@@ -246,3 +246,15 @@ def test_kind_of_a_feed_is_its_root_and_cut_feeds_keep_entries(spark):
         ("prefixed", 0, "x", None), ("mentions", 0, "x", None), ("atom link", 0, "t", "http://l"), ("cut", 0, "x", None), ("rss names", 0, "t", None), ("prolog", 0, "t", None),
     }
     assert {r.k for r in failed.collect()} == {"cut at once", "hidden entries", "null", "blank"}
+
+
+def test_changed_pages_are_items_with_their_lines(spark):
+    def page(*lines):
+        return "<article>" + "".join(f"<p>{line}</p>" for line in lines) + "</article>"
+
+    rows = [("u", 1, page("a", "b")), ("u", 2, page("a", "b")), ("u", 3, page("b", "c", "c")), ("u", 4, None), ("u", 5, page("b", "c", "c")), ("v", 1, page("x"))]
+    items = web.changed_items(spark.createDataFrame(rows, "url string, snap int, html string"), F.floor(F.col("snap") / 2)).collect()
+    assert {(r.snap, tuple(r.added), tuple(r.removed)) for r in items} == {(3, ("c", "c"), ("a",)), (4, (), ("b", "c", "c")), (5, ("b", "c", "c"), ())}
+    by_snap = {r.snap: r for r in items}
+    assert by_snap[3].external_content_id == by_snap[5].external_content_id == by_snap[3].url and by_snap[3].url.startswith("u#")
+    assert by_snap[3].raw_text == "c\nc" and json.loads(by_snap[3].raw_payload) == {"scraped_url": "u", "removed": ["a"]}
