@@ -270,6 +270,9 @@ ORACLES["source_state"] = f"""{ERRORS} SELECT canonical_key, CASE WHEN message I
 ORACLES["status_update"] = """WITH last AS (SELECT event_id % (SELECT count(*) FROM documents) AS id, max(event_id) AS seq FROM events GROUP BY 1)
 SELECT doc_id AS id, CASE WHEN seq IS NULL THEN 'deduplicated' WHEN seq % 3 = 0 THEN 'candidate' ELSE 'selected' END AS status
 FROM documents LEFT JOIN last ON id = doc_id"""
+ORACLES["stored_changes"] = """WITH last AS (SELECT event_id % (SELECT count(*) FROM documents) AS id, max(event_id) AS seq FROM events WHERE event_id % 5 = 0 GROUP BY 1)
+SELECT doc_id AS id, source AS source_id, CASE WHEN seq IS NULL THEN 'deduplicated' WHEN seq % 3 = 0 THEN 'candidate' ELSE 'selected' END AS status
+FROM documents LEFT JOIN last ON id = doc_id WHERE CAST(substr(source, 4) AS INT) % 7 <> 2"""
 ORACLES["cascade_delete"] = """SELECT doc_id AS arrival, source AS source_id FROM documents WHERE CAST(substr(source, 4) AS INT) % 2 = 1"""
 
 _OWNED = f"""{SEED}, owned AS (SELECT sha256(f.canonical_key) AS new_source_id, s.canonical_key, s.canonical_name, s.source_name, s.tier, s.wave, s.handle,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from signal_lake.functions import html as H, registry_fields as R, scalars as S, text as X
-from signal_lake.operators import language as L, tables as T
+from signal_lake.operators import language as L, stored_changes as C, tables as T
 from signal_lake.operators.dedup import mark_duplicates
 from signal_lake.operators.skew import first_n
 from signal_lake.plans import ingest as I, registry as G, run as P
@@ -619,6 +619,28 @@ def cascade_delete(spark, sf_dir):
     return T.cascade_delete(items, removed, "arrival")
 
 
+@query
+def stored_changes(spark, sf_dir):
+    """A stored table, partitioned by source, after statuses were set and sources removed, partition by partition."""
+    import uuid
+
+    path = f"{shared_dir(spark)}/items-{uuid.uuid4().hex}"
+    items = _raw(spark, sf_dir).select(F.col("arrival").alias("id"), "source_id", F.lit("deduplicated").alias("status"))
+    items.withColumn("bucket", C.source_bucket(8)).write.partitionBy("bucket").parquet(path)
+
+    def stored() -> DataFrame:
+        return spark.read.schema("id bigint, source_id string, status string, bucket int").parquet(path)
+
+    changes = load(spark, sf_dir, "events").where("event_id % 5 = 0").select(
+        (F.col("event_id") % load(spark, sf_dir, "documents").count()).alias("id"),
+        F.when(F.col("event_id") % 3 == 0, "candidate").otherwise("selected").alias("status"), F.col("event_id").alias("seq"),
+    )
+    C.set_statuses(stored(), path, ["bucket"], changes)
+    removed = items.where(F.substring("source_id", 4, 9).cast("int") % 7 == 2).select("source_id")
+    C.delete_sources(stored(), path, ["bucket"], removed, "id")
+    return stored().select("id", "source_id", "status")
+
+
 # --- connectors -------------------------------------------------------------------------------
 
 

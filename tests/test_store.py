@@ -209,3 +209,36 @@ def test_wide_rows_meet_one_join(spark, small_sf):
     depth = next(len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if line.lstrip(" :+-").startswith("Join"))
     raw = [line for line in plan.splitlines() if "Project" in line and "raw_text" in line and len(line) - len(line.lstrip(" :+-")) > depth]
     assert len(raw) == 1
+
+
+def test_changes_leave_untouched_files_in_place(spark, tmp_path):
+    from pathlib import Path
+
+    from signal_lake.operators import stored_changes as C
+
+    path = str(tmp_path / "items")
+    rows = spark.range(400).selectExpr("id", "concat('s', id % 20) AS source_id", "'new' AS status").withColumn("bucket", C.source_bucket(8))
+    rows.write.partitionBy("bucket").parquet(path)
+    files = {p: (p.stat().st_mtime_ns, p.read_bytes()) for p in Path(path).rglob("*.parquet")}
+    bucket = {r.source_id: r.bucket for r in rows.collect()}
+
+    def stored():
+        return spark.read.schema("id bigint, source_id string, status string, bucket int").parquet(path)
+
+    def untouched(changed):
+        left = {p for p in files if not any(f"bucket={b}/" in str(p) for b in changed)}
+        assert left and all(p.exists() and (p.stat().st_mtime_ns, p.read_bytes()) == files[p] for p in left)
+
+    gone = spark.createDataFrame([("s3",), ("nobody",)], "source_id string")
+    assert [r.bucket for r in C.delete_sources(stored(), path, ["bucket"], gone, "id").collect()] == [bucket["s3"]]
+    untouched({bucket["s3"]})
+    changes = spark.createDataFrame([(7, "selected", 1), (7, "drafted", 2), (5000, "drafted", 1)], "id bigint, status string, seq bigint")
+    for _ in range(2):
+        C.set_statuses(stored(), path, ["bucket"], changes)
+        untouched({bucket["s3"], bucket["s7"]})
+        assert {(r.id, r.source_id, r.status) for r in stored().collect()} == {(i, f"s{i % 20}", "drafted" if i == 7 else "new") for i in range(400) if i % 20 != 3}
+    # All sources of a partition: the partition goes.
+    whole = [s for s, b in bucket.items() if b == bucket["s7"]]
+    C.delete_sources(stored(), path, ["bucket"], spark.createDataFrame([(s,) for s in whole], "source_id string"), "id")
+    assert {r.source_id for r in stored().collect()} == set(bucket) - {*whole, "s3"}
+    assert C.delete_sources(stored(), path, ["bucket"], gone, "id").count() == 0
