@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by cosine: multiprobe p-stable hashing.
 
 Method: vectors are scaled to length 1, where the nearest by cosine is the nearest by distance. Each of ``TABLES`` tables
-projects them on ``PROJECTIONS`` Gaussian directions (2-stable) and cuts each projection into cells of ``WIDTH``; the cells' numbers are
-the bucket. A query estimates for each of its projections how likely a near vector lies in each cell around its own, and visits the
-``PROBES`` buckets of each table in order of that success probability. Where buckets meet the probes, the exact cosine of each pair is computed in
-double precision, block by block, and only each query's best few leave the block; tables and blocks are then merged.
+projects them on Gaussian directions (2-stable), more of them the more rows there are, and cuts each projection into cells of ``WIDTH``; the cells'
+numbers are the bucket. A query estimates for each of its projections how likely a near vector lies in each cell around its own, and visits
+buckets of each table in order of that success probability, until all tables together succeed with ``SUCCESS`` or ``PROBES`` are
+visited. How near its neighbours are is learned from a sample: the exact neighbours of ``SAMPLE`` queries among all rows.
 
-Equal vectors are one candidate with its smallest ids, as no other of them can be among a query's nearest. Buckets of more
-than ``SPLIT`` vectors are dealt to several tasks, and their probes with them; no bucket is capped. Queries that found
-fewer than ``k`` search all rows, bucket by bucket of the first table.
+Rows are stored once, in blocks of ``SPLIT`` along the buckets of the first table. A query goes to the blocks that hold a bucket it visits in any
+table; there the candidates of all tables are merged, so each pair is computed once, many at a time as a product of matrices, and the
+few best get their exact cosine in double precision. Queries are split as blocks are, so a task holds ``SPLIT`` rows and about ``TOGETHER`` queries.
+
+Equal vectors are one candidate with its smallest ids, as no other of them can be among a query's nearest. No bucket is capped. Queries that found
+fewer than ``k`` search all blocks.
 
 Results for odd input: vectors that are NULL, zero or hold NULL or non-finite components take no part, nor do rows without
 an id. Rows with equal id and vector are one row; equal ids with other vectors are candidates of their own, but never
@@ -26,13 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from signal_lake.llm.common import prepare
+from signal_lake.operators.skew import global_rank
 from signal_lake.session import stage
 
-TABLES, PROJECTIONS, WIDTH, PROBES = 4, 8, 2.0, 160
-SPLIT = 4096
+TABLES, WIDTH, PROBES = 4, 2.0, 160
+SPLIT, TOGETHER = 4096, 1024
 SEED = 20240601
-#: Cosine between a query and the neighbours it should find; sets how the success of cells is estimated.
+#: Cosine between a query and the neighbours it should find where no sample tells; sets how the success of cells is estimated.
 NEAR = 0.4
+SUCCESS, SAMPLE = 0.97, 64
+#: Rows a bucket has on average, and cells that a projection of unit vectors spreads over.
+BUCKET, CELLS = 32, 2.3
 _REACH = 3
 
 
@@ -43,12 +50,18 @@ def directions(dimension: int, tables: int, projections: int) -> tuple[np.ndarra
     return rng.standard_normal((dimension, tables * projections)), rng.uniform(0, WIDTH, tables * projections)
 
 
+def projections_for(rows: int) -> int:
+    """Projections of a table for so many rows."""
+    return int(np.clip(round(np.log(max(rows, 1) / BUCKET) / np.log(CELLS)), 4, 24))
+
+
 def _keys(cells: np.ndarray) -> np.ndarray:
-    """One number per bucket; cells are the last axis and lie in -128 to 127."""
-    key = np.zeros(cells.shape[:-1], dtype=np.int64)
+    """One number per bucket, a hash of its cells, which are the last axis."""
+    key = np.zeros(cells.shape[:-1], dtype=np.uint64)
     for k in range(cells.shape[-1]):
-        key = key << 8 | (np.clip(cells[..., k], -128, 127) + 128)
-    return key
+        key = (key + cells[..., k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
 
 
 def buckets(unit: np.ndarray, tables: int, projections: int) -> np.ndarray:
@@ -67,7 +80,12 @@ def _normal(x: np.ndarray) -> np.ndarray:
 
 
 def probes(unit: np.ndarray, tables: int, projections: int, count: int, near: float = NEAR) -> np.ndarray:
-    """The ``count`` buckets of each table that most likely hold a near vector, likeliest first: (query, table, probe).
+    """The ``count`` buckets of each table that most likely hold a near vector, likeliest first: (query, table, probe)."""
+    return likely_buckets(unit, tables, projections, count, near)[0]
+
+
+def likely_buckets(unit: np.ndarray, tables: int, projections: int, count: int, near: float = NEAR) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets as ``probes`` gives them, the probability of each that it holds the near vector).
 
     A vector at cosine ``near`` projects to near * q + sqrt(1 - near ** 2) * g, where q is the query's projection and g is normal.
     Costs (minus the log of a cell's probability over the best cell's) add up over the projections, so the cheapest sums
@@ -93,7 +111,14 @@ def probes(unit: np.ndarray, tables: int, projections: int, count: int, near: fl
         picked = np.concatenate([np.take_along_axis(picked, before[..., None], axis=1), np.take_along_axis(cells[:, k], step, axis=1)[..., None]], axis=2)
         total = np.take_along_axis(sums, order, axis=1)
     order = np.argsort(total, axis=1, kind="stable")
-    return _keys(np.take_along_axis(picked, order[..., None], axis=1)).reshape(n, tables, -1)
+    keys = _keys(np.take_along_axis(picked, order[..., None], axis=1)).reshape(n, tables, -1)
+    return keys, np.exp(-np.take_along_axis(total, order, axis=1)).reshape(n, tables, -1)
+
+
+def wanted(chance: np.ndarray, tables: int, success: float = SUCCESS) -> np.ndarray:
+    """Which probes are visited: those before the first at which the table's success is enough for all tables together."""
+    enough = 1 - (1 - success) ** (1 / tables)
+    return np.cumsum(chance, axis=-1) - chance < enough
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -106,21 +131,48 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _by_dimension(table: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]], rows: DataFrame, schema: str) -> DataFrame:
-    """Rows (row, table, key) that ``table`` makes of the vectors of one dimension: owner, table and key of each."""
+def _by_dimension(made: Callable[[int, np.ndarray], list[np.ndarray]], rows: DataFrame) -> DataFrame:
+    """Rows (row, dimension, keys): a list of buckets for each table, all tables in one list, that ``made`` gives for vectors of one dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column(1).value_lengths().to_numpy()
             for dimension in np.unique(sizes):
                 some = batch.take(pa.array(np.flatnonzero(sizes == dimension)))
-                owner, number, key = table(int(dimension), _unit(_vectors(some.column(1))))
+                lists = made(int(dimension), _unit(_vectors(some.column(1))))
                 yield pa.record_batch(
-                    [some.column(0).take(pa.array(owner)), pa.array(np.full(len(owner), dimension), pa.int32()), pa.array(number, pa.int32()), pa.array(key, pa.int64())],
-                    ["row", "dimension", "table", "key"],
+                    [some.column(0), pa.array(np.full(some.num_rows, dimension), pa.int32()), pa.array(lists, pa.list_(pa.list_(pa.int64())))], ["row", "dimension", "keys"]
                 )
 
-    return rows.select("row", "vector").mapInArrow(run, schema)
+    return rows.select("row", "vector").mapInArrow(run, "row bigint, dimension int, keys array<array<bigint>>")
+
+
+def typical_nearness(candidates: DataFrame, asked: DataFrame, k: int) -> dict[int, float]:
+    """By dimension, the cosine that nine of ten queries of a sample have to their ``k``-th neighbour among all rows.
+
+    ``SAMPLE`` queries, drawn by a hash, come to the driver and are sent to all tasks; each task gives its best for each of them.
+    """
+    sample = asked.orderBy(F.xxhash64("query_id", "row")).limit(SAMPLE).select("vector").collect()
+    by_size: dict[int, np.ndarray] = {}
+    for size in {len(r["vector"]) for r in sample}:
+        by_size[size] = _unit(np.array([r["vector"] for r in sample if len(r["vector"]) == size]))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = {size: np.zeros((len(queries), 0)) for size, queries in by_size.items()}
+        for batch in batches:
+            sizes = batch.column(0).value_lengths().to_numpy()
+            for size in set(by_size) & set(sizes.tolist()):
+                some = batch.column(0).take(pa.array(np.flatnonzero(sizes == size)))
+                scores = np.concatenate([kept[size], by_size[size] @ _unit(_vectors(some)).T], axis=1)
+                kept[size] = -np.sort(-scores, axis=1)[:, : k + 1]
+        rows = [(size, q, float(s)) for size, scores in kept.items() for q, row in enumerate(scores) for s in row]
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.float64()), strict=True)], ["size", "q", "s"])
+
+    found = candidates.select("vector").mapInArrow(best, "size int, q int, s double")
+    # A query's own vector is one of the rows, so its k-th neighbour is one further.
+    kth = found.groupBy("size", "q").agg(F.get(F.sort_array(F.collect_list("s"), asc=False), F.lit(k)).alias("s")).where("s IS NOT NULL").collect()
+    return {size: float(np.clip(np.quantile([r["s"] for r in kth if r["size"] == size], 0.1), 0.2, 0.98)) for size in {r["size"] for r in kth}}
 
 
 def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -134,33 +186,53 @@ def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return dots / (np.sqrt((query * query).sum()) * np.sqrt((rows * rows).sum(axis=1)))
 
 
+def merged_candidates(order: list[np.ndarray], keys: list[np.ndarray], visited: list[np.ndarray], mask: np.ndarray) -> np.ndarray:
+    """Rows of a block that lie in a visited bucket of any table, each once; ``keys`` of each table are sorted by its ``order``, ``mask`` is all false."""
+    for by, sorted_keys, asked in zip(order, keys, visited, strict=True):
+        first, past = np.searchsorted(sorted_keys, asked, "left"), np.searchsorted(sorted_keys, asked, "right")
+        sizes = past - first
+        total = int(sizes.sum())
+        if total:
+            ends = np.cumsum(sizes)
+            mask[by[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]] = True
+    found = np.flatnonzero(mask)
+    mask[found] = False
+    return found
+
+
 def _best_of_block(k: int) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """For a block of buckets: each query's ``k`` nearest among the rows of the buckets it visits there."""
+    """For a block of rows and some queries: each query's ``k`` nearest among the rows of the buckets it visits there; without buckets, of all."""
 
     def best(_: tuple, rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(rows) and len(asked):
             vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-            unit = _unit(vectors)
-            ids = rows["ids"].to_numpy()
-            order = np.argsort(rows["key"].to_numpy(), kind="stable")
-            keys = rows["key"].to_numpy()[order]
-            for query_id, vector, visited in zip(asked["query_id"], asked["vector"], asked["keys"], strict=True):
-                query = np.asarray(vector, dtype=np.float64)
-                visited = np.asarray(visited, dtype=np.int64)
-                first, past = np.searchsorted(keys, visited, "left"), np.searchsorted(keys, visited, "right")
-                sizes = past - first
-                total = int(sizes.sum())
-                if not total:
-                    continue
-                ends = np.cumsum(sizes)
-                at = order[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]
-                rough = unit[at] @ _unit(query[None, :])[0]
-                # A class may be the query's own row, so one more than k; sums differ in their last digits only.
-                cut = np.partition(rough, total - k - 1)[total - k - 1] - 1e-9 if total > k + 1 else -2.0
-                close = at[rough >= cut]
-                near = [(-s, i) for s, some in zip(cosines(query, vectors[close]).tolist(), ids[close], strict=True) for i in some if i != query_id]
-                found += [(query_id, i, -s) for s, i in sorted(near)[:k]]
+            unit, ids = _unit(vectors), rows["ids"].to_numpy()
+            table_keys = np.array([[table[0] for table in keys] for keys in rows["keys"]], dtype=np.int64)
+            order = [np.argsort(column, kind="stable") for column in table_keys.T]
+            keys = [column[by] for column, by in zip(table_keys.T, order, strict=True)]
+            queries = np.stack(asked["vector"].to_numpy()).astype(np.float64)
+            mask, everything = np.zeros(len(rows), dtype=bool), np.arange(len(rows))
+            for start in range(0, len(queries), 128):
+                part = queries[start : start + 128]
+                near_all = unit @ _unit(part).T
+                for i, query in enumerate(part):
+                    met = asked["met"].iloc[start + i]
+                    if met is None:
+                        at = everything
+                    else:
+                        visited: list[list[int]] = [[] for _ in order]
+                        for pair in met:
+                            visited[pair["table"]].append(pair["key"])
+                        at = merged_candidates(order, keys, [np.array(v, dtype=np.int64) for v in visited], mask)
+                    if not len(at):
+                        continue
+                    query_id, rough = asked["query_id"].iloc[start + i], near_all[at, i]
+                    # A class may be the query's own row, so one more than k; sums differ in their last digits only.
+                    cut = np.partition(rough, len(at) - k - 1)[len(at) - k - 1] - 1e-9 if len(at) > k + 1 else -2.0
+                    close = at[rough >= cut]
+                    near = [(-s, v) for s, some in zip(cosines(query, vectors[close]).tolist(), ids[close], strict=True) for v in some if v != query_id]
+                    found += [(query_id, v, -s) for s, v in sorted(near)[:k]]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return best
@@ -175,7 +247,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 def nearest(
     table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding",
-    tables: int = TABLES, projections: int = PROJECTIONS, count: int = PROBES,
+    tables: int = TABLES, projections: int | None = None, count: int = PROBES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the ``k`` rows of greatest cosine that its probes find."""
     spark = table.sparkSession
@@ -193,42 +265,46 @@ def nearest(
     asked = rows.where("asks").select("id", "vector").distinct().withColumn("row", F.monotonically_increasing_id())
     asked = stage(asked.withColumnRenamed("id", "query_id"), "asked")
 
-    def index(dimension: int, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = buckets(unit, tables, projections)
-        return np.repeat(np.arange(len(unit)), tables), np.tile(np.arange(tables), len(unit)), found.reshape(-1)
-
-    def visit(dimension: int, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = [probes(unit[i : i + 64], tables, projections, count) for i in range(0, len(unit), 64)]
-        found = np.concatenate(found)
-        each = found.shape[2]
-        return np.repeat(np.arange(len(unit)), tables * each), np.tile(np.repeat(np.arange(tables), each), len(unit)), found.reshape(-1)
-
-    schema = "row bigint, dimension int, table int, key bigint"
-    indexed = stage(_by_dimension(index, candidates, schema), "index")
-    sizes = indexed.groupBy("dimension", "table", "key").agg(F.count("*").alias("n"))
-    parts = stage(sizes.withColumn("parts", F.ceil(F.col("n") / SPLIT)), "buckets")
-
-    def search(visited: DataFrame) -> DataFrame:
-        """Best of the blocks for ``visited`` (row, dimension, table, key) rows of the queries."""
-        total = indexed.count()
-        blocks = max(1, -(-total // SPLIT))
-        block = F.pmod(F.xxhash64("dimension", "table", "key", "part"), F.lit(blocks))
-        placed = indexed.join(parts, ["dimension", "table", "key"]).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
-        placed = placed.select("row", "dimension", "table", "key", block.alias("block")).join(candidates, "row").select("dimension", "table", "block", "key", "vector", "ids")
-        each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
-        met = visited.join(parts, ["dimension", "table", "key"]).select("row", "dimension", "table", "key", each)
-        met = met.withColumn("block", block).groupBy("row", "dimension", "table", "block").agg(F.collect_list("key").alias("keys"))
-        met = met.join(asked, "row").select("dimension", "table", "block", "query_id", "vector", "keys")
-        by = ["dimension", "table", "block"]
-        blocks_of = placed.groupBy(*by).cogroup(met.groupBy(*by))
-        return blocks_of.applyInPandas(_best_of_block(k), "query_id bigint, vec_id bigint, score double")
-
-    found = stage(_ranked(search(_by_dimension(visit, asked, schema)), k), "found")
+    total, asking = candidates.count(), asked.count()
+    many = projections or projections_for(total)
+    near = typical_nearness(candidates, asked, k)
+
+    def index(dimension: int, unit: np.ndarray) -> list:
+        return buckets(unit, tables, many)[:, :, None].tolist()
+
+    def visit(dimension: int, unit: np.ndarray) -> list:
+        lists = []
+        for i in range(0, len(unit), 64):
+            keys, chance = likely_buckets(unit[i : i + 64], tables, many, count, near.get(dimension, NEAR))
+            lists += [[k[w].tolist() for k, w in zip(own, use, strict=True)] for own, use in zip(keys, wanted(chance, tables), strict=True)]
+        return lists
+
+    indexed = _by_dimension(index, candidates).join(candidates, "row").withColumn("first", F.col("keys")[0][0])
+    placed = global_rank(indexed, ["dimension", "first", "row"], "place").withColumn("block", F.floor(F.col("place") / SPLIT))
+    placed = stage(placed.select("dimension", "block", "keys", "vector", "ids"), "blocks")
+    # Where the rows of a bucket are stored: one row per bucket and block.
+    tabled = placed.select("dimension", "block", F.posexplode("keys").alias("table", "key")).select("dimension", "block", "table", F.col("key")[0].alias("key"))
+    stored = stage(tabled.distinct(), "buckets")
+    parts = max(1, -(-asking // TOGETHER))
+    together = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+    by = ["dimension", "block", "part"]
+
+    def search(met: DataFrame) -> DataFrame:
+        """Best of the blocks for ``met`` (row, dimension, block, met) rows of the queries."""
+        there = met.join(asked, "row").select("dimension", "block", together.alias("part"), "query_id", "vector", "met")
+        there = stage(there, "met")
+        # A block goes to the parts of the queries that visit it.
+        rows = placed.join(stage(there.select(*by).distinct(), "visits"), ["dimension", "block"])
+        return rows.groupBy(*by).cogroup(there.groupBy(*by)).applyInPandas(_best_of_block(k), "query_id bigint, vec_id bigint, score double")
+
+    visited = _by_dimension(visit, asked).select("row", "dimension", F.posexplode("keys").alias("table", "visits")).select("row", "dimension", "table", F.explode("visits").alias("key"))
+    blocks = visited.join(stored, ["dimension", "table", "key"]).groupBy("row", "dimension", "block").agg(F.collect_list(F.struct("table", "key")).alias("met"))
+    found = stage(_ranked(search(blocks), k), "found")
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = asked.join(enough, "query_id", "left_anti")
     if not short.isEmpty():
-        # All buckets of the first table together are all rows.
         dimension = short.select("row", F.size("vector").alias("dimension"))
-        everywhere = dimension.join(parts.where("table = 0").select("dimension", "table", "key"), "dimension")
+        nothing = F.lit(None).cast(blocks.schema["met"].dataType)
+        everywhere = dimension.join(placed.select("dimension", "block").distinct(), "dimension").withColumn("met", nothing)
         found = _ranked(found.select("query_id", "vec_id", "score").union(search(everywhere)), k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -90,3 +90,33 @@ def test_probes_are_distinct(count):
     unit = N._unit(np.random.default_rng(6).standard_normal((5, 8)))
     found = N.probes(unit, 3, 4, count)
     assert found.shape == (5, 3, count) and all(len(set(p)) == count for q in found.tolist() for p in q)
+
+
+def clustered(n, seed=11, centres=40, spread=0.15):
+    rng = np.random.default_rng(seed)
+    middle = rng.standard_normal((centres, 32))
+    return middle[rng.integers(0, centres, n)] + spread * rng.standard_normal((n, 32))
+
+
+def test_clustered_vectors_visit_few_rows(spark):
+    vectors = clustered(12000, centres=100)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    found = N.nearest(table, F.col("vec_id") % 400 == 0).collect()
+    want = plain(range(12000), vectors, range(0, 12000, 400))
+    assert len({(r.query_id, r.vec_id) for r in found} & {(w[0], w[2]) for w in want}) >= 0.9 * len(want)
+    # The pairs these settings compute: each pair once, and less than a tenth of all.
+    unit, many = N._unit(vectors), N.projections_for(12000)
+    near = N.typical_nearness(table.select(F.col("embedding").alias("vector")), table.where("vec_id % 400 = 0").selectExpr("vec_id AS query_id", "vec_id AS row", "embedding AS vector"), 5)[32]
+    assert near > 0.8
+    keys, chance = N.likely_buckets(unit[::400], N.TABLES, many, N.PROBES, near)
+    use, rows = N.wanted(chance, N.TABLES), N.buckets(unit, N.TABLES, many)
+    order = [np.argsort(c, kind="stable") for c in rows.T]
+    met = [N.merged_candidates(order, [c[o] for c, o in zip(rows.T, order)], [k[u] for k, u in zip(own, w)], np.zeros(12000, bool)) for own, w in zip(keys, use)]
+    assert all(len(set(m.tolist())) == len(m) for m in met)
+    assert sum(map(len, met)) < 0.1 * 12000 * len(met)
+
+
+def test_probing_stops_when_success_is_enough():
+    chance = np.array([[[0.5, 0.2, 0.1, 0.1], [0.05, 0.05, 0.05, 0.05]]])
+    assert N.wanted(chance, 2, 0.74).tolist() == [[[True, False, False, False], [True] * 4]]
+    assert N.projections_for(100) == 4 and N.projections_for(51_000) == 9 and N.projections_for(10**9) > 15
