@@ -282,9 +282,9 @@ def nearest(
     indexed = _by_dimension(index, candidates).join(candidates, "row").withColumn("first", F.col("keys")[0][0])
     placed = global_rank(indexed, ["dimension", "first", "row"], "place").withColumn("block", F.floor(F.col("place") / SPLIT))
     placed = stage(placed.select("dimension", "block", "keys", "vector", "ids"), "blocks")
-    # Where the rows of a bucket are stored: one row per bucket and block.
+    # Where the rows of a bucket are stored: one row per bucket, with the numbers of its blocks.
     tabled = placed.select("dimension", "block", F.posexplode("keys").alias("table", "key")).select("dimension", "block", "table", F.col("key")[0].alias("key"))
-    stored = stage(tabled.distinct(), "buckets")
+    stored = stage(tabled.distinct().groupBy("dimension", "table", "key").agg(F.collect_list("block").alias("blocks")), "buckets")
     parts = max(1, -(-asking // TOGETHER))
     together = F.pmod(F.xxhash64("query_id"), F.lit(parts))
     by = ["dimension", "block", "part"]
@@ -298,7 +298,11 @@ def nearest(
         return rows.groupBy(*by).cogroup(there.groupBy(*by)).applyInPandas(_best_of_block(k), "query_id bigint, vec_id bigint, score double")
 
     visited = _by_dimension(visit, asked).select("row", "dimension", F.posexplode("keys").alias("table", "visits")).select("row", "dimension", "table", F.explode("visits").alias("key"))
-    blocks = visited.join(stored, ["dimension", "table", "key"]).groupBy("row", "dimension", "block").agg(F.collect_list(F.struct("table", "key")).alias("met"))
+    # A query's visits (at most `count` a table) are one list; it is repeated for each block with what lies there.
+    visits = visited.join(stored, ["dimension", "table", "key"]).groupBy("row", "dimension").agg(F.collect_list(F.struct("table", "key", "blocks")).alias("visits"))
+    blocks = visits.select("row", "dimension", "visits", F.explode(F.array_distinct(F.flatten("visits.blocks"))).alias("block"))
+    here = F.filter("visits", lambda v: F.array_contains(v["blocks"], F.col("block")))
+    blocks = blocks.select("row", "dimension", "block", F.transform(here, lambda v: F.struct(v["table"].alias("table"), v["key"].alias("key"))).alias("met"))
     found = stage(_ranked(search(blocks), k), "found")
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = asked.join(enough, "query_id", "left_anti")
