@@ -104,16 +104,18 @@ def same(got, want):
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_are_those_of_a_plain_model(spark, order):
+def test_scores_are_those_of_a_plain_model(spark, monkeypatch, order):
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 5)
     rng = random.Random(order)
     words = ["The", "the", "cat", "sat", "on", "a", "mat", "Äpfel", "äpfel", "日本"] + [f"w{i}" for i in range(40)]
     rows = [(i, " ".join(rng.choices(words, weights=[50 / (k + 1) for k in range(len(words))], k=rng.randrange(0, 30)))) for i in range(120)]
     rows += [(200 + i, rows[3][1]) for i in range(10)] + [(300, None), (301, ""), (302, " \t\n"), (5, "cat again"), (None, "the cat"), (303, "a " * 3000)]
     got, deleted = run(spark, rows, order=order, block_tokens=200, part_keys=64)
-    same(got, plain_scores(rows, deleted, order))
+    same(got, plain_scores(rows, deleted, order, 5))
 
 
-def test_more_parts_and_blocks_change_nothing(spark):
+def test_more_parts_and_blocks_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 2)
     rows = [(i, f"x y z{i % 7} x y {i}") for i in range(200)]
     one, _ = run(spark, rows, order=2)
     many, _ = run(spark, rows, order=2, block_tokens=10, part_keys=5)
@@ -137,7 +139,8 @@ def test_empty_and_untaught(spark):
     assert got == [(held, True, 3, 0, 0, 0.0, 0.0)]
 
 
-def test_odd_rows(spark, odd_docs):
+def test_odd_rows(spark, monkeypatch, odd_docs):
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 3)
     found = lm_scoring.score_documents(odd_docs)
     assert found.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     rows = found.collect()
