@@ -14,12 +14,13 @@ Labelled pages are those that mark their article with ``<article>`` or ``<main>`
 ``LABELLED`` of them, chosen by a hash. The marks themselves are no features: they cost what the dearest tag costs.
 
 Results for odd input: a NULL, empty or tag-only page has an empty text. Repeated rows give repeated results. Unclosed,
-misnested and cut-off markup is read as far as it goes. An empty table gives an empty result, and no
+misnested and cut-off markup is read as far as it goes, in time that grows with its length. An empty table gives an empty result, and no
 labelled page the default weights. Columns other than id, url and html are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -40,6 +41,8 @@ _TOKEN = re.compile(
     r"""|(?P<text>[^<]++|<)""",
     re.DOTALL,
 )
+#: The same where no CDATA section ends any more, so that none is looked for.
+_LATE_TOKEN = re.compile(_TOKEN.pattern.replace(r"<!\[CDATA\[(?P<data>.*?)\]\]>|", "(?P<data>(?!))|"), re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/>]|\Z))""", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -98,7 +101,7 @@ class Weights:
     block: float = 3.0
 
 
-@dataclass
+@dataclass(slots=True)
 class Piece:
     """A text or a tag of a page. ``block`` numbers the block, ``place`` names its element.
 
@@ -119,7 +122,7 @@ class Piece:
 NO, SOFT, FIRM, HARD = range(4)
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     """An element of a page; ``parent`` is its place in the list of all, the first of which is the page.
 
@@ -161,62 +164,102 @@ def _by_attributes(name: str, attributes: str, marked: bool) -> tuple[int, str]:
     return (NO if name in ("html", "body", "main") else found), " ".join([name, *sorted(classes)])  # html, body and main are classed by what they hold
 
 
+class _Open:
+    """Open elements from the outermost in, with the places of each name and of block elements at hand, so that no search walks them."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.elements: list[int] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, element: int) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        if name not in INLINE:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+        self.elements.append(element)
+
+    def cut(self, level: int) -> None:
+        """Close the element at ``level`` and all within; each is closed once, so the cuts of a page take time in its tags."""
+        while len(self.names) > level:
+            name = self.names.pop()
+            self.elements.pop()
+            self.places[name].pop()
+            if name not in INLINE:
+                self.blocks.pop()
+
+    def last(self, name: str) -> int:
+        """Level of the innermost element of this name, -1 if none is open."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def block(self) -> int:
+        return self.blocks[-1] if self.blocks else -1
+
+    def inner(self) -> int:
+        return self.elements[-1] if self.elements else 0
+
+
 def _scan(page: str) -> tuple[list[tuple[Piece, int, int]], list[Element]]:
     """Words and tags of a page in order, each with its element and, for words, the one that holds their block; all elements."""
     elements = [Element("", 0)]
-    stack: list[tuple[str, int]] = []  # name, element
+    stack = _Open()
     found: list[tuple[Piece, int, int]] = []
     block, at, size = 0, 0, len(page)
     place, holder = "", 0
+    data_ends = page.rfind("]]>")
     while at < size:
-        m = _TOKEN.match(page, at)
+        m = (_TOKEN if at < data_ends else _LATE_TOKEN).match(page, at)
         at = m.end()
-        text = m["text"] if m["text"] is not None else m["data"]
-        inner = stack[-1][1] if stack else 0
+        end, name, attributes, data, text = m.group("end", "name", "attributes", "data", "text")
+        text = data if text is None else text
+        inner = stack.inner()
         if text is not None:
-            text = html.unescape(text) if "&" in text and m["data"] is None else text
+            text = html.unescape(text) if "&" in text and data is None else text
             words = len(text.split())
             elements[inner].words += words
             found.append((Piece(None, words, block, place, False, False, text), inner, holder))
             continue
-        if m["name"] is None:
+        if name is None:
             continue
-        name = m["name"].lower()
+        name = name.lower()
         if name == "br":
             found.append((Piece("br", 0, block, place, False, False, " "), inner, holder))
             continue
         closed = 0
-        if m["end"]:
-            level = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if level is not None and not (name in INLINE and any(s[0] not in INLINE for s in stack[level:])):
-                closed = stack[level][1]
-                del stack[level:]
+        if end:
+            level = stack.last(name)
+            if level >= 0 and not (name in INLINE and stack.block() > level):
+                closed = stack.elements[level]
+                stack.cut(level)
         else:
             if name == "p" or name in BLOCK:  # a paragraph, and inline elements left open in it, end where a block begins
-                level = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] not in INLINE), None)
-                if level is not None and stack[level][0] == "p":
-                    del stack[level:]
-            if name == "li" and (level := next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in ("li", "ul", "ol")), None)) is not None and stack[level][0] == "li":
-                del stack[level:]
-            parent = stack[-1][1] if stack else 0
+                level = stack.block()
+                if level >= 0 and stack.names[level] == "p":
+                    stack.cut(level)
+            if name == "li" and stack.last("li") > max(stack.last("ul"), stack.last("ol")):
+                stack.cut(stack.last("li"))
+            parent = stack.inner()
             marked = elements[parent].marked
-            why, key = _by_attributes(name, m["attributes"], marked) if m["attributes"].strip() else (NO, name)
+            why, key = _by_attributes(name, attributes, marked) if attributes.strip() else (NO, name)
             if name == "form":
                 why = max(why, SOFT)
             elif name in REFUSED - {"object"} or name in ANNOTATION or (name in ("header", "object") and not marked):
                 why = HARD
-            if name not in VOID and not m["attributes"].endswith("/"):
+            if name not in VOID and not attributes.endswith("/"):
                 elements.append(Element(name, parent, marked=marked or (name in MARKS and why < FIRM), why=why, key=key))
-                stack.append((name, len(elements) - 1))
+                stack.push(name, len(elements) - 1)
             if name in RAW:
-                end = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
-                at = end.start() if end else size
-        inner = stack[-1][1] if stack else 0
+                close = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
+                at = close.start() if close else size
+        inner = stack.inner()
         if name in FORMULA:
             continue
         if name not in INLINE:
             block += 1
-            place, holder = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0))
+            level = stack.block()
+            place, holder = (stack.names[level], stack.elements[level]) if level >= 0 else ("", 0)
             if place in RUNNING:
                 holder = elements[holder].parent
         # The end of a refused element belongs to it.
@@ -253,25 +296,64 @@ def _accept(elements: list[Element]) -> None:
             elements[at].why, at = NO, elements[at].parent
         _mark(elements)
     scope = any(e.marked and inside[i] for i, e in enumerate(elements))
-    while True:
-        groups: Counter = Counter()
-        rest = 0
-        for i, e in enumerate(elements):
-            if e.marked >= scope:
-                if not e.refused:
-                    rest += e.words
-                elif e.why == SOFT and not hard[i] and e.top == i:
-                    groups[e.key] += inside[i]
-        key, most = max(groups.items(), key=lambda g: (g[1], g[0]), default=("", 0))
-        others = sum(inside[i] for i, e in enumerate(elements) if i and e.marked >= scope and e.top == i and e.key != key)
-        if not most or most <= MOST * rest or most <= others:
+    _lift(elements, inside, scope)
+    _mark(elements)
+
+
+def _lift(elements: list[Element], inside: list[int], scope: bool) -> None:
+    """Lift the refusal of one kind of outermost refused element after the other, as long as that kind holds the article.
+
+    The words outside, those of each kind and the outermost refused elements are kept up to date, and an element is opened once, so
+    the time grows with the elements of the page and not with its kinds as well.
+    """
+    inner: list[list[int]] = [[] for _ in elements]
+    for i, e in enumerate(elements[1:], 1):
+        inner[e.parent].append(i)
+    rest = sum(e.words for e in elements if e.marked >= scope and not e.refused)
+    soft: dict[str, list[int]] = {}
+    words: Counter = Counter()  # of the liftable elements of a kind
+    alike: Counter = Counter()  # of all refused elements of a kind
+    total = 0
+    rank = {key: k for k, key in enumerate(sorted({e.key for e in elements}))}
+    heap: list[tuple[int, int, str]] = []
+
+    def outermost(i: int) -> None:
+        nonlocal total
+        e = elements[i]
+        total += inside[i]
+        alike[e.key] += inside[i]
+        if e.why == SOFT:
+            soft.setdefault(e.key, []).append(i)
+            words[e.key] += inside[i]
+            heapq.heappush(heap, (-words[e.key], -rank[e.key], e.key))
+
+    for i, e in enumerate(elements):
+        if i and e.top == i and e.marked >= scope:
+            outermost(i)
+    while heap:
+        most, _, key = heapq.heappop(heap)
+        if not soft.get(key) or -most != words[key]:
+            continue
+        most = -most
+        if not most or most <= MOST * rest or most <= total - alike[key]:
             return
-        lifted = {i for i, e in enumerate(elements) if i and e.top == i and e.why == SOFT and e.key == key and e.marked >= scope}
-        for i, e in enumerate(elements):
-            # So is an element in it that holds all its words.
-            if i in lifted or (e.top in lifted and e.why == SOFT and inside[i] == inside[e.top]):
-                e.why = NO
-        _mark(elements)
+        lifted = soft.pop(key)
+        words[key] = 0
+        for top in lifted:
+            total -= inside[top]
+            alike[key] -= inside[top]
+            waiting = [top]
+            while waiting:
+                i = waiting.pop()
+                e = elements[i]
+                # So is an element in it that holds all its words.
+                if i == top or (e.why == SOFT and inside[i] == inside[top]):
+                    e.why = NO
+                if e.why:
+                    outermost(i)
+                else:
+                    rest += e.words
+                    waiting += inner[i]
 
 
 def _between(elements: list[Element]) -> list[bool]:

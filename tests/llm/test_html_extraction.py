@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -110,3 +111,67 @@ def test_comments_longer_than_the_article_stay_refused():
 def test_formulas_and_objects_in_an_article():
     page = "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x = 1</annotation></math> holds.</p><object data=a><p>A plan of the bridge.</p></object></article>"
     assert X.extract(page, X.Weights()) == "Here x=1 holds.\n\nA plan of the bridge."
+
+
+HALF = 100_000
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * HALF + "</span>" * HALF,
+    "<b>" * HALF + "<p>" * HALF,
+    "<ul>" + "<b>" * HALF + "<li>" * HALF,
+    "<![CDATA[x>" * HALF,
+    "".join(f"<div class='k{'abcdefghij'[i % 10] * (i // 10 % 50)}x-widget'>w " for i in range(HALF // 5)) + "w " * HALF,
+], ids=["unmatched ends", "open inline", "list items", "cdata", "kinds of wrappers"])
+def test_time_grows_with_the_page(page):
+    """An eighth of the page takes at least a twentieth of the time; quadratic work on these takes minutes."""
+
+    def seconds(text):
+        began = time.process_time()
+        X.extract(text, X.Weights())
+        return time.process_time() - began
+
+    part = page[: len(page) // 16] + page[-(len(page) // 16) :]
+    assert seconds(page) < max(2.0, 20 * seconds(part))
+
+
+def lift_plainly(elements, inside, scope):
+    """Refusals lifted as defined, all counts made anew for each kind."""
+    hard = [e.why == X.HARD for e in elements]
+    for i, e in enumerate(elements):
+        hard[i] = hard[i] or (i > 0 and hard[e.parent])
+    while True:
+        tops = [i for i, e in enumerate(elements) if i and e.top == i and e.marked >= scope]
+        rest = sum(e.words for e in elements if e.marked >= scope and not e.refused)
+        words = {}
+        for i in tops:
+            if elements[i].why == X.SOFT and not hard[i]:
+                words[elements[i].key] = words.get(elements[i].key, 0) + inside[i]
+        key = max(words, key=lambda k: (words[k], k), default=None)
+        others = sum(inside[i] for i in tops if elements[i].key != key)
+        if not words or not words[key] or words[key] <= X.MOST * rest or words[key] <= others:
+            return
+        lifted = {i for i in tops if elements[i].why == X.SOFT and elements[i].key == key}
+        for i, e in enumerate(elements):
+            if i in lifted or (e.top in lifted and e.why == X.SOFT and inside[i] == inside[e.top]):
+                e.why = X.NO
+        X._mark(elements)
+
+
+TAGS = st.sampled_from(["p", "div", "li", "ul", "b", "article", "main", "form", "nav", "section"])
+CLASSES = st.sampled_from(["", " class=has-sidebar", " class=sidebar", " class='widget-box a'", " class=b-menu", " id=comment-list", " class='no-share y'", " hidden"])
+MARKUP = st.lists(st.one_of(st.builds("<{}{}>".format, TAGS, CLASSES), st.builds("</{}>".format, TAGS), st.integers(1, 30).map(lambda n: "w " * n)), max_size=40)
+
+
+@settings(max_examples=400, deadline=None)
+@given(MARKUP.map("".join))
+def test_lifting_against_a_plain_model(page):
+    def shown():
+        return [(p.tag, p.words, p.block, p.refused, p.marked, p.top, p.between) for p in X.pieces(page)]
+
+    quick, kept = shown(), X._lift
+    X._lift = lift_plainly
+    try:
+        assert shown() == quick
+    finally:
+        X._lift = kept
