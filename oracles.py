@@ -341,6 +341,14 @@ UNION ALL SELECT doc_id, 0, 'c' || doc_id, 'C ' || doc_id, NULL, NULL, NULL, {_S
 ORACLES["feed_errors"] = "SELECT doc_id, 'feed parse error' AS message FROM documents WHERE doc_id % 11 IN (5, 7)"
 
 
+_DUMP_SHA = "sha256(CASE doc_id % 5 WHEN 3 THEN '<item><!--' || regexp_replace(replace(text, ']]>', ''), '\\s+', '', 'g') ELSE regexp_replace(text, '\\s+', '', 'g') END)"
+ORACLES["feed_dump"] = f"""SELECT doc_id % 5 AS g, row_number() OVER (PARTITION BY doc_id % 5 ORDER BY doc_id) - 1 AS ahead,
+  CASE doc_id % 5 WHEN 0 THEN 'g' WHEN 1 THEN 'a' WHEN 2 THEN 'r' ELSE 'c' END || doc_id AS external_content_id,
+  CASE doc_id % 5 WHEN 0 THEN 'T ' WHEN 1 THEN 'A ' WHEN 2 THEN 'R ' ELSE 'C ' END || doc_id AS title, {_DUMP_SHA} AS text_sha
+FROM documents WHERE doc_id % 5 < 4"""
+ORACLES["feed_dump_errors"] = "SELECT DISTINCT CAST(4 AS BIGINT) AS g, CAST(NULL AS BIGINT) AS pos, 'feed parse error' AS message FROM documents"
+
+
 def hn(limit: int, extra: str) -> str:
     return f"""{views('hn_items', 'hn_feed')} SELECT i.id, feed_rank, CAST(i.id AS VARCHAR) AS external_content_id, title, '' AS raw_text,
   coalesce(nullif(url, ''), 'https://news.ycombinator.com/item?id=' || i.id) AS url, author AS author_name, CAST(floor(epoch(time_ts)) AS BIGINT) AS published_at,

@@ -14,7 +14,7 @@ from signal_lake.operators.skew import first_n
 from signal_lake.plans import ingest as I, registry as G, run as P
 from signal_lake.plans.views import load
 from signal_lake.session import shared_dir, stage
-from signal_lake.sources import channel, feeds, hf, hn, manual, router, transcript, web
+from signal_lake.sources import channel, feed_dumps, feeds, hf, hn, manual, router, transcript, web
 from signal_lake.streaming import ingest_stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -702,6 +702,52 @@ def feed_errors(spark, sf_dir):
     return feeds.feed_entries(_feeds(spark, sf_dir), ["doc_id"])[1]
 
 
+def _feed_dumps(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of five feed files with an entry per document in turn, by doc_id modulo 5.
+
+    RSS with entries in comments, Atom with prefixes, RSS 1.0, RSS with CDATA that mentions entries and broken off in its last one, and a page that is no feed.
+    """
+    import uuid
+
+    path = f"{shared_dir(spark)}/dumps-{uuid.uuid4().hex}"
+    text = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    entries = {
+        0: f"concat('<!-- <item><title>no</title></item> --><item><title>T ', doc_id, '</title><guid>g', doc_id, '</guid><description>', {text}, '</description></item>')",
+        1: f"concat('<atom:entry><atom:title>A ', doc_id, '</atom:title><atom:id>a', doc_id, '</atom:id><atom:summary>', {text}, '</atom:summary></atom:entry>')",
+        2: f"concat('<item rdf:about=\"r', doc_id, '\"><title>R ', doc_id, '</title><description>', {text}, '</description></item>')",
+        3: "concat('<item><title>C ', doc_id, '</title><guid>c', doc_id, '</guid><description><![CDATA[<item> <!-- ', replace(text, ']]>', ''), ']]></description></item>')",
+        4: f"concat('<li>', {text}, '</li>')",
+    }
+    ends = {
+        0: ("<?xml version=\"1.0\"?><rss version=\"2.0\"><channel><title>c</title>", "</channel></rss>"),
+        1: ('<atom:feed xmlns:atom="http://www.w3.org/2005/Atom"><atom:title>c</atom:title>', "</atom:feed>"),
+        2: ('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/"><channel><title>c</title></channel>', "</rdf:RDF>"),
+        3: ('<rss version="2.0"><channel><title>c</title>', "<item><title>lost</title><descr"),
+        4: ("<html><body><ul>", "</ul></body></html>"),
+    }
+    chosen = " ".join(f"WHEN {kind} THEN {entry}" for kind, entry in entries.items())
+    rows = load(spark, sf_dir, "documents").selectExpr("doc_id % 5 AS g", "1 AS part", "doc_id", f"CASE doc_id % 5 {chosen} END AS value")
+    around = [(kind, part, 0, value) for kind, pair in ends.items() for part, value in zip((0, 2), pair, strict=True)]
+    rows = rows.unionByName(spark.createDataFrame(around, "g bigint, part int, doc_id bigint, value string"))
+    rows.repartition("g").sortWithinPartitions("g", "part", "doc_id").select("g", "value").write.partitionBy("g").text(path)
+    return path
+
+
+@query
+def feed_dump(spark, sf_dir):
+    """Entries of large feed files, each read by all tasks; ``ahead`` entries stand before each in its file."""
+    entries, _ = feed_dumps.dump_entries(spark, _feed_dumps(spark, sf_dir))
+    items = feeds.feed_items(entries, ["file_path", "pos"]).withColumn("text_sha", F.sha2(F.regexp_replace("raw_text", r"\s+", ""), 256))
+    return items.select(F.regexp_extract("file_path", "g=([0-9]+)", 1).cast("bigint").alias("g"), F.col("pos").alias("ahead"), "external_content_id", "title", "text_sha")
+
+
+@query
+def feed_dump_errors(spark, sf_dir):
+    """What large feed files hold that is no feed or doesn't parse."""
+    _, errors = feed_dumps.dump_entries(spark, _feed_dumps(spark, sf_dir))
+    return errors.select(F.regexp_extract("file_path", "g=([0-9]+)", 1).cast("bigint").alias("g"), "pos", "message")
+
+
 def _hn(spark: SparkSession, sf_dir: str, listed: Column | None = None, **choice) -> DataFrame:
     items = load(spark, sf_dir, "hn_items").select(
         "*", F.lit(None).cast("string").alias("text"), F.col("author").alias("by"),

@@ -46,7 +46,7 @@ _ENTRY_FIELDS = ["title", "link", "summary", "content", "entry_id", "published",
 
 
 def read_feeds(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Landed feed files, one row each: file_path and xml. A feed is one response of a site, parsed whole."""
+    """Landed feed files, one row each: file_path and xml. A feed is one response of a site, parsed whole; ``feed_dumps`` reads larger files."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("xml"))
 
 
@@ -108,10 +108,15 @@ def _outside_cdata(xml: Column, change: Callable[[Column], Column]) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("<![CDATA["), p).otherwise(change(p))), "")
 
 
+def own_prefix(xml: Column, namespaces: list[str]) -> Column:
+    """The prefix that a feed's root gives one of these namespaces, '' if none."""
+    names = "|".join(re.escape(n) for n in namespaces)
+    return F.regexp_extract(xml, rf"""xmlns:([\w.-]+)\s*=\s*["'](?:{names})["']""", 1)
+
+
 def _without_prefix(xml: Column, namespaces: list[str]) -> Column:
     """The feed with elements of these namespaces named without the prefix that its root gives them."""
-    names = "|".join(re.escape(n) for n in namespaces)
-    prefix = F.regexp_extract(xml, rf"""xmlns:([\w.-]+)\s*=\s*["'](?:{names})["']""", 1)
+    prefix = own_prefix(xml, namespaces)
     pattern = F.concat(F.lit("(</?)"), F.regexp_replace(prefix, r"([.])", r"\\$1"), F.lit(":"))
     return F.when(prefix == "", xml).otherwise(_outside_cdata(xml, lambda part: F.regexp_replace(part, pattern, F.lit("$1"))))
 

@@ -1,4 +1,4 @@
-"""Large CSV and JSON files read by all tasks: records are found from the state at the start of each piece.
+"""Large CSV, JSON and feed files read by all tasks: records are found from the state at the start of each piece.
 
 A file is read in fragments that end at a character, whatever stands around it, so Spark can split it anywhere. Whether a fragment begins inside
 a quoted text, and how deep, follows from sums over the fragments before it: each block of a file is summed on its own, the sums of blocks (a
@@ -34,7 +34,19 @@ def with_sum_before(rows: DataFrame, value: Column, name: str) -> DataFrame:
     return numbered.join(starts, BLOCK).withColumn(name, F.col("_start") + F.col("_inside")).drop("_value", "_start", "_inside")
 
 
-def _joined(rows: DataFrame, between: str) -> Column:
+def with_last_before(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add the last ``value`` that isn't NULL of all earlier fragments of the file, false if there is none."""
+    valued = rows.withColumn("_value", value.cast("boolean"))
+    lasts = valued.groupBy(*BLOCK).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("place"))).alias("_last"))
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lasts.select(*BLOCK, F.coalesce(F.last("_last", True).over(earlier), F.lit(False)).alias("_start"))
+    inside = Window.partitionBy(*BLOCK).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    told = valued.withColumn("_inside", F.last("_value", True).over(inside))
+    return told.join(starts, BLOCK).withColumn(name, F.coalesce("_inside", "_start")).drop("_value", "_start", "_inside")
+
+
+def joined(rows: DataFrame, between: str) -> Column:
+    """The values of a group's fragments put together in their order."""
     pieces = F.array_sort(F.collect_list(F.struct("block_start", "place", "value")))
     return F.array_join(F.transform(pieces, lambda p: p["value"]), between)
 
@@ -50,7 +62,7 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     counted = with_sum_before(opened, F.col("starts"), "earlier").withColumn("number", F.col("earlier") + F.col("starts"))
     counted = stage(counted.select(*BLOCK, "place", "number", "value", ((F.col("starts") == 1) & (F.col("odd") == 0)).alias("alone")), "lines")
     single = counted.where("alone").select("file_path", "number", F.col("value").alias("text"))
-    longer = counted.where("NOT alone").groupBy("file_path", "number").agg(_joined(counted, "\n").alias("text"))
+    longer = counted.where("NOT alone").groupBy("file_path", "number").agg(joined(counted, "\n").alias("text"))
     whole = single.unionByName(longer).withColumn("text", F.regexp_replace("text", r"\r\z", ""))
     return whole.where(F.trim("text") != "")
 
@@ -104,7 +116,7 @@ def json_entries(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
     measured = measured.withColumn("ends", F.col("closes") & (F.col("depth") + F.col("step") == 1))
     counted = with_sum_before(measured, F.col("ends").cast("int"), "number")
     counted = stage(counted.select(*BLOCK, "place", "number", "value", "ends", "step", "quotes"), "pieces")
-    whole = counted.groupBy("file_path", "number").agg(_joined(counted, "}").alias("text"), F.max("ends").alias("ends")).where("ends")
+    whole = counted.groupBy("file_path", "number").agg(joined(counted, "}").alias("text"), F.max("ends").alias("ends")).where("ends")
     lead = F.when(F.col("number") == 0, F.regexp_replace("text", r"\A[\x{FEFF}\s]*\[", "")).otherwise(F.regexp_replace("text", r"\A\s*,", ""))
     parsed = whole.select("file_path", "number", F.from_json(F.concat(F.lit("["), lead, F.lit("}]")), "array<string>").alias("entries"))
     parsed = stage(parsed, "entries")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signal_lake.operators.skew import first_cut, first_n
-from signal_lake.sources import fragments, manual
+from signal_lake.sources import feed_dumps, feeds, fragments, manual
 from test_runs import make_sources
 
 
@@ -106,3 +106,69 @@ def test_a_large_limit_of_one_group_leaves_the_others_cut(spark):
     assert left["large"] == 5000 and all(n <= 5 * 8 for k, n in left.items() if k != "large")
     got = {r.k: r["count"] for r in first_n(rows, ["k"], [F.col("id")], F.col("n"), 1_000_000).groupBy("k").count().collect()}
     assert got == {"large": 5000, "g0": 5, "g1": 5, "g2": 5}
+
+
+RSS_ROOT = '<?xml version="1.0"?>\n<!-- <item> --><rss version="2.0" xmlns:media="http://x/"><channel><title>c</title><image><title>i</title></image>'
+ATOM_ROOT = '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:title>c</a:title>'
+TEXTS = ["plain", "two\nlines", "a &lt;item&gt; b", "<![CDATA[ x <item> </item> > ]]>", "<![CDATA[<!-- open]]>", "<!-- <item>no</item> -->t", "<![CDATA[a]]> b <![CDATA[ --> ]]>", "<!-- a > b <![CDATA[ <item> ]]> -->u", "w " * 400, ""]
+BETWEEN = ["", "\n", "<!-- <item><title>no</title></item> -->", "<ttl>5</ttl>", "<media:item>m</media:item>", "<!-- <entry> - > </entry> -->"]
+
+
+def test_feed_files_in_many_blocks_against_whole_feeds(spark, tmp_path, small_blocks):
+    rng = random.Random(8)
+
+    def rss(i):
+        return f"<item><title>T{i}</title><guid>g{i}</guid><description>{rng.choice(TEXTS)}</description></item>" + rng.choice(BETWEEN)
+
+    def atom(i):
+        return f"<a:entry ><a:title>T{i}</a:title><a:id>g{i}</a:id><a:summary>{rng.choice(TEXTS).replace('item', 'a:entry')}</a:summary></a:entry>" + rng.choice(BETWEEN)
+
+    files = {
+        "rss": RSS_ROOT + "".join(map(rss, range(50))) + "</channel></rss>\n",
+        "atom": ATOM_ROOT + "".join(map(atom, range(50))) + "</a:feed>",
+        "cut": RSS_ROOT + "".join(map(rss, range(25))) + "<item><title>lost</title><desc",
+        "one": "<rss><channel><item><title>T</title></item></channel></rss>",
+        "self": "<rss><channel><item/><item><title>U</title></item></channel></rss>",
+        "root": "<channel><item><title>V</title></item></channel>",
+        "empty": "<rss><channel><title>none</title></channel></rss>",
+        "bare": "<feed/>",
+        "open": "<rss><channel><title>none</title>",
+        "part": "<rss><channel><title>none</title><item><title>x",
+        "page": "<html><body><item>x</item><p>" + "text " * 300 + "</p></body></html>",
+        "text": "no markup at all",
+    }
+    for name, xml in files.items():
+        (tmp_path / name).write_text(xml, encoding="utf-8")
+    entries, errors = feed_dumps.dump_entries(spark, str(tmp_path))
+    whole, failed = feeds.feed_entries(feeds.read_feeds(spark, str(tmp_path)), ["file_path"])
+
+    def shown(frame):
+        return sorted((r.file_path.rsplit("/", 1)[1], r.pos, r.title or "", r.entry_id or "", r.summary or "") for r in frame.collect())
+
+    got = shown(entries)
+    assert len(got) == 50 + 50 + 25 + 4 and got == shown(whole)
+    assert sorted((r.file_path.rsplit("/", 1)[1], r.pos) for r in errors.collect()) == sorted((r.file_path.rsplit("/", 1)[1], None) for r in failed.collect())
+    assert {r.file_path.rsplit("/", 1)[1] for r in failed.collect()} == {"open", "part", "page", "text"}
+
+
+def test_a_broken_entry_costs_no_other(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<rss><channel><item><title>A</title></item><item><title>B</item><item><title>C</title></item></channel></rss>")
+    entries, errors = feed_dumps.dump_entries(spark, str(tmp_path))
+    assert sorted((r.pos, r.title) for r in entries.collect()) == [(0, "A"), (2, "C")]
+    assert [(r.pos, r.message) for r in errors.collect()] == [(1, "entry parse error")]
+
+
+def test_last_before_in_many_blocks(spark, tmp_path, small_blocks):
+    rng = random.Random(9)
+    words = [rng.choice(["on", "off", "-", "-", "-" * 60]) for _ in range(200)]
+    (tmp_path / "a.txt").write_text(">".join(words))
+    pieces = fragments.read_fragments(spark, str(tmp_path / "a.txt"), ">")
+    assert pieces.select("block_start").distinct().count() > 3
+    told = fragments.with_last_before(pieces, F.when(F.col("value") == "on", True).when(F.col("value") == "off", False), "is_on")
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file_path" in plan and "SinglePartition" not in plan
+    want, state = [], False
+    for word in words:
+        want.append((word, state))
+        state = {"on": True, "off": False}.get(word, state)
+    assert [(r.value, r.is_on) for r in told.orderBy("block_start", "place").collect()] == want
