@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame, functions as F
 from signal_lake.llm.common import map_batches, prepare
 
 LABELLED = 2_000
+#: The greatest weight; a word that hardly occurs in articles by its element still has a tenth of it.
+TOP = 3.0
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*+(?:>|\Z)"""
@@ -433,7 +435,7 @@ def _count(page: str, counts: Counter) -> None:
 def weights_from(counts: Counter) -> Weights:
     """Log odds of each name inside and outside articles, words held positive and tags negative."""
     out = Weights()
-    for kind, into, low, high in (("word", out.words, 0.5, 3.0), ("tag", out.tags, 0.1, 3.0)):
+    for kind, into, low, high in (("word", out.words, TOP / 10, TOP), ("tag", out.tags, 0.1, TOP)):
         names = {n for k, n, _ in counts if k == kind}
         totals = {side: sum(c for (k, _, s), c in counts.items() if k == kind and s == side) + len(names) for side in (True, False)}
         for name in names:

@@ -175,3 +175,26 @@ def test_lifting_against_a_plain_model(page):
         assert shown() == quick
     finally:
         X._lift = kept
+
+
+def without_marks(page):
+    """The page with every section a plain ``div`` and no attribute that tells its part."""
+    plain = re.sub(r"<(/?)(?:article|main|nav|footer|aside|header|section|form)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r"""\s(?:class|id|role|style|hidden|aria-hidden)(?:=(?:"[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/>])""", "", plain)
+
+
+def test_the_scan_alone_finds_articles(spark, small_sf):
+    """Names of sections and classes taken away, weights learned from other pages that have them."""
+    table = spark.read.parquet(f"{small_sf.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    weights = X.learn(table.where("page_id % 2 = 1"), "html")
+    pages = [r.html for r in table.where("page_id % 2 = 0").collect()]
+    assert [X.extract(without_marks(page), weights) for page in pages] == [marked_article(page) for page in pages]
+
+    def words_left(page):
+        found = list(X.pieces(without_marks(page)))
+        start, end = X.best_region(found, weights)
+        return [p for k, p in enumerate(found) if p.words and not p.refused and not start <= k < end]
+
+    assert all(words_left(page) for page in pages)  # it is the scan that cuts menus and footers off
+    bare = "<div>" + "The bridge over the river opens in May. " * 6 + "</div>"
+    assert X.extract(f"<div><a href=/>Home</a></div>{bare}<div>c</div>", weights) == " ".join(["The bridge over the river opens in May."] * 6)
