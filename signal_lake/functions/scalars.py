@@ -94,15 +94,15 @@ def _month(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]+$"), text.cast("int")).otherwise(named)
 
 
-def _whole_year(year: Column) -> Column:
-    """A year of two digits is the one nearest to now, of those more than 50 years ahead or behind none."""
-    now = F.year(F.current_date())
+def _whole_year(year: Column, moment: Column) -> Column:
+    """A year of two digits is the one nearest to ``moment``, of those more than 50 years ahead or behind none."""
+    now = F.year(moment)
     near = F.floor(now / 100) * 100 + year.try_cast("int")
     near = F.when(near >= now + 50, near - 100).when(near < now - 50, near + 100).otherwise(near)
     return F.when(F.length(year) == 2, near.cast("string")).otherwise(year)
 
 
-def _iso_day(local: Column) -> Column:
+def _iso_day(local: Column, now: Column) -> Column:
     """``yyyy-mm-dd`` of the date the text starts with; month first, unless only the other reading is a date."""
     day = F.when(F.lit(False), F.lit(None).cast("string"))
     for form, (y, m, d) in _DATE_FORMS.items():
@@ -110,7 +110,7 @@ def _iso_day(local: Column) -> Column:
         number = _month(month)
         flip = (number > 12) & (F.lit((y, m, d) == (3, 1, 2)))
         text = F.format_string(
-            "%s-%02d-%02d", _whole_year(year),
+            "%s-%02d-%02d", _whole_year(year, now),
             F.when(flip, date.try_cast("int")).otherwise(number), F.when(flip, number).otherwise(date.try_cast("int")),
         )
         day = day.when(local.rlike(form), F.when(number.isNotNull(), text))
@@ -137,12 +137,14 @@ def _iso_time(rest: Column) -> Column:
     )
 
 
-def parse_datetime(text: Column) -> Column:
+def parse_datetime(text: Column, now: Column | None = None) -> Column:
     """Timestamp of a date in ISO, mail, US or month-name form; without a zone it is UTC.
 
     The parts are put together into one ISO string with its offset, so the result does not depend on
-    the session's time zone. A zone name reads as UTC, a partial date is NULL.
+    the session's time zone. A zone name reads as UTC, a partial date is NULL. Years of two
+    digits are those nearest to ``now``, when the text was fetched; if that isn't given, to today.
     """
+    now = F.current_timestamp() if now is None else now
 
     def with_zone(bare: Column) -> Column:
         zone = F.regexp_extract(bare, _CLOCK + _ZONE, 2)
@@ -150,7 +152,7 @@ def parse_datetime(text: Column) -> Column:
         numeric = F.concat(F.substring(zone, 1, 3), F.lit(":"), minutes)
         offset = F.when(zone.rlike("^[+-]"), numeric).otherwise(F.lit("Z"))
         local = F.regexp_replace(bare, _CLOCK + _ZONE, "$1")
-        return let(local, lambda moment: F.concat(_iso_day(moment), F.lit("T"), after_date(moment), offset))
+        return let(local, lambda moment: F.concat(_iso_day(moment, now), F.lit("T"), after_date(moment), offset))
 
     def after_date(local: Column) -> Column:
         return let(F.regexp_replace(local, "|".join(_DATE_FORMS), ""), _iso_time)

@@ -15,6 +15,7 @@ from signal_lake.plans.registry import active_sources, processing_order, source_
 from signal_lake.schemas import CONTENT_ITEMS, SOURCES
 from signal_lake.session import stage
 from signal_lake.sources.channel import cursor
+from signal_lake.sources.common import FETCHED
 from signal_lake.sources.router import has_connector, route, source_errors
 
 
@@ -159,7 +160,7 @@ def run_ingestion(
     fit = placed_sources(chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti"))
     cursors = read_cursors(spark, root)
     index = StoredIndex(spark, f"{root}/index", tuple(done[-1]["index_runs"]) if done else ())
-    picked = {name: pick_landed(name, records, fit, cursors) for name, records in landed.items() if has_connector(name)}
+    picked = {name: pick_landed(name, records, fit, cursors).withColumn(FETCHED, run_at) for name, records in landed.items() if has_connector(name)}
     if not picked:
         nothing = fit.select("canonical_key", F.lit("none").alias("outcome")).limit(0)
         results = stage(I.run_results(nothing, errors, "canonical_key", fit), "run_results")

@@ -23,6 +23,15 @@ def payload(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+#: Column of landed records that says when they were fetched; a run sets it to its own time.
+FETCHED = "_fetched_at"
+
+
+def fetched_at(records: DataFrame) -> Column | None:
+    """When each record was fetched, None if the records don't say."""
+    return F.col(FETCHED) if FETCHED in records.columns else None
+
+
 def file_position() -> list[Column]:
     """Order of records within a read: file, block of the file, place in the block."""
     return [

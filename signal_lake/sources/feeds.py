@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from signal_lake.functions.html import expand_named
 from signal_lake.functions.scalars import parse_datetime
 from signal_lake.functions.space import or_null, strip_space
-from signal_lake.sources.common import payload, to_raw_items
+from signal_lake.sources.common import fetched_at, payload, to_raw_items
 
 DEFAULT_LIMIT = 50
 
@@ -188,6 +188,6 @@ def feed_items(entries: DataFrame, keep: list[str]) -> DataFrame:
         raw_text=F.coalesce(or_null(F.col("summary")), or_null(F.col("content")), F.lit("")),
         url="link",
         author_name="author",
-        published_at=parse_datetime(F.col("published")),
+        published_at=parse_datetime(F.col("published"), fetched_at(entries)),
         raw_payload=payload(F.col("entry_id").alias("feed_id"), "tags"),
     )

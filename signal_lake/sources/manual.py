@@ -9,7 +9,7 @@ from signal_lake.functions.space import is_blank, or_null
 from signal_lake.operators.skew import lookup_join
 from signal_lake.schemas import ENGAGEMENT_COLUMNS, FETCH_CONFIG
 from signal_lake.session import stage
-from signal_lake.sources.common import payload, to_raw_items
+from signal_lake.sources.common import fetched_at, payload, to_raw_items
 from signal_lake.sources.fragments import csv_fields, json_entries
 
 # The fields a record may have; the later ones of a pair stand in for the first.
@@ -128,7 +128,7 @@ def manual_items(records: DataFrame, keep: list[str]) -> DataFrame:
         raw_text=first("raw_text", "content", "text"),
         url=plain("url"),
         author_name=first("author_name", "author"),
-        published_at=parse_datetime(first("published_at", "date")),
+        published_at=parse_datetime(first("published_at", "date"), fetched_at(records)),
         raw_payload=F.concat(F.lit('{"source_record":'), whole, F.lit("}")),
         **{name: strict_int(plain(name)) for name in ENGAGEMENT_COLUMNS},
     )

@@ -156,6 +156,13 @@ def test_no_date(run_one, text):
     assert run_one(lambda c: S.parse_datetime(c), [text]) == [None]
 
 
+def test_short_years_are_those_near_the_given_moment(run_one):
+    texts = ["05 Jan 24", "05 Jan 99", "01/02/49", "Fri, 05 Jan 75 10:00:00 GMT", "2024-01-05"]
+    for now, want in (("1998-05-01", [2024, 1999, 1949, 1975, 2024]), ("2024-02-01", [2024, 1999, 2049, 1975, 2024]), ("2051-02-01", [2024, 2099, 2049, 2075, 2024])):
+        moment = F.lit(now).cast("timestamp")
+        assert run_one(lambda c: F.year(S.parse_datetime(c, moment)), texts, "string") == want  # noqa: B023
+
+
 def test_dates_do_not_depend_on_the_session_zone(spark, run_one):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:

@@ -141,6 +141,16 @@ def test_runs_that_name_no_source_or_bring_nothing(spark, tmp_path):
     assert {r.canonical_key: r.last_error_msg for r in P.read_sources(spark, root, 2).collect()} == {"a": "feed parse error", "b": None, "c": None}
 
 
+def test_short_years_go_by_the_time_of_the_run(spark, tmp_path):
+    sources = make_sources(spark, [("a", "manual_import", "en", 1, None, None)]).withColumn("fetch_config", F.lit('{"file_path": "/d/x.json"}'))
+    records = landed(spark, [("a", 0, "1", BODY, None)])
+    records = {"manual_import": records["manual_import"].withColumn("date", F.lit("05 Jan 75")).drop("published_at")}
+    for year in (2020, 2060):
+        root = str(tmp_path / str(year))
+        P.run_ingestion(spark, root, sources, records, at(f"{year}-02-01"), version=2)
+        assert [r.published_at.year for r in P.read_items(spark, root).collect()] == [1975 if year == 2020 else 2075]
+
+
 def test_sources_set_their_limits(spark):
     sources = make_sources(spark, [("a", "telegram_api", "en", 1, None, "@a"), ("b", "telegram_api", "en", 1, None, "@b"), ("h", "hn_api", "en", 1, None, None), ("w", "web_scraper", "en", 1, None, None)])
     config = F.create_map(F.lit("a"), F.lit('{"limit": 2, "min_id": 3}'), F.lit("b"), F.lit("{}"), F.lit("h"), F.lit('{"feed": "askhn", "limit": 3, "min_score": 2}'), F.lit("w"), F.lit('{"content_selector": ".x.y", "title_selector": "h1"}'))
