@@ -80,10 +80,10 @@ def flatten(seeds: DataFrame) -> DataFrame:
 
 
 def write_seed(seeds: DataFrame, json_path: str, csv_path: str) -> None:
-    """Both files of the seed: JSON as it is, CSV flattened."""
-    columns = SOURCE_SEED.names
-    seeds.select(*columns).write.mode("errorifexists").option("ignoreNullFields", "false").json(json_path)
-    flat = flatten(seeds.select(*columns))
+    """Both files of the seed: JSON as it is, CSV flattened. The transform runs once, for both."""
+    rows = stage(seeds.select(*SOURCE_SEED.names), "seed")
+    rows.write.mode("errorifexists").option("ignoreNullFields", "false").json(json_path)
+    flat = flatten(rows)
     flat.write.mode("errorifexists").csv(csv_path, header=True, escape='"', emptyValue="", nullValue="")
 
 

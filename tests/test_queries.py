@@ -70,3 +70,7 @@ def test_plans_of_runs(spark, small_sf):
 def test_scans_read_only_what_is_asked(spark, small_sf):
     plan = plan_of(QUERIES["cascade_delete"](spark, small_sf))
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
+
+
+def test_the_list_is_dealt_out_however_few_row_groups_hold_it(spark, small_sf):
+    assert load(spark, small_sf, "registry_raw").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -306,3 +306,11 @@ def test_stream_drops_repeats_within_the_watermark(spark, tmp_path):
     query = ST.distinct_within(stream, "t", "1 hour").writeStream.format("memory").queryName("distinct_rows").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.content_hash for r in spark.table("distinct_rows").collect()) == ["g", "h"]
+
+
+def test_both_files_of_the_seed_are_of_one_transform(spark, small_sf, tmp_path):
+    seeds = G.transform_registry(load(spark, small_sf, "registry_raw")).withColumn("notes", F.expr("uuid()"))
+    G.write_seed(seeds, str(tmp_path / "json"), str(tmp_path / "csv"))
+    table = spark.read.csv(str(tmp_path / "csv"), header=True, escape='"').select("canonical_key", "notes")
+    written = G.read_seed(spark, str(tmp_path / "json"))
+    assert written.count() == table.count() == written.join(table, ["canonical_key", "notes"]).count() > 0
