@@ -242,3 +242,14 @@ def test_changes_leave_untouched_files_in_place(spark, tmp_path):
     C.delete_sources(stored(), path, ["bucket"], spark.createDataFrame([(s,) for s in whole], "source_id string"), "id")
     assert {r.source_id for r in stored().collect()} == set(bucket) - {*whole, "s3"}
     assert C.delete_sources(stored(), path, ["bucket"], gone, "id").count() == 0
+
+
+def test_a_trigram_is_no_row_of_its_own(spark):
+    rows = spark.createDataFrame([(1, "de", "İstanbul ΣΑΣ 😀😀😀 und noch mehr"), (2, "en", "ab"), (3, None, "noch mehr und noch mehr Worte"), (4, None, "qqqqqqqqqqqqqqqqqqqqqqqq")], "id int, lang string, text string")
+    counts = L.count_trigrams(rows, "text", "lang")
+    lowered = rows.where("id = 1").select(F.lower("text")).first()[0]
+    assert counts.agg(F.sum("n")).first()[0] == len(lowered) - 2
+    found = L.detect(rows, "id", "text", L.profile_of(counts))
+    for frame in (counts, found):
+        assert "Generate" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.id, r.detected) for r in found.collect()} == {(1, "de"), (3, "de")}
