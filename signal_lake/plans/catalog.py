@@ -306,14 +306,14 @@ def ingest_wave1(spark, sf_dir):
     )
 
 
-def _landed_in(spark: SparkSession, sf_dir: str, part: Column) -> dict[str, DataFrame]:
-    """Some documents as landed records of the methods of ``_several_sources``: source n has every document n modulo a sixth of the sources."""
+def _landed_in(spark: SparkSession, sf_dir: str, part: Column, sources: DataFrame) -> dict[str, DataFrame]:
+    """Some documents as landed records of ``sources``, those of ``_several_sources``: source n has every document n modulo a sixth of the sources."""
     listed = load(spark, sf_dir, "registry_raw")
     sixth = listed.count() // 6
-    keys = listed.select("row_no", R.canonical_key(F.trim("source_name")).alias("key"))
-    owners = _several_sources(spark, sf_dir).select(F.col("canonical_key").alias("key"), F.col("id").alias("owner"), F.col("fetch_method").alias("method"))
-    docs = _raw(spark, sf_dir).where(part).withColumn("row_no", F.col("arrival") % sixth + 1).join(keys, "row_no").join(owners, "key")
-    docs = docs.withColumns({"source_id": F.col("owner"), "pos": F.col("arrival")})
+    keys = listed.where(F.col("row_no").between(1, sixth)).select("row_no", R.canonical_key(F.trim("source_name")).alias("canonical_key"))
+    owners = keys.join(sources, "canonical_key").select("row_no", F.col("id").alias("source_id"), F.col("fetch_method").alias("method"))
+    docs = _raw(spark, sf_dir).where(part).drop("source_id").withColumns({"row_no": F.col("arrival") % sixth + 1, "pos": F.col("arrival")})
+    docs = stage(docs.join(stage(owners, "owners"), "row_no"), "landed")
     nothing = F.lit(None).cast("string")
     return {
         "manual_import": docs.where("method = 'manual_import'").select("source_id", "pos", F.col("external_content_id").alias("id"), "title", F.col("raw_text").alias("text"), "url"),
@@ -350,7 +350,7 @@ def run_twice(spark, sf_dir):
     for run, part in enumerate((F.col("arrival") < n * 7 // 10, F.col("arrival") >= n * 4 // 10), 1):
         at = _at(SEED_TIME if run == 1 else RUN_TIME)
         sources = P.read_sources(spark, root, run)
-        results = P.run_ingestion(spark, root, sources, _landed_in(spark, sf_dir, part), at, version=run + 1, detect=False, run=run)
+        results = P.run_ingestion(spark, root, sources, _landed_in(spark, sf_dir, part, sources), at, version=run + 1, detect=False, run=run)
         named = results.join(sources.select("canonical_key", F.col("id").alias("source_id")), "canonical_key")
         counters.append(named.select("source_id", *[F.col(c).alias(f"{c}_{run}") for c in ("fetched", "saved", "duplicates", "skipped")]))
     items = P.read_items(spark, root).select("source_id", "external_content_id", "title", "content_hash", "language", "is_duplicate", _epoch("fetched_at"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from signal_lake.functions.space import is_blank
-from signal_lake.operators.skew import first_n, lookup_join
+from signal_lake.operators.skew import first_n, large_lookup_join
 from signal_lake.plans.registry import decode_config
 from signal_lake.sources import channel, feeds, hf, hn, transcript
 
@@ -44,7 +44,7 @@ def pick_landed(method: str, records: DataFrame, sources: DataFrame, cursors: Da
         read_to = cursors.select("source_id", F.col("min_id").alias("_read_to"))
         wish = wish.join(read_to, "source_id", "left").withColumn("_min_id", F.greatest("_min_id", F.coalesce("_read_to", F.lit(0)))).drop("_read_to")
     own = [name for name in ("content_selector", "title_selector") if name not in records.columns]
-    joined = lookup_join(records.drop("content_selector", "title_selector"), wish, "source_id", "pos", "inner")
+    joined = large_lookup_join(records.drop("content_selector", "title_selector"), wish, "source_id", "pos")
     if setting:
         if method == "telegram_api":
             joined = joined.where(F.col("msg_id") > F.col("_min_id"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from signal_lake.operators import language as L, tables
 from signal_lake.operators.index import StoredIndex
-from signal_lake.operators.skew import global_rank, lookup_join
+from signal_lake.operators.skew import global_rank, large_lookup_join
 from signal_lake.plans import ingest as I
 from signal_lake.plans.limits import pick_landed
 from signal_lake.plans.registry import active_sources, processing_order, source_by_key
@@ -102,7 +102,8 @@ def placed_sources(sources: DataFrame) -> DataFrame:
 
 def ordered_items(items: DataFrame, placed: DataFrame, pos: str = "pos") -> DataFrame:
     """Items of ``placed_sources`` with ``arrival``, source language and method."""
-    joined = I.with_source(items.drop("fetch_method"), placed, pos, place="place", source_language="language", fetch_method="fetch_method")
+    table = placed.select(F.col("id").alias("source_id"), "place", F.col("language").alias("source_language"), "fetch_method")
+    joined = large_lookup_join(items.drop("fetch_method", "source_language"), table, "source_id", pos)
     arrival = F.col("place") * F.lit(1 << POSITION_BITS) + F.col(pos).cast("bigint")
     return joined.withColumn("arrival", arrival).drop("place")
 
@@ -110,7 +111,7 @@ def ordered_items(items: DataFrame, placed: DataFrame, pos: str = "pos") -> Data
 def with_key(outcomes: DataFrame, placed: DataFrame) -> DataFrame:
     """Outcomes with the key of their source and the item's ``pos`` there."""
     split = outcomes.withColumns({"place": F.shiftright("arrival", POSITION_BITS), "pos": F.col("arrival") % F.lit(1 << POSITION_BITS)})
-    return lookup_join(split, placed.select("place", "canonical_key"), "place", "arrival", "inner").drop("place")
+    return large_lookup_join(split, placed.select("place", "canonical_key"), "place", "arrival").drop("place")
 
 
 def run_ingestion(
@@ -157,7 +158,7 @@ def run_ingestion(
         failed = failed.join(chosen.select("canonical_key", "fetch_method"), "canonical_key").join(errors.select("canonical_key"), "canonical_key", "left_anti")
         errors = errors.unionByName(failed.withColumn("recorded", F.lit(True)))
     errors = stage(errors, "source_errors")
-    fit = placed_sources(chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti"))
+    fit = stage(placed_sources(chosen.join(errors.select("canonical_key"), "canonical_key", "left_anti")), "fit")
     cursors = read_cursors(spark, root)
     index = StoredIndex(spark, f"{root}/index", tuple(done[-1]["index_runs"]) if done else ())
     picked = {name: pick_landed(name, records, fit, cursors).withColumn(FETCHED, run_at) for name, records in landed.items() if has_connector(name)}
@@ -165,7 +166,7 @@ def run_ingestion(
         nothing = fit.select("canonical_key", F.lit("none").alias("outcome")).limit(0)
         results = stage(I.run_results(nothing, errors, "canonical_key", fit), "run_results")
     else:
-        routed = ordered_items(route(picked, ["source_id", "pos"]), fit).drop("pos")
+        routed = ordered_items(stage(route(picked, ["source_id", "pos"]), "routed"), fit).drop("pos")
         items = stage(I.prepared(routed), "prepared")
         outcomes = stage(I.ingest(items, index), "outcomes")
         results = stage(I.run_results(with_key(outcomes, fit), errors, "canonical_key", fit), "run_results")

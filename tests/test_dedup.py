@@ -4,7 +4,8 @@ from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from signal_lake.operators.dedup import mark_duplicates, touched_rows
-from signal_lake.operators.skew import first_n, keep_first, lookup_join, with_previous
+from signal_lake.operators.skew import first_n, keep_first, large_lookup_join, lookup_join, with_previous
+from signal_lake.plans import run as P
 
 SCHEMA = "arrival bigint, source_id string, external_content_id string, content_hash string"
 STORED = "source_id string, external_content_id string, content_hash string"
@@ -99,3 +100,17 @@ def test_previous_across_blocks(spark, rows):
         for before, row in zip([None, *mine], mine):
             want[key, row[1]] = before[2] if before else None
     assert got == want
+
+
+def test_large_tables_are_repeated_only_for_the_salts_that_occur(spark):
+    rows = spark.range(500).selectExpr("id", "CASE WHEN id < 400 THEN 'hot' WHEN id < 402 THEN 'k' ELSE NULL END AS k")
+    table = spark.createDataFrame([("hot", 1), ("k", 2), ("never asked", 3)], "k string, v int")
+    found = large_lookup_join(rows, table, "k", "id")
+    assert found.groupBy("v").count().orderBy("v").collect() == [(1, 400), (2, 2)]
+    assert large_lookup_join(rows, table, "k", "id", "left").count() == 500
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    sources = spark.createDataFrame([("a", 0, "en", "rss")], "id string, place bigint, language string, fetch_method string")
+    items = spark.createDataFrame([("a", 7, "rss")], "source_id string, pos bigint, fetch_method string")
+    ordered = P.ordered_items(items, sources)
+    assert ordered.select("arrival", "source_language").collect() == [(7, "en")]
+    assert "Generate" not in ordered._jdf.queryExecution().optimizedPlan().toString()
