@@ -460,16 +460,22 @@ def csv_import(spark, sf_dir):
     return manual.manual_items(records, []).select("external_content_id", "author_name", F.sha2("raw_text", 256).alias("text_sha"))
 
 
+def _json_lists(documents: int) -> int:
+    """So many lists that none holds more than about 50,000 documents, since one task writes a whole file."""
+    return max(4, -(-documents // 50_000))
+
+
 @query
 def json_import(spark, sf_dir):
-    """Documents written as JSON lists, one file each of four, which hold other entries too; read back by the settings of their sources."""
+    """Documents written as JSON lists, a file for each 50,000 of them and at least four, which hold other entries too; read back by the settings of their sources."""
     import uuid
 
     path = f"{shared_dir(spark)}/lists-{uuid.uuid4().hex}"
-    docs = load(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 4).alias("g"), F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("raw_text"), F.col("source").alias("author"))).alias("json"))
+    lists = _json_lists(load(spark, sf_dir, "documents").count())
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.pmod("doc_id", F.lit(lists)).alias("g"), F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("raw_text"), F.col("source").alias("author"))).alias("json"))
     entry = F.concat(F.lit(', "no } record", ['), F.col("json"), F.lit("], "), F.col("json")).alias("value")
-    ends = spark.sql("SELECT explode(sequence(0, 3)) AS g, inline(array(struct(-1L AS doc_id, '[0' AS value), struct(9223372036854775807L AS doc_id, ']' AS value)))")
-    rows = docs.select("g", "doc_id", entry).unionByName(ends.select(F.col("g").cast("bigint").alias("g"), "doc_id", "value"))
+    ends = spark.range(lists).selectExpr("id AS g", "inline(array(struct(-1L AS doc_id, '[0' AS value), struct(9223372036854775807L AS doc_id, ']' AS value)))")
+    rows = docs.select("g", "doc_id", entry).unionByName(ends)
     rows.repartition("g").sortWithinPartitions("g", "doc_id").select("g", "value").write.partitionBy("g").text(path)
     files = spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()
     names = [(f"list {k}", json.dumps({"file_path": file, "file_format": "json"})) for k, file in enumerate(sorted(files))]

@@ -9,7 +9,7 @@ import pytest
 
 from oracles import ORACLES
 from signal_lake.plans.catalog import QUERIES
-from signal_lake.plans import ingest as I
+from signal_lake.plans import catalog, ingest as I
 from signal_lake.plans.views import load
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -74,3 +74,7 @@ def test_scans_read_only_what_is_asked(spark, small_sf):
 
 def test_the_list_is_dealt_out_however_few_row_groups_hold_it(spark, small_sf):
     assert load(spark, small_sf, "registry_raw").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_lists_of_the_json_import_grow_in_number_not_in_size():
+    assert [catalog._json_lists(n) for n in (0, 200, 200_000, 200_001, 3_000_000)] == [4, 4, 4, 5, 60]
