@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from signal_lake.operators.dedup import KEY
 from signal_lake.operators.index import StoredIndex, entries_of
-from signal_lake.operators.skew import lookup_join, with_group_min
+from signal_lake.operators.skew import large_lookup_join, with_group_min
 from signal_lake.session import stage
 
 
@@ -45,11 +45,11 @@ def settle(batch: DataFrame, index: StoredIndex, order: str = "arrival") -> Data
     opened = entries_of(prints.select(missing.alias("source_id"), missing.alias("external_content_id"), "content_hash"))
     members = stage(fresh.union(stored(opened, "print_members")), "members")
 
-    # Whether a member is inserted depends on its key, which may have rows outside the opened fingerprints.
+    # Whether a member is inserted depends on its key, which may have rows outside the opened fingerprints. There are about as many keys as members.
     keys = members.select(*KEY).where(F.col("external_content_id").isNotNull() & F.col("source_id").isNotNull()).distinct()
     of_keys = _firsts(fresh.union(stored(by_key(keys), "member_keys")))
     table = of_keys.select(F.struct(*KEY).alias("_key"), "first", "old_first")
-    known = lookup_join(members.withColumn("_key", F.struct(*KEY)), table, "_key", "member").drop("_key")
+    known = large_lookup_join(members.withColumn("_key", F.struct(*KEY)), table, "_key", "member", "left").drop("_key")
     free = F.col("external_content_id").isNull()
     known = known.withColumn("inserted", free | F.coalesce(F.col("member") == F.col("first"), F.lit(False)))
     known = known.withColumn("was_inserted", ~F.col("fresh") & (free | F.coalesce(F.col("member") == F.col("old_first"), F.lit(False))))

@@ -89,6 +89,22 @@ def test_lookup_join_hits_every_row_once(spark):
     assert lookup_join(rows, table, "k", "id", "left_anti").count() == 99
 
 
+def test_a_lookup_table_is_broadcast_only_if_all_its_repeats_are_small(spark):
+    rows = spark.range(5000).select("id", (F.col("id") % 3000).alias("k"))
+    table = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "100k")  # the table is smaller, 16 of it are not
+        large, small = lookup_join(rows, table, "k", "id"), lookup_join(rows, table.where("k < 10").limit(10), "k", "id")
+        assert large.where("v = 2 * k").count() == 5000 and small.where("v IS NOT NULL").count() == 20
+        for found, hashed in ((large, False), (small, True)):
+            found.collect()
+            assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == hashed
+    finally:
+        spark.conf.set(name, before)
+
+
 @settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 30), st.sampled_from(["x", "y", None])), max_size=30, unique_by=lambda r: r[:2]))
 def test_previous_across_blocks(spark, rows):

@@ -50,6 +50,24 @@ def test_a_late_row_opens_its_own_groups_only(spark, tmp_path):
     assert got == {5: (True, False, "saved"), 10: (False, False, "skipped"), 11: (True, False, "saved"), 14: (True, True, "duplicate")}
 
 
+def test_keys_are_repeated_only_for_the_salts_of_their_members(spark, tmp_path, monkeypatch):
+    rows = [(i, "s", None if i % 5 == 0 else str(i % 300), f"h{i % 400}") for i in range(500)]
+    index = StoredIndex(spark, str(tmp_path / "index"), (0,))
+    index.add_members(spark.createDataFrame(rows[250:], SCHEMA), "arrival", 0)
+    plans = {}
+
+    def noted(frame, name):
+        plans[name] = frame._jdf.queryExecution().optimizedPlan().toString()
+        return stage(frame, name)
+
+    late = stage(spark.createDataFrame(rows[:250], SCHEMA), "late")
+    monkeypatch.setattr("signal_lake.operators.late.stage", noted)
+    want = {r.arrival: r.outcome for r in mark_duplicates(stage(spark.createDataFrame(rows, SCHEMA), "whole")).collect()}
+    got = {r.arrival: r.outcome for r in settle(late, index).collect()}
+    assert all(want[arrival] == outcome for arrival, outcome in got.items()) and set(range(250)) <= set(got)
+    assert "Generate" not in plans["known"] and "Range" not in plans["known"]
+
+
 def test_a_drain_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
     root, landing = str(tmp_path / "s"), str(tmp_path / "landing")
     rows = [(i, f"s{i % 2}", str(i % 4), "rss", None, "t", "x" * 200 + str(i % 3), None) for i in range(20)]
