@@ -9,6 +9,7 @@ visited. How near its neighbours are is learned from a sample: the exact neighbo
 Rows are stored once, in blocks of ``SPLIT`` along the buckets of the first table. A query goes to the blocks that hold a bucket it visits in any
 table; there the candidates of all tables are merged, so each pair is computed once, many at a time as a product of matrices, and the
 few best get their exact cosine in double precision. Queries are split as blocks are, so a task holds ``SPLIT`` rows and about ``TOGETHER`` queries.
+What a query visits is joined to the buckets by shuffles, never by a broadcast, and goes to each block as the numbers of its buckets there.
 
 Equal vectors are one candidate with its smallest ids, as no other of them can be among a query's nearest. No bucket is capped. Queries that found
 fewer than ``k`` search all blocks.
@@ -28,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from signal_lake.llm.common import prepare
+from signal_lake.llm.common import BATCH_ROWS, prepare
 from signal_lake.operators.skew import global_rank
 from signal_lake.session import stage
 
@@ -200,6 +201,39 @@ def merged_candidates(order: list[np.ndarray], keys: list[np.ndarray], visited:
     return found
 
 
+def _dealt(visits: DataFrame, tables: int) -> DataFrame:
+    """One row per query and block it visits, ``met`` being the numbers of the visited buckets there: a list for each table.
+
+    ``visits`` are rows (query_id, dimension, vector, visits) with a list of (table, places), a place being the block times ``SPLIT`` plus the bucket's number.
+    """
+    split = SPLIT
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            visited = batch.column(3).flatten()
+            places = visited.field("places")
+            asks = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy())
+            sizes = places.value_lengths().to_numpy()
+            place = places.flatten().to_numpy()
+            ask, table, block = np.repeat(asks, sizes), np.repeat(visited.field("table").to_numpy(), sizes), place // split
+            order = np.argsort((ask * (block.max(initial=0) + 1) + block) * tables + table, kind="stable")
+            ask, table, block, number = ask[order], table[order], block[order], (place[order] % split).astype(np.int32)
+            starts = np.flatnonzero(np.diff(ask, prepend=-1) | np.diff(block, prepend=-1))
+            ends = np.append(starts[1:], len(ask))
+            for i in range(0, len(starts), BATCH_ROWS):
+                some = starts[i : i + BATCH_ROWS]
+                here = slice(some[0], ends[i : i + BATCH_ROWS][-1])
+                row = np.repeat(np.arange(len(some)), ends[i : i + BATCH_ROWS] - some)
+                offsets = np.append(0, np.cumsum(np.bincount(row * tables + table[here], minlength=len(some) * tables)))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(number[here]))
+                met = pa.ListArray.from_arrays(pa.array(np.arange(0, len(some) * tables + 1, tables), pa.int32()), lists)
+                query_id, dimension, vector = (batch.column(c).take(pa.array(ask[some])) for c in range(3))
+                yield pa.record_batch([query_id, dimension, vector, pa.array(block[some]), met], ["query_id", "dimension", "vector", "block", "met"])
+
+    schema = "query_id bigint, dimension int, vector array<double>, block bigint, met array<array<int>>"
+    return visits.select("query_id", "dimension", "vector", "visits").mapInArrow(run, schema)
+
+
 def _best_of_block(k: int) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     """For a block of rows and some queries: each query's ``k`` nearest among the rows of the buckets it visits there; without buckets, of all."""
 
@@ -211,6 +245,7 @@ def _best_of_block(k: int) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.D
             table_keys = np.array([[table[0] for table in keys] for keys in rows["keys"]], dtype=np.int64)
             order = [np.argsort(column, kind="stable") for column in table_keys.T]
             keys = [column[by] for column, by in zip(table_keys.T, order, strict=True)]
+            numbered = [np.unique(column) for column in keys]
             queries = np.stack(asked["vector"].to_numpy()).astype(np.float64)
             mask, everything = np.zeros(len(rows), dtype=bool), np.arange(len(rows))
             for start in range(0, len(queries), 128):
@@ -221,10 +256,7 @@ def _best_of_block(k: int) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.D
                     if met is None:
                         at = everything
                     else:
-                        visited: list[list[int]] = [[] for _ in order]
-                        for pair in met:
-                            visited[pair["table"]].append(pair["key"])
-                        at = merged_candidates(order, keys, [np.array(v, dtype=np.int64) for v in visited], mask)
+                        at = merged_candidates(order, keys, [own[np.asarray(numbers, dtype=np.int64)] for own, numbers in zip(numbered, met, strict=True)], mask)
                     if not len(at):
                         continue
                     query_id, rough = asked["query_id"].iloc[start + i], near_all[at, i]
@@ -282,33 +314,35 @@ def nearest(
     indexed = _by_dimension(index, candidates).join(candidates, "row").withColumn("first", F.col("keys")[0][0])
     placed = global_rank(indexed, ["dimension", "first", "row"], "place").withColumn("block", F.floor(F.col("place") / SPLIT))
     placed = stage(placed.select("dimension", "block", "keys", "vector", "ids"), "blocks")
-    # Where the rows of a bucket are stored: one row per bucket, with the numbers of its blocks.
+    # Where the rows of a bucket are stored: one row per bucket, with its places, which are its block and its number among the block's buckets.
     tabled = placed.select("dimension", "block", F.posexplode("keys").alias("table", "key")).select("dimension", "block", "table", F.col("key")[0].alias("key"))
-    stored = stage(tabled.distinct().groupBy("dimension", "table", "key").agg(F.collect_list("block").alias("blocks")), "buckets")
+    held = tabled.groupBy("dimension", "block", "table").agg(F.sort_array(F.collect_set("key")).alias("held"))
+    numbered = held.select("dimension", "block", "table", F.posexplode("held").alias("number", "key")).withColumn("place", F.col("block") * SPLIT + F.col("number"))
+    stored = stage(numbered.groupBy("dimension", "table", "key").agg(F.collect_list("place").alias("places")), "buckets")
     parts = max(1, -(-asking // TOGETHER))
     together = F.pmod(F.xxhash64("query_id"), F.lit(parts))
     by = ["dimension", "block", "part"]
 
     def search(met: DataFrame) -> DataFrame:
-        """Best of the blocks for ``met`` (row, dimension, block, met) rows of the queries."""
-        there = met.join(asked, "row").select("dimension", "block", together.alias("part"), "query_id", "vector", "met")
-        there = stage(there, "met")
+        """Best of the blocks for ``met`` (query_id, dimension, vector, block, met) rows of the queries."""
+        there = stage(met.withColumn("part", together), "met")
         # A block goes to the parts of the queries that visit it.
         rows = placed.join(stage(there.select(*by).distinct(), "visits"), ["dimension", "block"])
         return rows.groupBy(*by).cogroup(there.groupBy(*by)).applyInPandas(_best_of_block(k), "query_id bigint, vec_id bigint, score double")
 
     visited = _by_dimension(visit, asked).select("row", "dimension", F.posexplode("keys").alias("table", "visits")).select("row", "dimension", "table", F.explode("visits").alias("key"))
-    # A query's visits (at most `count` a table) are one list; it is repeated for each block with what lies there.
-    visits = visited.join(stored, ["dimension", "table", "key"]).groupBy("row", "dimension").agg(F.collect_list(F.struct("table", "key", "blocks")).alias("visits"))
-    blocks = visits.select("row", "dimension", "visits", F.explode(F.array_distinct(F.flatten("visits.blocks"))).alias("block"))
-    here = F.filter("visits", lambda v: F.array_contains(v["blocks"], F.col("block")))
-    blocks = blocks.select("row", "dimension", "block", F.transform(here, lambda v: F.struct(v["table"].alias("table"), v["key"].alias("key"))).alias("met"))
+    # Spark sizes the visits as if they were not exploded and the buckets by their packed file; neither may go through the driver.
+    places = visited.hint("merge").join(stored, ["dimension", "table", "key"])
+    # A query's visits (at most `count` a table) are one list; it is dealt out over the blocks with what lies there.
+    visits = places.groupBy("row", "dimension").agg(F.collect_list(F.struct("table", "places")).alias("visits"))
+    sized = asked.withColumn("dimension", F.size("vector")).hint("shuffle_hash")
+    blocks = _dealt(visits.join(sized, ["row", "dimension"]), tables)
     found = stage(_ranked(search(blocks), k), "found")
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = asked.join(enough, "query_id", "left_anti")
     if not short.isEmpty():
-        dimension = short.select("row", F.size("vector").alias("dimension"))
+        sized = short.select("query_id", F.size("vector").alias("dimension"), "vector")
         nothing = F.lit(None).cast(blocks.schema["met"].dataType)
-        everywhere = dimension.join(placed.select("dimension", "block").distinct(), "dimension").withColumn("met", nothing)
+        everywhere = sized.join(placed.select("dimension", "block").distinct(), "dimension").withColumn("met", nothing)
         found = _ranked(found.select("query_id", "vec_id", "score").union(search(everywhere)), k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

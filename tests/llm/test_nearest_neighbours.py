@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +122,34 @@ def test_probing_stops_when_success_is_enough():
     chance = np.array([[[0.5, 0.2, 0.1, 0.1], [0.05, 0.05, 0.05, 0.05]]])
     assert N.wanted(chance, 2, 0.74).tolist() == [[[True, False, False, False], [True] * 4]]
     assert N.projections_for(100) == 4 and N.projections_for(51_000) == 9 and N.projections_for(10**9) > 15
+
+
+def test_visits_are_not_broadcast(spark, monkeypatch):
+    plans, staged = {}, N.stage
+
+    def spied(df, name):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(N, "stage", spied)
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(400, centres=4))]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert len(N.nearest(table, F.col("vec_id") % 50 == 0).collect()) == 40
+    assert "isFinalPlan=true" in plans["met"] and "Broadcast" not in plans["met"]
+    assert re.search(r"SortMergeJoin \[dimension#\d+, table#\d+, key#\d+L?\]", plans["met"])
+
+
+def test_visits_are_dealt_out_over_blocks(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for q in range(3):
+        lists = [(t, rng.choice(700 * N.SPLIT, 900, replace=False).tolist()) for t in (0, 1, 1)]
+        rows.append((q, 1, [float(q)], lists))
+        for t, places in lists:
+            for place in places:
+                want.setdefault((q, place // N.SPLIT), ([], [], []))[t].append(place % N.SPLIT)
+    visits = spark.createDataFrame(rows, "query_id bigint, dimension int, vector array<double>, visits array<struct<table: int, places: array<bigint>>>")
+    found = N._dealt(visits.repartition(1), 3).collect()
+    assert len(found) == len(want) > 3 * 512
+    assert all(r.vector == [float(r.query_id)] and [sorted(m) for m in r.met] == [sorted(w) for w in want[r.query_id, r.block]] for r in found)
